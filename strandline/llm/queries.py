@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from .decontamination import OP2_SQL, op2_winnowing
 from .sharding import op3_feistel_shards
 from .simhash import op4_simhash
 from .substrings import OP10_SQL, op10_fixed_blocks
 
 QUERIES = {
+    "op2_winnowing": op2_winnowing,
     "op3_feistel_shards": op3_feistel_shards,
     "op4_simhash": op4_simhash,
     "op10_fixed_blocks": op10_fixed_blocks,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_winnowing": OP2_SQL,
     "op10_fixed_blocks": OP10_SQL,
 }
