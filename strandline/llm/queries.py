@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontamination import OP2_SQL, op2_winnowing
 from .language import op9_crf_language
+from .sentencepiece_viterbi import op5_sentencepiece
 from .sharding import op3_feistel_shards
 from .simhash import op4_simhash
 from .substrings import OP10_SQL, op10_fixed_blocks
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_winnowing": op2_winnowing,
     "op3_feistel_shards": op3_feistel_shards,
     "op4_simhash": op4_simhash,
+    "op5_sentencepiece": op5_sentencepiece,
     "op9_crf_language": op9_crf_language,
     "op10_fixed_blocks": op10_fixed_blocks,
 }
