@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import OP2_SQL, op2_winnowing
+from .html_text import op8_host_paths
 from .language import op9_crf_language
 from .sentencepiece_viterbi import op5_sentencepiece
 from .sharding import op3_feistel_shards
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_feistel_shards": op3_feistel_shards,
     "op4_simhash": op4_simhash,
     "op5_sentencepiece": op5_sentencepiece,
+    "op8_host_paths": op8_host_paths,
     "op9_crf_language": op9_crf_language,
     "op10_fixed_blocks": op10_fixed_blocks,
 }
