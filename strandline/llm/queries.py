@@ -5,12 +5,14 @@ from __future__ import annotations
 from .decontamination import OP2_SQL, op2_winnowing
 from .html_text import op8_host_paths
 from .language import op9_crf_language
+from .pii import op1_bootstrapped_pii
 from .sentencepiece_viterbi import op5_sentencepiece
 from .sharding import op3_feistel_shards
 from .simhash import op4_simhash
 from .substrings import OP10_SQL, op10_fixed_blocks
 
 QUERIES = {
+    "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_winnowing": op2_winnowing,
     "op3_feistel_shards": op3_feistel_shards,
     "op4_simhash": op4_simhash,
