@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontamination import OP2_SQL, op2_winnowing
 from .html_text import op8_host_paths
 from .language import op9_crf_language
+from .licences import op7_rare_licence_words
 from .pii import op1_bootstrapped_pii
 from .sentencepiece_viterbi import op5_sentencepiece
 from .sharding import op3_feistel_shards
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_feistel_shards": op3_feistel_shards,
     "op4_simhash": op4_simhash,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_rare_licence_words": op7_rare_licence_words,
     "op8_host_paths": op8_host_paths,
     "op9_crf_language": op9_crf_language,
     "op10_fixed_blocks": op10_fixed_blocks,
