@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontamination import OP2_SQL, op2_winnowing
 from .html_text import op8_host_paths
+from .knn import OP6_SQL, op6_voronoi_top_k
 from .language import op9_crf_language
 from .licences import op7_rare_licence_words
 from .pii import op1_bootstrapped_pii
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_feistel_shards": op3_feistel_shards,
     "op4_simhash": op4_simhash,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_voronoi_top_k": op6_voronoi_top_k,
     "op7_rare_licence_words": op7_rare_licence_words,
     "op8_host_paths": op8_host_paths,
     "op9_crf_language": op9_crf_language,
@@ -26,5 +28,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_winnowing": OP2_SQL,
+    "op6_voronoi_top_k": OP6_SQL,
     "op10_fixed_blocks": OP10_SQL,
 }
