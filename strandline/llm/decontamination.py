@@ -102,7 +102,12 @@ def _digest(items: set[str]) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
-RESULT = "doc_id long, n_words long, n_hit long, n_items long, items array<string>, hit_at binary"
+RESULT = ["n_words", "n_hit", "n_items", "items", "hit_at"]
+RESULT_TYPES = "n_words long, n_hit long, n_items long, items array<string>, hit_at binary"
+
+
+def _schema(docs: DataFrame) -> str:
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), RESULT_TYPES])
 
 
 def _by_broadcast(docs: DataFrame, index: DataFrame) -> DataFrame:
@@ -143,43 +148,44 @@ def _by_broadcast(docs: DataFrame, index: DataFrame) -> DataFrame:
                     lists.append(sorted(items.get(t, ())))
                     at.append(np.flatnonzero(hit[words.first[t] : words.first[t + 1]]).astype(np.int32).tobytes() if n_hit[t] else b"")
                 columns = [
-                    column(part, "doc_id"),
+                    *part.columns,
                     pa.array(words.counts().astype(np.int64)),
                     pa.array(n_hit.astype(np.int64)),
                     pa.array([len(x) for x in lists], pa.int64()),
                     pa.array(lists, pa.list_(pa.string())),
                     pa.array(at, pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_hit", "n_items", "items", "hit_at"])
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, *RESULT])
 
-    return docs.mapInArrow(run, RESULT)
+    return docs.mapInArrow(run, _schema(docs))
 
 
 def _by_shuffle(docs: DataFrame, index: DataFrame) -> DataFrame:
     lengths = [row[0] for row in index.select("length").distinct().collect()]  # 1 to WINDOW
-    docs = docs.withColumn("tag", F.xxhash64("doc_id", "text"))
+    names = docs.columns
+    plain, docs = docs, docs.withColumn("_tag", F.xxhash64("text"))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = words_of(column(part, "text"), ALNUM, LOWER)
-                tags = column(part, "tag").to_numpy(zero_copy_only=False)
+                tags = column(part, "_tag").to_numpy(zero_copy_only=False)
                 for length in lengths:
                     at, own = winnowed(words, length)
                     t = np.searchsorted(words.first, at, side="right") - 1
                     columns = [pa.array(tags[t]), pa.array(np.full(len(at), length, np.int32)), pa.array((at - words.first[t]).astype(np.int64)), pa.array(own.view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, ["tag", "length", "at", "print"])
+                    yield pa.RecordBatch.from_arrays(columns, ["_tag", "length", "at", "print"])
 
-    probes = docs.select("tag", "text").mapInArrow(grams, "tag long, length int, at long, print long")
+    probes = docs.select("_tag", "text").dropDuplicates(["_tag"]).mapInArrow(grams, "_tag long, length int, at long, print long")
     known = index.filter("kind = 0").select("length", "print")
-    hits = probes.join(known, ["length", "print"], "left_semi").groupBy("tag").agg(F.collect_set(F.struct("length", "at")).alias("hits"))
-    near = docs.dropDuplicates(["tag"]).select("tag", "text").join(hits, "tag")
+    hits = probes.join(known, ["length", "print"], "left_semi").groupBy("_tag").agg(F.collect_set(F.struct("length", "at")).alias("hits"))
+    near = docs.select("_tag", "text").dropDuplicates(["_tag"]).join(hits, "_tag")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words = words_of(column(part, "text"), ALNUM, LOWER)
-                tags = column(part, "tag").to_numpy(zero_copy_only=False)
+                tags = column(part, "_tag").to_numpy(zero_copy_only=False)
                 hits = column(part, "hits").to_pylist()
                 for length in lengths:
                     at = [words.first[t] + h["at"] for t, own in enumerate(hits) for h in own if h["length"] == length]
@@ -187,13 +193,13 @@ def _by_shuffle(docs: DataFrame, index: DataFrame) -> DataFrame:
                     t = np.searchsorted(words.first, starts, side="right") - 1
                     own = words.window_hashes(starts, length)
                     columns = [pa.array(tags[t]), pa.array(np.full(len(t), length, np.int32)), pa.array((starts - words.first[t]).astype(np.int64)), pa.array(own.view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, ["tag", "length", "at", "print"])
+                    yield pa.RecordBatch.from_arrays(columns, ["_tag", "length", "at", "print"])
 
     owned = index.filter("kind = 1").select("length", "print", "item")
-    candidates = near.mapInArrow(windows, "tag long, length int, at long, print long")
+    candidates = near.mapInArrow(windows, "_tag long, length int, at long, print long")
     true_hits = candidates.join(owned.select("length", "print").distinct(), ["length", "print"], "left_semi")
-    places = true_hits.groupBy("tag").agg(F.collect_set(F.struct("at", "length")).alias("places"))
-    items = true_hits.select("tag", "length", "print").distinct().join(owned, ["length", "print"]).groupBy("tag").agg(F.collect_set("item").alias("items"))
+    places = true_hits.groupBy("_tag").agg(F.collect_set(F.struct("at", "length")).alias("_places"))
+    items = true_hits.select("_tag", "length", "print").distinct().join(owned, ["length", "print"]).groupBy("_tag").agg(F.collect_set("item").alias("_items"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,31 +207,34 @@ def _by_shuffle(docs: DataFrame, index: DataFrame) -> DataFrame:
                 words = words_of(column(part, "text"), ALNUM, LOWER)
                 n = words.counts()
                 hit, at = [], []
-                for t, own in enumerate(column(part, "places").to_pylist()):
+                for t, own in enumerate(column(part, "_places").to_pylist()):
                     mask = np.zeros(n[t], dtype=bool)
                     for p in own or ():
                         mask[p["at"] : p["at"] + p["length"]] = True
                     hit.append(int(mask.sum()))
                     at.append(np.flatnonzero(mask).astype(np.int32).tobytes())
-                lists = [sorted(x or ()) for x in column(part, "items").to_pylist()]
-                columns = [column(part, "doc_id"), pa.array(n.astype(np.int64)), pa.array(hit, pa.int64()), pa.array([len(x) for x in lists], pa.int64()), pa.array(lists, pa.list_(pa.string())), pa.array(at, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_hit", "n_items", "items", "hit_at"])
+                lists = [sorted(x or ()) for x in column(part, "_items").to_pylist()]
+                columns = [*(column(part, c) for c in names), pa.array(n.astype(np.int64)), pa.array(hit, pa.int64()), pa.array([len(x) for x in lists], pa.int64()), pa.array(lists, pa.list_(pa.string())), pa.array(at, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, [*names, *RESULT])
 
-    return docs.join(places, "tag", "left").join(items, "tag", "left").select("doc_id", "text", "places", "items").mapInArrow(counted, RESULT)
+    found = docs.join(places, "_tag", "left").join(items, "_tag", "left").drop("_tag")
+    return found.mapInArrow(counted, _schema(plain))
 
 
-def contaminated(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS
-) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (sorted ids), hit_at (places of hit words, 32-bit) for every row of docs."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """docs with n_words, n_hit, n_items, items (sorted ids) and hit_at (places of hit words, 32-bit); columns of these
+    names are replaced."""
+    docs = docs.drop(*RESULT)
+    if text != "text":
+        docs = docs.drop("text").withColumnRenamed(text, "text")
     index = written(item_index(items, window))
-    return (_by_broadcast if index.count() <= broadcast_windows else _by_shuffle)(docs, index)
+    found = (_by_broadcast if index.count() <= broadcast_windows else _by_shuffle)(docs, index)
+    return found.withColumnRenamed("text", text)
 
 
 def op2_winnowing(spark, sf_dir: str) -> DataFrame:
     """Hits of every benchmark item in every document."""
-    found = contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     ids = F.sha2(F.array_join("items", ",").cast("binary"), 256)
     return found.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 

@@ -205,7 +205,8 @@ def learned(train: DataFrame, text: str = "text", lang: str = "lang") -> Field |
 
 
 def predicted(docs: DataFrame, field: Field | None, text: str = "text") -> DataFrame:
-    """docs (whose columns must not be named lang_pred or score) with lang_pred and score."""
+    """docs with lang_pred and score; columns of these names are replaced."""
+    docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -97,8 +97,9 @@ def _identifier(token: Column) -> Column:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """doc_id, tag (a hash of the text), the spans of each fixed kind, and tokens that look like identifiers."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
+    """docs, tag (a hash of the text), the spans of each fixed kind, and tokens that look like identifiers."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.withColumn("tag", F.xxhash64("text"))
 
     def token(start: Column, end: Column, match: Column, gap: Column) -> Column:
         before = F.char_length(F.regexp_extract(match, f"^{TRIM}", 0))
@@ -110,8 +111,8 @@ def scanned(docs: DataFrame) -> DataFrame:
             F.lower(F.right(gap, F.lit(CONTEXT))).alias("gap"),
         )
 
-    tokens = F.when(F.col("text").rlike("[0-9@]"), _placed(F.col("text"), TOKEN, _identifier, token, TOKENS)).otherwise(F.array().cast(TOKENS))
-    return rows.select("doc_id", "tag", *[c.alias(k) for k, c in fixed_kinds(F.col("text")).items()], tokens.alias("tokens"))
+    tokens = F.when(text.rlike("[0-9@]"), _placed(text, TOKEN, _identifier, token, TOKENS)).otherwise(F.array().cast(TOKENS))
+    return rows.select("*", *[c.alias(k) for k, c in fixed_kinds(text).items()], tokens.alias("tokens"))
 
 
 def occurrences(scan: DataFrame) -> DataFrame:
@@ -162,9 +163,9 @@ def taken_patterns(docs: DataFrame, seen: DataFrame, rounds: int = ROUNDS) -> Da
 
 
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, one array of spans (start, end) for each fixed kind, and found: spans (kind, start, end) of the contexts."""
+    """doc_id, tag, one array of spans (start, end) for each fixed kind, and found: spans (kind, start, end) of the contexts."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    scan = written(scanned(docs))
+    scan = written(scanned(docs).drop("text"))
     seen = written(occurrences(scan))
     taken = taken_patterns(docs, seen, rounds)
     fresh = seen.filter("seed IS NULL").join(taken, "pattern")
@@ -189,6 +190,35 @@ def _of_kind(kind: str) -> Column:
     return F.transform(own, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
 
+def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """docs with every span of personal data in text replaced by its kind in angle brackets; overlapping spans become
+    one. Other columns stay as they are."""
+    rest = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.struct(*docs.columns).alias("row"))
+    scan = written(scanned(rest))
+    seen = written(occurrences(scan))
+    taken = taken_patterns(rest, seen, rounds)
+    fresh = seen.filter("seed IS NULL").join(taken, "pattern").groupBy("doc_id", "tag", "start", "end").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
+    found = fresh.groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag")).agg(F.collect_list(F.struct("start", "end", "kind")).alias("found"))
+    joined = scan.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tag") == F.col("_tag")), "left")
+    fixed = F.concat(*[_with_kind(kind) for kind in KINDS])
+    spans = F.array_sort(F.concat(fixed, F.coalesce("found", F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>"))))
+    body = F.col("text")
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def add(done: Column, span: Column) -> Column:
+        gap = F.substr(body, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        out = F.when(span["start"] >= done["at"], F.concat(done["out"], gap, F.lit("<"), F.upper(span["kind"]), F.lit(">"))).otherwise(done["out"])
+        return F.struct(F.greatest(done["at"], span["end"]).alias("at"), out.alias("out"))
+
+    clean = F.aggregate(spans, none, add, lambda done: F.concat(done["out"], F.substr(body, (done["at"] + 1).cast("int"), F.char_length(body))))
+    new = F.when(F.size(spans) > 0, clean).otherwise(body)
+    return joined.withColumn("_clean", new).select(*[F.col("_clean").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _with_kind(kind: str) -> Column:
+    return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+
+
 def op1_bootstrapped_pii(spark, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     found = personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"))

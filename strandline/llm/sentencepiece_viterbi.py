@@ -212,7 +212,8 @@ def _decoded(vocabulary: Vocabulary, ids: np.ndarray, first: np.ndarray) -> list
 
 
 def encoded(docs: DataFrame, model: str, text: str = "text", decode: bool = True) -> DataFrame:
-    """docs (whose columns must not be named ids or decoded) with ids and, from those ids, decoded."""
+    """docs with ids and, from those ids, decoded; columns of these names are replaced."""
+    docs = docs.drop("ids", "decoded")
     shared = docs.sparkSession.sparkContext.broadcast(load(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -64,15 +64,16 @@ def _fingerprints_of(texts: pa.Array, shingle: int) -> np.ndarray:
 
 
 def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and the signed 64-bit fingerprint of every row."""
+    """doc_id, tag (a hash of the text) and fp, the signed 64-bit fingerprint, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 prints = _fingerprints_of(column(part, "text"), shingle)
-                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([column(part, "doc_id"), column(part, "tag"), pa.array(prints.view(np.int64))], ["doc_id", "tag", "fp"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, tag long, fp long")
 
 
 def bit_planes(prints: np.ndarray) -> np.ndarray:
@@ -208,14 +209,25 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp, component_id (smallest id that is reachable over links) for every row."""
+    """doc_id, tag (a hash of the text), fp, group (its component's smallest fingerprint) and component_id (the smallest
+    id that is reachable over links) for every row."""
     prints = written(fingerprinted(docs, doc_id, text, shingle))
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = components(links(nodes, radius))
-    linked = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    names = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = linked.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    linked = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("group"))
+    names = linked.groupBy("group").agg(F.min("least_id").alias("component_id"))
+    named = linked.join(names, "group").select("fp", "group", "component_id")
+    return prints.join(named, "fp").select("doc_id", "tag", "fp", "group", "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The rows of docs that stay: of each component the one with the smallest id (a null one last), then text hash."""
+    found = near_duplicates(docs, doc_id, text, shingle, radius)
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias("_id"), F.col("first.tag").alias("_tag"))
+    tagged = docs.withColumn("_own", F.xxhash64(text))
+    stay = tagged.join(first, F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_tag")), "left_semi")
+    return stay.dropDuplicates([doc_id, "_own"]).drop("_own")
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
