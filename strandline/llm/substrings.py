@@ -1,8 +1,9 @@
 """Repeated passages across documents, found over fixed blocks.
 
 A passage of 13 words holds a whole block of 7 words that starts at a multiple of 7, wherever it starts. So the blocks
-of all documents are the index, every rolling window of 7 words probes it, and each hit is extended: the 13-word windows
-around it are looked up the same way, by all their words. What a window's first document (smallest id) keeps, later
+of all documents are the index, every rolling window of 7 words probes it, and blocks that another document's window
+hits are extended: the 13-word windows around them are looked up the same way, by all their words. Both documents of a
+shared passage have a block of their own in it, hit by the other. What a window's first document (smallest id) keeps, later
 documents lose; overlapping windows make up the maximal repeats.
 
 Index and probes travel packed: one row holds what a few hundred documents have in one hash bucket, as arrays of
@@ -156,7 +157,7 @@ FOUND = "doc_id long, tag long, place binary"
 
 
 def shared_blocks(packed: DataFrame, window: int) -> DataFrame:
-    """Positions whose words are a reference block and occur in two documents or more: the blocks and all their hits."""
+    """Reference blocks whose words also stand, at any position, in another document."""
     block = (window + 1) // 2
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -164,8 +165,8 @@ def shared_blocks(packed: DataFrame, window: int) -> DataFrame:
         order, heads = _by_print(prints)
         own = ids[doc[order]]
         sizes = np.diff(np.concatenate((heads, [len(order)])))
-        live = np.logical_or.reduceat(at[order] % block == 0, heads) & (np.minimum.reduceat(own, heads) != np.maximum.reduceat(own, heads))
-        chosen = np.sort(order[np.repeat(live, sizes)])
+        live = np.minimum.reduceat(own, heads) != np.maximum.reduceat(own, heads)
+        chosen = np.sort(order[np.repeat(live, sizes) & (at[order] % block == 0)])
         return _by_document(ids, tags, doc, at, chosen)
 
     return packed.groupBy("bucket").applyInPandas(run, FOUND)
