@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from .plans import interval_queries, ranking_queries
+
+_MODULES = (interval_queries, ranking_queries)
+
+QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
 FLAGSHIP = "masked_bases_by_region"
