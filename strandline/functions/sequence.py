@@ -15,32 +15,31 @@ def reverse_complement(seq: Column) -> Column:
 
 
 def translated(seq: Column, frame: int = 0) -> Column:
-    """Peptide of a frame (0 to 2): stops are *, codons with other letters X, an incomplete codon is dropped."""
-    digits = F.translate(F.upper(seq), "TCAGU", "01230")
-    codons = F.floor((F.length(seq) - frame) / 3).cast("int")
+    """Peptide of a frame (0 to 2): stops are *, codons with other letters X, an incomplete codon is dropped. Codons are
+    cut out once; a lambda over positions would take the whole sequence apart again for each."""
+    codons = F.regexp_extract_all(F.upper(F.substr(seq, F.lit(frame + 1), F.length(seq))), F.lit("(?s).{3}"), F.lit(0))
 
-    def one(i: Column) -> Column:
-        codon = F.substr(digits, (i * 3 + frame + 1).cast("int"), F.lit(3))
-        at = F.conv(codon, 4, 10).cast("int")
-        return F.when(codon.rlike("^[0-3]{3}$"), F.substr(F.lit(CODE), at + 1, F.lit(1))).otherwise(F.lit("X"))
+    def one(codon: Column) -> Column:
+        at = F.conv(F.translate(codon, "TCAGU", "01230"), 4, 10).cast("int")
+        return F.when(codon.rlike("^[TCAGU]{3}$"), F.substr(F.lit(CODE), at + 1, F.lit(1))).otherwise(F.lit("X"))
 
-    return F.when(codons > 0, F.array_join(F.transform(F.sequence(F.lit(0), codons - 1), one), "")).otherwise(F.when(seq.isNotNull(), F.lit("")))
+    return F.array_join(F.transform(codons, one), "")
 
 
 def open_frames(peptide: Column, from_met: bool = True) -> Column:
     """Array of start (from 0), length, peptide of the pieces between stops; from_met: from each piece's first M, pieces
     without one left out."""
-    pieces = F.split(peptide, r"\*", -1)
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int,peptide:string>>").alias("out"))
 
-    def piece(p: Column, i: Column) -> Column:
-        before = F.aggregate(F.slice(pieces, 1, i), F.lit(0), lambda a, q: a + F.length(q) + 1)
-        met = F.instr(p, "M") - 1
-        start = F.greatest(met, F.lit(0)) if from_met else F.lit(0)
-        kept = F.substr(p, start + 1, F.length(p))
-        return F.struct((before + start).alias("start"), F.length(kept).alias("length"), kept.alias("peptide"), met.alias("met"))
+    def add(done: Column, piece: Column) -> Column:
+        met = F.instr(piece, "M")
+        skip = F.greatest(met - 1, F.lit(0)) if from_met else F.lit(0)
+        kept = F.substr(piece, skip + 1, F.length(piece))
+        one = F.struct((done["at"] + skip).alias("start"), F.length(kept).alias("length"), kept.alias("peptide"))
+        good = met > 0 if from_met else F.length(piece) > 0
+        return F.struct((done["at"] + F.length(piece) + 1).alias("at"), F.when(good, F.concat(done["out"], F.array(one))).otherwise(done["out"]).alias("out"))
 
-    found = F.transform(pieces, piece)
-    return F.filter(found, lambda o: (o["met"] >= 0) if from_met else (o["length"] > 0))
+    return F.aggregate(F.split(peptide, r"\*", -1), none, add, lambda done: done["out"])
 
 
 def base_count(seq: Column, base: str) -> Column:
