@@ -167,6 +167,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
             want = np.stack([allowed.value[int(c)] for c in frame["cell"]]) & (bounds(q, np.sqrt((q**2).sum(axis=1))) >= least[:, None])
             want[np.arange(len(q))[:, None], done] = False
             row, at = np.nonzero(want)
+            if not len(row):
+                continue
             yield pd.DataFrame({"query_id": frame["vec_id"].to_numpy()[row], "v": [frame["v"].iloc[i] for i in row], "cell": cells[at]})
 
     rest = known.select("vec_id", "v", "cell", "kth").mapInPandas(other_cells, "query_id long, v array<long>, cell int")

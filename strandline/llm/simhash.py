@@ -201,7 +201,7 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         small = down.groupBy("a").agg(F.min("b").alias("m"))
         moved = down.join(small, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         after = checkpointed(moved.union(small.select("a", F.col("m").alias("b"))).distinct())
-        same = after.count() == now.count() and after.exceptAll(now).isEmpty()
+        same = after.count() == now.count() and after.join(now, ["a", "b"], "left_anti").isEmpty()
         now = after
         if same:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
