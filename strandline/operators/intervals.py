@@ -36,7 +36,8 @@ def with_island(rows: DataFrame, keys: Sequence[str], gap: int = 0, scan_bin: in
     flagged = _keyed_join(rows, before, [*keys, "_bin"]).withColumn("_opens", opens)
     opened = flagged.groupBy(*keys, "_bin").agg(F.sum("_opens").alias("_n"))
     offsets = opened.select(*keys, "_bin", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_offset"))
-    own = F.sum("_opens").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # by range: rows of equal start and end get one number, whichever of them was sorted first and opened the island
+    own = F.sum("_opens").over(within.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     numbered = _keyed_join(flagged, offsets, [*keys, "_bin"]).withColumn("island", (F.col("_offset") + own).cast("long"))
     return numbered.drop("_bin", "_before", "_opens", "_offset")
 

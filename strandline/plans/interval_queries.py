@@ -18,7 +18,7 @@ marked AS (
   FROM features
 ), islands AS (
   SELECT region, island, min("start") AS "start", max("end") AS "end", count(*) AS n FROM (
-    SELECT *, sum(opens) OVER (PARTITION BY region ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS island FROM marked)
+    SELECT *, sum(opens) OVER (PARTITION BY region ORDER BY "start", "end" RANGE UNBOUNDED PRECEDING) AS island FROM marked)
   GROUP BY region, island
 )"""
 
@@ -229,12 +229,12 @@ SELECT region, "start", "end", total, round(total / ("end" - "start" + 1), 4) AS
   SELECT *, CASE WHEN "start" > max("end") OVER (PARTITION BY region ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 3600 THEN 1 ELSE 0 END AS opens FROM reads
 )
 SELECT region, (island + 1)::BIGINT AS island, min("start") AS "start", max("end") AS "end", count(*) AS reads, count(DISTINCT biotype) AS biotypes FROM (
-  SELECT *, sum(opens) OVER (PARTITION BY region ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS island FROM marked) GROUP BY 1, 2""",
+  SELECT *, sum(opens) OVER (PARTITION BY region ORDER BY "start", "end" RANGE UNBOUNDED PRECEDING) AS island FROM marked) GROUP BY 1, 2""",
     "span_clusters_by_strand": f"""WITH {t.EXONS}, {t.TRANSCRIPTS}, marked AS (
   SELECT *, CASE WHEN "start" > max("end") OVER (PARTITION BY region, strand ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS opens FROM transcripts
 )
 SELECT region, strand, (island + 1)::BIGINT AS island, count(*) AS genes, min(gene_id) AS first_gene, min("start") AS "start", max("end") AS "end" FROM (
-  SELECT *, sum(opens) OVER (PARTITION BY region, strand ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS island FROM marked) GROUP BY 1, 2, 3""",
+  SELECT *, sum(opens) OVER (PARTITION BY region, strand ORDER BY "start", "end" RANGE UNBOUNDED PRECEDING) AS island FROM marked) GROUP BY 1, 2, 3""",
     "exon_overlap_clusters": _COMPONENTS + "SELECT gene_id, cluster FROM roots",
     "cluster_labels": _COMPONENTS + """, joined AS (SELECT DISTINCT gene_id, cluster, source FROM roots JOIN exons USING (gene_id)),
 facts AS (SELECT cluster, count(*) AS n_genes, count(DISTINCT source) AS n_sets FROM joined GROUP BY 1)

@@ -196,7 +196,7 @@ WHERE score > coalesce(20 * p_retailprice, 25000) GROUP BY 1""",
   SELECT *, CASE WHEN "start" > max("end") OVER (PARTITION BY region ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS opens FROM features
 ), islands AS (
   SELECT region, min("start") AS "start", max("end") AS "end" FROM (
-    SELECT *, sum(opens) OVER (PARTITION BY region ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS island FROM marked) GROUP BY region, island
+    SELECT *, sum(opens) OVER (PARTITION BY region ORDER BY "start", "end" RANGE UNBOUNDED PRECEDING) AS island FROM marked) GROUP BY region, island
 ), covered AS (
   SELECT gene_id, sum(least(e."end", i."end") - greatest(e."start", i."start") + 1) AS bases
   FROM exons e JOIN islands i ON e.region = i.region AND e."start" <= i."end" AND e."end" >= i."start" GROUP BY 1
