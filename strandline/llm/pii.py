@@ -156,9 +156,9 @@ def taken_patterns(docs: DataFrame, seen: DataFrame, rounds: int = ROUNDS) -> Da
     texts = docs.select(words.alias("w"))
     places = texts.select(F.explode(F.zip_with(F.col("w"), F.concat(F.array(F.lit("")), F.col("w")), lambda a, b: F.struct(a.alias("one"), b.alias("before")))).alias("p"))
     last = strong.select(F.element_at(F.split("pattern", " "), -1).alias("one")).distinct()
-    near = places.select("p.one", "p.before").join(last, "one", "left_semi").groupBy("one", "before").agg(F.count(F.lit(1)).alias("n"))
-    both = near.select(F.explode(F.array(F.col("one"), F.concat_ws(" ", "before", "one"))).alias("pattern"), "n")
-    total = both.groupBy("pattern").agg(F.sum("n").alias("places"))
+    near = places.select("p.one", "p.before").join(last, "one", "left_semi")
+    both = near.select(F.explode(F.array(F.col("one"), F.concat_ws(" ", "before", "one"))).alias("pattern"))
+    total = both.join(strong.select("pattern"), "pattern", "left_semi").groupBy("pattern").agg(F.count(F.lit(1)).alias("places"))
     return strong.join(followed, "pattern").join(total, "pattern").filter(F.col("followed") >= LEAST_SPECIFIC * F.col("places")).select("pattern", "kind", "confidence")
 
 
