@@ -75,6 +75,9 @@ def readthroughs(transcripts: DataFrame, by: Sequence[str], row_id: str) -> Data
     islands = with_island(transcripts.select(row_id, *by, "start", "end"), by, scan_bin=SCAN_BIN)
     schema = transcripts.select(row_id).schema
     names = [*by, "island"]
+    # fewer than three transcripts make no two blocks and a bridge
+    members = islands.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 2").drop("_n")
+    islands = islands.join(members, names, "left_semi")
 
     def spanning(group: pd.DataFrame) -> list:
         found, blocks = [], []
