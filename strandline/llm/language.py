@@ -35,7 +35,9 @@ EPOCHS, BATCH, RATE = 3, 128, 0.5
 AFFIXES = (1, 2, 3, 4)
 #: A word is in the lexicon if the sample has it so often, and this share of it in one language.
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.8
-SLICE = 6_000_000
+#: Text of one numpy step, and distinct words whose features are laid out at once.
+SLICE = 3_000_000
+DISTINCT = 40_000
 UNKNOWN = "und"
 
 
@@ -217,8 +219,8 @@ def predicted(docs: DataFrame, field: Field | None, text: str = "text") -> DataF
                 best, score = [UNKNOWN] * len(part), np.zeros(len(part))
                 if crf is not None and len(words.hashes):
                     _, first_at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-                    rows, entries = _features(words, first_at, crf.lexicon, crf.lexicon_label)
-                    emit = _scores(rows, entries, len(first_at), crf.weights)[which]
+                    parts = [first_at[a : a + DISTINCT] for a in range(0, len(first_at), DISTINCT)]
+                    emit = np.concatenate([_scores(*_features(words, p, crf.lexicon, crf.lexicon_label), len(p), crf.weights) for p in parts])[which]
                     likely, _ = _marginals(emit, words.first, crf.moves, crf.start)
                     total = np.zeros((len(likely) + 1, len(crf.labels)))
                     np.cumsum(likely, axis=0, out=total[1:])
