@@ -1,6 +1,7 @@
 """A training corpus from raw documents: five stages, each one operator over all that the stage before kept.
 
-Language: documents without letters, or without a language that holds LEAST_SCORE of their words' probability, go.
+Language: documents without letters, or in which no language holds LEAST_SCORE of the words' probability, go. A text that
+switches between two languages stays.
 Near-duplicates: one document of each SimHash component stays (three-word shingles, two bits, as the operator's query).
 Decontamination: documents with words of a benchmark window go. Personal data: spans are replaced by their kind.
 SentencePiece: ids of the public model, with a check that they decode to the text.
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from strandline.llm import decontamination, language, pii, sentencepiece_viterbi, simhash
 from strandline.llm.base import shared_dir
 
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
