@@ -20,7 +20,7 @@ one case (besides unknown ids) in which decoding does not give the text back; re
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -32,11 +32,28 @@ from .base import column, slices
 
 MARK = "▁"
 #: Marked words of one worker whose ids are kept.
-KEPT_WORDS = 200_000
-#: A line feed is in no piece of the public models, so it ends words too; models that have it are split at marks alone.
-_WORD = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-_WORD_WITH_LF = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-SLICE = 1_500_000
+KEPT_WORDS = 1_000_000
+SLICE = 4_000_000
+
+
+def splitter(pieces: Collection[str]) -> re.Pattern[str]:
+    """Words of marked text: space marks and letters, or space marks and other characters, or marks alone. No piece of
+    the vocabulary may lie across two words, so characters that pieces join to letters count as letters."""
+    odd = {c for p in pieces for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()}  # such as a raised two
+    joined: set[str] = set()
+    while True:
+        apart, more_letters = re.escape("".join(sorted(odd))), re.escape("".join(sorted(joined)))
+        letter = rf"[^\W\d_{apart}]" if not joined else rf"(?:[^\W\d_{apart}]|[{more_letters}])"
+        other = rf"(?:[\d_{apart}]|(?!{MARK})\W)" if not joined else rf"(?:(?![{MARK}{more_letters}])[\W\d_{apart}])"
+        word = re.compile(rf"{MARK}*{letter}+|{MARK}*{other}+|{MARK}+")
+        parts = [found for p in pieces if len(found := word.findall(p)) > 1]
+        if not parts:
+            return word
+        more = {c for found in parts for x, y in zip(found, found[1:], strict=False) for c in (x[-1], y[0]) if c != MARK and not c.isalpha()} - joined
+        if not more:
+            return re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
+        joined |= more
+        odd -= more
 
 
 @dataclass
@@ -49,14 +66,31 @@ class Vocabulary:
     bytes_at: list[int]
     merges: bool
     prefix: bool
-    stable: dict[tuple[str, str], bool] = field(default_factory=dict)
-    alone: dict[str, bool] = field(default_factory=dict)
+    stable: dict[int, dict[int, bool]] = field(default_factory=dict)
     kept: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.longest = max(map(len, self.pieces), default=1)
         self.worst = min((s for _, s in self.pieces.values()), default=0.0) - 10.0
-        self.word = _WORD_WITH_LF if any("\n" in p for p in self.pieces) else _WORD
+        self.word = splitter(self.pieces)
+        # every prefix of a piece: the piece's number, or -1 if it is a prefix only; numbers over the pieces' are
+        # single characters that are no piece
+        self.names: list[str] = list(self.pieces)
+        self.table: dict[str, int] = {p[:k]: -1 for p in self.names for k in range(1, len(p))}
+        self.table |= {p: i for i, p in enumerate(self.names)}
+        self.known_ids = [self.pieces[p][0] for p in self.names]
+        self.pairs = 0
+        self.sums = [self.pieces[p][1] for p in self.names]
+        self.strange: dict[str, int] = {}
+
+    def number(self, character: str) -> int:
+        """The number of a single character, which always ends a prefix."""
+        known = self.table.get(character, -1)
+        if known < 0:
+            known = self.strange.get(character, -1)
+            if known < 0:
+                known = self.strange[character] = len(self.names)
+                self.names.append(character)
+        return known
 
     def merged(self, text: str) -> list[str]:
         """Characters merged by rank: the best scored joinable pair first, the leftmost of equals."""
@@ -72,20 +106,26 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def follows(self, before: str, piece: str) -> bool:
-        pair = (before, piece)
-        known = self.stable.get(pair)
-        if known is None:
-            known = self.stable[pair] = self.merged(before + piece) == [before, piece]
-            if len(self.stable) > 2 * KEPT_WORDS:
-                self.stable.clear()
+    def follows(self, before: int, piece: int) -> bool:
+        """Whether merging leaves the two pieces apart (before -1: the piece stands alone)."""
+        left, right = self.names[before] if before >= 0 else "", self.names[piece]
+        known = self.stable[before][piece] = self.merged(left + right) == ([left, right] if left else [right])
+        self.pairs += 1
         return known
 
-    def stands(self, piece: str) -> bool:
-        known = self.alone.get(piece)
-        if known is None:
-            known = self.alone[piece] = self.merged(piece) == [piece]
-        return known
+    def ids(self, numbers: list[int]) -> tuple[int, ...]:
+        known = self.known_ids
+        if max(numbers) < len(known):
+            return tuple([known[n] for n in numbers])
+        out: list[int] = []
+        for n in numbers:
+            if n < len(known):
+                out.append(known[n])
+            elif self.bytes_at:
+                out.extend(self.bytes_at[b] for b in self.names[n].encode("utf-8", "replace"))
+            elif not out or out[-1] != self.unknown:
+                out.append(self.unknown)
+        return tuple(out)
 
 
 def load(path: str) -> Vocabulary:
@@ -114,55 +154,103 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(pieces, texts, unknown_id, bytes_at if min(bytes_at) >= 0 else [], kind == 2, spec.add_dummy_prefix)
 
 
-def _ids(vocabulary: Vocabulary, pieces: list[str]) -> tuple[int, ...]:
-    out: list[int] = []
-    for piece in pieces:
-        known = vocabulary.pieces.get(piece)
-        if known is not None:
-            out.append(known[0])
-        elif vocabulary.bytes_at:
-            out.extend(vocabulary.bytes_at[b] for b in piece.encode("utf-8", "replace"))
-        elif not out or out[-1] != vocabulary.unknown:
-            out.append(vocabulary.unknown)
-    return tuple(out)
+def _shared(word: str, before: str) -> int:
+    """Characters at the start that two words have in common."""
+    same = 0
+    for x, y in zip(word, before, strict=False):
+        if x != y:
+            break
+        same += 1
+    return same
 
 
-def encoded_words(vocabulary: Vocabulary, words: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
-    """Ids of sorted distinct words, depth first over their trie."""
-    pieces, longest, merges = vocabulary.pieces, vocabulary.longest, vocabulary.merges
-    last: list[str] = [""]  # of each prefix of the word before: its last piece
-    score: list[float] = [0.0]
+def _merged_words(vocabulary: Vocabulary, words: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+    """Depth first over the trie of sorted words. Of each prefix of the word before the pass keeps its last piece, where
+    that starts, what may follow it, and where pieces that may still grow have begun."""
+    get, stable = vocabulary.table.get, vocabulary.stable
+    last, begin, after, growing = [-1], [0], [stable.setdefault(-1, {})], [()]
+    before = ""
+    for word in words:
+        same = _shared(word, before)
+        del last[same + 1 :], begin[same + 1 :], after[same + 1 :], growing[same + 1 :]
+        for i in range(same, len(word)):
+            end, chosen, start, alive = i + 1, -1, i, []
+            for j in growing[i]:
+                n = get(word[j:end])
+                if n is None:
+                    continue
+                alive.append(j)
+                if n >= 0 and chosen < 0:
+                    fits = after[j].get(n)
+                    if fits is None:
+                        fits = vocabulary.follows(last[j], n)
+                    if fits:
+                        chosen, start = n, j
+            own = get(word[i])
+            if own is not None:
+                alive.append(i)
+            if chosen < 0:  # the one piece left is the character
+                chosen = own if own is not None and own >= 0 else vocabulary.number(word[i])
+            last.append(chosen)
+            begin.append(start)
+            growing.append(alive)
+            row = stable.get(chosen)
+            if row is None:
+                row = stable[chosen] = {}
+            after.append(row)
+        back, i = [], len(word)
+        while i:
+            back.append(last[i])
+            i = begin[i]
+        back.reverse()
+        before = word
+        yield word, vocabulary.ids(back)
+    if vocabulary.pairs > 4 * KEPT_WORDS:
+        stable.clear()
+        vocabulary.pairs = 0
+
+
+def _summed_words(vocabulary: Vocabulary, words: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+    """The same pass with scores: of each prefix, the largest sum of its pieces' scores."""
+    get, sums = vocabulary.table.get, vocabulary.sums
+    last, begin, score, growing = [-1], [0], [0.0], [()]
     before = ""
     for word in words:
-        same = 0
-        most = min(len(word), len(before))
-        while same < most and word[same] == before[same]:
-            same += 1
-        del last[same + 1 :], score[same + 1 :]
-        for i in range(same + 1, len(word) + 1):
-            if merges:
-                for j in range(max(0, i - longest), i):
-                    piece = word[j:i]
-                    if (piece in pieces or j == i - 1) and (vocabulary.follows(last[j], piece) if j else vocabulary.stands(piece)):
-                        last.append(piece)
-                        break
-                else:
-                    raise AssertionError(f"no piece ends {word[:i]!r}")
-                score.append(0.0)
-            else:
-                best, chosen = score[i - 1] + vocabulary.worst, word[i - 1 : i]
-                for j in range(max(0, i - longest), i):
-                    known = pieces.get(word[j:i])
-                    if known is not None and (s := score[j] + known[1]) > best:
-                        best, chosen = s, word[j:i]
-                last.append(chosen)
-                score.append(best)
+        same = _shared(word, before)
+        del last[same + 1 :], begin[same + 1 :], score[same + 1 :], growing[same + 1 :]
+        for i in range(same, len(word)):
+            own = get(word[i])
+            single = own is not None and own >= 0
+            chosen, start, alive = own if single else vocabulary.number(word[i]), i, []
+            best = score[i] + (sums[own] if single else vocabulary.worst)
+            for j in growing[i]:
+                n = get(word[j : i + 1])
+                if n is not None:
+                    alive.append(j)
+                    if n >= 0 and score[j] + sums[n] > best:
+                        chosen, start, best = n, j, score[j] + sums[n]
+            if own is not None:
+                alive.append(i)
+            last.append(chosen)
+            begin.append(start)
+            score.append(best)
+            growing.append(alive)
         back, i = [], len(word)
         while i:
             back.append(last[i])
-            i -= len(last[i])
+            i = begin[i]
+        back.reverse()
         before = word
-        yield word, _ids(vocabulary, back[::-1])
+        yield word, vocabulary.ids(back)
+
+
+def encoded_words(vocabulary: Vocabulary, words: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+    """Ids of sorted distinct words."""
+    yield from (_merged_words if vocabulary.merges else _summed_words)(vocabulary, words)
+    if len(vocabulary.names) > len(vocabulary.pieces) + KEPT_WORDS:
+        del vocabulary.names[len(vocabulary.pieces) :]
+        vocabulary.strange.clear()
+        vocabulary.stable.clear()
 
 
 def _encoded(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
