@@ -33,6 +33,8 @@ WINDOW = 13
 #: Text that one bucket stands for.
 BUCKET_BYTES = 24_000_000
 LEAST_BUCKETS = 24
+#: Compressed text that one numpy step takes.
+PACKED_BYTES = 800_000
 LAST_ID = np.iinfo(np.int64).max
 
 PACKED = "bucket int, ids binary, tags binary, counts binary, low binary, high binary, prints binary"
@@ -105,8 +107,8 @@ def around_hits(docs: DataFrame, buckets: int, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                words = words_of(column(part, "text"), NONSPACE)
+            for part in slices(batch, "packed", PACKED_BYTES):
+                words = words_of(unsqueezed(part), NONSPACE)
                 change = np.zeros(len(words.hashes) + 1, dtype=np.int32)
                 n = words.counts()
                 for t, places in enumerate(column(part, "places").to_pylist()):
@@ -139,8 +141,10 @@ def _unpacked(rows: pd.DataFrame, kind: type) -> tuple[np.ndarray, ...]:
 
 def _by_document(ids: np.ndarray, tags: np.ndarray, doc: np.ndarray, at: np.ndarray, chosen: np.ndarray) -> pd.DataFrame:
     """Chosen entries (in order of document) as one row for each document."""
+    if not len(chosen):
+        return pd.DataFrame({"doc_id": ids[:0], "tag": tags[:0], "place": np.zeros(0, dtype=object)})
     d = doc[chosen]
-    heads = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1]))) if len(d) else np.zeros(0, dtype=np.int64)
+    heads = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1])))
     ends = np.concatenate((heads[1:], [len(d)]))
     where = at[chosen]
     places = [where[a:b].tobytes() for a, b in zip(heads.tolist(), ends.tolist(), strict=True)]
@@ -186,11 +190,29 @@ def later_windows(packed: DataFrame) -> DataFrame:
     return packed.groupBy("bucket").applyInPandas(run, FOUND)
 
 
+def squeezed(docs: DataFrame) -> DataFrame:
+    """docs with each text compressed: that is what moves when found places are joined to their documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t or "").encode() for t in column(batch, "text").to_pylist()]
+            packed = [pa.compress(t, codec="zstd", asbytes=True) if t else b"" for t in texts]
+            columns = [column(batch, "doc_id"), column(batch, "tag"), pa.array(list(map(len, texts)), pa.int64()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "size", "packed"])
+
+    return docs.mapInArrow(run, "doc_id long, tag long, size long, packed binary")
+
+
+def unsqueezed(part: pa.RecordBatch) -> pa.Array:
+    pairs = zip(column(part, "packed").to_pylist(), column(part, "size").to_pylist(), strict=True)
+    return pa.array([pa.decompress(p, n, codec="zstd", asbytes=True) if n else b"" for p, n in pairs], pa.large_binary()).cast(pa.large_string())
+
+
 def _with_places(docs: DataFrame, found: DataFrame) -> DataFrame:
     places = found.groupBy("doc_id", "tag").agg(F.collect_list("place").alias("places"))
     places = places.select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "places").hint("shuffle_hash")
     on = (F.coalesce(docs["doc_id"], F.lit(int(LAST_ID))) == F.col("_id")) & (docs["tag"] == F.col("_tag"))
-    return docs.join(places, on, "left").select("doc_id", "tag", "text", "places")
+    return docs.join(places, on, "left").select("doc_id", "tag", "size", "packed", "places")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -198,12 +220,13 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
     buckets = buckets_for(docs, "text")
     hits = shared_blocks(probes(docs, buckets, window), window)
-    removed = later_windows(around_hits(_with_places(docs, hits), buckets, window))
+    small = squeezed(docs)
+    removed = later_windows(around_hits(_with_places(small, hits), buckets, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
-                words = words_of(column(part, "text"), NONSPACE)
+            for part in slices(batch, "packed", PACKED_BYTES):
+                words = words_of(unsqueezed(part), NONSPACE)
                 data = words.data.tobytes()
                 n = words.counts()
                 lost, kept = [], []
@@ -222,7 +245,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 columns = [column(part, "doc_id"), pa.array(n.astype(np.int64)), pa.array(lost, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept"])
 
-    return _with_places(docs, removed).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    return _with_places(small, removed).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op10_fixed_blocks(spark, sf_dir: str) -> DataFrame:
