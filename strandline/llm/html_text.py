@@ -24,6 +24,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .base import written
+
+#: Ranking rows (hosts) that are broadcast to the pages; beyond that both sides are shuffled by host, where Spark splits
+#: a skewed host. A row holds PATHS paths at most.
+BROADCAST_HOSTS = 50_000
 #: Ranked paths of one host that pages are tried against before their own choice.
 PATHS = 16
 #: The part of a page's score that a container must hold to get its vote.
@@ -184,7 +189,8 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", sour
     """page_id, url, text of every row."""
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     pages = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(source).alias("html"))
-    ranked = host_paths(pages.select("host", "html"))
+    ranked = written(host_paths(pages.select("host", "html")))
+    ranked = F.broadcast(ranked) if ranked.count() <= BROADCAST_HOSTS else ranked
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
