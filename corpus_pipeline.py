@@ -2,7 +2,7 @@
 
 Language: documents without letters, or in which no language holds LEAST_SCORE of the words' probability, go. A text that
 switches between two languages stays.
-Near-duplicates: one document of each SimHash component stays (three-word shingles, two bits, as the operator's query).
+Near-duplicates: of documents linked by a Jaccard similarity of their five-word shingles of 0.8 or more, one stays.
 Decontamination: documents with words of a benchmark window go. Personal data: spans are replaced by their kind.
 SentencePiece: ids of the public model, with a check that they decode to the text.
 """
@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import decontamination, language, pii, sentencepiece_viterbi, simhash
+from strandline.llm import decontamination, language, near_copies, pii, sentencepiece_viterbi
 from strandline.llm.base import shared_dir
 
 LEAST_SCORE = 0.3
@@ -27,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs)
+    return near_copies.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,261 @@
+"""Near copies by the exact Jaccard similarity of word shingles, for the corpus pipeline.
+
+Every pair of texts whose sets of five-word shingles have a Jaccard similarity of at least 4/5 is linked; components of
+the links are groups of copies. Candidates come from prefixes: under any order of all shingles, two such sets of n
+shingles share one among their first n - ceil(4 n / 5) + 1. Shingles that a sample of the texts has often come last in
+the order; the sample decides how fast the join is and never what it finds.
+
+Texts that share a prefix shingle are compared in one task by three bounds that no similar pair exceeds: the sizes, the
+shingles left after the first shared one, and the differing bits of bitmaps in which every shingle of a set flips one
+bit. Two rounds hand on only as many pairs as connect what the bounds let pass, so a group of copies costs its size and
+not its square; these are verified by the whole sets. The third round takes every pair still in different components,
+so none is left undecided.
+
+Defined cases: a text of fewer than five words is one shingle; texts without words are copies of each other; a null text
+is an empty one; repeated rows get equal results; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .base import LOWER, NONSPACE, SLICE_BYTES, checkpointed, column, slices, words_of, written
+from .simhash import components, first_of_each
+
+SHINGLE = 5
+#: Texts (about) whose shingles are counted for the order, and the most common shingles that travel with the tasks.
+SAMPLE = 10_000
+COMMON = 200_000
+#: Members of one shingle that one task compares; larger groups are dealt out as pairs of tiles of this size.
+TILE = 1024
+#: Rounds that hand on a spanning forest of each group, before the round that hands on all pairs.
+FOREST_ROUNDS = 2
+LEAST_BITS, MOST_BITS = 64, 8192
+
+
+def _sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    words = words_of(texts, NONSPACE, LOWER)
+    for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
+        k = min(shingle, b - a)
+        yield np.unique(words.window_hashes(np.arange(a, b - k + 1), k)) if k else np.zeros(0, dtype=np.uint64)
+
+
+def _node(own: np.ndarray) -> int:
+    """The name of a set, as a signed number."""
+    name = xxhash.xxh64_intdigest(own.tobytes())
+    return name - (1 << 64) if name >> 63 else name
+
+
+def prefix_size(n: int) -> int:
+    return n - (4 * n + 4) // 5 + 1 if n else 0
+
+
+def bitmap(own: np.ndarray) -> bytes:
+    """A bit is set if an odd number of the set's shingles fall on it; halves of a longer bitmap add up to a shorter one."""
+    width = min(MOST_BITS, max(LEAST_BITS, 1 << max(len(own) - 1, 0).bit_length()))
+    return np.packbits(np.bincount((own % np.uint64(width)).astype(np.int64), minlength=width) & 1, bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    while len(bits) > words:
+        half = len(bits) // 2
+        bits = bits[:half] ^ bits[half:]
+    return bits
+
+
+def _differing(x: bytes, y: bytes) -> int:
+    """Bits in which two bitmaps differ, at the shorter one's width."""
+    if len(x) == len(y):
+        return (int.from_bytes(x) ^ int.from_bytes(y)).bit_count()
+    x, y = (np.frombuffer(b, dtype="<u8") for b in sorted((x, y), key=len))
+    return int(np.bitwise_count(x ^ _folded(y, len(x))).sum())
+
+
+def common_shingles(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several texts of a sample have, ascending, and their places in the order (from 1, rarest first)."""
+    n = docs.count()
+    every = max(1, n // SAMPLE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                own = list(_sets(column(part, "text"), shingle))
+                if own:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64))], ["token"])
+
+    sample = docs.select(F.col(text).alias("text")).filter(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(every)) == 0)
+    counts = sample.mapInArrow(run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
+    # at most COMMON rows
+    rows = counts.orderBy(F.desc("n"), "token").limit(COMMON).toPandas()
+    tokens = rows["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    by_token = np.argsort(tokens)
+    return tokens[by_token], (len(tokens) - by_token).astype(np.int64)
+
+
+def ordered(own: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The set in the global order: shingles that are not known as common first."""
+    if not len(common):
+        return own
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    return own[np.argsort(np.where(common[at] == own, ranks[at], 0), kind="stable")]
+
+
+def described(docs: DataFrame, doc_id: str, text: str, shingle: int, common: np.ndarray, ranks: np.ndarray) -> DataFrame:
+    """doc_id, tag (a hash of the text), node (the name of its set), n (shingles), bits and prefix of every row."""
+    table = docs.sparkSession.sparkContext.broadcast((common, ranks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                own = list(_sets(column(part, "text"), shingle))
+                prefixes = [ordered(s, *table.value)[: prefix_size(len(s))].view(np.int64) for s in own]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        column(part, "doc_id"),
+                        column(part, "tag"),
+                        pa.array([_node(s) for s in own], pa.int64()),
+                        pa.array([len(s) for s in own], pa.int32()),
+                        pa.array([bitmap(s) for s in own], pa.binary()),
+                        pa.array(prefixes, pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "tag", "node", "n", "bits", "prefix"],
+                )
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, tag long, node long, n int, bits binary, prefix array<long>")
+
+
+def group_pairs(node: np.ndarray, n: np.ndarray, place: np.ndarray, bits: list[bytes], label: np.ndarray, every: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of a group's members: the pairs of different labels within the bounds, or (not every) so many that connect the same."""
+    order = np.lexsort((node, n))
+    node, n, place = node[order], n[order].astype(np.int64), place[order].astype(np.int64)
+    maps = [np.frombuffer(bits[i], dtype="<u8") for i in order.tolist()]
+    sizes = np.array([len(m) for m in maps])
+    root = np.unique(label[order], return_inverse=True)[1]
+    left = n - place
+    folded: dict[int, np.ndarray] = {}
+    last = np.searchsorted(4 * n, 5 * n, side="right")
+    out_a, out_b = [], []
+    for i in range(len(node) - 1):
+        js = np.arange(i + 1, last[i])
+        js = js[root[js] != root[i]]
+        js = js[9 * np.minimum(left[js], left[i]) >= 4 * (n[js] + n[i])]
+        if not len(js):
+            continue
+        width = int(sizes[i])
+        if width not in folded:
+            rows = np.zeros((len(maps), width), dtype=np.uint64)
+            for j in np.flatnonzero(sizes >= width).tolist():
+                rows[j] = _folded(maps[j], width)
+            folded[width] = rows
+        differ = np.bitwise_count(folded[width][js] ^ folded[width][i]).sum(axis=1, dtype=np.int64)
+        js = js[9 * differ <= n[js] + n[i]]
+        if not len(js):
+            continue
+        if not every:
+            roots, first = np.unique(root[js], return_index=True)
+            js = js[first]
+            root[np.isin(root, roots)] = root[i]
+        out_a.append(np.full(len(js), node[i]))
+        out_b.append(node[js])
+    none = np.zeros(0, dtype=np.int64)
+    return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
+
+
+def _pairs_of(frame: pd.DataFrame, cuts: np.ndarray, every: bool) -> pd.DataFrame:
+    """a < b: the pairs of the groups that lie between the cuts."""
+    node, n, place, label = (frame[c].to_numpy() for c in ("node", "n", "place", "label"))
+    bits = frame["bits"].to_numpy()
+    sizes = np.diff(cuts)
+    i = cuts[:-1][sizes == 2]
+    i = i[label[i] != label[i + 1]]
+    total, least = n[i].astype(np.int64) + n[i + 1], np.minimum(n[i] - place[i], n[i + 1] - place[i + 1])
+    fit = (5 * np.minimum(n[i], n[i + 1]).astype(np.int64) >= 4 * np.maximum(n[i], n[i + 1]).astype(np.int64)) & (9 * least.astype(np.int64) >= 4 * total)
+    i, total = i[fit], total[fit]
+    near = [9 * _differing(bits[j], bits[j + 1]) <= t for j, t in zip(i.tolist(), total.tolist(), strict=True)]
+    i = i[np.array(near, dtype=bool)]
+    out_a, out_b = [node[i]], [node[i + 1]]
+    for g in np.flatnonzero(sizes > 2).tolist():
+        a, b = int(cuts[g]), int(cuts[g + 1])
+        if (label[a:b] != label[a]).any():
+            x, y = group_pairs(node[a:b], n[a:b], place[a:b], bits[a:b].tolist(), label[a:b], every)
+            out_a.append(x)
+            out_b.append(y)
+    x, y = np.concatenate(out_a), np.concatenate(out_b)
+    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
+
+
+def candidates(shared: DataFrame, every: bool) -> DataFrame:
+    """a < b: pairs of nodes to verify. shared: token, node, place, n, bits, label, members (nodes of the token)."""
+    tiles = F.ceil(F.col("members") / TILE).cast("int")
+    dealt = shared.withColumn("own", F.pmod(F.xxhash64("node"), tiles).cast("int"))
+    # a row for each pair of tiles that holds the member's own tile
+    pairs = F.explode(F.transform(F.sequence(F.lit(0), tiles - 1), lambda t: F.least(t, F.col("own")) * 65536 + F.greatest(t, F.col("own"))))
+    dealt = dealt.select("token", "node", "place", "n", "bits", "label", pairs.alias("tiles"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            frame = frame if held is None else pd.concat((held, frame), ignore_index=True)
+            token, tile = frame["token"].to_numpy(), frame["tiles"].to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero((token[1:] != token[:-1]) | (tile[1:] != tile[:-1])) + 1))
+            held = frame.iloc[cuts[-1] :]
+            if len(cuts) > 1:
+                yield _pairs_of(frame, cuts, every)
+        if held is not None:
+            yield _pairs_of(held, np.array([0, len(held)]), every)
+
+    return dealt.repartition("token", "tiles").sortWithinPartitions("token", "tiles").mapInPandas(run, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, first: DataFrame, shingle: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar. first: node and doc_id, tag of a row that has its set."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(first, "node").select("doc_id", "tag")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                own = list(_sets(column(part, "text"), shingle))
+                yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in own], pa.int64()), pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))], ["node", "own"])
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.xxhash64(text).alias("_tag"), F.col(text).alias("text"))
+    rows = rows.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_tag") == F.col("tag")), "left_semi").dropDuplicates(["_id", "_tag"])
+    sets = written(rows.select("text").mapInArrow(run, "node long, own array<long>"))
+    left = sets.select(F.col("node").alias("a"), F.col("own").alias("own_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("own").alias("own_b"))
+    both = F.size(F.array_intersect("own_a", "own_b"))
+    return pairs.join(left, "a").join(right, "b").filter(9 * both >= 4 * (F.size("own_a") + F.size("own_b"))).select("a", "b")
+
+
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, tag (a hash of the text) and group (one number for all texts linked by similar sets) of every row."""
+    spark = docs.sparkSession
+    rows = written(described(docs, doc_id, text, shingle, *common_shingles(docs, text, shingle)))
+    nodes = written(rows.dropDuplicates(["node"]))
+    first = nodes.select("node", "doc_id", "tag")
+    tokens = nodes.select("node", F.posexplode("prefix").alias("place", "token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = written(tokens.join(counts, "token").join(nodes.select("node", "n", "bits"), "node"))
+    edges = spark.createDataFrame([], "a long, b long")
+    labels = spark.createDataFrame([], "node long, root long")
+    for step in range(FOREST_ROUNDS + 1):
+        now = (shared.join(labels, "node", "left") if step else shared.withColumn("root", F.col("node"))).withColumn("label", F.coalesce("root", "node"))
+        pairs = written(candidates(now, every=step == FOREST_ROUNDS))
+        if pairs.isEmpty():
+            break
+        edges = checkpointed(edges.union(verified(pairs, docs, doc_id, text, first, shingle)).distinct())
+        labels = components(edges)
+    return rows.select("doc_id", "tag", "node").join(labels, "node", "left").select("doc_id", "tag", F.coalesce("root", "node").alias("group"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """The rows of docs that stay: of each group the one with the smallest id (a null one last), then text hash."""
+    return first_of_each(docs, grouped(docs, doc_id, text, shingle), doc_id, text)

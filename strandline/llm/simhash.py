@@ -222,7 +222,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of docs that stay: of each component the one with the smallest id (a null one last), then text hash."""
-    found = near_duplicates(docs, doc_id, text, shingle, radius)
+    return first_of_each(docs, near_duplicates(docs, doc_id, text, shingle, radius), doc_id, text)
+
+
+def first_of_each(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs that stay by the groups found (doc_id, tag, group)."""
     first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first"))
     first = first.select(F.col("first.doc_id").alias("_id"), F.col("first.tag").alias("_tag"))
     tagged = docs.withColumn("_own", F.xxhash64(text))

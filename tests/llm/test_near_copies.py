@@ -1,0 +1,93 @@
+"""The pipeline's near-duplicate stage: planted copies in which some words differ, against brute force over all pairs."""
+
+import random
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from strandline.llm import near_copies
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for i in rng.sample(range(len(out)), n):
+        out[i] = f"edit{rng.randrange(10**6)}"
+    return out
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar(x, y):
+    return 9 * len(x & y) >= 4 * (len(x) + len(y))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    line = rng.choices(vocabulary, k=14)
+    out = []
+    for _ in range(25):
+        base = rng.choices(vocabulary, k=rng.choice([60, 150, 400, 1500]))
+        at = rng.randrange(len(base))
+        base = base[:at] + line + base[at:]
+        out.append(base)
+        out += [edited(rng, base, max(1, int(len(base) * share))) for share in (0.005, 0.01, 0.02, 0.025, 0.03, 0.05)]
+    hub = rng.choices(vocabulary, k=300)
+    out += [edited(rng, hub, rng.randint(1, 9)) for _ in range(60)]
+    texts = [" ".join(w) for w in out] + ["one two", "One  two", "one", "", " \n", None, " ".join(out[0])]
+    return [(i if i != 3 else None, t) for i, t in enumerate(texts)]
+
+
+def wanted(rows):
+    own = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if similar(own[i], own[j]):
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(rows))]
+
+
+def test_stage_keeps_one_of_each_group_of_similar_texts(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = {(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    groups = {}
+    for (doc, text), root in zip(rows, wanted(rows), strict=True):
+        groups.setdefault(root, []).append((doc is None, doc or 0, doc, text))
+    assert len(groups) < len(rows) - 60
+    assert kept == {min(g, key=lambda r: r[:2])[2:] for g in groups.values()}
+
+
+def test_small_tiles_and_a_rough_order_change_nothing(spark, rows, monkeypatch):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_copies, "TILE", 8)
+    monkeypatch.setattr(near_copies, "COMMON", 5)
+    assert len({r["group"] for r in near_copies.grouped(docs).collect()}) == len(set(wanted(rows)))
+
+
+def test_bounds_let_every_similar_pair_pass():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(rng.integers(1, 3000))
+        base = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        other = np.unique(np.concatenate((base[: len(base) - len(base) // 10], rng.integers(0, 2**63, len(base) // 10, dtype=np.uint64))))
+        assert similar(set(base.tolist()), set(other.tolist()))
+        first = np.intersect1d(base, other)[0]
+        at = [int(np.searchsorted(s, first)) for s in (base, other)]
+        assert at[0] < near_copies.prefix_size(len(base)) and at[1] < near_copies.prefix_size(len(other))
+        a, _ = near_copies.group_pairs(np.array([1, 2]), np.array([len(base), len(other)]), np.array(at), [near_copies.bitmap(base), near_copies.bitmap(other)], np.array([1, 2]), True)
+        assert len(a) == 1
+
+
+def test_no_rows(spark):
+    assert near_copies.one_of_each(spark.createDataFrame([], "doc_id long, text string")).count() == 0
