@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that one numpy step takes at once; a longer text makes a step of its own.
 SLICE_BYTES = 2_000_000
@@ -30,10 +31,14 @@ SAME = _ASCII.astype(np.uint8)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the session names none (tests), a local one is set."""
+    """The folder that driver and executors share. Where a local session names none, a local one is set; on a cluster a
+    missing name is an error, since executors would not see each other's files."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -143,5 +148,18 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         at = to
 
 
+def extended(df: DataFrame, more: str) -> StructType:
+    """The schema of df's columns, whatever their names, and of those that the DDL string more adds."""
+    return StructType([StructField(f.name, f.dataType) for f in df.schema.fields] + StructType.fromDDL(more).fields)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import ALNUM, LOWER, Words, column, slices, words_of, written
+from .base import ALNUM, LOWER, Words, column, extended, slices, words_of, written
 
 WINDOW = 10
 #: Windows of the whole benchmark that a broadcast index may hold: 24 bytes each and the item names.
@@ -106,10 +106,6 @@ RESULT = ["n_words", "n_hit", "n_items", "items", "hit_at"]
 RESULT_TYPES = "n_words long, n_hit long, n_items long, items array<string>, hit_at binary"
 
 
-def _schema(docs: DataFrame) -> str:
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), RESULT_TYPES])
-
-
 def _by_broadcast(docs: DataFrame, index: DataFrame) -> DataFrame:
     rows = index.toPandas()  # BROADCAST_WINDOWS rows of either kind at most
     found: dict[int, list] = {}
@@ -157,7 +153,7 @@ def _by_broadcast(docs: DataFrame, index: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, *RESULT])
 
-    return docs.mapInArrow(run, _schema(docs))
+    return docs.mapInArrow(run, extended(docs, RESULT_TYPES))
 
 
 def _by_shuffle(docs: DataFrame, index: DataFrame) -> DataFrame:
@@ -218,7 +214,7 @@ def _by_shuffle(docs: DataFrame, index: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, [*names, *RESULT])
 
     found = docs.join(places, "_tag", "left").join(items, "_tag", "left").drop("_tag")
-    return found.mapInArrow(counted, _schema(plain))
+    return found.mapInArrow(counted, extended(plain, RESULT_TYPES))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:

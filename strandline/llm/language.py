@@ -4,30 +4,38 @@ Each word has affix, character n-gram, whole-word and lexicon features, hashed i
 language; learned transitions tie neighbouring words. Forward-backward gives every word its probabilities, so a text
 that switches language is labelled word by word; a document gets the language with the largest mean probability.
 
-The field is fitted on the driver, on a bounded sample: about SAMPLE_TEXTS whole texts of each language, none over
-SAMPLE_BYTES bytes, chosen by a hash of the text among the rows that may be learned from; languages beyond the LANGUAGES
-most frequent are not learned. Sequences that splice spans of different languages teach the transitions. The table of
-weights has a fixed size and is broadcast; prediction reads every whole text.
+The field is fitted in one task, on a bounded sample of labelled rows: of each language the SAMPLE_TEXTS texts with the
+smallest hash, those of up to SAMPLE_BYTES first, then the shortest (a language of long texts only has a sample too),
+and LANGUAGE_BYTES of text together, or one text. Equal texts count once, so copies change nothing. Every language that
+has a text with words is learned. Sequences that splice spans of different languages teach the transitions by their
+whole gradient. The fitted table (TABLE weights a language) is broadcast; prediction reads every whole text.
+
+Beside the prediction stands known, the share of the three-byte sequences of a text's words without digits that the
+sample has: a text in a language that was not learned, or junk of letters, has few. A text without any has 1.
 
 Defined cases: a null text or one without letters is `und` with score 0, and so is everything if nothing can be
-learned; ties go to the language that sorts first; repeated rows get equal results; other columns are not read.
+learned; ties go to the language that sorts first; a very long text is one chain of words, whose features are laid out
+DISTINCT distinct words at a time; repeated rows get equal results; columns of the result's names are replaced, others
+stay as they are; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import _BYTE, _CACHE, _RADIX, ALNUM, LOWER, Words, _powers, column, mixed, slices, words_of
+from .base import _BYTE, _CACHE, _RADIX, ALNUM, LOWER, Words, _powers, column, extended, mixed, slices, words_of
 
 SAMPLE_TEXTS = 300
 SAMPLE_BYTES = 32_768
-LANGUAGES = 64
+LANGUAGE_BYTES = 2_000_000
 TABLE = 1 << 18
 #: Words of a spliced training sequence, mean words of one span, and sequences for each language.
 SEQUENCE, SPAN, SEQUENCES = 64, 24, 400
@@ -43,7 +51,8 @@ UNKNOWN = "und"
 
 @dataclass
 class Field:
-    """Labels, weights (TABLE x labels), log transitions, log start, and the lexicon: word hashes and their labels."""
+    """Labels, weights (TABLE x labels), log transitions, log start, the lexicon (word hashes and their labels), and
+    which entries of a table hold a three-letter sequence of the sample."""
 
     labels: list[str]
     weights: np.ndarray
@@ -51,41 +60,56 @@ class Field:
     start: np.ndarray
     lexicon: np.ndarray
     lexicon_label: np.ndarray
+    grams: np.ndarray
+
+
+class _Spans:
+    """Hashes of byte ranges of some words' texts."""
+
+    def __init__(self, words: Words) -> None:
+        self.total = np.zeros(len(words.data) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[words.data] * _powers(_RADIX, len(words.data), _CACHE), out=self.total[1:])
+        self.undo = _powers(pow(_RADIX, -1, 1 << 64), len(words.data) + 1, _CACHE)
+
+    def entries(self, kind: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return mixed((self.total[b] - self.total[a]) * self.undo[a] + np.uint64(kind * 7919)) % np.uint64(TABLE)
 
 
-def _features(words: Words, at: np.ndarray, lexicon: np.ndarray, lexicon_label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _grams(spans: _Spans, starts: np.ndarray, size: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word (place in starts) and table entry of every k-gram of bytes."""
+    many = np.maximum(size - k + 1, 0)
+    row = np.repeat(np.arange(len(starts)), many)
+    first = np.repeat(starts - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(len(row))
+    return row, spans.entries(30 + k, first, first + k)
+
+
+def _features(words: Words, spans: _Spans, at: np.ndarray, lexicon: np.ndarray, lexicon_label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row (place in at) and table entry of every feature of the words at."""
-    total = np.zeros(len(words.data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[words.data] * _powers(_RADIX, len(words.data), _CACHE), out=total[1:])
-    undo = _powers(pow(_RADIX, -1, 1 << 64), len(words.data) + 1, _CACHE)
     starts, ends = words.starts[at], words.ends[at]
     size = ends - starts
-    rows, entries = [], []
-
-    def add(kind: int, row: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-        rows.append(row)
-        entries.append(mixed((total[b] - total[a]) * undo[a] + np.uint64(kind * 7919)) % np.uint64(TABLE))
-
     everyone = np.arange(len(at))
-    add(1, everyone, starts, ends)
+    rows, entries = [everyone], [spans.entries(1, starts, ends)]
     for k in AFFIXES:
         row = np.flatnonzero(size > k)
-        add(10 + k, row, starts[row], starts[row] + k)
-        add(20 + k, row, ends[row] - k, ends[row])
+        rows += [row, row]
+        entries += [spans.entries(10 + k, starts[row], starts[row] + k), spans.entries(20 + k, ends[row] - k, ends[row])]
     for k in (2, 3):
-        grams = np.maximum(size - k + 1, 0)
-        row = np.repeat(everyone, grams)
-        first = np.repeat(starts - np.concatenate(([0], np.cumsum(grams)[:-1])), grams) + np.arange(len(row))
-        add(30 + k, row, first, first + k)
+        row, entry = _grams(spans, starts, size, k)
+        rows.append(row)
+        entries.append(entry)
     if len(lexicon):
         hashes = words.hashes[at]
         place = np.minimum(np.searchsorted(lexicon, hashes), len(lexicon) - 1)
         row = np.flatnonzero(lexicon[place] == hashes)
         rows.append(row)
-        entries.append(mixed(lexicon_label[place[row]].astype(np.uint64) + np.uint64(40 * 7919)) % np.uint64(TABLE))
+        entries.append(_lexicon_entries(lexicon_label[place[row]]))
     return np.concatenate(rows), np.concatenate(entries).astype(np.int64)
 
 
+def _lexicon_entries(label: np.ndarray) -> np.ndarray:
+    return mixed(label.astype(np.uint64) + np.uint64(40 * 7919)) % np.uint64(TABLE)
+
+
 def _scores(rows: np.ndarray, entries: np.ndarray, n: int, weights: np.ndarray) -> np.ndarray:
     return np.stack([np.bincount(rows, weights=weights[entries, y], minlength=n) for y in range(weights.shape[1])], axis=1)
 
@@ -118,9 +142,9 @@ def _marginals(emit: np.ndarray, first: np.ndarray, moves: np.ndarray, start: np
         seen = potential[at] * back
         if t:
             before = ahead[at - 1]
-            joint = np.einsum("ni,ij,nj->nij", before, step, seen) if n <= BATCH else None
-            if joint is not None:
-                pairs += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            # before[n, i] * step[i, j] * seen[n, j], each n divided by its sum
+            whole = ((before @ step) * seen).sum(axis=1, keepdims=True)
+            pairs += step * ((before / whole).T @ seen)
         ahead[at] = now / now.sum(axis=1, keepdims=True)
         if t:
             back = seen @ step.T
@@ -129,25 +153,50 @@ def _marginals(emit: np.ndarray, first: np.ndarray, moves: np.ndarray, start: np
 
 
 def fitted(texts: list[str], langs: list[str]) -> Field | None:
-    """The field of a sample of labelled texts; the same for the same sample."""
-    labels = sorted(set(langs))
-    words = words_of(pa.array(texts, pa.string()), ALNUM, LOWER)
-    if not labels or not len(words.hashes):
+    """The field of a sample of labelled texts; the same for the same sample. Texts are read about SLICE bytes at a time;
+    what stays is a hash for each word and the features of each distinct word."""
+    own_words: list[tuple[np.ndarray, np.ndarray]] = []  # hashes and labels, text by text
+    new_rows, new_entries, new_hashes = [], [], []
+    seen = np.zeros(0, dtype=np.uint64)
+    grams = np.zeros(TABLE, dtype=bool)
+    names = sorted(set(langs))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([names.index(x) for x in langs], pa.int32())], ["text", "lang"])
+    none = np.zeros(0, dtype=np.uint64)
+    for part in slices(batch, "text", SLICE):
+        words = words_of(column(part, "text"), ALNUM, LOWER)
+        own_words.append((words.hashes, np.repeat(column(part, "lang").to_numpy(), words.counts())))
+        found, at = np.unique(words.hashes, return_index=True)
+        fresh = ~np.isin(found, seen, assume_unique=True)
+        found, at = found[fresh], at[fresh]
+        if len(found):
+            spans = _Spans(words)
+            row, entry = _features(words, spans, at, none, none)
+            grams[_grams(spans, words.starts[at], words.ends[at] - words.starts[at], 3)[1]] = True
+            new_rows.append(row + len(seen))
+            new_entries.append(entry)
+            new_hashes.append(found)
+            seen = np.concatenate((seen, found))
+    hashes = np.concatenate([none, *[h for h, _ in own_words]])
+    if not len(hashes):
         return None
-    size = len(labels)
-    label = np.repeat(np.array([labels.index(x) for x in langs], dtype=np.int64), words.counts())
-    known, first_at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-    counts = np.stack([np.bincount(which[label == y], minlength=len(known)) for y in range(size)], axis=1)
-    sure = (counts.sum(axis=1) >= LEXICON_COUNT) & (counts.max(axis=1) >= LEXICON_SHARE * counts.sum(axis=1))
-    lexicon, lexicon_label = known[sure], counts.argmax(axis=1)[sure]
-    rows, entries = _features(words, first_at, lexicon, lexicon_label)
+    label = np.concatenate([y for _, y in own_words]).astype(np.int64)
+    used = np.unique(label)
+    labels = [names[y] for y in used.tolist()]  # languages whose texts have words
+    label, size = np.searchsorted(used, label), len(labels)
+    order = np.argsort(seen)
+    which = order[np.searchsorted(seen, hashes, sorter=order)]
+    counts = np.stack([np.bincount(which[label == y], minlength=len(seen)) for y in range(size)], axis=1)
+    sure = np.flatnonzero((counts.sum(axis=1) >= LEXICON_COUNT) & (counts.max(axis=1) >= LEXICON_SHARE * counts.sum(axis=1)))
+    sure = sure[np.argsort(seen[sure])]
+    lexicon, lexicon_label = seen[sure], counts.argmax(axis=1)[sure]
+    rows = np.concatenate([*new_rows, sure])
+    entries = np.concatenate([*new_entries, _lexicon_entries(lexicon_label).astype(np.int64)])
     order = np.argsort(rows, kind="stable")
     rows, entries = rows[order], entries[order]
-    pointer = np.searchsorted(rows, np.arange(len(known) + 1))
+    pointer = np.searchsorted(rows, np.arange(len(seen) + 1))
 
     rng = np.random.default_rng(7)
     own = [np.flatnonzero(label == y) for y in range(size)]
-    own = [x if len(x) else np.zeros(1, dtype=np.int64) for x in own]
     chains, gold = [], []
     for _ in range(SEQUENCES * size):
         at, y = [], []
@@ -188,27 +237,43 @@ def fitted(texts: list[str], langs: list[str]) -> Field | None:
             turn = (seen - pairs) / n
             move_spread += (turn**2).mean()
             moves += RATE * turn / np.sqrt(move_spread) * 0.3
-    return Field(labels, weights.astype(np.float32), moves, start, lexicon, lexicon_label)
+    return Field(labels, weights.astype(np.float32), moves, start, lexicon, lexicon_label, grams)
+
+
+def sampled(train: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """lang, text: the sample of every language. Only hashes and lengths are shuffled until the sample is known."""
+    rows = train.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    marked = rows.withColumn("hash", F.xxhash64("text")).withColumn("size", F.octet_length("text").cast("long"))
+    texts = marked.groupBy("lang", "hash").agg(F.min("size").alias("size"))
+    order = Window.partitionBy("lang").orderBy(F.greatest("size", F.lit(SAMPLE_BYTES)), "hash")
+    first = texts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE_TEXTS)
+    before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    kept = first.withColumn("through", before).filter((F.col("place") == 1) | (F.col("through") <= LANGUAGE_BYTES))
+    # SAMPLE_TEXTS rows a language
+    return marked.join(F.broadcast(kept.select("lang", "hash")), ["lang", "hash"], "left_semi").dropDuplicates(["lang", "hash"]).select("lang", "hash", "text")
 
 
 def learned(train: DataFrame, text: str = "text", lang: str = "lang") -> Field | None:
-    """The field of rows (text, lang); a null in either teaches nothing."""
-    rows = train.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES)
-    )
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return None
-    # a hash of the text decides; a row of a language with n rows is taken with odds SAMPLE_TEXTS / n
-    odds = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, SAMPLE_TEXTS / r["n"])))])
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)
-    chosen = rows.filter(share < odds[F.col("lang")]).distinct().orderBy("lang", F.xxhash64("text"), "text").limit(2 * SAMPLE_TEXTS * len(counts)).collect()
-    return fitted([r["text"] for r in chosen], [r["lang"] for r in chosen])
+    """The field of rows (text, lang), fitted by one task on the bounded sample; a null in either teaches nothing."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sample = list(frames)
+        if sample:
+            rows = pd.concat(sample).sort_values(["lang", "hash", "text"])
+            field = fitted(rows["text"].tolist(), rows["lang"].tolist())
+            if field is not None:
+                yield pd.DataFrame({"field": [pickle.dumps(field)]})
+
+    found = sampled(train, text, lang).coalesce(1).mapInPandas(run, "field binary").collect()
+    return pickle.loads(found[0]["field"]) if found else None
+
+
+RESULT = ("lang_pred", "score", "known")
 
 
 def predicted(docs: DataFrame, field: Field | None, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score; columns of these names are replaced."""
-    docs = docs.drop("lang_pred", "score")
+    """docs with lang_pred, score and known; columns of these names are replaced."""
+    docs = docs.drop(*RESULT)
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,16 +281,25 @@ def predicted(docs: DataFrame, field: Field | None, text: str = "text") -> DataF
         for batch in batches:
             for part in slices(batch, text, SLICE):
                 words = words_of(column(part, text), ALNUM, LOWER)
-                best, score = [UNKNOWN] * len(part), np.zeros(len(part))
+                best, score, known = [UNKNOWN] * len(part), np.zeros(len(part)), np.zeros(len(part))
                 if crf is not None and len(words.hashes):
                     _, first_at, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-                    parts = [first_at[a : a + DISTINCT] for a in range(0, len(first_at), DISTINCT)]
-                    emit = np.concatenate([_scores(*_features(words, p, crf.lexicon, crf.lexicon_label), len(p), crf.weights) for p in parts])[which]
-                    likely, _ = _marginals(emit, words.first, crf.moves, crf.start)
-                    total = np.zeros((len(likely) + 1, len(crf.labels)))
-                    np.cumsum(likely, axis=0, out=total[1:])
-                    n = np.maximum(words.counts(), 1)
-                    mean = (total[words.first[1:]] - total[words.first[:-1]]) / n[:, None]
+                    spans = _Spans(words)
+                    digits = np.concatenate(([0], np.cumsum((words.data >= 48) & (words.data <= 57))))
+                    emits, have, many = [], [], []
+                    for a in range(0, len(first_at), DISTINCT):
+                        at = first_at[a : a + DISTINCT]
+                        emits.append(_scores(*_features(words, spans, at, crf.lexicon, crf.lexicon_label), len(at), crf.weights))
+                        letters = np.flatnonzero(digits[words.ends[at]] == digits[words.starts[at]])
+                        row, entry = _grams(spans, words.starts[at[letters]], (words.ends - words.starts)[at[letters]], 3)
+                        row = letters[row]
+                        have.append(np.bincount(row, weights=crf.grams[entry], minlength=len(at)))
+                        many.append(np.bincount(row, minlength=len(at)))
+                    likely, _ = _marginals(np.concatenate(emits)[which], words.first, crf.moves, crf.start)
+                    per_text = lambda x: np.diff(np.concatenate((np.zeros((1, *x.shape[1:])), np.cumsum(x, axis=0)))[words.first], axis=0)
+                    mean = per_text(likely) / np.maximum(words.counts(), 1)[:, None]
+                    have, many = per_text(np.concatenate(have)[which]), per_text(np.concatenate(many)[which].astype(float))
+                    known = np.where(many > 0, have / np.maximum(many, 1), 1.0)
                     top = mean.argmax(axis=1)
                     letters = np.concatenate(([0], np.cumsum((words.data >= 97) & (words.data <= 122))))
                     edges = np.concatenate((words.starts, [len(words.data)]))[np.minimum(words.first, len(words.starts))]
@@ -233,11 +307,9 @@ def predicted(docs: DataFrame, field: Field | None, text: str = "text") -> DataF
                     for t in range(len(part)):
                         if words.first[t] < words.first[t + 1] and (plain[t] or any(map(str.isalpha, column(part, text)[t].as_py()))):
                             best[t], score[t] = crf.labels[top[t]], min(1.0, max(0.0, mean[t, top[t]]))
-                names = [*part.schema.names, "lang_pred", "score"]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(best, pa.string()), pa.array(score)], names)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(best, pa.string()), pa.array(score), pa.array(known)], [*part.schema.names, *RESULT])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return docs.mapInArrow(run, extended(docs, "lang_pred string, score double, known double"))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -249,4 +321,4 @@ def op9_crf_language(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     field = learned(docs.filter(~held_out()))
     found = predicted(docs.select("doc_id", held_out().alias("held_out"), "text"), field)
-    return found.select("doc_id", "held_out", "lang_pred", "score")
+    return found.select("doc_id", "held_out", "lang_pred", "score", "known")

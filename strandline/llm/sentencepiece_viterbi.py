@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .base import column, slices
+from .base import column, extended, slices
 
 MARK = "▁"
 #: Marked words of one worker whose ids are kept.
@@ -319,8 +319,7 @@ def encoded(docs: DataFrame, model: str, text: str = "text", decode: bool = True
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, *names])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{kinds}, ids array<int>" + ", decoded string" * decode)
+    return docs.mapInArrow(run, extended(docs, "ids array<int>" + ", decoded string" * decode))
 
 
 def default_model() -> str:

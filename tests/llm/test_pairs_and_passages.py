@@ -82,11 +82,23 @@ def test_bit_sliced_groups_match_pairs():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 40, dtype=np.uint64)
     prints = np.unique(np.concatenate([base, *[base ^ (np.uint64(1) << rng.integers(0, 64, 40, dtype=np.uint64)) for _ in range(6)]]))
-    planes = simhash.bit_planes(prints)
-    for radius in (0, 1, 2):
-        for probe in prints[:20].tolist():
-            wanted = [i for i, p in enumerate(prints.tolist()) if (p ^ probe).bit_count() <= radius]
-            assert simhash.within_radius(planes, len(prints), probe, radius).tolist() == wanted
+    far = np.bitwise_count(prints[:, None] ^ prints[None, :])
+    for radius in (0, 1, 2, 3, 7, 12, 24, 40):
+        i, j = map(np.concatenate, zip(*simhash.close_pairs(prints, radius), strict=True)) if radius else (np.zeros(0, int),) * 2
+        wanted = np.argwhere(np.triu(far <= radius, 1))
+        assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(map(tuple, wanted.tolist()))
+        root = simhash.merged(np.arange(len(prints)), i, j)
+        assert (root[i] == root[j]).all()
+
+
+def test_blocks_over_the_radius_are_left(monkeypatch):
+    import numpy as np
+
+    seen = []
+    real = simhash._over
+    monkeypatch.setattr(simhash, "_over", lambda counters, over, radius: seen.append(len(over)) or real(counters, over, radius))
+    list(simhash.close_pairs(np.random.default_rng(1).integers(0, 2**63, 256, dtype=np.uint64), 2))
+    assert seen[0] == 636 and seen[-1] < 64
 
 
 def test_simhash_tiles_lose_no_link(spark, monkeypatch):

@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 import numpy as np
 import pytest
-from strandline.llm import near_copies
+from strandline.llm import simhash, simhash_similarity
 
 
 def edited(rng, words, n):
@@ -68,26 +68,46 @@ def test_stage_keeps_one_of_each_group_of_similar_texts(spark, rows):
     assert kept == {min(g, key=lambda r: r[:2])[2:] for g in groups.values()}
 
 
-def test_small_tiles_and_a_rough_order_change_nothing(spark, rows, monkeypatch):
+def test_small_tiles_change_nothing(spark, rows, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(near_copies, "TILE", 8)
-    monkeypatch.setattr(near_copies, "COMMON", 5)
-    assert len({r["group"] for r in near_copies.grouped(docs).collect()}) == len(set(wanted(rows)))
+    monkeypatch.setattr(simhash_similarity, "TILE", 8)
+    assert len({r["group"] for r in simhash_similarity.grouped(docs).collect()}) == len(set(wanted(rows)))
 
 
-def test_bounds_let_every_similar_pair_pass():
+def test_every_similar_pair_shares_a_key_and_passes_radius_and_bounds():
     rng = np.random.default_rng(4)
-    for _ in range(200):
+    for _ in range(300):
         n = int(rng.integers(1, 3000))
         base = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
         other = np.unique(np.concatenate((base[: len(base) - len(base) // 10], rng.integers(0, 2**63, len(base) // 10, dtype=np.uint64))))
         assert similar(set(base.tolist()), set(other.tolist()))
-        first = np.intersect1d(base, other)[0]
-        at = [int(np.searchsorted(s, first)) for s in (base, other)]
-        assert at[0] < near_copies.prefix_size(len(base)) and at[1] < near_copies.prefix_size(len(other))
-        a, _ = near_copies.group_pairs(np.array([1, 2]), np.array([len(base), len(other)]), np.array(at), [near_copies.bitmap(base), near_copies.bitmap(other)], np.array([1, 2]), True)
+        assert (np.equal(*simhash_similarity.band_keys([base, other]))).any()
+        prints = np.array([simhash.majority(s) for s in (base, other)], dtype=np.uint64)
+        a, _ = simhash_similarity.group_pairs(np.array([1, 2]), np.array([len(base), len(other)]), prints, [simhash_similarity.bitmap(s) for s in (base, other)], np.array([1, 2]), True)
         assert len(a) == 1
 
 
+def test_a_forest_connects_what_all_pairs_connect():
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(6):
+        base = rng.integers(0, 2**63, 200, dtype=np.uint64)
+        for _ in range(40):
+            own = base.copy()
+            own[rng.integers(0, 200, rng.integers(0, 12))] = rng.integers(0, 2**63)
+            sets.append(np.unique(own))
+    node, n = np.arange(len(sets)), np.array([len(s) for s in sets])
+    prints, bits = np.array([simhash.majority(s) for s in sets], dtype=np.uint64), [simhash_similarity.bitmap(s) for s in sets]
+    few, many = (simhash_similarity.group_pairs(node, n, prints, bits, node, every) for every in (False, True))
+    assert len(few[0]) < len(sets) <= len(many[0])
+    assert (simhash.merged(node.copy(), *few) == simhash.merged(node.copy(), *many)).all()
+
+
 def test_no_rows(spark):
-    assert near_copies.one_of_each(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert simhash_similarity.one_of_each(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 7, "x"), (2, "a b c d e f", 8, "y")], "doc_id long, text string, own long, `_id` string")
+    kept = simhash_similarity.one_of_each(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c d e f", 7, "x")]

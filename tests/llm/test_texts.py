@@ -113,23 +113,56 @@ def test_language(spark, tongues):
 def test_language_of_words_in_switched_text(tongues):
     rng = random.Random(3)
     words = language.words_of(pa.array([prose(rng, "en", 30) + " " + prose(rng, "de", 30)]), language.ALNUM, language.LOWER)
-    rows, entries = language._features(words, np.arange(60), tongues.lexicon, tongues.lexicon_label)
+    rows, entries = language._features(words, language._Spans(words), np.arange(60), tongues.lexicon, tongues.lexicon_label)
     likely, _ = language._marginals(language._scores(rows, entries, 60, tongues.weights), words.first, tongues.moves, tongues.start)
     assert np.allclose(likely.sum(axis=1), 1)
     named = [tongues.labels[y] for y in likely.argmax(axis=1)]
     assert sum(n == w for n, w in zip(named, ["en"] * 30 + ["de"] * 30, strict=True)) >= 57
 
 
-def test_forward_backward_sums_over_all_paths():
+@pytest.mark.parametrize("labels", [2, 3, 4])
+def test_forward_backward_sums_over_all_paths(labels):
     rng = np.random.default_rng(0)
-    emit, moves, start = rng.normal(size=(5, 2)), rng.normal(size=(2, 2)), rng.normal(size=2)
-    total = np.zeros((5, 2))
-    for path in np.ndindex(*[2] * 5):
-        score = start[path[0]] + sum(emit[t, y] for t, y in enumerate(path)) + sum(moves[a, b] for a, b in zip(path, path[1:], strict=False))
+    emit, moves, start = rng.normal(size=(5, labels)), rng.normal(size=(labels, labels)), rng.normal(size=labels)
+    total, pairs, whole = np.zeros((5, labels)), np.zeros((labels, labels)), 0.0
+    for path in np.ndindex(*[labels] * 5):
+        odds = np.exp(start[path[0]] + sum(emit[t, y] for t, y in enumerate(path)) + sum(moves[a, b] for a, b in zip(path, path[1:], strict=False)))
+        whole += odds
         for t, y in enumerate(path):
-            total[t, y] += np.exp(score)
-    found, _ = language._marginals(np.concatenate((emit, emit[:2])), np.array([0, 5, 5, 7]), moves, start)
-    assert np.allclose(found[:5], total / total.sum(axis=1, keepdims=True))
+            total[t, y] += odds
+        for a, b in zip(path, path[1:], strict=False):
+            pairs[a, b] += odds
+    found, moved = language._marginals(np.concatenate((emit, emit[:2])), np.array([0, 5, 5, 7]), moves, start)
+    assert np.allclose(found[:5], total / whole)
+    _, alone = language._marginals(emit, np.array([0, 5]), moves, start)
+    assert np.allclose(alone, pairs / whole)
+    # the same from hundreds of chains at once: no switch by their number
+    many = 333
+    _, together = language._marginals(np.tile(emit, (many, 1)), np.arange(many + 1) * 5, moves, start)
+    assert np.allclose(together, many * pairs / whole)
+
+
+def test_transitions_are_learned(tongues):
+    stay = np.diag(tongues.moves).mean()
+    assert stay > (tongues.moves.sum() - np.trace(tongues.moves)) / (tongues.moves.size - len(tongues.labels)) + 0.5
+
+
+def test_languages_of_few_or_long_texts_are_learned(spark):
+    rng = random.Random(5)
+    rows = [(prose(rng, "en", 40), "en") for _ in range(50)] + [(t, "de") for t in [prose(rng, "de", 40) for _ in range(3)] for _ in range(2000)]
+    rows += [(prose(rng, "fr", 9000), "fr") for _ in range(3)] + [("12 !", "zz"), ("12 !", "qq")]
+    field = language.learned(spark.createDataFrame(rows, "text string, lang string").repartition(7))
+    assert field.labels == ["de", "en", "fr", "qq", "zz"]
+    asked = spark.createDataFrame([(prose(rng, x, 30), x) for x in ("en", "de", "fr") * 5], "text string, want string")
+    assert all(r["lang_pred"] == r["want"] for r in language.predicted(asked, field).collect())
+    assert language.learned(spark.createDataFrame([], "text string, lang string")) is None
+
+
+def test_known_tells_other_languages_and_junk(spark, tongues):
+    rng = random.Random(6)
+    rows = [("zxqv wkjj qqpz vbnx zzkw", 0), ("Москва столица России и большой город", 0), ("az ember és gyermek közötti különbség nagyon szép", 0), (prose(rng, "fr", 30) + " " + prose(rng, "de", 30), 1)]
+    found = {r["text"]: r["known"] for r in language.predicted(spark.createDataFrame(rows, "text string, mine int"), tongues).collect()}
+    assert all((found[t] >= 0.6) == bool(good) for t, good in rows), found
 
 
 def test_pieces_match_the_library(spark):
