@@ -63,7 +63,7 @@ def _powers(radix: int, n: int, cache: dict) -> np.ndarray:
         have = np.full(size, radix, dtype=U64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= 1 << 22:
+        if size <= 1 << 21:  # 16 MB; longer ones are made anew
             cache[radix] = have
     return have[:n]
 

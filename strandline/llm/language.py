@@ -44,8 +44,8 @@ AFFIXES = (1, 2, 3, 4)
 #: A word is in the lexicon if the sample has it so often, and this share of it in one language.
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.8
 #: Text of one numpy step, and distinct words whose features are laid out at once.
-SLICE = 3_000_000
-DISTINCT = 40_000
+SLICE = 1_000_000
+DISTINCT = 20_000
 UNKNOWN = "und"
 
 
@@ -172,8 +172,8 @@ def fitted(texts: list[str], langs: list[str]) -> Field | None:
             spans = _Spans(words)
             row, entry = _features(words, spans, at, none, none)
             grams[_grams(spans, words.starts[at], words.ends[at] - words.starts[at], 3)[1]] = True
-            new_rows.append(row + len(seen))
-            new_entries.append(entry)
+            new_rows.append((row + len(seen)).astype(np.int32))
+            new_entries.append(entry.astype(np.int32))
             new_hashes.append(found)
             seen = np.concatenate((seen, found))
     hashes = np.concatenate([none, *[h for h, _ in own_words]])
@@ -189,11 +189,11 @@ def fitted(texts: list[str], langs: list[str]) -> Field | None:
     sure = np.flatnonzero((counts.sum(axis=1) >= LEXICON_COUNT) & (counts.max(axis=1) >= LEXICON_SHARE * counts.sum(axis=1)))
     sure = sure[np.argsort(seen[sure])]
     lexicon, lexicon_label = seen[sure], counts.argmax(axis=1)[sure]
-    rows = np.concatenate([*new_rows, sure])
-    entries = np.concatenate([*new_entries, _lexicon_entries(lexicon_label).astype(np.int64)])
+    rows = np.concatenate([*new_rows, sure.astype(np.int32)])
+    entries = np.concatenate([*new_entries, _lexicon_entries(lexicon_label).astype(np.int32)])
     order = np.argsort(rows, kind="stable")
     rows, entries = rows[order], entries[order]
-    pointer = np.searchsorted(rows, np.arange(len(seen) + 1))
+    pointer = np.searchsorted(rows, np.arange(len(seen) + 1, dtype=np.int32))
 
     rng = np.random.default_rng(7)
     own = [np.flatnonzero(label == y) for y in range(size)]

@@ -10,7 +10,7 @@ leaves the two apart; of all pieces that end a prefix just one can follow the st
 pieces is the merged form exactly if each neighbouring pair is. So the same pass gives the library's ids.
 
 The vocabulary is read on the driver and broadcast: its size is the model's. Words already encoded are kept by each
-Python worker, KEPT_WORDS at most. Nothing is shuffled.
+Python worker, up to KEPT_BYTES of memory. Nothing is shuffled.
 
 Defined cases: a null text has null ids and decodes to null; an empty one has none; a character outside the vocabulary
 becomes its UTF-8 bytes, or the unknown id if the model has no bytes; the mark U+2581 in a text is read as a space, the
@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame
 from .base import column, extended, slices
 
 MARK = "▁"
-#: Marked words of one worker whose ids are kept.
-KEPT_WORDS = 1_000_000
-SLICE = 4_000_000
+#: Memory, in bytes (about), of the marked words of one worker whose ids are kept, and words beside them.
+KEPT_BYTES = 64_000_000
+KEPT_WORDS = 200_000
+SLICE = 2_000_000
 
 
 def splitter(pieces: Collection[str]) -> re.Pattern[str]:
@@ -79,6 +80,7 @@ class Vocabulary:
         self.table |= {p: i for i, p in enumerate(self.names)}
         self.known_ids = [self.pieces[p][0] for p in self.names]
         self.pairs = 0
+        self.kept_bytes = 0
         self.sums = [self.pieces[p][1] for p in self.names]
         self.strange: dict[str, int] = {}
 
@@ -262,8 +264,10 @@ def _encoded(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarra
     distinct = set(chain.from_iterable(split))
     kept = vocabulary.kept
     new = sorted(w for w in distinct if w not in kept)
-    if len(kept) + len(new) > KEPT_WORDS:
+    cost = lambda own: sum(map(len, own)) * 40 + 150 * len(own)
+    if vocabulary.kept_bytes + cost(new) > KEPT_BYTES:
         kept.clear()
+        vocabulary.kept_bytes = 0
         new = sorted(distinct)
     found = dict(encoded_words(vocabulary, new))
     number, ids, sizes = {}, [], []
@@ -272,8 +276,9 @@ def _encoded(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarra
         own = found.get(word) or kept[word]
         ids.append(own)
         sizes.append(len(own))
-    if len(kept) + len(found) <= KEPT_WORDS:
+    if vocabulary.kept_bytes + cost(new) <= KEPT_BYTES:
         kept.update(found)
+        vocabulary.kept_bytes += cost(new)
     flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32)
     sizes = np.array(sizes, dtype=np.int64)
     heads = np.cumsum(sizes) - sizes

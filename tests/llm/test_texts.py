@@ -44,20 +44,64 @@ def test_personal_data(spark):
     assert counted(tuple(r) for r in found) == counted((i, base_spans(t)) for i, t in rows)
 
 
+def found_spans(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["found"]] for r in pii.personal_data(docs).collect()}
+
+
 def test_contexts_discover_identifiers(spark):
-    rows = [(i, f"hello badge: q{i}@ex.com and more words here") for i in range(60)]
-    rows += [(100 + i, f"hello badge: {7919 * i + 123456}x1 and more") for i in range(5)] + [(200, "the year 20221 and more")]
-    found = {r["doc_id"]: r["found"] for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert [(s["kind"], s["start"]) for s in found[101]] == [("email", 13)]
-    assert not found[200] and not found[3]
+    # a minority of seeds: 40 of 100 distinct instances
+    rows = [(i, f"hello badge: q{i}@ex.com and more words here") for i in range(40)]
+    rows += [(100 + i, f"hello badge: {7919 * i + 123456}x1 and more") for i in range(60)] + [(200, "the year 20221 and more")]
+    # a second hop: accounts that only badges make known; a third: accounts in a context of their own
+    rows += [(300 + i, f"pay to account= {7919 * i + 123456}x1") for i in range(6)] + [(400 + i, f"to account= Z{i}99881") for i in range(5)]
+    rows += [(500 + i, f"ref# Z{i}99881 was late") for i in range(5)] + [(600, "see ref# QQ77661, thanks"), (700, "call 20221 and 31337 or badge and account")]
+    found = found_spans(spark, rows)
+    assert found[101] == [("email", 13, 21)] and found[400] == [("email", 12, 19)] and found[600] == [("email", 9, 16)]
+    assert not found[200] and not found[3] and not found[700]
+    hidden = [i for i in found if 100 <= i < 200 or 400 <= i < 500 or i == 600]
+    assert sum(bool(found[i]) for i in hidden) == len(hidden)
+
+
+def test_contexts_with_digits_and_long_words(spark):
+    rows = [(i, f"{'w' * 100} id2024 q{i}@ex.com") for i in range(9)] + [(50 + i, f"{'w' * 100} id2024 9{i}4417") for i in range(4)] + [(90, f"{'w' * 64} 5551234")]
+    found = found_spans(spark, rows)
+    assert all(("email", 108, 114) in found[50 + i] for i in range(4)) and not found[90]
+
+
+def test_secrets_are_found_by_their_context(spark):
+    rng = random.Random(3)
+    rows = [(i, f'x token = "{rng.getrandbits(160) | 1 << 159:040x}" y') for i in range(8)] + [(20, 'TOKEN = "short12345" z'), (21, f"free {rng.getrandbits(160):040x}")]
+    found = found_spans(spark, rows)
+    assert found[0] == [("secret", 11, 51)] and found[20] == [("secret", 9, 19)] and not found[21]
+
+
+def test_both_ways_of_joins_agree(spark, monkeypatch):
+    rows = [(i, f"my badge: q{i % 30}@ex.com and more badge words") for i in range(60)] + [(100 + i, f"my badge: {7919 * i + 123456}x1 and") for i in range(9)]
+    found = found_spans(spark, rows)
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", -1)
+    assert found_spans(spark, rows) == found and found[100]
+
+
+def test_many_matches_in_one_text(spark):
+    import time
+
+    text = " ".join(f"{1000 + i % 7000} q{i}@ex.com" for i in range(50_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.time()
+    assert pii.personal_data(docs).select(F.size("email")).first()[0] == 50_000
+    clean = pii.redacted(docs).first()["text"]
+    assert clean == re.sub(r"q\d+@ex\.com", "<EMAIL>", text)
+    assert time.time() - began < 60
 
 
 def test_redaction(spark):
-    rows = [(1, "mail é a@b.co, or 1.2.3.4!", "k", 9), (2, None, "k", None), (3, "clean", None, 5), (3, "clean", None, 5)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, tag string, n_chars long")
+    rows = [(1, "mail é😀 a@b.co, or 1.2.3.4!", "k", 9), (2, None, "k", None), (3, "clean", None, 5), (3, "clean", None, 5), (4, "+1 (499) 555-6503, x 4111 1111 1111 1111a@b.co end", "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tag string, `row` long")
     found = pii.redacted(docs)
     assert found.columns == docs.columns
-    assert counted(tuple(r) for r in found.collect()) == counted([(1, "mail é <EMAIL>, or <IP>!", "k", 9), (2, None, "k", None), (3, "clean", None, 5), (3, "clean", None, 5)])
+    wanted = [(1, "mail é😀 <EMAIL>, or <IP>!", "k", 9), *rows[1:4], (4, "<PHONE>, x <CARD> end", "", 0)]
+    assert counted(tuple(r) for r in found.collect()) == counted(wanted)
 
 
 def test_personal_data_of_nothing(spark):
@@ -209,7 +253,7 @@ PAGE = """<html><body class="has-sidebar"><header>Site</header><div class="wrap"
 def test_main_text(spark):
     wanted = "Title & more\n\nFirst paragraph with a link and text that is long enough.\n\nSecond <b> é x next line, also long enough.\n\none item\n\ntwo item"
     # a page whose own longest part is an unmarked aside follows its host's other pages
-    odd = PAGE.replace('<div class="content post-12">', '<div class="x9"><p>' + "Unmarked words of no interest go on and on here. " * 30 + '</p></div><div class="content post-3">')
+    odd = PAGE.replace('<div class="content post-12">', '<div class="x9"><p>' + "Unmarked words of no interest go on and on here." + '</p></div><div class="content post-3">')
     rows = [(i, "http://one.example/a", PAGE) for i in range(4)] + [(4, "http://one.example/b", odd), (5, "u", None), (6, None, ""), (7, "http://two.example/", "plain text &amp; more"), (7, "http://two.example/", "plain text &amp; more"), (None, "http://one.example/a", "<p><b>un<i>closed")]
     pages = spark.createDataFrame([(*r, 1, "k") for r in rows], "page_id long, url string, html string, host int, paths string")
     found = html_text.main_text(pages).collect()
@@ -217,7 +261,47 @@ def test_main_text(spark):
     texts = {r["page_id"]: r["text"] for r in found}
     assert texts[0] == wanted and texts[4] == wanted
     assert texts[5] == "" and texts[6] == "" and texts[7] == "plain text & more" and texts[None] == "unclosed"
-    assert html_text.main_text(pages.limit(0)).count() == 0
+    assert counted(map(tuple, html_text.main_text(pages, broadcast_bytes=0).collect())) == counted(map(tuple, found))
+    for way in (0, 1 << 20):
+        assert html_text.main_text(pages.limit(0), broadcast_bytes=way).count() == 0
+
+
+def text_of(source):
+    page = html_text.read(source)
+    held, own = html_text.chain(page)
+    return html_text._extracted(page, held, own, [0] * len(held)).split("\n\n")
+
+
+def words(n, name):
+    return " ".join(f"{name}{i}" for i in range(n)) + "."
+
+
+@pytest.mark.parametrize(
+    ("source", "wanted"),
+    [
+        ("<body><article><h1>Head</h1><p>{0}</p><ul><li>{1}</li><li>{1}</li></ul></article></body>", ["Head", "{0}", "{1}", "{1}"]),
+        ("<body><main><h1>Head</h1><div class=lead><p>{0}</p></div><div class=body><p>{1}</p></div></main></body>", ["Head", "{0}", "{1}"]),
+        ("<body><h1>Head</h1><div class='text'><p>{1}</p></div><div class='x'>tiny label</div></body>", ["Head", "{1}"]),
+        ("<article><p title=don't>{0}</p><p>{1}</p></article>", ["{0}", "{1}"]),
+        ("<article><section class=related-work><p>{0}</p></section><p>{1}</p></article>", ["{0}", "{1}"]),
+        ("<article><div class='related posts'><p>{0}</p></div><div class=ad-slot>{0}</div><div class='comment-list'>{0}</div><p class=ad-hoc>{1}</p></article>", ["{1}"]),
+        ("<article><table><tr><td>{0}<td>{1}</table><blockquote>{0}</blockquote></article>", ["{0}", "{1}", "{0}"]),
+        ("<div id=menu>{0}</div><div role=navigation>{0}</div><form>{0}</form><div class=post><p>{1} &lt;b&gt; a < b&nbsp; c<!-- no --> d<br>e</p></div>", ["{1} <b> a < b c d e"]),
+        ("<div class=post><p>{1}</p><script>var a='<p>';</script><style>p{{}}</style><svg><p>{0}</div>", ["{1}", "{0}"]),
+    ],
+)
+def test_article_text_stays(source, wanted):
+    given = words(6, "lead"), words(80, "body")
+    assert text_of(source.format(*given)) == [w.format(*given) for w in wanted]
+
+
+def test_broken_and_deep_pages_take_linear_time():
+    import time
+
+    for source in ("if i<n then " * 90_000, "<b>" * 5 + "</i>" * 200_000, "<div class=a>" * 60_000 + "x" * 10, "<p><i>" * 100_000, '<a x="' * 150_000, "<!-- x " * 100_000, "<svg>x" * 100_000, "<script>" * 100_000, "<li><span>" * 80_000):
+        began = time.time()
+        html_text.read(source)
+        assert time.time() - began < 4, source[:20]
 
 
 def brute_top(vectors, queries, k):
