@@ -12,10 +12,14 @@ vectors are split, so a vector that a third of all rows hold makes more blocks,
 Summaries and pivots have a fixed size (PIVOTS rows of the vectors' dimension) and go through the driver. Scores are
 integers; bounds are floats with slack, so rounding never drops a cell.
 
+The bounds exclude cells where vectors lie in clusters. Where they spread evenly over a sphere of many dimensions, as the
+driver's do, no summary of a cell can exclude one, and the join compares all queries with all vectors, in blocks.
+
 Defined cases: vectors that are null, or hold a null or non-finite component, take no part; a null id neither; rows of
-one id count as one vector (the smallest); vectors of different lengths are compared as if padded with zeros; scores are
-exact while they and their partial sums stay under 2 ** 63; fewer candidates than k give fewer rows; ties go to the
-smaller id; other columns are not read.
+one id are candidates each, but not of each other, and share one ranking as a query; vectors of different lengths are
+compared as if padded with zeros, very long ones whole; scores are exact while they and their partial sums stay under
+2 ** 63; fewer candidates than k give fewer rows; ties go to the smaller id; other columns are not read, whatever their
+names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -43,8 +47,7 @@ def scaled(vectors: DataFrame, vec_id: str, embedding: str, scale: int = SCALE)
     x = F.col(embedding)
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf")))
     ints = F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long"))
-    rows = vectors.filter(F.col(vec_id).isNotNull() & x.isNotNull() & fine).select(F.col(vec_id).cast("long").alias("vec_id"), ints.alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return vectors.filter(F.col(vec_id).isNotNull() & x.isNotNull() & fine).select(F.col(vec_id).cast("long").alias("vec_id"), ints.alias("v"))
 
 
 def _matrix(lists: pd.Series, width: int) -> np.ndarray:

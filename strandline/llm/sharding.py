@@ -3,8 +3,9 @@
 Row numbers follow a fixed order of the rows' contents, so neither file layout nor a retried task changes them. The
 permutation of [0, n) can be computed for one row number alone, and so can a row's shard and slot.
 
-Defined cases: a null id or text is a value like others (size 16, checksum of no bytes); repeated rows get row numbers
-of their own, one after another; an empty table gives no rows; other columns are neither read nor returned.
+Defined cases: a null id or text is a value like others (size 16, checksum of no bytes); a very long text counts by its
+size, checksum and hash; repeated rows get row numbers of their own, one after another; an empty table gives no rows;
+other columns are neither read nor returned, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Buckets in which row numbers are counted: rows of a bucket grow with the table, the table of offsets does not.
 BUCKETS = 4096
+#: Copies of one row that one task tells apart.
+BLOCK = 100_000
 #: One key for each round of the network.
 ROUND_KEYS = (11, 23, 37, 51)
 #: Most walks. Of the a * b < n + a numbers n are inside, so each walk ends with odds of 1 - 1 / sqrt(n) or more, and a
@@ -60,10 +63,12 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     )
     before = Window.partitionBy("bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = counted.withColumn("before", F.coalesce(F.sum("copies").over(before), F.lit(0))).join(F.broadcast(offsets), "bucket")
-    nth = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("nth")
-    return placed.select(*order, "n_rows", (F.col("offset") + F.col("before")).alias("at"), nth).select(
-        *order, "n_rows", (F.col("at") + F.col("nth")).alias("row_number")
-    )
+    # copies of one row are told apart a block at a time, and blocks are spread over tasks
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("copies") - 1, F.lit(BLOCK)))).alias("block")
+    dealt = placed.select(*order, "n_rows", (F.col("offset") + F.col("before")).alias("at"), "copies", blocks).repartition("at", "block")
+    last = F.least(F.col("copies"), (F.col("block") + 1) * BLOCK) - 1
+    nth = F.explode(F.sequence(F.col("block") * BLOCK, last)).alias("nth")
+    return dealt.select(*order, "n_rows", "at", nth).select(*order, "n_rows", (F.col("at") + F.col("nth")).alias("row_number"))
 
 
 def sharded(docs: DataFrame, shards: int, seed: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,23 +7,30 @@ shared passage have a block of their own in it, hit by the other. What a window'
 documents lose; overlapping windows make up the maximal repeats.
 
 Index and probes travel packed: one row holds what a few hundred documents have in one hash bucket, as arrays of
-fingerprints and positions, so a row's fixed cost is shared, and a bucket, not a key, is the unit of work. A passage
-that a third of all documents hold adds one entry for each document, spread over the buckets of its windows. The number
-of buckets follows the bytes of text.
+fingerprints and positions, so a row's fixed cost is shared. The number of buckets follows the bytes of text.
 
-Defined cases: null and short texts have no windows and lose nothing; rows with one id are one document's, which never
-lose to each other; a null id counts as the largest, and such rows do not lose to each other; repeated rows get equal
-results; other columns are not read; an empty table gives no rows.
+Common passages do not travel: 7-word windows that HOT of a sample of about SAMPLE documents have are known to be shared,
+and of the 13-word windows that consist of such only, one pass sums up the smallest document of each, which is exact and
+small enough for every task to hold. So no bucket's size follows the number of documents that hold one passage. The
+sample decides what travels, never what is found.
+
+Words are equal if their 64-bit fingerprints are; two different windows of a corpus of n windows share one with odds of
+n * n / 2 ** 65.
+
+Defined cases: null and short texts have no windows and lose nothing; a very long text is read whole; rows with one id
+are one document's, which never lose to each other; a null id counts as the largest, and such rows do not lose to each
+other; repeated rows get equal results; other columns are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +43,11 @@ LEAST_BUCKETS = 24
 #: Compressed text that one numpy step takes.
 PACKED_BYTES = 800_000
 LAST_ID = np.iinfo(np.int64).max
+#: Documents (about) whose windows are counted, and how many of them must have a window that is not to travel.
+SAMPLE = 40_000
+HOT = 25
+#: Common windows that every task may hold. With more than that all travel.
+MOST_HOT = 1_000_000
 
 PACKED = "bucket int, ids binary, tags binary, counts binary, low binary, high binary, prints binary"
 
@@ -83,8 +95,9 @@ def _in_text(words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return doc, at - words.first[doc]
 
 
-def probes(docs: DataFrame, buckets: int, window: int) -> DataFrame:
-    """Rolling windows of half a window's words, packed. Those at multiples of their length are the reference blocks."""
+def probes(docs: DataFrame, buckets: int, window: int, hot: Broadcast) -> DataFrame:
+    """Rolling windows of half a window's words, but for common ones, packed. Those at multiples of their length are the
+    reference blocks."""
     block = (window + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +106,7 @@ def probes(docs: DataFrame, buckets: int, window: int) -> DataFrame:
                 words = words_of(column(part, "text"), NONSPACE)
                 at, prints = words.windows(block)
                 doc, place = _in_text(words, at)
-                keep = words.counts()[doc] >= window
+                keep = (words.counts()[doc] >= window) & ~_among(hot.value.blocks, prints)
                 if keep.any():
                     ids, tags = _ids(part)
                     yield _batch_of(list(_packed(ids, tags, doc[keep], place[keep], prints[keep], buckets, np.uint32)))
@@ -101,8 +114,85 @@ def probes(docs: DataFrame, buckets: int, window: int) -> DataFrame:
     return docs.mapInArrow(run, PACKED)
 
 
-def around_hits(docs: DataFrame, buckets: int, window: int) -> DataFrame:
-    """Whole windows around the hits of each row (places: packed positions), packed."""
+@dataclass
+class Hot:
+    """Ascending fingerprints of common windows of half a window's words, and of whole windows that consist of such, with
+    the smallest document of each."""
+
+    blocks: np.ndarray
+    windows: np.ndarray
+    first: np.ndarray
+
+
+def _among(known: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(prints), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, prints), len(known) - 1)] == prints
+
+
+def _whole_hot(words: Words, blocks: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each word whether the block that starts there is common, and where windows of common blocks only start."""
+    block = (window + 1) // 2
+    at, prints = words.windows(block)
+    common = np.zeros(len(words.hashes) + 1, dtype=bool)
+    common[at] = _among(blocks, prints)
+    through = np.concatenate(([0], np.cumsum(common)))
+    last = np.repeat(words.first[1:], words.counts())
+    starts = np.flatnonzero(common[:-1] & (np.arange(len(words.hashes)) + window <= last))
+    inside = window - block + 1
+    return common, starts[through[starts + inside] - through[starts] == inside]
+
+
+def hot_windows(docs: DataFrame, window: int) -> Hot:
+    """docs: doc_id, tag, text."""
+    block = (window + 1) // 2
+    every = max(1, docs.count() // SAMPLE)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words = words_of(column(part, "text"), NONSPACE)
+                at, prints = words.windows(block)
+                doc = np.searchsorted(words.first, at, side="right") - 1
+                order = np.lexsort((prints, doc))
+                doc, prints = doc[order], prints[order]
+                new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (prints[1:] != prints[:-1])))[: len(prints)]
+                ids, _ = _ids(part)
+                yield pa.RecordBatch.from_arrays([pa.array(prints[new].view(np.int64)), pa.array(ids[doc[new]])], ["print", "id"])
+
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "tag"), F.lit(every)) == 0).mapInArrow(counted, "print long, id long")
+    common = sample.groupBy("print").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).filter((F.col("n") >= HOT) & (F.col("a") < F.col("b")))
+    none = np.zeros(0, dtype=np.uint64)
+    # fewer than SAMPLE / HOT times the windows of one document
+    blocks = common.select("print").limit(MOST_HOT + 1).toPandas()["print"].to_numpy(dtype=np.int64).view(np.uint64)
+    if not 0 < len(blocks) <= MOST_HOT:
+        return Hot(none, none, none.astype(np.int64))
+    blocks = np.sort(blocks)
+    shared = docs.sparkSession.sparkContext.broadcast(blocks)
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words = words_of(column(part, "text"), NONSPACE)
+                _, at = _whole_hot(words, shared.value, window)
+                ids, _ = _ids(part)
+                prints, own = words.window_hashes(at, window), ids[np.searchsorted(words.first, at, side="right") - 1]
+                order = np.lexsort((own, prints))
+                prints, own = prints[order], own[order]
+                new = np.concatenate(([True], prints[1:] != prints[:-1]))[: len(prints)]
+                yield pa.RecordBatch.from_arrays([pa.array(prints[new].view(np.int64)), pa.array(own[new])], ["print", "id"])
+
+    least = docs.mapInArrow(firsts, "print long, id long").groupBy("print").agg(F.min("id").alias("id")).limit(MOST_HOT + 1).toPandas()
+    if len(least) > MOST_HOT:
+        return Hot(none, none, none.astype(np.int64))
+    prints = least["print"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(prints)
+    return Hot(blocks, prints[order], least["id"].to_numpy(dtype=np.int64)[order])
+
+
+def around_hits(docs: DataFrame, buckets: int, window: int, hot: Broadcast) -> DataFrame:
+    """Whole windows around the hits of each row (places: packed positions) and around its common blocks, packed. Windows
+    of common blocks only are left out."""
     block = (window + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,15 +201,25 @@ def around_hits(docs: DataFrame, buckets: int, window: int) -> DataFrame:
                 words = words_of(unsqueezed(part), NONSPACE)
                 change = np.zeros(len(words.hashes) + 1, dtype=np.int32)
                 n = words.counts()
+                common, whole = _whole_hot(words, hot.value.blocks, window)
+                own = np.flatnonzero(common)
+                own_text, own_place = _in_text(words, own)
+                anchors = own_place % block == 0
+                own_text, own_place = own_text[anchors], own_place[anchors]
+                cuts = np.searchsorted(own_text, np.arange(len(part) + 1))
                 for t, places in enumerate(column(part, "places").to_pylist()):
+                    hits = own_place[cuts[t] : cuts[t + 1]]
                     if places:
-                        hits = np.frombuffer(b"".join(places), dtype=np.uint32).astype(np.int64)
+                        hits = np.concatenate((hits, np.frombuffer(b"".join(places), dtype=np.uint32).astype(np.int64)))
+                    if len(hits):
                         lo = np.maximum(hits - (window - block), 0)
                         hi = np.minimum(hits, n[t] - window)
                         good = lo <= hi
                         np.add.at(change, words.first[t] + lo[good], 1)
                         np.add.at(change, words.first[t] + hi[good] + 1, -1)
-                at = np.flatnonzero(np.cumsum(change)[:-1] > 0)
+                wanted = np.cumsum(change)[:-1] > 0
+                wanted[whole] = False
+                at = np.flatnonzero(wanted)
                 if len(at):
                     ids, tags = _ids(part)
                     doc, place = _in_text(words, at)
@@ -219,9 +319,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """doc_id, n_words, n_removed and kept, the text of the words that stay, for every row."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
     buckets = buckets_for(docs, "text")
-    hits = shared_blocks(probes(docs, buckets, window), window)
+    hot = docs.sparkSession.sparkContext.broadcast(hot_windows(docs, window))
+    hits = shared_blocks(probes(docs, buckets, window, hot), window)
     small = squeezed(docs)
-    removed = later_windows(around_hits(_with_places(small, hits), buckets, window))
+    removed = later_windows(around_hits(_with_places(small, hits), buckets, window, hot))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,11 +331,20 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 data = words.data.tobytes()
                 n = words.counts()
                 lost, kept = [], []
+                _, common = _whole_hot(words, hot.value.blocks, window)
+                ids, _ = _ids(part)
+                text, place = _in_text(words, common)
+                if len(common):
+                    later = hot.value.first[np.searchsorted(hot.value.windows, words.window_hashes(common, window))] < ids[text]
+                    text, place = text[later], place[later]
+                own = np.searchsorted(text, np.arange(len(part) + 1))
                 for t, places in enumerate(column(part, "places").to_pylist()):
                     a, b = words.first[t], words.first[t + 1]
                     stays = np.ones(n[t], dtype=bool)
+                    at = place[own[t] : own[t + 1]]
                     if places:
-                        at = np.frombuffer(b"".join(places), dtype=np.uint32).astype(np.int64)
+                        at = np.concatenate((at, np.frombuffer(b"".join(places), dtype=np.uint32).astype(np.int64)))
+                    if len(at):
                         change = np.zeros(n[t] + 1, dtype=np.int32)
                         np.add.at(change, at, 1)
                         np.add.at(change, at + window, -1)

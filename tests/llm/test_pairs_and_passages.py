@@ -178,16 +178,63 @@ def kept_words(rows):
     return counted(out)
 
 
-def test_repeated_passages(docs, rows):
+@pytest.mark.parametrize("hot", [1, 2, 4, 10**9])
+def test_repeated_passages(docs, rows, hot, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT", hot)
     found = substrings.without_repeats(docs).collect()
     assert counted(tuple(r) for r in found) == kept_words(rows)
     assert any(r["n_removed"] for r in found)
 
 
+def test_too_many_common_windows_travel(docs, rows, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT", 2)
+    monkeypatch.setattr(substrings, "MOST_HOT", 3)
+    assert counted(tuple(r) for r in substrings.without_repeats(docs).collect()) == kept_words(rows)
+
+
 def test_repeated_passages_of_nothing(nothing):
     assert substrings.without_repeats(nothing).count() == 0
 
 
+def feistel(x, n, seed=0):
+    """Place of x under the permutation of [0, n), by the law in words: halves of a * b >= n, four rounds, walk until inside."""
+    import math
+
+    import xxhash
+
+    mask = lambda v: v - (1 << 64) if v >> 63 else v
+    a = math.isqrt(n - 1) + 1 if n else 0
+    b = (n + a - 1) // a
+    while True:
+        left, right = divmod(x, b)
+        for i, key in enumerate((11, 23, 37, 51)):
+            half = right if i % 2 == 0 else left
+            first = xxhash.xxh64_intdigest(half.to_bytes(8, "little"), 42)
+            mixed = mask(xxhash.xxh64_intdigest((seed * 1000 + key).to_bytes(4, "little"), first))
+            if i % 2 == 0:
+                left = (left + mixed % a) % a
+            else:
+                right = (right + mixed % b) % b
+        x = left * b + right
+        if x < n:
+            return x
+
+
+def test_shard_query_by_brute_force(spark, tmp_path):
+    import zlib
+
+    rng = random.Random(5)
+    texts = [(rng.randrange(60), rng.choice(["", None, "é😀", "x" * 5000, "plain words"])) for _ in range(137)]
+    spark.createDataFrame([(i, t, "s") for i, t in texts], "doc_id long, text string, shard string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = sharding.op3_feistel_shards(spark, str(tmp_path)).collect()
+    facts = lambda i, t: (i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()))
+    assert counted((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == counted(facts(i, t) for i, t in texts)
+    for r in found:
+        at = feistel(r["row_number"], len(texts))
+        assert (r["shard"], r["slot"], r["law"], r["grown_shard"]) == (at % 40, at // 40, "rows", None)
+    assert sorted((r["shard"], r["slot"]) for r in found) == sorted((p % 40, p // 40) for p in range(len(texts)))
+
+
 @pytest.mark.parametrize("shards", [1, 7, 200])
 def test_shards(docs, rows, shards):
     found = sharding.sharded(docs, shards).collect()

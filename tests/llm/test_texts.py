@@ -129,6 +129,33 @@ def test_licences(spark):
     assert licences.licensed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def template_places(text):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    out = []
+    for n, own in enumerate(licences.postings()):
+        there = lambda at, pairs: sum(0 <= at + i < len(w) and w[at + i] == x for x, i in pairs)
+        for at in range(-60, len(w)):
+            cover = there(at, own["indexed"]) / len(own["indexed"])
+            if there(at, own["key"]) == len(own["key"]) and cover >= licences.COVER:
+                out.append((own["label"], at, cover, n))
+    return sorted(out)
+
+
+def test_templates_match_all_alignments(spark):
+    rng = random.Random(9)
+    notices = [notice for _, notice, _ in licences.TEMPLATES]
+
+    def worn(notice):
+        return " ".join("gap" if rng.random() < 0.12 else x for x in notice.split())
+
+    rows = [(0, ". ".join(notices)), (1, " ".join(notices[::-1])), (2, "released under the mit license " * 2000), (3, None), (4, "")]
+    rows += [(10 + i, " ".join(worn(rng.choice(notices)) for _ in range(rng.randint(1, 6)))) for i in range(60)] + [(15, rows[0][1])]
+    found = licences.licensed(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert counted((r["doc_id"], [tuple(f) for f in r["found"]]) for r in found) == counted((i, template_places(t)) for i, t in rows)
+    every = next(r for r in found if r["doc_id"] == 0)
+    assert {f["label"] for f in every["found"]} == {label for label, _, _ in licences.TEMPLATES}
+
+
 LEXICA = {"en": "the of and with sea light river stone over under house", "fr": "le la les des avec mer lumière pierre sur maison", "de": "der die das und mit licht fluss stein über haus"}
 
 
@@ -305,18 +332,23 @@ def test_broken_and_deep_pages_take_linear_time():
 
 
 def brute_top(vectors, queries, k):
-    best = {}
-    for i, v in sorted(((i, v) for i, v in vectors if i is not None), key=repr):
-        if v is not None and all(x is not None and np.isfinite(x) for x in v):
-            own = [int(np.floor(1024 * float(x))) for x in v]
-            best[i] = min(own, best.get(i, own))
+    rows = []
+    for i, v in vectors:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            rows.append((i, [int(np.floor(1024 * float(x))) for x in v]))
     out = []
-    for q in filter(queries, best):
-        scored = sorted((-sum(a * b for a, b in zip(best[q], v, strict=False)), i) for i, v in best.items() if i != q)[:k]
+    for q in sorted({i for i, _ in rows if queries(i)}):
+        scored = sorted((-sum(a * b for a, b in zip(w, v, strict=False)), i) for j, w in rows if j == q for i, v in rows if i != q)[:k]
         out += [(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
     return sorted(out)
 
 
+def test_rows_of_one_id_are_candidates_each(spark):
+    table = spark.createDataFrame([(0, [1.0, 0.0]), (2, [0.5, 0.0]), (2, [9.0, 0.0]), (3, [0.75, 0.0])], "vec_id long, embedding array<float>")
+    found = knn.top_k(table, F.col("vec_id") == 0, 10).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in found) == [(1, 2, 9 * 1024 * 1024), (2, 3, 768 * 1024), (3, 2, 512 * 1024)]
+
+
 @pytest.mark.parametrize("block", [4096, 7])
 def test_top_k(spark, block):
     rng = np.random.default_rng(6)
