@@ -44,7 +44,7 @@ AFFIXES = (1, 2, 3, 4)
 #: A word is in the lexicon if the sample has it so often, and this share of it in one language.
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.8
 #: Text of one numpy step, and distinct words whose features are laid out at once.
-SLICE = 1_000_000
+SLICE = 2_000_000
 DISTINCT = 20_000
 UNKNOWN = "und"
 
@@ -156,7 +156,7 @@ def fitted(texts: list[str], langs: list[str]) -> Field | None:
     """The field of a sample of labelled texts; the same for the same sample. Texts are read about SLICE bytes at a time;
     what stays is a hash for each word and the features of each distinct word."""
     own_words: list[tuple[np.ndarray, np.ndarray]] = []  # hashes and labels, text by text
-    new_rows, new_entries, new_hashes = [], [], []
+    new_rows, new_entries = [], []
     seen = np.zeros(0, dtype=np.uint64)
     grams = np.zeros(TABLE, dtype=bool)
     names = sorted(set(langs))
@@ -174,7 +174,6 @@ def fitted(texts: list[str], langs: list[str]) -> Field | None:
             grams[_grams(spans, words.starts[at], words.ends[at] - words.starts[at], 3)[1]] = True
             new_rows.append((row + len(seen)).astype(np.int32))
             new_entries.append(entry.astype(np.int32))
-            new_hashes.append(found)
             seen = np.concatenate((seen, found))
     hashes = np.concatenate([none, *[h for h, _ in own_words]])
     if not len(hashes):

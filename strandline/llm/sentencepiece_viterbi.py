@@ -32,8 +32,8 @@ from .base import column, extended, slices
 
 MARK = "▁"
 #: Memory, in bytes (about), of the marked words of one worker whose ids are kept, and words beside them.
-KEPT_BYTES = 64_000_000
-KEPT_WORDS = 200_000
+KEPT_BYTES = 48_000_000
+KEPT_WORDS = 100_000
 SLICE = 2_000_000
 
 

@@ -268,15 +268,32 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     return first_of_each(docs, near_duplicates(docs, doc_id, text, shingle, radius), doc_id, text)
 
 
+#: Rows (an id and a text hash) up to which a list is broadcast to the documents; beyond that both sides are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def sent(rows: DataFrame) -> DataFrame:
+    """rows written, and marked for a broadcast if they are few."""
+    rows = written(rows)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def first_of_each(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay by the groups found (doc_id, tag, group)."""
-    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first"))
-    first = first.select(F.col("first.doc_id").alias("_id"), F.col("first.tag").alias("_tag"))
+    """The rows of docs that stay by the groups found (doc_id, tag, group; one row for each of docs). Only ids and hashes
+    of those that go are joined to the texts, and only rows that repeat an id with its text are told apart by a shuffle."""
     own, least, tag = (free_name(docs, name) for name in ("own", "least", "tag"))
-    first = first.toDF(least, tag)
+    rows = found.groupBy("group", "doc_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first"))
+    judged = rows.join(first, "group").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tag") == F.col("first.tag")))
+    judged = written(judged.select("doc_id", "tag", "n", "stays"))
     tagged = docs.withColumn(own, F.xxhash64(text))
-    stay = tagged.join(first, F.col(doc_id).cast("long").eqNullSafe(F.col(least)) & (F.col(own) == F.col(tag)), "left_semi")
-    return stay.dropDuplicates([doc_id, own]).drop(own)
+    here = F.col(doc_id).cast("long").eqNullSafe(F.col(least)) & (F.col(own) == F.col(tag))
+    lost = sent(judged.filter("NOT stays").select(F.col("doc_id").alias(least), F.col("tag").alias(tag)))
+    stay = tagged.join(lost, here, "left_anti")
+    repeated = sent(judged.filter("stays AND n > 1").select(F.col("doc_id").alias(least), F.col("tag").alias(tag)))
+    if not repeated.isEmpty():
+        stay = stay.join(repeated, here, "left_anti").unionByName(stay.join(repeated, here, "left_semi").dropDuplicates([doc_id, own]))
+    return stay.drop(own)
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:

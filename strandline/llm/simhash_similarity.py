@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import LOWER, NONSPACE, SLICE_BYTES, column, slices, words_of, written
-from .simhash import close_pairs, components, first_of_each, groups_of, majority, merged, tiled
+from .simhash import close_pairs, components, first_of_each, groups_of, majority, merged, sent, tiled
 
 SHINGLE = 5
 BANDS, ROWS = 16, 3
@@ -179,7 +179,7 @@ def candidates(shared: DataFrame, every: bool) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, first: DataFrame, shingle: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar. first: node and doc_id, tag of a row that has its set."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(first, "node").select("doc_id", "tag")
+    wanted = sent(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(first, "node").select("doc_id", "tag"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
