@@ -68,35 +68,46 @@ def collinear_runs(hits: DataFrame, by: Sequence[str], gap: int, row_id: str) ->
 
 
 def readthroughs(transcripts: DataFrame, by: Sequence[str], row_id: str) -> DataFrame:
-    """Ids of transcripts that span two or more islands which the shorter transcripts of their group make by strict
-    overlap. Sequential by length within a group of overlapping transcripts, which is what a task holds."""
+    """Ids of readthroughs. transcripts: row_id, by, start, end and exons (array of start, end).
+
+    In a locus of three or more overlapping transcripts these are visited from the shortest span. One that strictly
+    overlaps no earlier cluster opens one with its own span (which does not grow); one that overlaps two or more is a
+    candidate. A candidate is a readthrough unless it overlaps every exon of each of the clusters' other transcripts (of
+    a single-exon transcript by a twentieth of it). Sequential within an island of overlapping transcripts, which is what
+    a task holds."""
     from .intervals import SCAN_BIN, with_island
 
-    islands = with_island(transcripts.select(row_id, *by, "start", "end"), by, scan_bin=SCAN_BIN)
+    spans = F.transform("exons", lambda e: F.struct(e["start"].cast("long").alias("start"), e["end"].cast("long").alias("end")))
+    islands = with_island(transcripts.select(row_id, *by, "start", "end", spans.alias("exons")), by, scan_bin=SCAN_BIN)
     schema = transcripts.select(row_id).schema
     names = [*by, "island"]
-    # fewer than three transcripts make no two blocks and a bridge
+    # fewer than three transcripts make no two clusters and a bridge
     members = islands.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 2").drop("_n")
-    islands = islands.join(members, names, "left_semi")
-
-    def spanning(group: pd.DataFrame) -> list:
-        found, blocks = [], []
-        ordered = group.assign(size=group["end"] - group["start"]).sort_values(["size", row_id], kind="stable")
-        for name, s, e in zip(ordered[row_id], ordered["start"], ordered["end"], strict=True):
-            met = [b for b in blocks if s < b[1] and b[0] < e]
-            if len(met) >= 2:
-                found.append(name)
-                continue
-            for b in met:
-                blocks.remove(b)
-            blocks.append((min([s, *[b[0] for b in met]]), max([e, *[b[1] for b in met]])))
-        return found
-
-    def run(bucket: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({row_id: [x for _, group in bucket.groupby(names, sort=False) for x in spanning(group)]}, dtype="int64")
-
-    buckets = 8 * int(transcripts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return islands.groupBy(F.pmod(F.xxhash64(*names), F.lit(buckets)).alias("bucket")).applyInPandas(run, schema)
+
+    def holds(candidate: list[tuple[int, int]], other: list[tuple[int, int]]) -> bool:
+        for s, e in other:
+            shared = [(max(s, a), min(e, b)) for a, b in candidate if a <= e and s <= b]
+            if not shared or len(other) == 1 and shared[0][1] - shared[0][0] < (e - s + 1) / 20:
+                return False
+        return True
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        ordered = group.assign(_size=group["end"] - group["start"]).sort_values(["_size", row_id], kind="stable")
+        clusters: list[tuple[int, int, list]] = []
+        candidates = []
+        for name, s, e, exons in zip(ordered[row_id], ordered["start"], ordered["end"], ordered["exons"], strict=True):
+            own = [(int(x["start"]), int(x["end"])) for x in exons]
+            met = [c for c in clusters if c[0] < e and c[1] > s]
+            if not met:
+                clusters.append((s, e, [own]))
+            elif len(met) == 1:
+                met[0][2].append(own)
+            else:
+                candidates.append((name, s, e, own))
+        found = [n for n, s, e, own in candidates if any(not holds(own, x) for c in clusters if c[0] < e and c[1] > s for x in c[2])]
+        return pd.DataFrame({row_id: found}, dtype="int64")
+
+    return islands.join(members, names, "left_semi").groupBy(*names).applyInPandas(run, schema)
 
 
 def set_cover(rows: DataFrame, by: Sequence[str], candidate: str, value: str, wanted: int) -> DataFrame:

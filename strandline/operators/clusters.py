@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -20,10 +20,10 @@ def exon_clusters(exons: DataFrame, keys: Sequence[str], gene_id: str = "gene_id
     """gene_id, cluster (its smallest gene): genes are linked if any of their exons overlap. Exons become islands, so a
     stack of exons makes one edge for each gene, not one for each pair."""
     islands = with_island(exons.select(*keys, "start", "end", gene_id), keys, scan_bin=scan_bin)
-    member = islands.select(F.col(gene_id).alias("gene"), F.xxhash64(*keys, "island").alias("at"), F.struct(*keys, "island").alias("place")).distinct()
-    # each gene is linked to the first gene of every island it is in
-    hub = F.min("gene").over(Window.partitionBy("place"))
-    edges = member.withColumn("hub", hub).select(F.col("gene").alias("a"), F.col("hub").alias("b"))
+    member = islands.select(F.col(gene_id).alias("gene"), F.struct(*keys, "island").alias("place"))
+    # each gene is linked to the first gene of every island it is in, summed before it is shuffled
+    hubs = member.groupBy("place").agg(F.min("gene").alias("hub"))
+    edges = member.join(hubs, "place").select(F.col("gene").alias("a"), F.col("hub").alias("b"))
     return components(edges).select(F.col("node").alias(gene_id), F.col("root").alias("cluster"))
 
 

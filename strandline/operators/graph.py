@@ -12,10 +12,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut, in the shared folder that the session names; a local one is set only if it names none."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """Number and checksums of distinct edges."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, root (the component's smallest node) for all nodes of edges (a, b); a = b makes a single node.
 
@@ -24,7 +32,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = checkpointed(edges.select("a", "b").distinct())
     nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
     now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    size = now.count()
+    mark = _mark(now)
     for _ in range(most_rounds):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -32,9 +40,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(small, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = checkpointed(moved.union(small.select("a", F.col("m").alias("b"))).distinct())
-        count = after.count()
-        settled = count == size and after.join(now, ["a", "b"], "left_anti").isEmpty()
-        now, size = after, count
+        new = _mark(after)
+        settled = new == mark
+        now, mark = after, new
         if settled:
             return nodes.join(now.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     raise RuntimeError("components did not settle")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,14 +17,34 @@ def top_rows(rows: DataFrame, by: Sequence[str], order: Sequence[Column], n: int
     return rows.withColumn("rank_in_group", F.row_number().over(window)).filter(F.col("rank_in_group") <= n)
 
 
-def best_in_genome(hits: DataFrame, by: Sequence[str], min_coverage: float, min_identity: float, near_coverage: float = 1.05, near_identity: float = 0.97) -> DataFrame:
-    """Hits of a group with its best coverage that pass both minima; where the best does not pass, those with coverage of
-    near_coverage times the minimum and identity of near_identity times the minimum."""
-    best = Window.partitionBy(*by)
-    top = F.col("coverage") == F.max("coverage").over(best)
+def best_in_genome(
+    hits: DataFrame, by: Sequence[str], min_coverage: float, min_identity: float, near_coverage: float = 1.05, near_identity: float = 0.97,
+    place: Sequence[str] = (), order: Sequence[Column] = (), spliced: str | None = None,
+) -> DataFrame:
+    """Hits of a group with its best coverage that pass both minima, or have near_coverage times the minimal coverage and
+    near_identity times the minimal identity.
+
+    With order (columns that rank a group's hits, unique at the end) the first hit is the group's best: with place (the
+    columns that name a sequence) hits that begin before it and end after it on the same sequence go, and with spliced (a
+    boolean column), if the best is spliced, the unspliced ones go as probable processed pseudogenes."""
+    group = Window.partitionBy(*by)
     passes = (F.col("coverage") >= min_coverage) & (F.col("identity") >= min_identity)
     near = (F.col("coverage") >= near_coverage * min_coverage) & (F.col("identity") >= near_identity * min_identity)
-    return hits.withColumn("_top", top).filter(F.col("_top") & (passes | near)).drop("_top")
+    good = (F.col("coverage") == F.max("coverage").over(group)) & (passes | near)
+    names = ["start", "end", *place, *([spliced] if spliced else [])]
+    if order:
+        best = F.first(F.struct(*names)).over(group.orderBy(*order))
+        marked = hits.withColumn("_best", best)
+        first = F.row_number().over(group.orderBy(*order)) == 1
+        if place:
+            same = F.lit(True)
+            for name in place:
+                same = same & (F.col(f"_best.{name}") == F.col(name))
+            good = good & ~(same & (F.col("start") < F.col("_best.start")) & (F.col("end") > F.col("_best.end")))
+        if spliced:
+            good = good & (first | F.col(spliced) | ~F.col(f"_best.{spliced}"))
+        return marked.withColumn("_good", good).filter("_good").drop("_best", "_good")
+    return hits.withColumn("_good", good).filter("_good").drop("_good")
 
 
 def best_within(hits: DataFrame, by: Sequence[str], score: str, within: float, least: float) -> DataFrame:
@@ -31,10 +53,11 @@ def best_within(hits: DataFrame, by: Sequence[str], score: str, within: float, l
     return best.filter((F.col("_best") >= least) & (F.col(score) >= F.col("_best") - within) & (F.col(score) >= least)).drop("_best")
 
 
-def capped_by_value(rows: DataFrame, by: Sequence[str], value: str, cap: int, most: float, row_id: Sequence[str]) -> DataFrame:
-    """Of each family the rows up to the cap-th smallest value (ties by row_id), without those over most."""
-    order = [F.col(value), *map(F.col, row_id)]
-    return top_rows(rows, by, order, cap).filter(F.col(value) <= most)
+def capped_by_value(rows: DataFrame, by: Sequence[str], value: str, cap: int, most: float | None = None) -> DataFrame:
+    """Of each family the rows up to its cap-th smallest value, ties of that value included; without those over most."""
+    rank = F.rank().over(Window.partitionBy(*by).orderBy(value))
+    kept = rows.withColumn("rank_in_group", rank).filter(F.col("rank_in_group") <= cap)
+    return kept if most is None else kept.filter(F.col(value) <= most)
 
 
 def deduplicated(rows: DataFrame, key: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
@@ -58,39 +81,36 @@ def best_of_two(first: DataFrame, second: DataFrame, key: str, names: tuple[str,
     )
 
 
-def _bucket(islands: DataFrame, names: Sequence[str]) -> Column:
-    """Many islands share one call: a hash of the island, eight for each shuffle partition."""
-    buckets = 8 * int(islands.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return F.pmod(F.xxhash64(*names), F.lit(buckets)).alias("bucket")
-
-
 def non_overlapping(hits: DataFrame, by: Sequence[str], score: str, row_id: str, scope: int | None = None) -> DataFrame:
     """Greedy selection: in each group, by score descending (ties by row_id), a hit is kept if it overlaps none kept.
 
     The choice is sequential within a set of hits that chain by overlap, but independent between such sets, so groups are
-    first cut into islands: what one task holds is one island, however large its group is."""
+    first cut into islands: what one task holds is one island, however large its group is. Kept hits are disjoint and lie
+    in order of start, so each hit is held against two of them."""
     from .intervals import SCAN_BIN, with_island
 
     islands = with_island(hits, by, scan_bin=scope or SCAN_BIN)
     schema = islands.schema
     names = [*by, "island"]
 
-    def choose_all(bucket: pd.DataFrame) -> pd.DataFrame:
-        kept = [choose(group) for _, group in bucket.groupby(names, sort=False)]
-        return pd.concat(kept) if kept else bucket
-
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values([score, row_id], ascending=[False, True], kind="stable")
         starts, ends, keep = [], [], []
-        for s, e in zip(group["start"], group["end"], strict=True):
-            fine = all(s > b or e < a for a, b in zip(starts, ends, strict=True))
+        for s, e in zip(group["start"].tolist(), group["end"].tolist(), strict=True):
+            at = bisect.bisect_right(starts, s)
+            fine = (at == 0 or ends[at - 1] < s) and (at == len(starts) or starts[at] > e)
             keep.append(fine)
             if fine:
-                starts.append(s)
-                ends.append(e)
+                starts.insert(at, s)
+                ends.insert(at, e)
         return group[keep]
 
-    return islands.groupBy(_bucket(islands, names)).applyInPandas(choose_all, schema).drop("island")
+    return islands.groupBy(*names).applyInPandas(choose, schema).drop("island")
+
+
+def domains(hits: DataFrame, by: Sequence[str], family: str, score: str, row_id: str, scope: int | None = None) -> DataFrame:
+    """Two greedy selections: first within each family of a group, then across families among those that stay."""
+    return non_overlapping(non_overlapping(hits, [*by, family], score, row_id, scope), by, score, row_id, scope)
 
 
 def depth_capped(hits: DataFrame, by: Sequence[str], name: str, score: str, cap: int, min_identity: float, scope: int | None = None) -> DataFrame:
@@ -108,37 +128,41 @@ def depth_capped(hits: DataFrame, by: Sequence[str], name: str, score: str, cap:
     schema = islands.select(*by, name).schema
     names = [*by, "island"]
 
-    def stay_all(bucket: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([stay(group) for _, group in bucket.groupby(names, sort=False)])
-
     def stay(group: pd.DataFrame) -> pd.DataFrame:
-        low = int(group["start"].min())
-        covered = pd.Series(0, index=range(int(group["end"].max()) - low + 1)).to_numpy()
+        # one cell for each stretch between borders of hits, not for each base
+        borders = np.unique(np.concatenate((group["start"].to_numpy(), group["end"].to_numpy() + 1)))
+        covered = np.zeros(len(borders), dtype=np.int64)
         kept = []
         for key, own in group.sort_values(["_score", "_identity", name], ascending=[False, False, True], kind="stable").groupby(name, sort=False):
-            spans = [(int(s) - low, int(e) - low + 1) for s, e in zip(own["start"], own["end"], strict=True)]
+            spans = list(zip(np.searchsorted(borders, own["start"]).tolist(), np.searchsorted(borders, own["end"] + 1).tolist(), strict=True))
             if any((covered[a:b] < cap).any() for a, b in spans):
                 kept.append(key)
             for a, b in spans:
                 covered[a:b] += 1
         return group[group[name].isin(kept)][[*by, name]].drop_duplicates()
 
-    return islands.groupBy(_bucket(islands, names)).applyInPandas(stay_all, schema).distinct()
+    return islands.groupBy(*names).applyInPandas(stay, schema).distinct()
 
 
 def layered(genes: DataFrame, exons: DataFrame, layers: Sequence[tuple[str, Sequence[str], Sequence[str], bool]], keys: Sequence[str], width: int) -> DataFrame:
     """Layer selection. layers: (name, biotypes, names of layers it is filtered against, discard). Genes of a layer stay
-    if none of their exons overlaps one of a survivor of the named layers; layers to discard block but are not returned."""
+    if none of their exons overlaps one of a survivor of the named layers; layers to discard block but are not returned.
+    A layer is one anti join against all its blockers together; exons and genes are computed once."""
     from .graph import checkpointed
     from .intervals import anti_overlap
 
+    exons = checkpointed(exons.select("gene_id", *keys, "start", "end"))
+    genes = checkpointed(genes)
     out, survivors = [], {}
     for name, biotypes, against, discard in layers:
         own = genes.filter(F.col("biotype").isin(*biotypes))
-        for other in against:
-            if other in survivors:
-                blockers = exons.join(survivors[other], "gene_id", "left_semi")
-                own = anti_overlap(own, exons.join(own.select("gene_id"), "gene_id", "left_semi"), blockers.select(*keys, "start", "end"), keys, ["gene_id"], width)
+        known = [survivors[other] for other in against if other in survivors]
+        if known:
+            ids = known[0]
+            for more in known[1:]:
+                ids = ids.union(more)
+            blockers = exons.join(ids, "gene_id", "left_semi")
+            own = anti_overlap(own, exons.join(own.select("gene_id"), "gene_id", "left_semi"), blockers.select(*keys, "start", "end"), keys, ["gene_id"], width)
         own = checkpointed(own.withColumn("layer", F.lit(name)))
         survivors[name] = own.select("gene_id")
         if not discard:

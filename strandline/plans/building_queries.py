@@ -66,12 +66,13 @@ def supplier_set_cover(spark, sf):
 
 
 def exon_paths(spark, sf):
-    """Paths through the exons of small models, where each exon leads to the next or the one after."""
-    exons = t.exons(spark, sf).select("gene_id", "rank").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gene_id"))).filter("n <= 5")
+    """Paths through the exons of every model, where each exon leads to the next or the one after."""
+    exons = t.exons(spark, sf).select("gene_id", "rank").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gene_id")))
     ahead = exons.select("gene_id", F.col("rank").alias("a"), F.explode(F.array(F.col("rank") + 1, F.col("rank") + 2)).alias("b"), "n").filter("b <= n")
     first = exons.filter("rank = 1").select("gene_id", F.col("rank").alias("node"))
     last = exons.filter("rank = n").select("gene_id", F.col("rank").alias("node"))
-    found = building.paths(ahead, first, last, ["gene_id"], 5)
+    longest = exons.agg(F.max("rank")).first()[0] or 0
+    found = building.paths(ahead, first, last, ["gene_id"], longest)
     return found.groupBy("gene_id").agg(F.count(F.lit(1)).alias("paths"), F.max("length").alias("longest"), F.min("path").alias("first_path"))
 
 
@@ -157,7 +158,7 @@ SELECT region, strand, count(*) AS kept, min(gene_id) AS first_gene FROM kept GR
   SELECT *, CASE WHEN "start" - lag("end") OVER w - 1 BETWEEN 0 AND 45 AND hit > lag(hit) OVER w THEN 0 ELSE 1 END AS opens FROM exons WINDOW w AS (PARTITION BY gene_id ORDER BY "start", rank)
 ), runs AS (SELECT *, (sum(opens) OVER (PARTITION BY gene_id ORDER BY "start", rank ROWS UNBOUNDED PRECEDING))::BIGINT AS run FROM marked)
 SELECT gene_id, run, count(*) AS hits, min("start") AS "start", max("end") AS "end" FROM runs GROUP BY 1, 2""",
-    "exon_paths": f"""WITH RECURSIVE {t.EXONS.strip()}, small AS (SELECT gene_id, max(rank) AS n FROM exons GROUP BY 1 HAVING max(rank) <= 5), walk AS (
+    "exon_paths": f"""WITH RECURSIVE {t.EXONS.strip()}, small AS (SELECT gene_id, max(rank) AS n FROM exons GROUP BY 1), walk AS (
   SELECT gene_id, n, 1 AS node, '1' AS path, 0 AS length FROM small
   UNION ALL SELECT gene_id, n, node + s, path || '.' || (node + s), length + 1 FROM walk, (VALUES (1), (2)) steps(s) WHERE node + s <= n
 )

@@ -112,7 +112,7 @@ def projected_exons(spark, sf):
     blocks = t.features(spark, sf).filter("flag = 'A'").select(
         "region", F.col("start") * 20 + 1, F.col("hit").alias("target")
     ).toDF("region", "start", "target").withColumn("end", F.col("start") + 199).withColumn("target_start", F.lit(1).cast("long")).withColumn("orientation", F.when(F.col("target") % 2 == 0, 1).otherwise(-1))
-    rows = t.exons(spark, sf).filter("rank = 1").select("gene_id", "region", "start", "end")
+    rows = t.exons(spark, sf).select("gene_id", "region", "start", "end")
     pieces = projection.projected(rows, blocks, ["region"], SPARSE)
     return pieces.groupBy("gene_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum(F.col("target_end") - F.col("target_start") + 1).alias("bases"), F.min("target_start").alias("low"), F.max("target_end").alias("high"))
 
@@ -242,7 +242,7 @@ SELECT seq_id, a, c, g, t, CASE WHEN n > 0 THEN round(100 * ((g + c) / n), 4) EN
     "projected_exons": f"""WITH {t.EXONS}, {t.FEATURES}, blocks AS (
   SELECT region, 20 * "start" + 1 AS b, 20 * "start" + 200 AS e, hit AS target, CASE WHEN hit % 2 = 0 THEN 1 ELSE -1 END AS orientation FROM features WHERE flag = 'A'
 ), pieces AS (
-  SELECT gene_id, greatest("start", b) AS lo, least("end", e) AS hi, b, e, orientation FROM exons x JOIN blocks k ON x.region = k.region AND x."start" <= e AND x."end" >= b WHERE rank = 1
+  SELECT gene_id, greatest("start", b) AS lo, least("end", e) AS hi, b, e, orientation FROM exons x JOIN blocks k ON x.region = k.region AND x."start" <= e AND x."end" >= b
 ), placed AS (SELECT gene_id, hi - lo AS span, CASE WHEN orientation = 1 THEN 1 + lo - b ELSE 1 + e - hi END AS low FROM pieces)
 SELECT gene_id, count(*) AS pieces, sum(span + 1)::BIGINT AS bases, min(low) AS low, max(low + span) AS high FROM placed GROUP BY 1""",
     "integrity": """

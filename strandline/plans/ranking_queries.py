@@ -19,7 +19,9 @@ LAYERS = [
 
 
 def best_in_genome(spark, sf):
-    found = ranking.best_in_genome(t.features(spark, sf), ["hit"], min_coverage=95, min_identity=96)
+    rows = t.features(spark, sf).withColumn("spliced", F.col("score") > 20000)
+    order = [F.desc("coverage"), F.desc("identity"), F.col("gene_id"), F.col("start"), F.col("end"), F.col("score")]
+    found = ranking.best_in_genome(rows, ["hit"], min_coverage=95, min_identity=96, place=["region"], order=order, spliced="spliced")
     return found.select("hit", "gene_id", "region", "start", "end", "coverage", "identity")
 
 
@@ -30,7 +32,7 @@ def best_within_two(spark, sf):
 
 def capped_family(spark, sf):
     hits = t.features(spark, sf).withColumn("evalue", F.round(100 - F.col("identity"), 4)).withColumn("family", F.col("hit") % 50)
-    found = ranking.capped_by_value(hits, ["family"], "evalue", 20, 4.0, ["gene_id", "start", "end", "score"])
+    found = ranking.capped_by_value(hits, ["family"], "evalue", 20, 4.0)
     return found.select("family", "gene_id", "start", "end", "evalue", F.col("rank_in_group").alias("rank"))
 
 
@@ -58,7 +60,7 @@ def best_of_two_sources(spark, sf):
 
 def domain_selection(spark, sf):
     hits = t.features(spark, sf).filter("flag = 'R'").withColumn("row_id", F.xxhash64("gene_id", "start", "end", "score", "hit"))
-    kept = ranking.non_overlapping(hits, STRANDED, "score", "row_id", DENSE)
+    kept = ranking.domains(hits.withColumn("family", F.col("hit") % 20), STRANDED, "family", "score", "row_id", DENSE)
     return kept.groupBy(*STRANDED).agg(F.count(F.lit(1)).alias("kept"), F.round(F.sum("score"), 2).alias("total"), F.min("start").alias("first"))
 
 
@@ -157,13 +159,16 @@ QUERIES = {
 
 ORACLE_SQL = {
     "best_in_genome": f"""WITH {t.FEATURES}
-SELECT hit, gene_id, region, "start", "end", coverage, identity FROM features
-QUALIFY coverage = max(coverage) OVER (PARTITION BY hit) AND ((coverage >= 95 AND identity >= 96) OR (coverage >= 1.05 * 95 AND identity >= 0.97 * 96))""",
+SELECT hit, gene_id, region, "start", "end", coverage, identity FROM (SELECT *, max(coverage) OVER (PARTITION BY hit) AS top, score > 20000 AS spliced,
+  row_number() OVER w AS n, first_value(region) OVER w AS b_region, first_value("start") OVER w AS b_start, first_value("end") OVER w AS b_end, first_value(score > 20000) OVER w AS b_spliced
+  FROM features WINDOW w AS (PARTITION BY hit ORDER BY coverage DESC, identity DESC, gene_id, "start", "end", score))
+WHERE coverage = top AND ((coverage >= 95 AND identity >= 96) OR (coverage >= 1.05 * 95 AND identity >= 0.97 * 96))
+  AND NOT (region = b_region AND "start" < b_start AND "end" > b_end) AND (n = 1 OR spliced OR NOT b_spliced)""",
     "best_within_two": f"""WITH {t.FEATURES}, best AS (SELECT *, max(identity) OVER (PARTITION BY hit) AS top FROM features)
 SELECT hit, count(*) AS kept, min(identity) AS least, max(identity) AS best FROM best WHERE top >= 92 AND identity >= top - 2 AND identity >= 92 GROUP BY hit""",
     "capped_family": f"""WITH {t.FEATURES}, ranked AS (
   SELECT hit % 50 AS family, gene_id, "start", "end", round(100 - identity, 4) AS evalue,
-    row_number() OVER (PARTITION BY hit % 50 ORDER BY round(100 - identity, 4), gene_id, "start", "end", score)::INTEGER AS rank FROM features)
+    rank() OVER (PARTITION BY hit % 50 ORDER BY round(100 - identity, 4))::INTEGER AS rank FROM features)
 SELECT * FROM ranked WHERE rank <= 20 AND evalue <= 4.0""",
     "top_hits_per_region": f"""WITH {t.FEATURES}, ranked AS (
   SELECT region, gene_id, "start", "end", score, row_number() OVER (PARTITION BY region ORDER BY score DESC, gene_id, "start", "end")::INTEGER AS rank FROM features)

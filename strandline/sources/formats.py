@@ -16,7 +16,8 @@ AGP = "object string, object_start long, object_end long, part int, kind string,
 
 
 def _tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("sep", "\t").option("comment", "#").option("quote", "").option("mode", "DROPMALFORMED").csv(path)
+    """Rows of a tabular file; a line that does not fit the schema is an error, never a loss."""
+    return spark.read.schema(schema).option("sep", "\t").option("comment", "#").option("quote", "").option("mode", "FAILFAST").csv(path)
 
 
 def gtf_attribute(name: str, attributes: str = "attributes") -> Column:
@@ -74,11 +75,22 @@ def write_fasta(rows: DataFrame, path: str, seq_id: str = "id", seq: str = "seq"
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """id, seq, quality: records are cut at a line feed before @ and checked to have their four lines."""
-    records = spark.read.option("lineSep", "\n@").text(path).select(F.regexp_replace("value", r"^@|\s+$", "").alias("value"))
-    parts = F.split("value", "\n")
-    found = records.filter((F.size(parts) == 4) & F.startswith(F.get(parts, F.lit(2)), F.lit("+")))
-    return found.select(F.regexp_extract(F.get(parts, F.lit(0)), r"^(\S+)", 1).alias("id"), F.get(parts, F.lit(1)).alias("seq"), F.get(parts, F.lit(3)).alias("quality"))
+    """id, seq, quality: four lines a record, by their number in the file, so a quality may begin with @. A file is one
+    range of line numbers; a line that does not fit its place is an error."""
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part")]
+    lines = spark.read.text(path).select(*where, F.monotonically_increasing_id().alias("at"), "value")
+    # lines of a part have consecutive ids; only the parts' counts are summed along a file
+    sizes = lines.groupBy("file", "part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("low"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = lines.join(sizes.select("file", "part", "low", before.alias("before")), ["file", "part"])
+    numbered = placed.withColumn("line", F.col("before") + F.col("at") - F.col("low"))
+    record = numbered.groupBy("file", F.floor(F.col("line") / 4).alias("record")).agg(
+        *[F.max(F.when(F.col("line") % 4 == i, F.regexp_replace("value", r"\s+$", ""))).alias(name) for i, name in enumerate(("head", "seq", "plus", "quality"))]
+    )
+    kept = record.filter(F.length(F.concat_ws("", "head", "seq", "plus", "quality")) > 0)
+    good = F.startswith("head", F.lit("@")) & F.startswith("plus", F.lit("+")) & (F.length("seq") == F.length("quality"))
+    checked = kept.withColumn("id", F.when(F.coalesce(good, F.lit(False)), F.regexp_extract("head", r"^@(\S+)", 1)).otherwise(F.raise_error(F.concat(F.lit("not a FASTQ record: "), F.coalesce("head", F.lit(""))))))
+    return checked.select("id", "seq", "quality")
 
 
 def read_junctions(spark: SparkSession, path: str) -> DataFrame:

@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 
 
 def test_readthroughs(spark):
-    rows = [(1, 1, 10), (2, 20, 30), (3, 5, 25), (4, 40, 50), (5, 8, 12), (6, 30, 41)]
-    frame = spark.createDataFrame([(i, 1, s, e) for i, s, e in rows], "gene_id long, region long, start long, end long")
-    # 3 joins the blocks 1-12 and 20-30; 6 meets 40-50 alone, since 30 only touches
-    assert [r["gene_id"] for r in building.readthroughs(frame, ["region"], "gene_id").collect()] == [3]
+    spans = {1: [(1, 10)], 2: [(20, 24), (28, 30)], 4: [(40, 50)], 5: [(8, 12)]}
+    # 3 bridges 1 and 2 but misses an exon of 2; 7 bridges them over all their exons and stays; 6 meets 40-50 alone; 8 takes
+    # under a twentieth of the single exon of 9
+    spans |= {3: [(5, 9), (20, 25)], 6: [(30, 41)], 7: [(2, 12), (21, 23), (28, 31)], 9: [(100, 199)], 10: [(230, 240)], 8: [(196, 198), (230, 330)]}
+    rows = [(i, 1, own[0][0], own[-1][1], [{"start": s, "end": e} for s, e in own]) for i, own in spans.items()]
+    frame = spark.createDataFrame(rows, "gene_id long, region long, start long, end long, exons array<struct<start:long,end:long>>")
+    assert sorted(r["gene_id"] for r in building.readthroughs(frame, ["region"], "gene_id").collect()) == [3, 8]
 
 
 def test_set_cover(spark):

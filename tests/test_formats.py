@@ -1,5 +1,8 @@
 """Text formats round trip through small files; streams give the rows of a batch."""
 
+import random
+
+import pytest
 from strandline.functions import sequence as q
 from strandline.sources import formats
 from strandline.streaming import windows
@@ -41,6 +44,21 @@ def test_fastq(spark, tmp_path):
     assert [(r["id"], r["seq"], r["quality"]) for r in found] == [("r1", "ACG", "III"), ("r2", "TT", "I@")]
 
 
+def test_fastq_over_parts_of_a_file(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(f"r{i}", "ACGT" * rng.randint(1, 9)) for i in range(400)]
+    path = write(tmp_path, "b.fq", "".join(f"@{n} x\n{s}\n+\n{'@' * len(s)}\n" for n, s in rows))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        frame = formats.read_fastq(spark, path)
+        assert sorted((r["id"], r["seq"], r["quality"]) for r in frame.collect()) == sorted((n, s, "@" * len(s)) for n, s in rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with pytest.raises(Exception, match="not a FASTQ record"):
+        formats.read_fastq(spark, write(tmp_path, "c.fq", "@r1\nACG\n+\nII\n")).collect()
+
+
 def test_junctions_agp_chain(spark, tmp_path):
     rows = formats.read_junctions(spark, write(tmp_path, "sj.tab", "1\t5\t9\t1\t1\t0\t3\t3\n1\t5\t9\t1\t1\t0\t1\t0\n"))
     assert formats.junction_depth(rows).first()["depth"] == 6
