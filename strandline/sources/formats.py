@@ -142,3 +142,70 @@ def read_chain(spark: SparkSession, path: str) -> DataFrame:
 def write_sorted(rows: DataFrame, path: str, partitions: int, by: list[str]) -> None:
     """rows as Parquet, ranged and sorted by position, so that later region scans skip row groups."""
     rows.repartitionByRange(partitions, *by).sortWithinPartitions(*by).write.parquet(path)
+
+
+ASSEMBLY = "name string, role string, molecule string, location string, genbank string, relation string, refseq string, unit string, length string, ucsc string"
+
+
+def read_assembly_report(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each sequence of an assembly report; values of `na` are null, length is a number."""
+    rows = _tsv(spark, path, ASSEMBLY)
+    plain = [F.when(~F.trim(c).isin("na", ""), F.trim(c)).alias(c) for c in rows.columns if c != "length"]
+    return rows.select(*plain, F.trim("length").cast("long").alias("length"))
+
+
+def synonyms(report: DataFrame) -> DataFrame:
+    """name, source, synonym: every other name that an assembly report gives a sequence."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("source"), F.col(c).alias("synonym")) for c in ("genbank", "refseq", "ucsc")])).alias("p")
+    return report.select("name", pairs).select("name", "p.*").filter("synonym IS NOT NULL AND synonym <> name")
+
+
+def read_vulgar(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each operation of each vulgar line: hit (a number), query, target, strand, score, nth, op, query_start, query_end,
+    target_start, target_end. Starts count from 1 on the forward strand; an operation of no length on a side ends before it starts."""
+    lines = spark.read.text(path).filter(F.startswith("value", F.lit("vulgar: "))).withColumn("hit", F.monotonically_increasing_id())
+    parts = F.split(F.trim(F.regexp_replace("value", "^vulgar: ", "")), r"\s+")
+    names = ("query", "q_from", "q_to", "q_strand", "target", "t_from", "t_to", "t_strand", "score")
+    head = lines.select("hit", *[F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)], F.slice(parts, 10, F.size(parts)).alias("rest"))
+    triple = lambda i: F.struct(F.get("rest", i).alias("op"), F.get("rest", i + 1).cast("long").alias("q"), F.get("rest", i + 2).cast("long").alias("t"))
+    ops = head.withColumn("ops", F.transform(F.sequence(F.lit(0), F.size("rest") - 3, F.lit(3)), triple))
+    rows = ops.select("hit", *names, F.posexplode("ops").alias("nth", "o")).select("hit", *names, "nth", "o.*")
+    before = Window.partitionBy("hit").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
+    done = {side: F.coalesce(F.sum(side).over(before), F.lit(0)) for side in ("q", "t")}
+
+    def low(side: str):
+        at = F.col(f"{side}_from").cast("long")
+        return F.when(F.col(f"{side}_strand") == "-", at - done[side] - F.col(side)).otherwise(at + done[side]) + 1
+
+    strand = F.when(F.col("t_strand") == "-", -1).otherwise(1)
+    placed = rows.withColumns({"query_start": low("q"), "target_start": low("t")})
+    return placed.select(
+        "hit", "query", "target", strand.alias("strand"), F.col("score").cast("long").alias("score"), "nth", "op",
+        "query_start", (F.col("query_start") + F.col("q") - 1).alias("query_end"), "target_start", (F.col("target_start") + F.col("t") - 1).alias("target_end"),
+    )
+
+
+def read_repeatmasker(spark: SparkSession, path: str) -> DataFrame:
+    """region, start, end, strand, repeat, family, score, divergence of a RepeatMasker table; its heading is left out."""
+    fields = F.split(F.trim("value"), r"\s+")
+    rows = spark.read.text(path).filter(F.col("value").rlike(r"^\s*\d+\s")).select(fields.alias("f"))
+    get = lambda i: F.get("f", F.lit(i))
+    return rows.select(
+        get(4).alias("region"), get(5).cast("long").alias("start"), get(6).cast("long").alias("end"), F.when(get(8) == "C", -1).otherwise(1).alias("strand"),
+        get(9).alias("repeat"), get(10).alias("family"), get(0).cast("long").alias("score"), get(1).cast("double").alias("divergence"),
+    )
+
+
+def read_embl(spark: SparkSession, path: str) -> DataFrame:
+    """id, accession, description, features (array of kind, location), seq of each record of an EMBL flat file; a record ends
+    with a line of two slashes and is never cut."""
+    text = F.concat(F.lit("\n"), "value")
+    records = spark.read.option("lineSep", "\n//").text(path).filter(F.contains(text, F.lit("\nID ")))
+    lines = lambda code: F.array_join(F.regexp_extract_all(text, F.lit(rf"\n{code}   ([^\n]*)"), F.lit(1)), " ")
+    kinds = F.regexp_extract_all(text, F.lit(r"\nFT   (\S+)"), F.lit(1))
+    places = F.regexp_extract_all(text, F.lit(r"\nFT   \S+\s+(\S+)"), F.lit(1))
+    body = F.regexp_replace(F.regexp_extract(text, r"(?s)\nSQ [^\n]*\n(.*)$", 1), r"[^A-Za-z]", "")
+    return records.select(
+        F.regexp_extract(text, r"\nID   ([^;\s]+)", 1).alias("id"), F.regexp_extract(text, r"\nAC   ([^;\s]+)", 1).alias("accession"), lines("DE").alias("description"),
+        F.zip_with(kinds, places, lambda k, p: F.struct(k.alias("kind"), p.alias("location"))).alias("features"), F.upper(body).alias("seq"),
+    )

@@ -85,3 +85,29 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = windows.windowed_counts(events)
     key = lambda r: (r["window_start"], r["event_type"], r["n"], round(r["total"], 4))
     assert sorted(map(key, table.collect())) == sorted(map(key, batch.collect()))
+
+
+def test_assembly_report(spark, tmp_path):
+    line = "1\tassembled-molecule\t1\tChromosome\tCM1.2\t=\tNC_1.1\tPrimary\t123\tchr1\r\n"
+    report = formats.read_assembly_report(spark, write(tmp_path, "r.txt", "# Name\n" + line + "s2\tunplaced-scaffold\tna\tna\tKK.1\t<>\tna\tPrimary\t9\tna\n"))
+    assert [(r["name"], r["molecule"], r["refseq"], r["length"], r["ucsc"]) for r in report.orderBy("name").collect()] == [("1", "1", "NC_1.1", 123, "chr1"), ("s2", None, None, 9, None)]
+    assert sorted(tuple(r) for r in formats.synonyms(report).collect()) == [("1", "genbank", "CM1.2"), ("1", "refseq", "NC_1.1"), ("1", "ucsc", "chr1"), ("s2", "genbank", "KK.1")]
+
+
+def test_vulgar(spark, tmp_path):
+    text = "Command line: x\nvulgar: p1 0 10 . chr1 100 140 + 55 M 4 12 I 0 10 M 6 18\nvulgar: p2 2 6 . chr2 50 38 - 9 M 1 3 G 1 0 M 2 9\n"
+    rows = formats.read_vulgar(spark, write(tmp_path, "v.txt", text)).orderBy("hit", "nth").collect()
+    assert [tuple(r)[1:] for r in rows] == [
+        ("p1", "chr1", 1, 55, 0, "M", 1, 4, 101, 112), ("p1", "chr1", 1, 55, 1, "I", 5, 4, 113, 122), ("p1", "chr1", 1, 55, 2, "M", 5, 10, 123, 140),
+        ("p2", "chr2", -1, 9, 0, "M", 3, 3, 48, 50), ("p2", "chr2", -1, 9, 1, "G", 4, 4, 48, 47), ("p2", "chr2", -1, 9, 2, "M", 5, 6, 39, 47),
+    ]
+
+
+def test_repeatmasker_and_embl(spark, tmp_path):
+    table = "   SW  perc\nscore  div.\n\n  463   1.3  0.6  1.7  chr1  10001   10468 (243) +  (TAACCC)n  Simple_repeat  1  463 (0) 1\n  239  29.4  1.9  1.0  chr1  10469  11447 (1) C  TAR1  Satellite (399) 1712  483 2\n"
+    rows = formats.read_repeatmasker(spark, write(tmp_path, "r.out", table)).orderBy("start").collect()
+    assert [tuple(r) for r in rows] == [("chr1", 10001, 10468, 1, "(TAACCC)n", "Simple_repeat", 463, 1.3), ("chr1", 10469, 11447, -1, "TAR1", "Satellite", 239, 29.4)]
+    record = "ID   X1; SV 1; linear; DNA\nAC   X1;\nDE   first line\nDE   second\nFT   source          1..8\nFT                   /organism=\"h\"\nFT   CDS             join(1..3,5..7)\nSQ   Sequence 8 BP;\n     acgt acgt        8\n//\n"
+    found = formats.read_embl(spark, write(tmp_path, "e.embl", record + record.replace("X1", "X2"))).orderBy("id").collect()
+    assert [(r["id"], r["accession"], r["description"], r["seq"]) for r in found] == [(n, n, "first line second", "ACGTACGT") for n in ("X1", "X2")]
+    assert [(f["kind"], f["location"]) for f in found[0]["features"]] == [("source", "1..8"), ("CDS", "join(1..3,5..7)")]
