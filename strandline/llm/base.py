@@ -146,6 +146,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         to = max(at + 1, int(np.searchsorted(size, done + limit, side="right")))
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 def extended(df: DataFrame, more: str) -> StructType:

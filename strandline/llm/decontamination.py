@@ -3,19 +3,22 @@
 Of every run of w consecutive k-grams the smallest hash is kept, in documents and benchmark items alike, so any shared
 span of k + w - 1 words has a common fingerprint at a common place. With k + w - 1 equal to the window (10 words, or all
 words of a shorter item) no shared window is missed. Fingerprints of documents are joined with those of the benchmark,
-and each hit is extended to the windows around it, which must agree in all words.
+and each hit is extended to the windows around it, which must agree as a whole.
 
 Two ways for the join, by the measured number of benchmark windows: up to BROADCAST_WINDOWS the index is sent to all
 tasks as sorted arrays; beyond that both sides are shuffled by fingerprint, then by window.
 
-Defined cases: null and wordless texts hit nothing; rows of an item id count as one item; a null item id is an item
-named by the empty string; items with equal windows are all listed; repeated documents get equal results; an empty
-benchmark leaves every document clean; other columns are not read.
+Words are equal if their 64-bit fingerprints are, and windows if theirs are: two different windows out of n share one with
+odds of n / 2 ** 64 for each window they are held against.
+
+Defined cases: null and wordless texts hit nothing; a very long text is read whole; of k-grams with equal hashes all are
+kept; rows of an item id count as one item; a null item id is an item named by the empty string; items with equal windows
+are all listed; repeated documents get equal results; an empty benchmark leaves every document clean, and an empty table
+gives no rows; other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,10 +101,6 @@ def _among(sorted_prints: np.ndarray, prints: np.ndarray) -> np.ndarray:
     return sorted_prints[at] == prints
 
 
-def _digest(items: set[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-
-
 RESULT = ["n_words", "n_hit", "n_items", "items", "hit_at"]
 RESULT_TYPES = "n_words long, n_hit long, n_items long, items array<string>, hit_at binary"
 
@@ -220,12 +219,12 @@ def _by_shuffle(docs: DataFrame, index: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """docs with n_words, n_hit, n_items, items (sorted ids) and hit_at (places of hit words, 32-bit); columns of these
     names are replaced."""
-    docs = docs.drop(*RESULT)
-    if text != "text":
-        docs = docs.drop("text").withColumnRenamed(text, "text")
+    kept = [c for c in docs.columns if c not in RESULT]
+    # the other columns travel as one, so that none of their names matters
+    packed = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in kept if c != text] or [F.lit(0).alias("none")]).alias("row"))
     index = written(item_index(items, window))
-    found = (_by_broadcast if index.count() <= broadcast_windows else _by_shuffle)(docs, index)
-    return found.withColumnRenamed("text", text)
+    found = (_by_broadcast if index.count() <= broadcast_windows else _by_shuffle)(packed, index)
+    return found.select(*[F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in kept], *RESULT)
 
 
 def op2_winnowing(spark, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ AFFIXES = (1, 2, 3, 4)
 #: A word is in the lexicon if the sample has it so often, and this share of it in one language.
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.8
 #: Text of one numpy step, and distinct words whose features are laid out at once.
-SLICE = 2_000_000
+SLICE = 1_500_000
 DISTINCT = 20_000
 UNKNOWN = "und"
 
@@ -152,47 +152,54 @@ def _marginals(emit: np.ndarray, first: np.ndarray, moves: np.ndarray, start: np
     return ahead, pairs
 
 
+def _features_of(batch: pa.RecordBatch, wanted: np.ndarray, lexicon: np.ndarray, lexicon_label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row (place in wanted, ascending) and table entry of the features of the words with the wanted hashes."""
+    rows, entries = [], []
+    done = np.zeros(len(wanted), dtype=bool)
+    for part in slices(batch, "text", SLICE):
+        words = words_of(column(part, "text"), ALNUM, LOWER)
+        place = np.minimum(np.searchsorted(wanted, words.hashes), len(wanted) - 1)
+        at = np.flatnonzero((wanted[place] == words.hashes) & ~done[place])
+        place, first = np.unique(place[at], return_index=True)
+        if len(place):
+            row, entry = _features(words, _Spans(words), at[first], lexicon, lexicon_label)
+            rows.append(place[row].astype(np.int32))
+            entries.append(entry.astype(np.int32))
+            done[place] = True
+    row, entry = np.concatenate(rows), np.concatenate(entries)
+    order = np.argsort(row, kind="stable")
+    return row[order], entry[order]
+
+
 def fitted(texts: list[str], langs: list[str]) -> Field | None:
     """The field of a sample of labelled texts; the same for the same sample. Texts are read about SLICE bytes at a time;
     what stays is a hash for each word and the features of each distinct word."""
-    own_words: list[tuple[np.ndarray, np.ndarray]] = []  # hashes and labels, text by text
-    new_rows, new_entries = [], []
-    seen = np.zeros(0, dtype=np.uint64)
-    grams = np.zeros(TABLE, dtype=bool)
     names = sorted(set(langs))
     batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([names.index(x) for x in langs], pa.int32())], ["text", "lang"])
     none = np.zeros(0, dtype=np.uint64)
+    own_hashes, own_labels, seen = [none], [none.astype(np.int64)], none
+    grams = np.zeros(TABLE, dtype=bool)
     for part in slices(batch, "text", SLICE):
         words = words_of(column(part, "text"), ALNUM, LOWER)
-        own_words.append((words.hashes, np.repeat(column(part, "lang").to_numpy(), words.counts())))
+        own_hashes.append(words.hashes)
+        own_labels.append(np.repeat(column(part, "lang").to_numpy().astype(np.int64), words.counts()))
         found, at = np.unique(words.hashes, return_index=True)
         fresh = ~np.isin(found, seen, assume_unique=True)
-        found, at = found[fresh], at[fresh]
-        if len(found):
-            spans = _Spans(words)
-            row, entry = _features(words, spans, at, none, none)
-            grams[_grams(spans, words.starts[at], words.ends[at] - words.starts[at], 3)[1]] = True
-            new_rows.append((row + len(seen)).astype(np.int32))
-            new_entries.append(entry.astype(np.int32))
-            seen = np.concatenate((seen, found))
-    hashes = np.concatenate([none, *[h for h, _ in own_words]])
+        if fresh.any():
+            at = at[fresh]
+            grams[_grams(_Spans(words), words.starts[at], words.ends[at] - words.starts[at], 3)[1]] = True
+            seen = np.concatenate((seen, found[fresh]))
+    hashes, label = np.concatenate(own_hashes), np.concatenate(own_labels)
     if not len(hashes):
         return None
-    label = np.concatenate([y for _, y in own_words]).astype(np.int64)
     used = np.unique(label)
     labels = [names[y] for y in used.tolist()]  # languages whose texts have words
     label, size = np.searchsorted(used, label), len(labels)
-    order = np.argsort(seen)
-    which = order[np.searchsorted(seen, hashes, sorter=order)]
+    seen = np.sort(seen)
+    which = np.searchsorted(seen, hashes)
     counts = np.stack([np.bincount(which[label == y], minlength=len(seen)) for y in range(size)], axis=1)
     sure = np.flatnonzero((counts.sum(axis=1) >= LEXICON_COUNT) & (counts.max(axis=1) >= LEXICON_SHARE * counts.sum(axis=1)))
-    sure = sure[np.argsort(seen[sure])]
     lexicon, lexicon_label = seen[sure], counts.argmax(axis=1)[sure]
-    rows = np.concatenate([*new_rows, sure.astype(np.int32)])
-    entries = np.concatenate([*new_entries, _lexicon_entries(lexicon_label).astype(np.int32)])
-    order = np.argsort(rows, kind="stable")
-    rows, entries = rows[order], entries[order]
-    pointer = np.searchsorted(rows, np.arange(len(seen) + 1, dtype=np.int32))
 
     rng = np.random.default_rng(7)
     own = [np.flatnonzero(label == y) for y in range(size)]
@@ -210,6 +217,12 @@ def fitted(texts: list[str], langs: list[str]) -> Field | None:
         gold.append(y[:SEQUENCE])
     chains, gold = np.array(chains), np.array(gold)
 
+    # features of the words that the sequences hold
+    kept, chains = np.unique(chains, return_inverse=True)
+    chains = chains.reshape(len(gold), SEQUENCE)
+    rows, entries = _features_of(batch, seen[kept], lexicon, lexicon_label)
+    pointer = np.searchsorted(rows, np.arange(len(kept) + 1, dtype=np.int32))
+
     weights = np.zeros((TABLE, size))
     moves, start = np.zeros((size, size)), np.zeros(size)
     spread, move_spread = np.full(TABLE, 1e-6), 1e-6

@@ -12,7 +12,8 @@ pieces is the merged form exactly if each neighbouring pair is. So the same pass
 The vocabulary is read on the driver and broadcast: its size is the model's. Words already encoded are kept by each
 Python worker, up to KEPT_BYTES of memory. Nothing is shuffled.
 
-Defined cases: a null text has null ids and decodes to null; an empty one has none; a character outside the vocabulary
+Defined cases: a null text has null ids and decodes to null; an empty one has none; a very long text is read whole, and so
+is a word of any length; an empty table gives no rows; columns of the result's names are replaced, others stay; a character outside the vocabulary
 becomes its UTF-8 bytes, or the unknown id if the model has no bytes; the mark U+2581 in a text is read as a space, the
 one case (besides unknown ids) in which decoding does not give the text back; repeated rows get equal results.
 """
@@ -32,9 +33,9 @@ from .base import column, extended, slices
 
 MARK = "▁"
 #: Memory, in bytes (about), of the marked words of one worker whose ids are kept, and words beside them.
-KEPT_BYTES = 48_000_000
+KEPT_BYTES = 32_000_000
 KEPT_WORDS = 100_000
-SLICE = 2_000_000
+SLICE = 1_000_000
 
 
 def splitter(pieces: Collection[str]) -> re.Pattern[str]:

@@ -1,6 +1,5 @@
 """SimHash, winnowing, fixed blocks and sharding against brute force on small rows with every odd case."""
 
-import hashlib
 import random
 import re
 
@@ -261,7 +260,3 @@ def test_permutation_is_whole(spark, n):
 
 def test_shards_of_nothing(nothing):
     assert sharding.sharded(nothing, 40).count() == 0
-
-
-def test_digest_of_no_items():
-    assert decontamination._digest(set()) == hashlib.sha256(b"").hexdigest()

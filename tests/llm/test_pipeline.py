@@ -45,3 +45,66 @@ def test_each_operator_has_a_query(n):
 
 def test_pipeline_is_registered():
     assert "pipeline" in entry.queries()
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_stage_edges(spark, name, stage):
+    """Null and empty texts, null ids, repeated rows, clashing columns and an empty table go through every stage."""
+    schema = "doc_id long, text string, lang string, n_chars int, score double, items string, `row` int, ids string, tag long, known long, `found` string, fp int, `a b` int"
+    text = "the light of the river and the stone house under the hill is over the sea. " * 3
+    more = (0.5, "i", 1, "x", 2, 3, "f", 4, 5)
+    rows = [(1, text, "en", 1, *more), (1, text, "en", 1, *more), (None, text + "again a quite different end of it", "en", 1, *more), (3, None, None, None, *more), (4, "", "en", 0, *more), (5, "die der das und nicht mit " * 9, "de", 3, *more)]
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    found = stage(spark, docs, SF)
+    if name == "sentencepiece":
+        assert set(docs.columns) - {"ids"} <= set(found.columns) and found.count() == len(rows)
+    else:
+        assert found.columns == docs.columns
+        kept = found.collect()
+        assert all((r["score"], r["items"], r["row"], r["ids"], r["tag"], r["known"], r["found"], r["fp"], r["a b"]) == more for r in kept)
+        assert {r["doc_id"] for r in kept} >= {1, None, 5}
+        assert len(kept) == {"language": 4, "near_duplicates": 4, "decontamination": 6, "personal_data": 6}[name]
+    assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """run() keeps one of each group of similar texts without benchmark windows, redacted, with the library's ids."""
+    import re
+
+    import sentencepiece
+    from strandline.llm import sentencepiece_viterbi
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(90)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    own = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    lower = lambda t: re.sub("[A-Z]", lambda m: m.group().lower(), t)
+    shingles = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, w in ((d, re.findall(r"[^\x20\x09-\x0D]+", lower(t))) for d, t in own)}
+    root = {d: d for d, _ in own}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for i, (a, _) in enumerate(own):
+        for b, _ in own[:i]:
+            if 9 * len(shingles[a] & shingles[b]) >= 4 * (len(shingles[a]) + len(shingles[b])):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t or ""))
+    windows = set()
+    for (t,) in items.select("text").collect():
+        w = words(t)
+        n = min(10, len(w))
+        windows |= {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if n else set()
+    sizes = {len(w) for w in windows}
+    dirty = {d for d, t in own for w in [words(t)] for n in sizes for i in range(len(w) - n + 1) if tuple(w[i : i + n]) in windows}
+    wanted = {d for d, t in own if find(d) == d and d not in dirty and any(map(str.isalpha, t))}
+    library = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_viterbi.default_model())
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in found} == wanted and len(found) == len(wanted)
+    for r in found:
+        assert r["ids"] == library.encode(r["text"]) and r["n_tokens"] == len(r["ids"]) and r["n_chars"] == len(r["text"])
+        assert not re.search(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r["text"])
