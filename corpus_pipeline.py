@@ -23,10 +23,13 @@ from strandline.llm import decontamination, language, pii, sentencepiece_viterbi
 from strandline.llm.base import shared_dir
 
 LEAST_KNOWN = 0.6
+#: Rows of one Arrow batch: what a Python worker and its executor hold at once of texts of any length.
+BATCH_ROWS = 1_000
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """text, and the other columns as one, so that an operator's columns clash with none of them."""
+    """text, and the other columns as one, so that an operator's columns clash with none of them. Batches stay small."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     return docs.select("text", F.struct(*others or [F.lit(None).alias("none")]).alias("row"))
 
