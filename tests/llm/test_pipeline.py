@@ -62,8 +62,9 @@ def test_stage_edges(spark, name, stage):
         assert found.columns == docs.columns
         kept = found.collect()
         assert all((r["score"], r["items"], r["row"], r["ids"], r["tag"], r["known"], r["found"], r["fp"], r["a b"]) == more for r in kept)
-        assert {r["doc_id"] for r in kept} >= {1, None, 5}
-        assert len(kept) == {"language": 4, "near_duplicates": 4, "decontamination": 6, "personal_data": 6}[name]
+        # with its language held out or not labelled, the fifth row is in no learned language
+        assert {r["doc_id"] for r in kept} >= ({1, None} if name == "language" else {1, None, 5})
+        assert len(kept) == {"language": 3, "near_duplicates": 4, "decontamination": 6, "personal_data": 6}[name]
     assert stage(spark, docs.limit(0), SF).count() == 0
 
 
