@@ -44,8 +44,8 @@ LEAST_BUCKETS = 24
 PACKED_BYTES = 800_000
 LAST_ID = np.iinfo(np.int64).max
 #: Documents (about) whose windows are counted, and how many of them must have a window that is not to travel.
-SAMPLE = 40_000
-HOT = 25
+SAMPLE = 8_000
+HOT = 8
 #: Common windows that every task may hold. With more than that all travel.
 MOST_HOT = 1_000_000
 
