@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -80,12 +81,26 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def spans_hashed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, radix: int) -> np.ndarray:
-    """A 64-bit hash of values[s:e] for each span, by differences of one running polynomial."""
-    inverse = pow(radix, -1, 1 << 64)
-    total = np.zeros(len(values) + 1, dtype=U64)
-    np.cumsum(values * _powers(radix, len(values), _CACHE), out=total[1:])
-    return mixed((total[ends] - total[starts]) * _powers(inverse, len(values) + 1, _CACHE)[starts] + (ends - starts).astype(U64))
+def weights(n: int, seed: int) -> np.ndarray:
+    """n odd numbers that follow no rule a text could meet: one for each place in a word or window."""
+    return mixed(np.arange(1, n + 1, dtype=U64) * U64(seed)) | U64(1)
+
+
+@lru_cache(maxsize=64)
+def _steps(k: int) -> np.ndarray:
+    return weights(k, _STEP)
+
+
+def spans_hashed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of values[s:e] for each of some spans, in order and apart: the sum of each value times the weight of
+    its place in the span. Powers of one number would not do for weights: modulo 2 ** 64 strings of two letters that are
+    built from one another by exchange (Thue-Morse) have equal sums whatever the number."""
+    length = ends - starts
+    place = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+    total = np.zeros(len(place) + 1, dtype=U64)
+    np.cumsum(values[place + np.repeat(starts, length)] * weights(int(length.max(initial=0)), _RADIX)[place], out=total[1:])
+    until = np.cumsum(length)
+    return mixed(total[until] - total[until - length] + length.astype(U64))
 
 
 @dataclass
@@ -112,7 +127,10 @@ class Words:
         return at, self.window_hashes(at, k)
 
     def window_hashes(self, at: np.ndarray, k: int) -> np.ndarray:
-        return spans_hashed(self.hashes, at, at + k, _STEP)
+        total = np.full(len(at), k, dtype=U64)
+        for place, weight in enumerate(_steps(k)):
+            total += self.hashes[at + place] * weight
+        return mixed(total)
 
 
 def words_of(texts: pa.Array, kind: np.ndarray, fold: np.ndarray = SAME) -> Words:
@@ -134,7 +152,7 @@ def words_of(texts: pa.Array, kind: np.ndarray, fold: np.ndarray = SAME) -> Word
     else:
         starts = ends = np.zeros(0, dtype=np.int64)
     first = np.searchsorted(starts, offsets, side="left")
-    return Words(data, starts, ends, first, spans_hashed(_BYTE[data], starts, ends, _RADIX))
+    return Words(data, starts, ends, first, spans_hashed(_BYTE[data], starts, ends))
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

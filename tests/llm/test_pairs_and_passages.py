@@ -3,11 +3,12 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from strandline.llm import decontamination, sharding, simhash, substrings
+from strandline.llm import base, decontamination, sharding, simhash, substrings
 
 WORDS = ["the", "of", "sea", "Ünder", "x1", "rain", "stone", "a", "light", "MARK", "ñandú", "river"]
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -260,3 +261,28 @@ def test_permutation_is_whole(spark, n):
 
 def test_shards_of_nothing(nothing):
     assert sharding.sharded(nothing, 40).count() == 0
+
+
+def alike(letters):
+    """A string of 1,024 letters and its exchange: equal under every polynomial modulo 2 ** 64."""
+    a, b = letters
+    for _ in range(10):
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("letters", ["ab", "xq"])
+def test_exchanged_strings_are_no_repeats(spark, letters):
+    one, two = (" ".join(f"{word}{i}" for i in range(14)) for word in alike(letters))
+    frame = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    assert [r["n_removed"] for r in substrings.without_repeats(frame).collect()] == [0, 0]
+    items = spark.createDataFrame([("i", one)], "item_id string, text string")
+    assert {r["doc_id"]: r["n_hit"] for r in decontamination.contaminated(frame, items).collect()} == {1: 14, 2: 0}
+
+
+def test_exchanged_windows_have_hashes_of_their_own():
+    order = "".join(alike("xy")[0])
+    words = [order, order.translate(str.maketrans("xy", "yx"))]
+    for n in (8, 16, 32):
+        own = base.words_of(pa.array([" ".join(w[:n]) for w in words]), base.NONSPACE)
+        assert len(set(own.windows(n)[1].tolist())) == 2
