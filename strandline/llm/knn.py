@@ -24,7 +24,7 @@ names; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -42,12 +42,12 @@ NEAR = 3
 SLACK = 1e-9
 
 
-def scaled(vectors: DataFrame, vec_id: str, embedding: str, scale: int = SCALE) -> DataFrame:
-    """vec_id, v (array of long): floor(scale * x) of the vectors that take part."""
+def scaled(vectors: DataFrame, vec_id: str, embedding: str, scale: int = SCALE, keep: Sequence[str] = ()) -> DataFrame:
+    """vec_id, v (array of long): floor(scale * x) of the vectors that take part; then the columns of keep."""
     x = F.col(embedding)
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf")))
     ints = F.transform(x, lambda c: F.floor(c.cast("double") * scale).cast("long"))
-    return vectors.filter(F.col(vec_id).isNotNull() & x.isNotNull() & fine).select(F.col(vec_id).cast("long").alias("vec_id"), ints.alias("v"))
+    return vectors.filter(F.col(vec_id).isNotNull() & x.isNotNull() & fine).select(F.col(vec_id).cast("long").alias("vec_id"), ints.alias("v"), *keep)
 
 
 def _matrix(lists: pd.Series, width: int) -> np.ndarray:
