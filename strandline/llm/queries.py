@@ -8,6 +8,7 @@ from .html_text import op8_host_paths
 from .knn import OP6_SQL, op6_voronoi_top_k
 from .language import op9_crf_language
 from .licences import op7_rare_licence_words
+from .ngram_trie import op13_elias_fano_scores
 from .pii import op1_bootstrapped_pii
 from .sentencepiece_viterbi import op5_sentencepiece
 from .sharding import op3_feistel_shards
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_fixed_blocks": op10_fixed_blocks,
     "op11_hilbert_codes": op11_hilbert_codes,
     "op12_strassen_negatives": op12_strassen_negatives,
+    "op13_elias_fano_scores": op13_elias_fano_scores,
 }
 
 ORACLE_SQL: dict[str, str] = {
