@@ -121,6 +121,28 @@ def subtracted(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: S
     return joined.select(*own, F.explode(F.when(F.col("cuts").isNull(), whole).otherwise(pieces)).alias("p")).select(*own, "p.start", "p.end")
 
 
+def overlap_sums(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: Sequence[str], values: Sequence[str], scan_bin: int = SCAN_BIN) -> DataFrame:
+    """left_id, values: for each interval of left the sums of right's values over the intervals that overlap it. No pair is
+    made: what starts up to the interval's end, less what ends before its start, by scans in two levels."""
+    keys, left_id, values = list(keys), list(left_id), list(values)
+    sums = [F.col(v).cast("double").alias(f"_{v}") for v in values]
+    marks = {"_starts": F.col("start"), "_ends": F.col("end") + 1}
+    steps = [right.select(*keys, at.alias("_at"), F.lit(name).alias("_kind"), *sums) for name, at in marks.items()]
+    steps = steps[0].unionByName(steps[1]).groupBy(*keys, "_kind", "_at").agg(*[F.sum(f"_{v}").alias(f"_{v}") for v in values])
+    own = left.select(F.struct(*left_id).alias("_id"), *keys, "start", "end").distinct()
+    asked = own.select(*keys, F.explode(F.array(F.struct(F.lit("_starts").alias("kind"), F.col("end").alias("at")), F.struct(F.lit("_ends").alias("kind"), F.col("start").alias("at")))).alias("q"), "_id")
+    asked = asked.select(*keys, F.col("q.kind").alias("_kind"), F.col("q.at").alias("_at"), *[F.lit(None).cast("double").alias(f"_{v}") for v in values], "_id")
+    every = steps.withColumn("_id", F.lit(None).cast(asked.schema["_id"].dataType)).unionByName(asked).withColumn("_bin", _div(F.col("_at"), scan_bin))
+    bins = every.groupBy(*keys, "_kind", "_bin").agg(*[F.sum(f"_{v}").alias(f"_all_{v}") for v in values])
+    along = Window.partitionBy(*keys, "_kind").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = bins.select(*keys, "_kind", "_bin", *[F.coalesce(F.sum(f"_all_{v}").over(along), F.lit(0.0)).alias(f"_before_{v}") for v in values])
+    within = Window.partitionBy(*keys, "_kind", "_bin").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    through = every.join(before, [*keys, "_kind", "_bin"]).withColumns({f"_sum_{v}": F.col(f"_before_{v}") + F.coalesce(F.sum(f"_{v}").over(within), F.lit(0.0)) for v in values})
+    signed = F.when(F.col("_kind") == "_starts", 1.0).otherwise(-1.0)
+    found = through.filter("_id IS NOT NULL").groupBy("_id").agg(*[F.sum(signed * F.col(f"_sum_{v}")).alias(v) for v in values])
+    return found.select(*[F.col(f"_id.`{c}`").alias(c) for c in left_id], *values)
+
+
 def depth(rows: DataFrame, keys: Sequence[str], scan_bin: int = SCAN_BIN) -> DataFrame:
     """keys, start, end, depth: maximal runs of positions with equal depth over 0 between boundaries of rows."""
     keys = list(keys)
