@@ -58,6 +58,42 @@ exons AS (
 )"""
 
 
+def snapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gene_id, region, strand, source, biotype, rank, start, end, n: exons on a grid of 100 bases at their customer's locus,
+    so that the models of a locus share introns; outer ends differ."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *RANK_KEY)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    own = Window.partitionBy("l_orderkey")
+    ranked = lines.withColumns({"rank": F.row_number().over(own.orderBy(*RANK_KEY)), "n": F.count(F.lit(1)).over(own)})
+    joined = ranked.join(orders, ranked["l_orderkey"] == orders["o_orderkey"])
+    at = 1000 * (F.col("o_custkey") % CUSTOMERS_PER_REGION) + 100 * F.col("rank")
+    quantity = F.col("l_quantity").cast("int")
+    start = at - F.when(F.col("rank") == 1, quantity % 20).otherwise(0) + 21
+    end = at + F.when(F.col("rank") == F.col("n"), quantity % 20).otherwise(10 * (quantity > 40).cast("int")) + 60
+    return joined.select(
+        F.col("l_orderkey").alias("gene_id"),
+        F.floor(F.col("o_custkey") / CUSTOMERS_PER_REGION).cast("long").alias("region"),
+        F.when(F.floor(F.col("o_custkey") / 2) % 2 == 0, 1).otherwise(-1).cast("int").alias("strand"),
+        F.col("o_orderstatus").alias("source"),
+        F.col("o_orderpriority").alias("biotype"),
+        F.col("rank").cast("int").alias("rank"),
+        start.cast("long").alias("start"),
+        end.cast("long").alias("end"),
+        F.col("n").cast("long").alias("n"),
+    )
+
+
+SNAPPED = """
+snapped AS (
+  SELECT l_orderkey AS gene_id, (o_custkey // 15)::BIGINT AS region, CASE WHEN (o_custkey // 2) % 2 = 0 THEN 1 ELSE -1 END AS strand, o_orderstatus AS source,
+    o_orderpriority AS biotype, rank::INTEGER AS rank,
+    (1000 * (o_custkey % 15) + 100 * rank - CASE WHEN rank = 1 THEN l_quantity::INTEGER % 20 ELSE 0 END + 21)::BIGINT AS "start",
+    (1000 * (o_custkey % 15) + 100 * rank + CASE WHEN rank = n THEN l_quantity::INTEGER % 20 WHEN l_quantity::INTEGER > 40 THEN 10 ELSE 0 END + 60)::BIGINT AS "end", n
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice) AS rank,
+          count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) JOIN orders ON l_orderkey = o_orderkey
+)"""
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gene_id, region, strand, start, end, hit, score, identity, coverage, flag."""
     lines = table(spark, sf_dir, "lineitem")
