@@ -3,13 +3,14 @@ set cover, runs of hits, paths and hierarchies."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import checkpointed
+from .grouped import Group, in_groups
 
 
 def chain_matches(primary: DataFrame, secondary: DataFrame, key: Sequence[str], row_id: str) -> DataFrame:
@@ -57,12 +58,13 @@ def duplicates_removed(models: DataFrame, key: Sequence[str], row_id: str) -> Da
     return models.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(row_id))).filter("_n = 1").drop("_n")
 
 
-def collinear_runs(hits: DataFrame, by: Sequence[str], gap: int, row_id: str) -> DataFrame:
-    """hits with run: along each key by start, a hit opens a run unless it begins within gap after the one before and its
-    hit coordinate goes on in the same direction."""
+def collinear_runs(hits: DataFrame, by: Sequence[str], gap: int, row_id: str, direction: str | None = None) -> DataFrame:
+    """hits with run: along each key by start, a hit opens a run unless it begins within gap after all before it and its
+    hit coordinate goes on: upwards, or downwards where the column direction is negative."""
     order = Window.partitionBy(*by).orderBy("start", row_id)
-    near = F.col("start") - F.lag("end").over(order) - 1
-    on = F.col("hit_start") > F.lag("hit_start").over(order)
+    near = F.col("start") - F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)) - 1
+    sign = F.lit(1) if direction is None else F.col(direction)
+    on = sign * (F.col("hit_start") - F.lag("hit_start").over(order)) > 0
     opens = F.coalesce((~((near >= 0) & (near <= gap) & on)).cast("int"), F.lit(1))
     return hits.withColumn("_opens", opens).withColumn("run", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("_opens")
 
@@ -77,13 +79,10 @@ def readthroughs(transcripts: DataFrame, by: Sequence[str], row_id: str) -> Data
     a task holds."""
     from .intervals import SCAN_BIN, with_island
 
-    spans = F.transform("exons", lambda e: F.struct(e["start"].cast("long").alias("start"), e["end"].cast("long").alias("end")))
-    islands = with_island(transcripts.select(row_id, *by, "start", "end", spans.alias("exons")), by, scan_bin=SCAN_BIN)
+    pick = lambda c: F.transform("exons", lambda e: e[c].cast("long"))
+    islands = with_island(transcripts.select(row_id, *by, "start", "end", pick("start").alias("starts"), pick("end").alias("ends")), by, scan_bin=SCAN_BIN)
     schema = transcripts.select(row_id).schema
     names = [*by, "island"]
-    # fewer than three transcripts make no two clusters and a bridge
-    members = islands.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 2").drop("_n")
-
     def holds(candidate: list[tuple[int, int]], other: list[tuple[int, int]]) -> bool:
         for s, e in other:
             shared = [(max(s, a), min(e, b)) for a, b in candidate if a <= e and s <= b]
@@ -91,12 +90,13 @@ def readthroughs(transcripts: DataFrame, by: Sequence[str], row_id: str) -> Data
                 return False
         return True
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        ordered = group.assign(_size=group["end"] - group["start"]).sort_values(["_size", row_id], kind="stable")
+    def run(group: Group) -> list[tuple]:
+        if len(group[row_id]) < 3:  # no two clusters and a bridge
+            return []
         clusters: list[tuple[int, int, list]] = []
         candidates = []
-        for name, s, e, exons in zip(ordered[row_id], ordered["start"], ordered["end"], ordered["exons"], strict=True):
-            own = [(int(x["start"]), int(x["end"])) for x in exons]
+        for name, s, e, starts, ends in zip(*(group[c] for c in (row_id, "start", "end", "starts", "ends")), strict=True):
+            own = list(zip(starts, ends, strict=True))
             met = [c for c in clusters if c[0] < e and c[1] > s]
             if not met:
                 clusters.append((s, e, [own]))
@@ -104,10 +104,9 @@ def readthroughs(transcripts: DataFrame, by: Sequence[str], row_id: str) -> Data
                 met[0][2].append(own)
             else:
                 candidates.append((name, s, e, own))
-        found = [n for n, s, e, own in candidates if any(not holds(own, x) for c in clusters if c[0] < e and c[1] > s for x in c[2])]
-        return pd.DataFrame({row_id: found}, dtype="int64")
+        return [(n,) for n, s, e, own in candidates if any(not holds(own, x) for c in clusters if c[0] < e and c[1] > s for x in c[2])]
 
-    return islands.join(members, names, "left_semi").groupBy(*names).applyInPandas(run, schema)
+    return in_groups(islands.withColumn("_size", F.col("end") - F.col("start")), names, ["_size", row_id], run, schema)
 
 
 def set_cover(rows: DataFrame, by: Sequence[str], candidate: str, value: str, wanted: int) -> DataFrame:
@@ -116,20 +115,28 @@ def set_cover(rows: DataFrame, by: Sequence[str], candidate: str, value: str, wa
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     distinct = rows.select(*by, candidate, value).distinct()
 
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        left = {c: set(v) for c, v in group.groupby(candidate)[value]}
-        covered, out = set(), []
-        while left and len(covered) < wanted:
-            best = min(left, key=lambda c: (-len(left[c] - covered), c))
-            gained = left.pop(best) - covered
+    def choose(group: Group) -> Iterator[tuple]:
+        left: dict = {}
+        for c, v in zip(group[candidate], group[value], strict=True):
+            left.setdefault(c, set()).add(v)
+        # what a candidate adds only shrinks, so the best one is the first whose count, taken anew, is still the largest
+        heap, covered, place = [(-len(v), c) for c, v in left.items()], set(), tuple(group[b][0] for b in by)
+        heapq.heapify(heap)
+        n = 0
+        while heap and len(covered) < wanted:
+            known, c = heapq.heappop(heap)
+            gained = len(left[c] - covered)
+            if gained < -known:
+                heapq.heappush(heap, (-gained, c))
+                continue
             if not gained:
                 break
-            covered |= gained
-            out.append((*[group[b].iloc[0] for b in by], len(out) + 1, best, len(gained)))
-        return pd.DataFrame(out, columns=[*by, "place", candidate, "gained"])
+            covered |= left[c]
+            n += 1
+            yield *place, n, c, gained
 
     schema = ", ".join([*(f"`{b}` {kinds[b]}" for b in by), "place int", f"`{candidate}` {kinds[candidate]}", "gained long"])
-    return distinct.groupBy(*by).applyInPandas(choose, schema)
+    return in_groups(distinct, by, [candidate, value], choose, schema)
 
 
 def paths(edges: DataFrame, sources: DataFrame, sinks: DataFrame, by: Sequence[str], longest: int) -> DataFrame:

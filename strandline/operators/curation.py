@@ -5,14 +5,17 @@ Models are rows (gene_id, ...); exons rows (gene_id, start, end, ...). Every ord
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .grouped import Group, in_groups
 from .intervals import JOIN_BIN, anti_overlap, with_island
 
+#: Bases of a bin in which exon pairs are looked up.
+PAIR_BIN = 512
+
 
 def without_redundant_coding(models: DataFrame, by: Sequence[str], key: str, has_utr: str, blessed: Sequence[str]) -> DataFrame:
     """models without those that have no UTR and whose coding exons (key) equal those of a model with UTR in the same
@@ -199,31 +202,33 @@ def pruned_by_exon_pairs(models: DataFrame, by: Sequence[str], order: Sequence[s
     of short never count as new; blessed biotypes always stay. In a cluster of single exons the longest stays, and the
     blessed. Sequential within one cluster, which is what a task holds."""
     spans = F.array_sort(F.transform("exons", lambda e: F.struct(e["start"].cast("long").alias("start"), e["end"].cast("long").alias("end"))))
+    pick = lambda c: F.transform(spans, lambda e: e[c]).alias(f"{c}s")
     names = list(dict.fromkeys(["gene_id", *by, "start", "end", "biotype", *order]))
-    islands = with_island(models.select(*names, spans.alias("exons")), by)
-    schema = models.select("gene_id").schema
+    islands = with_island(models.select(*names, pick("start"), pick("end")), by)
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([*order, "gene_id"], kind="stable")
-        exons = [[(int(x["start"]), int(x["end"])) for x in own] for own in group["exons"]]
-        kept, seen = [], []
+    def run(group: Group) -> Iterator[tuple]:
+        exons = [list(zip(s, e, strict=True)) for s, e in zip(group["starts"], group["ends"], strict=True)]
+        models = list(zip(group["gene_id"], group["biotype"], exons, strict=True))
         if max(map(len, exons)) == 1:
             longest = min(range(len(exons)), key=lambda i: (exons[i][0][0] - exons[i][0][1], i))
-            kept = [g for i, (g, kind) in enumerate(zip(group["gene_id"], group["biotype"], strict=True)) if i == longest or kind in blessed]
-            return pd.DataFrame({"gene_id": kept}, dtype="int64")
-        for gene, kind, own in zip(group["gene_id"], group["biotype"], exons, strict=True):
+            yield from ((g,) for i, (g, kind, _) in enumerate(models) if i == longest or kind in blessed)
+            return
+        seen: dict[tuple[int, int], list] = {}
+        for gene, kind, own in models:
             new = False
             for a, b in zip(own, own[1:], strict=False):
                 if short[0] < b[0] - a[1] - 1 < short[1]:
                     continue
-                if not any(p[0] <= a[1] and a[0] <= p[1] and q[0] <= b[1] and b[0] <= q[1] for p, q in seen):
+                # pairs are kept by the bins that their exons touch, so few of them are compared
+                bins = [(x, y) for x in range(a[0] // PAIR_BIN, a[1] // PAIR_BIN + 1) for y in range(b[0] // PAIR_BIN, b[1] // PAIR_BIN + 1)]
+                if not any(p[0] <= a[1] and a[0] <= p[1] and q[0] <= b[1] and b[0] <= q[1] for at in bins for p, q in seen.get(at, ())):
                     new = True
-                    seen.append((a, b))
+                    for at in bins:
+                        seen.setdefault(at, []).append((a, b))
             if new or kind in blessed:
-                kept.append(gene)
-        return pd.DataFrame({"gene_id": kept}, dtype="int64")
+                yield (gene,)
 
-    return islands.groupBy(*by, "island").applyInPandas(run, schema)
+    return in_groups(islands, [*by, "island"], [*order, "gene_id"], run, models.select("gene_id").schema)
 
 
 def built_genes(models: DataFrame, by: Sequence[str], order: Sequence[str], blessed: Sequence[str], short: tuple[int, int], most: int) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 #: Rows of one frame that goes back.
 FRAME_ROWS = 10_000
@@ -14,18 +15,35 @@ FRAME_ROWS = 10_000
 Group = dict[str, list]
 
 
+def cells_of(starts: list[int], ends: list[int]) -> tuple[list[tuple[int, int]], int]:
+    """For each interval the stretches between borders that it covers, as first and past-last number, and how many there
+    are: a base-wise state then has one cell for each stretch."""
+    borders = sorted({*starts, *(e + 1 for e in ends)})
+    place = {x: i for i, x in enumerate(borders)}
+    return [(place[s], place[e + 1]) for s, e in zip(starts, ends, strict=True)], len(borders)
+
+
+def whole_runs(values: list) -> Iterator[tuple[int, int]]:
+    """First and past-last places of runs of equal values."""
+    at = 0
+    for i in range(1, len(values) + 1):
+        if i == len(values) or values[i] != values[at]:
+            yield at, i
+            at = i
+
+
 def _plain(column: pd.Series) -> list:
     return [x.tolist() if isinstance(x, np.ndarray) else x for x in column.tolist()]
 
 
-def in_groups(rows: DataFrame, by: Sequence[str], order: Sequence[str], run: Callable[[Group], Iterator[tuple]], schema: str) -> DataFrame:
-    """What run yields for each group of rows with equal values of by, as rows of schema (a DDL string).
+def in_groups(rows: DataFrame, by: Sequence[str], order: Sequence[str], run: Callable[[Group], Iterable[tuple]], schema: str | StructType) -> DataFrame:
+    """What run gives for each group of rows with equal values of by, as rows of schema.
 
     run takes the group's columns as lists, in the given order; arrays of numbers come as lists. Rows are dealt by the
     group and sorted within a partition, so many small groups share one call to Python, and a task holds one group."""
     by, names = list(by), rows.columns
     ordered = rows.repartition(*by).sortWithinPartitions(*by, *order)
-    columns = [part.strip().split()[0].strip("`") for part in schema.split(",")]
+    columns = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
 
     def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: Group = {name: [] for name in names}

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import bisect
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .grouped import Group, cells_of, in_groups, whole_runs
+
 
 def top_rows(rows: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first n rows of each group. n 1 is one max-like aggregate; more is a rank that Spark limits before it shuffles."""
@@ -93,19 +94,18 @@ def non_overlapping(hits: DataFrame, by: Sequence[str], score: str, row_id: str,
     schema = islands.schema
     names = [*by, "island"]
 
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([score, row_id], ascending=[False, True], kind="stable")
-        starts, ends, keep = [], [], []
-        for s, e in zip(group["start"].tolist(), group["end"].tolist(), strict=True):
+    def choose(group: Group) -> Iterator[tuple]:
+        starts, ends = [], []
+        for row in zip(*(group[c] for c in schema.names), strict=True):
+            s, e = row[first], row[last]
             at = bisect.bisect_right(starts, s)
-            fine = (at == 0 or ends[at - 1] < s) and (at == len(starts) or starts[at] > e)
-            keep.append(fine)
-            if fine:
+            if (at == 0 or ends[at - 1] < s) and (at == len(starts) or starts[at] > e):
                 starts.insert(at, s)
                 ends.insert(at, e)
-        return group[keep]
+                yield row
 
-    return islands.groupBy(*names).applyInPandas(choose, schema).drop("island")
+    first, last = schema.names.index("start"), schema.names.index("end")
+    return in_groups(islands, names, [F.desc(score), row_id], choose, schema).drop("island")
 
 
 def domains(hits: DataFrame, by: Sequence[str], family: str, score: str, row_id: str, scope: int | None = None) -> DataFrame:
@@ -113,35 +113,32 @@ def domains(hits: DataFrame, by: Sequence[str], family: str, score: str, row_id:
     return non_overlapping(non_overlapping(hits, [*by, family], score, row_id, scope), by, score, row_id, scope)
 
 
-def depth_capped(hits: DataFrame, by: Sequence[str], name: str, score: str, cap: int, min_identity: float, scope: int | None = None) -> DataFrame:
+def depth_capped(hits: DataFrame, by: Sequence[str], name: str, score: str, cap: int, min_identity: float, scope: int | None = None, protected: Column | None = None) -> DataFrame:
     """Hit names of each group by (best score, best identity) descending, then name: a name stays if one of its bases has
-    been covered by fewer than cap hits of the names before it. Depth counts names that did not stay too, so no state is
-    carried from one verdict to the next: it is a count of earlier hits over each base.
+    been covered by fewer than cap hits of the names before it, or if one of its hits is protected. Depth counts names that
+    did not stay too, so no state is carried from one verdict to the next: it is a count of earlier hits over each base.
 
     Groups are cut into islands of overlapping hits first; a name stays if it does in one of its islands."""
     from .intervals import SCAN_BIN, with_island
 
     good = hits.filter(F.col("identity") >= min_identity)
-    ranks = good.groupBy(*by, name).agg(F.max(score).alias("_score"), F.max("identity").alias("_identity"))
+    safe = F.lit(False) if protected is None else F.coalesce(protected, F.lit(False))
+    ranks = good.groupBy(*by, name).agg(F.max(score).alias("_score"), F.max("identity").alias("_identity"), F.max(safe).alias("_safe"))
     ranked = good.join(ranks, [*by, name])
     islands = with_island(ranked, by, scan_bin=scope or SCAN_BIN)
     schema = islands.select(*by, name).schema
-    names = [*by, "island"]
-
-    def stay(group: pd.DataFrame) -> pd.DataFrame:
-        # one cell for each stretch between borders of hits, not for each base
-        borders = np.unique(np.concatenate((group["start"].to_numpy(), group["end"].to_numpy() + 1)))
-        covered = np.zeros(len(borders), dtype=np.int64)
-        kept = []
-        for key, own in group.sort_values(["_score", "_identity", name], ascending=[False, False, True], kind="stable").groupby(name, sort=False):
-            spans = list(zip(np.searchsorted(borders, own["start"]).tolist(), np.searchsorted(borders, own["end"] + 1).tolist(), strict=True))
-            if any((covered[a:b] < cap).any() for a, b in spans):
-                kept.append(key)
-            for a, b in spans:
-                covered[a:b] += 1
-        return group[group[name].isin(kept)][[*by, name]].drop_duplicates()
-
-    return islands.groupBy(*names).applyInPandas(stay, schema).distinct()
+    rows = islands.select(*by, "island", name, "start", "end", "_score", "_identity", "_safe")
+
+    def stay(group: Group) -> Iterator[tuple]:
+        place, spans, n = tuple(group[b][0] for b in by), *cells_of(group["start"], group["end"])
+        covered = np.zeros(n, dtype=np.int64)
+        for a, b in whole_runs(group[name]):
+            if group["_safe"][a] or any((covered[x:y] < cap).any() for x, y in spans[a:b]):
+                yield *place, group[name][a]
+            for x, y in spans[a:b]:
+                covered[x:y] += 1
+
+    return in_groups(rows, [*by, "island"], [F.desc("_score"), F.desc("_identity"), name], stay, schema).distinct()
 
 
 def layered(genes: DataFrame, exons: DataFrame, layers: Sequence[tuple[str, Sequence[str], Sequence[str], bool]], keys: Sequence[str], width: int) -> DataFrame:

@@ -10,7 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .intervals import JOIN_BIN, SCAN_BIN, overlapping, with_island
+from .graph import checkpointed, components
+from .grouped import Group, cells_of, in_groups, whole_runs
+from .intervals import JOIN_BIN, SCAN_BIN, depth, overlapping, with_island
 
 
 def flagged(models: DataFrame, introns: DataFrame, blessed: Sequence[str], shortest: int = 10) -> DataFrame:
@@ -109,13 +111,15 @@ def exon_support(exons: DataFrame, evidence: DataFrame, keys: Sequence[str], wid
     return counts.withColumn("share", F.round(F.col("supported") / F.col("exons"), 4))
 
 
-def merged_hits(hits: DataFrame, by: Sequence[str], longest_intron: int, lengths: DataFrame, name: str) -> DataFrame:
-    """by, run, start, end, percent: hits of one protein along a sequence, joined while both coordinates go on and the gap is
-    no longer than an intron; percent is the run's part of the protein, overlaps counted once, to one decimal."""
+def merged_hits(hits: DataFrame, by: Sequence[str], longest_intron: int, lengths: DataFrame, name: str, direction: str | None = None) -> DataFrame:
+    """by, run, start, end, percent: hits of one protein along a sequence, joined while both coordinates go on (the
+    protein's downwards where the column direction is negative) and the gap to all before is no longer than an intron; percent is the run's part of the protein, overlaps counted once, to one decimal."""
     order = Window.partitionBy(*by).orderBy("start", "end", "hit_start", "hit_end")
-    opens = ~((F.col("start") - F.lag("end").over(order) - 1 <= longest_intron) & (F.col("hit_start") > F.lag("hit_start").over(order)))
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    sign = F.lit(1) if direction is None else F.col(direction)
+    opens = ~((F.col("start") - reached - 1 <= longest_intron) & (sign * (F.col("hit_start") - F.lag("hit_start").over(order)) > 0))
     runs = hits.withColumn("_opens", F.coalesce(opens.cast("int"), F.lit(1))).withColumn("run", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
-    inside = Window.partitionBy(*by, "run").orderBy("start", "end", "hit_start", "hit_end")
+    inside = Window.partitionBy(*by, "run").orderBy("hit_start", "hit_end")
     reach = F.max("hit_end").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     own = F.greatest(F.col("hit_end") - F.greatest(F.coalesce(reach + 1, F.col("hit_start")), F.col("hit_start")) + 1, F.lit(0))
     spans = runs.withColumn("_own", own).groupBy(*by, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("_own").alias("_bases"))
@@ -136,31 +140,42 @@ def processed_clusters(models: DataFrame, pairs: DataFrame, clusters: DataFrame,
 
 
 def capped_hits(hits: DataFrame, by: Sequence[str], name: str, least_score: float, most_p: float, coverage: int, scan_bin: int = SCAN_BIN) -> DataFrame:
-    """hits of the names that stay: all hits of a name with one over least_score and under most_p. Names of a group are
-    taken by their largest score, then sum of scores, then name; one is accepted if a base of its hits has been covered by
-    fewer than coverage accepted ones, and only accepted names add depth.
-
-    Sequential within an island of overlapping hits of one group, which is what a task holds; a name is judged in each of
-    its islands and stays if it is accepted in one."""
-    open_ = (F.col("score") > least_score) & (F.col("p_value") < most_p)
-    names = hits.groupBy(*by, name).agg(F.max(open_).alias("_open"), F.max("score").alias("_best"), F.round(F.sum("score"), 4).alias("_total")).filter("_open")
-    islands = with_island(hits.join(names, [*by, name]), by, scan_bin=scan_bin)
-    schema = islands.select(*by, name).schema
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        borders = np.unique(np.concatenate((group["start"].to_numpy(), group["end"].to_numpy() + 1)))
-        depth = np.zeros(len(borders), dtype=np.int64)
-        kept = []
-        for key, own in group.sort_values(["_best", "_total", name], ascending=[False, False, True], kind="stable").groupby(name, sort=False):
-            spans = list(zip(np.searchsorted(borders, own["start"]).tolist(), np.searchsorted(borders, own["end"] + 1).tolist(), strict=True))
-            if any((depth[a:b] < coverage).any() for a, b in spans):
-                kept.append(key)
-                for a, b in spans:
-                    depth[a:b] += 1
-        return group[group[name].isin(kept)][[*by, name]].drop_duplicates()
-
-    accepted = islands.groupBy(*by, "island").applyInPandas(run, schema).distinct()
-    return hits.join(accepted, [*by, name], "left_semi")
+    """hits (score, p_value, strand) of the names that stay. A hit passes if its score is over least_score and its p-value
+    under most_p or missing; names without one go, and so do hits that score more than the best passing one of their name.
+    Names are taken by that best score, then by the sum of scores over least_score, then by name, on either strand: one is
+    accepted if a passing hit that has a p-value holds a base covered by fewer than coverage hits of accepted names; then
+    all its hits on the strand add depth. A name accepted on one strand keeps its hits on both.
+
+    Where hits of all names together do not reach the cap, each base stays open. Only islands of overlapping hits that go
+    over it are judged in order, and only those that names link are held by one task."""
+    by, place = list(by), [*by, "strand"]
+    over = F.col("score") > least_score
+    fit = over & (F.col("p_value").isNull() | (F.col("p_value") < most_p))
+    names = hits.groupBy(*by, name).agg(F.max(F.when(fit, F.col("score"))).alias("_best"), F.round(F.sum(F.when(over, F.col("score"))), 4).alias("_total")).filter("_best > 0")
+    rows = hits.join(names, [*by, name]).filter("score <= _best").withColumn("_fits", over & F.coalesce(F.col("p_value") < most_p, F.lit(False)))
+    islands = checkpointed(with_island(rows.select(*place, name, "start", "end", "_best", "_total", "_fits"), place, scan_bin=scan_bin))
+    full = depth(islands, [*place, "island"], scan_bin).groupBy(*place, "island").agg(F.max("depth").alias("_most")).filter(F.col("_most") > coverage).select(*place, "island", F.lit(True).alias("_full"))
+    marked = checkpointed(islands.join(full, [*place, "island"], "left"))
+    free = marked.filter("_full IS NULL AND _fits").select(*place, name).distinct().withColumn("_free", F.lit(True))
+    judged = marked.filter("_full").join(free, [*place, name], "left")
+    node = F.struct(*place, "island")
+    hubs = judged.groupBy(*place, name).agg(F.min(node).alias("hub"))
+    linked = judged.select(*place, name, node.alias("node")).distinct().join(hubs, [*place, name])
+    pieces = components(linked.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    ready = judged.withColumn("node", node).join(pieces, "node").select(*place, name, "start", "end", "_best", "_total", "_fits", F.coalesce("_free", F.lit(False)).alias("_free"), F.col("root.island").alias("_piece"))
+
+    def run(group: Group) -> Iterator[tuple]:
+        where, spans, n = tuple(group[b][0] for b in by), *cells_of(group["start"], group["end"])
+        covered = np.zeros(n, dtype=np.int64)
+        for a, b in whole_runs(group[name]):
+            if group["_free"][a] or any(opens and (covered[x:y] < coverage).any() for opens, (x, y) in zip(group["_fits"][a:b], spans[a:b], strict=True)):
+                yield *where, group[name][a]
+                for x, y in spans[a:b]:
+                    covered[x:y] += 1
+
+    schema = rows.select(*by, name).schema
+    accepted = in_groups(ready, [*place, "_piece"], [F.desc("_best"), F.desc("_total"), name], run, schema).unionByName(free.select(*by, name)).distinct()
+    return hits.join(names.select(*by, name, "_best"), [*by, name]).filter("score <= _best").drop("_best").join(accepted, [*by, name], "left_semi")
 
 
 def pruned_depth(hits: DataFrame, by: Sequence[str], row_id: str, coverage: int, scan_bin: int = SCAN_BIN) -> DataFrame:
@@ -169,23 +184,31 @@ def pruned_depth(hits: DataFrame, by: Sequence[str], row_id: str, coverage: int,
     islands = with_island(hits, by, scan_bin=scan_bin)
     schema = islands.schema
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        borders = np.unique(np.concatenate((group["start"].to_numpy(), group["end"].to_numpy() + 1)))
-        low, high = np.searchsorted(borders, group["start"]), np.searchsorted(borders, group["end"] + 1)
-        change = np.zeros(len(borders) + 1, dtype=np.int64)
-        np.add.at(change, low, 1)
-        np.add.at(change, high, -1)
-        depth = np.cumsum(change)[:-1]
-        keep = np.ones(len(group), dtype=bool)
-        order = np.lexsort((-group[row_id].to_numpy(), group["score"].to_numpy()))  # the first to go is first
-        while len(depth) and depth.max() > coverage:
-            at = int(depth.argmax())
-            gone = next(i for i in order.tolist() if keep[i] and low[i] <= at < high[i])
-            keep[gone] = False
-            depth[low[gone] : high[gone]] -= 1
-        return group[keep]
-
-    return islands.groupBy(*by, "island").applyInPandas(run, schema).drop("island")
+    def run(group: Group) -> Iterator[tuple]:
+        rows = list(zip(*(group[c] for c in schema.names), strict=True))
+        if len(rows) > coverage:
+            spans, n = cells_of(group["start"], group["end"])
+            covered = np.zeros(n + 1, dtype=np.int64)
+            over: dict[int, list[int]] = {}
+            for a, b in spans:
+                covered[a] += 1
+                covered[b] -= 1
+            covered = np.cumsum(covered)
+            keep = [True] * len(rows)
+            while covered.max() > coverage:
+                at = int(covered.argmax())
+                if at not in over:  # rows come with the first to go first
+                    over[at] = [i for i in range(len(rows) - 1, -1, -1) if spans[i][0] <= at < spans[i][1]]
+                while True:
+                    gone = over[at].pop()
+                    if keep[gone]:
+                        break
+                keep[gone] = False
+                covered[spans[gone][0] : spans[gone][1]] -= 1
+            rows = [r for r, stays in zip(rows, keep, strict=True) if stays]
+        yield from rows
+
+    return in_groups(islands, [*by, "island"], ["score", F.desc(row_id)], run, schema).drop("island")
 
 
 def identity_summary(hits: DataFrame, by: Sequence[str], bounds: Sequence[float]) -> DataFrame:

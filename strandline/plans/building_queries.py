@@ -50,8 +50,8 @@ def duplicate_models(spark, sf):
 
 
 def hit_runs(spark, sf):
-    hits = t.exons(spark, sf).select("gene_id", "rank", "start", "end", F.col("hit").alias("hit_start"))
-    runs = building.collinear_runs(hits, ["gene_id"], 45, "rank")
+    hits = t.exons(spark, sf).select("gene_id", "rank", "start", "end", "strand", F.col("hit").alias("hit_start"))
+    runs = building.collinear_runs(hits, ["gene_id"], 45, "rank", "strand")
     return runs.groupBy("gene_id", "run").agg(F.count(F.lit(1)).alias("hits"), F.min("start").alias("start"), F.max("end").alias("end"))
 
 
@@ -155,7 +155,7 @@ FROM transcripts t JOIN visited v ON t.region = v.region AND t.strand = v.strand
     "duplicate_models": f"""{_BASE}, kept AS (SELECT * FROM shaped QUALIFY row_number() OVER (PARTITION BY region, strand, "start", "end", chain ORDER BY gene_id) = 1)
 SELECT region, strand, count(*) AS kept, min(gene_id) AS first_gene FROM kept GROUP BY 1, 2""",
     "hit_runs": f"""WITH {t.EXONS}, marked AS (
-  SELECT *, CASE WHEN "start" - lag("end") OVER w - 1 BETWEEN 0 AND 45 AND hit > lag(hit) OVER w THEN 0 ELSE 1 END AS opens FROM exons WINDOW w AS (PARTITION BY gene_id ORDER BY "start", rank)
+  SELECT *, CASE WHEN "start" - max("end") OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1 BETWEEN 0 AND 45 AND strand * (hit - lag(hit) OVER w) > 0 THEN 0 ELSE 1 END AS opens FROM exons WINDOW w AS (PARTITION BY gene_id ORDER BY "start", rank)
 ), runs AS (SELECT *, (sum(opens) OVER (PARTITION BY gene_id ORDER BY "start", rank ROWS UNBOUNDED PRECEDING))::BIGINT AS run FROM marked)
 SELECT gene_id, run, count(*) AS hits, min("start") AS "start", max("end") AS "end" FROM runs GROUP BY 1, 2""",
     "exon_paths": f"""WITH RECURSIVE {t.EXONS.strip()}, small AS (SELECT gene_id, max(rank) AS n FROM exons GROUP BY 1), walk AS (

@@ -29,7 +29,7 @@ def accepted_reads(spark, sf):
 
 
 def internal_stops(spark, sf):
-    peptides = t.sequences(spark, sf).select("seq_id", q.translated(F.substr("seq", F.lit(1), F.lit(90))).alias("peptide"))
+    peptides = t.sequences(spark, sf).select("seq_id", q.translated(F.col("seq")).alias("peptide"))
     return refinement.internal_stops(peptides, 2)
 
 
@@ -48,10 +48,12 @@ def supported_exons(spark, sf):
 
 
 def merged_protein_hits(spark, sf):
-    lines = t.exons(spark, sf).withColumns({"protein": F.col("hit") % 40, "hit_start": (F.col("rank") * 20 - 19).cast("long")})
-    hits = lines.withColumn("hit_end", F.col("hit_start") + F.col("end") - F.col("start")).select("region", "protein", "start", "end", "hit_start", "hit_end")
+    # models on the reverse strand run down their protein
+    place = F.when(F.col("strand") == 1, F.col("rank")).otherwise(8 - F.col("rank"))
+    lines = t.exons(spark, sf).withColumns({"protein": F.col("hit") % 40, "hit_start": (place * 20 - 19).cast("long")})
+    hits = lines.withColumn("hit_end", F.col("hit_start") + F.col("end") - F.col("start")).select(*STRANDED, "protein", "start", "end", "hit_start", "hit_end")
     lengths = t.table(spark, sf, "part").groupBy((F.col("p_partkey") % 40).alias("protein")).agg((F.max("p_size") + 150).cast("long").alias("length"))
-    return refinement.merged_hits(hits, ["region", "protein"], 400, lengths, "protein")
+    return refinement.merged_hits(hits, [*STRANDED, "protein"], 400, lengths, "protein", "strand")
 
 
 def processed_clusters(spark, sf):
@@ -64,8 +66,8 @@ def processed_clusters(spark, sf):
 
 def capped_hits(spark, sf):
     hits = t.features(spark, sf).withColumn("p_value", F.round(100 - F.col("identity"), 4))
-    kept = refinement.capped_hits(hits, STRANDED, "hit", 20000, 6.0, 2, DENSE)
-    return kept.groupBy(*STRANDED).agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("hit").alias("names"))
+    kept = refinement.capped_hits(hits, ["region"], "hit", 20000, 6.0, 2, DENSE)
+    return kept.groupBy("region").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("hit").alias("names"), F.round(F.sum("score"), 2).alias("score"))
 
 
 def pruned_hits(spark, sf):
@@ -103,7 +105,7 @@ SELECT gene_id, short > 0 AS frameshift, short > 0 AND short = n AS only_framesh
     "accepted_reads": f"""WITH {t.EXONS}, whole AS (
   SELECT gene_id, count(*) AS parts, min(identity) AS i, min(coverage) AS c, round(100 * sum(hit % 5) / sum("end" - "start" + 1), 4) AS mismatch FROM exons GROUP BY 1)
 SELECT gene_id, parts, mismatch FROM whole WHERE parts > 1 AND i >= 91 AND c >= 93 AND mismatch <= 8""",
-    "internal_stops": f"""WITH {t.SEQUENCES.strip()}, peptides AS ({_peptide(0)}), cut AS (SELECT seq_id, substr(coalesce(peptide, ''), 1, 30) AS p FROM sequences LEFT JOIN peptides USING (seq_id)),
+    "internal_stops": f"""WITH {t.SEQUENCES.strip()}, peptides AS ({_peptide(0)}), cut AS (SELECT seq_id, coalesce(peptide, '') AS p FROM sequences LEFT JOIN peptides USING (seq_id)),
 inner_part AS (SELECT seq_id, p, regexp_replace(p, '\\*$', '') AS i FROM cut)
 SELECT seq_id, (length(i) - length(replace(i, '*', '')))::BIGINT AS stops, p <> '*' AND NOT regexp_matches(i, '\\*X|X\\*') AND length(i) - length(replace(i, '*', '')) <= 2 AS fixable FROM inner_part""",
     "model_keys": f"""WITH {t.EXONS}, own AS (
@@ -113,13 +115,15 @@ SELECT gene_id, md5(place || '|' || b) AS exon_key, CASE WHEN n > 1 THEN md5(pla
   SELECT DISTINCT o.gene_id AS gene_id, o."start" AS s, o."end" AS e FROM own o JOIN features f ON f.flag = 'A' AND f.region = o.region AND f.strand = o.strand AND 2 * f."start" <= o."end" AND 2 * f."end" >= o."start"
 ), whole AS (SELECT gene_id, count(*) AS exons FROM own GROUP BY 1), good AS (SELECT gene_id, count(*) AS supported FROM hit GROUP BY 1)
 SELECT gene_id, exons, coalesce(supported, 0) AS supported, round(coalesce(supported, 0) / exons, 4) AS share FROM whole LEFT JOIN good USING (gene_id)""",
-    "merged_protein_hits": f"""WITH {t.EXONS}, hits AS (SELECT region, hit % 40 AS protein, "start", "end", rank * 20 - 19 AS hs, rank * 20 - 19 + "end" - "start" AS he FROM exons), marked AS (
-  SELECT *, CASE WHEN "start" - lag("end") OVER w - 1 <= 400 AND hs > lag(hs) OVER w THEN 0 ELSE 1 END AS opens FROM hits WINDOW w AS (PARTITION BY region, protein ORDER BY "start", "end", hs, he)
-), runs AS (SELECT *, (sum(opens) OVER (PARTITION BY region, protein ORDER BY "start", "end", hs, he ROWS UNBOUNDED PRECEDING))::BIGINT AS run FROM marked), reached AS (
-  SELECT *, max(he) OVER (PARTITION BY region, protein, run ORDER BY "start", "end", hs, he ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM runs
+    "merged_protein_hits": f"""WITH {t.EXONS}, placed AS (SELECT *, CASE WHEN strand = 1 THEN rank ELSE 8 - rank END * 20 - 19 AS hs FROM exons),
+hits AS (SELECT region, strand, hit % 40 AS protein, "start", "end", hs, hs + "end" - "start" AS he FROM placed), marked AS (
+  SELECT *, CASE WHEN "start" - max("end") OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 1 <= 400 AND strand * (hs - lag(hs) OVER w) > 0 THEN 0 ELSE 1 END AS opens
+  FROM hits WINDOW w AS (PARTITION BY region, strand, protein ORDER BY "start", "end", hs, he)
+), runs AS (SELECT *, (sum(opens) OVER (PARTITION BY region, strand, protein ORDER BY "start", "end", hs, he ROWS UNBOUNDED PRECEDING))::BIGINT AS run FROM marked), reached AS (
+  SELECT *, max(he) OVER (PARTITION BY region, strand, protein, run ORDER BY hs, he ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM runs
 ), lengths AS (SELECT p_partkey % 40 AS protein, max(p_size) + 150 AS n FROM part GROUP BY 1)
-SELECT region, protein, run, min("start") AS "start", max("end") AS "end", round(100 * sum(greatest(he - greatest(coalesce(reach + 1, hs), hs) + 1, 0)) / any_value(n), 1) AS percent
-FROM reached JOIN lengths USING (protein) GROUP BY 1, 2, 3""",
+SELECT region, strand, protein, run, min("start") AS "start", max("end") AS "end", round(100 * sum(greatest(he - greatest(coalesce(reach + 1, hs), hs) + 1, 0)) / any_value(n), 1) AS percent
+FROM reached JOIN lengths USING (protein) GROUP BY 1, 2, 3, 4""",
     "processed_clusters": _ROOTS + f""", {_GAPS}, pairs AS (SELECT DISTINCT gene_id, region, strand, i_start, i_end FROM gaps WHERE i_end IS NOT NULL), shared AS (
   SELECT gene_id, count(*) OVER (PARTITION BY region, strand, i_start, i_end) AS n FROM pairs), support AS (SELECT gene_id, round(avg(n), 4) AS support FROM shared GROUP BY 1), facts AS (
   SELECT gene_id, round(max(coverage) + max(identity), 4) AS total, sum("end" - "start" + 1) AS len FROM exons GROUP BY 1), rows AS (

@@ -2,7 +2,13 @@
 
 import random
 
-from strandline.operators import curation, ranking, refinement
+from pyspark.sql import functions as F
+
+from strandline import queries
+from strandline.operators import building, curation, ranking, refinement
+from strandline.sources import driver_tables as t
+
+SF = "/root/testdata/sf0.001"
 
 MODEL = "gene_id long, region long, start long, end long, biotype string, place long, exons array<struct<start:long,end:long>>"
 
@@ -39,32 +45,53 @@ def hits(rng, n):
 HIT = "row_id long, region long, start long, end long, name string, score double, p_value double"
 
 
+def plain_capped(rows, least, most_p, coverage):
+    """row_ids kept of (row_id, start, end, name, score, p_value, strand) of one group, base by base."""
+    names = {}
+    for r in rows:
+        names.setdefault(r[3], []).append(r)
+    best = {n: max([r[4] for r in x if r[4] > least and (r[5] is None or r[5] < most_p)], default=0) for n, x in names.items()}
+    total = {n: round(sum(r[4] for r in x if r[4] > least), 4) for n, x in names.items()}
+    hits = {n: [r for r in x if r[4] <= best[n]] for n, x in names.items() if best[n] > 0}
+    accepted = set()
+    for strand in (1, -1):
+        depth = {}
+        for n in sorted(hits, key=lambda n: (-best[n], -total[n], n)):
+            own = [r for r in hits[n] if r[6] == strand]
+            if any(r[4] > least and r[5] is not None and r[5] < most_p and any(depth.get(p, 0) < coverage for p in range(r[1], r[2] + 1)) for r in own):
+                accepted.add(n)
+                for r in own:
+                    for p in range(r[1], r[2] + 1):
+                        depth[p] = depth.get(p, 0) + 1
+    return {r[0] for n in accepted for r in hits[n]}
+
+
 def test_hits_under_a_depth_cap(spark):
     rng = random.Random(3)
-    for coverage in (1, 2):
-        rows = hits(rng, 150)
-        found = refinement.capped_hits(spark.createDataFrame(rows, HIT).repartition(4), ["region"], "name", 4, 0.1, coverage, 64)
-        wanted = set()
-        for region in (1, 2):
-            own = [r for r in rows if r[1] == region]
-            names = {n: [r for r in own if r[4] == n] for n in {r[4] for r in own}}
-            open_ = [n for n, x in names.items() if any(r[5] > 4 and r[6] < 0.1 for r in x)]
-            # islands of the open names' hits, each judged alone
-            spans = sorted(r for n in open_ for r in [(x[2], x[3]) for x in names[n]])
-            islands, reach = [], -1
-            for s, e in spans:
-                if s > reach:
-                    islands.append([s, e])
-                islands[-1][1] = reach = max(reach, e)
-            for low, high in islands:
-                depth = {}
-                for n in sorted(open_, key=lambda n: (-max(r[5] for r in names[n]), -sum(r[5] for r in names[n]), n)):
-                    cells = [p for r in names[n] if low <= r[2] <= high for p in range(r[2], r[3] + 1)]
-                    if any(depth.get(p, 0) < coverage for p in cells):
-                        wanted |= {r[0] for r in names[n]}
-                        for p in cells:
-                            depth[p] = depth.get(p, 0) + 1
-        assert {r["row_id"] for r in found.collect()} == wanted
+    for coverage, most in ((1, 400), (2, 400), (3, 4000)):
+        rows = [(i, rng.randint(1, 2), s, s + rng.randint(0, 60), f"h{rng.randint(0, 12)}", float(rng.randint(1, 9)), rng.choice([0.001, 0.001, 0.5, None]), rng.choice([1, -1])) for i in range(160) for s in [rng.randint(1, most)]]
+        found = refinement.capped_hits(spark.createDataFrame(rows, HIT + ", strand int").repartition(4), ["region"], "name", 4, 0.1, coverage, 64)
+        wanted = set().union(*(plain_capped([(r[0], *r[2:]) for r in rows if r[1] == region], 4, 0.1, coverage) for region in (1, 2)))
+        assert {r["row_id"] for r in found.collect()} == wanted and wanted
+
+
+def test_a_hit_that_fails_makes_no_room(spark):
+    # b's only passing hit lies under a, so b goes with its far, failing hit; c scores more where it fails
+    rows = [(1, 1, 1, 100, "a", 50.0, 0.001, 1), (2, 1, 1, 100, "b", 40.0, 0.001, 1), (3, 1, 500, 600, "b", 1.0, 0.9, 1), (4, 1, 900, 950, "c", 30.0, 0.9, 1), (5, 1, 960, 970, "c", 20.0, 0.001, 1)]
+    found = refinement.capped_hits(spark.createDataFrame(rows, HIT + ", strand int"), ["region"], "name", 10, 0.1, 1)
+    assert sorted(r["row_id"] for r in found.collect()) == [1, 5]
+
+
+def test_capped_hits_query(spark):
+    rows = {}
+    for i, r in enumerate(t.features(spark, SF).collect()):
+        rows.setdefault(r["region"], []).append((i, r["start"], r["end"], r["hit"], r["score"], round(100 - r["identity"], 4), r["strand"]))
+    found = {r["region"]: r for r in queries.QUERIES["capped_hits"](spark, SF).collect()}
+    for region, own in rows.items():
+        kept = plain_capped(own, 20000, 6.0, 2)
+        assert (found[region]["hits"] if region in found else 0) == len(kept)
+        if kept:
+            assert found[region]["score"] == round(sum(r[4] for r in own if r[0] in kept), 2) and found[region]["names"] == len({r[3] for r in own if r[0] in kept})
 
 
 def test_pruned_depth(spark):
@@ -111,3 +138,28 @@ def test_poly_a_tails():
 def test_capped_by_value_keeps_ties(spark):
     rows = spark.createDataFrame([(1, v) for v in (1, 2, 2, 2, 3)], "family long, value long")
     assert sorted(r["value"] for r in ranking.capped_by_value(rows, ["family"], "value", 2).collect()) == [1, 2, 2, 2]
+
+
+def test_runs_on_both_strands(spark):
+    rows = [(1, 1, 10, 1, 1, 10), (2, 20, 30, 11, 1, 20), (3, 25, 28, 15, 1, 19), (4, 40, 50, 5, 1, 9)] + [(5, 1, 60, 30, -1, 40), (6, 5, 10, 20, -1, 25), (7, 65, 70, 10, -1, 15), (8, 90, 95, 12, -1, 14)]
+    hits = spark.createDataFrame(rows, "row_id long, start long, end long, hit_start long, strand int, hit_end long").withColumn("protein", F.lit("p"))
+    runs = {r["row_id"]: r["run"] for r in building.collinear_runs(hits, ["strand"], 15, "row_id", "strand").collect()}
+    # 3 lies under 2 and is no gap after it; 7 is measured from the end of 5
+    assert runs == {1: 1, 2: 1, 3: 2, 4: 3, 5: 1, 6: 2, 7: 2, 8: 3}
+    lengths = spark.createDataFrame([("p", 100)], "protein string, length long")
+    found = refinement.merged_hits(hits, ["strand", "protein"], 15, lengths, "protein", "strand")
+    assert sorted((r["strand"], r["start"], r["end"], r["percent"]) for r in found.collect()) == [(-1, 1, 70, 23.0), (-1, 90, 95, 3.0), (1, 1, 30, 20.0), (1, 40, 50, 5.0)]
+
+
+def test_protected_names_stay(spark):
+    rows = [(1, 1, 1, 10, "a", 9.0, 0.0), (2, 1, 1, 10, "b", 8.0, 0.0), (3, 1, 1, 10, "c", 7.0, 0.0)]
+    hits = spark.createDataFrame(rows, HIT).withColumn("identity", F.lit(99.0))
+    keep = lambda safe: sorted(r["name"] for r in ranking.depth_capped(hits, ["region"], "name", "score", 1, 90, protected=safe).collect())
+    assert keep(None) == ["a"] and keep(F.col("name") == "c") == ["a", "c"]
+
+
+def test_an_island_of_many_hits_ends(spark):
+    rows = spark.range(200_000).select(F.lit(1).alias("region"), F.lit(1).alias("strand"), (F.col("id") * 3).alias("start"), (F.col("id") * 3 + 5).alias("end"), F.col("id").alias("row_id"), (F.col("id") % 997).cast("double").alias("score"), F.concat(F.lit("n"), (F.col("id") % 5000).cast("string")).alias("name"), F.lit(0.001).alias("p_value"))
+    kept = ranking.non_overlapping(rows, ["region"], "score", "row_id").count()
+    assert 66_000 < kept <= 100_000
+    assert refinement.capped_hits(rows, ["region"], "name", 4, 0.1, 1).count() > 0
