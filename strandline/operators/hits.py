@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .grouped import Group, in_groups
 from .intervals import JOIN_BIN, overlaps, with_island
 from .ranking import non_overlapping
 
@@ -54,3 +55,46 @@ def collapsed_probes(probes: DataFrame, key: Sequence[str], members: Sequence[st
     """One row for each key with its members, sorted and distinct, and their number."""
     listed = F.array_sort(F.collect_set(F.concat_ws(":", *members)))
     return probes.groupBy(*key).agg(listed.alias("members")).withColumn("n", F.size("members").cast("long"))
+
+
+def _consistent(spans: list[tuple[int, int]], gaps: list[tuple[int, int]], cluster: dict) -> bool:
+    """Whether a hit's features keep out of the cluster's introns, and the stretches between those out of the hit's."""
+    if any(s <= b and a <= e for s, e in spans for a, b in cluster["gaps"]):
+        return False
+    edges = [cluster["start"], *[x for a, b in cluster["gaps"] for x in (a - 1, b + 1)], cluster["end"]]
+    solid = list(zip(edges[::2], edges[1::2], strict=True))
+    return not any(s <= b and a <= e for s, e in solid for a, b in gaps)
+
+
+def intron_clusters(hits: DataFrame, by: Sequence[str], row_id: str, scan_bin: int) -> DataFrame:
+    """row_id, cluster, meta: hits in clusters that agree on introns, and clusters in meta clusters; each named by its first
+    hit. hits: row_id, by (strand among them), starts, ends (features in order).
+
+    Hits come by start, longest first, then id. One joins the first cluster that spans it and with whose introns it agrees;
+    else it opens one, with its own span and introns, which later hits do not change. A cluster joins the first meta
+    cluster that overlaps it, which does not grow either. Only what lies in one island of overlapping hits can meet, so that
+    is what a task holds, and of it only clusters that still reach the present position are looked at."""
+    by = list(by)
+    rows = hits.select(row_id, *by, "starts", "ends", F.array_min("starts").alias("start"), F.array_max("ends").alias("end"))
+    islands = with_island(rows, by, scan_bin=scan_bin)
+    kind = dict(hits.dtypes)[row_id]
+
+    def run(group: Group) -> Iterator[tuple]:
+        clusters: list[dict] = []
+        metas: list[tuple] = []
+        for name, starts, ends, s, e in zip(*(group[c] for c in (row_id, "starts", "ends", "start", "end")), strict=True):
+            spans = list(zip(starts, ends, strict=True))
+            gaps = [(b + 1, a - 1) for b, a in zip(ends, starts[1:], strict=False)]
+            clusters = [c for c in clusters if c["end"] >= s]
+            found = next((c for c in clusters if c["end"] >= e and _consistent(spans, gaps, c)), None)
+            if found is None:
+                metas = [x for x in metas if x[1] >= s]
+                meta = next((x for x in metas if x[0] <= e and s <= x[1]), None)
+                if meta is None:
+                    meta = (s, e, name)
+                    metas.append(meta)
+                found = {"start": s, "end": e, "gaps": gaps, "name": name, "meta": meta[2]}
+                clusters.append(found)
+            yield name, found["name"], found["meta"]
+
+    return in_groups(islands, [*by, "island"], ["start", F.desc("end"), row_id], run, f"`{row_id}` {kind}, cluster {kind}, meta {kind}")

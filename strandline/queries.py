@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import assembly_queries, building_queries, curation_queries, event_queries, hit_queries, interval_queries, merging_queries, model_queries, ranking_queries, refinement_queries
+from .plans import assembly_queries, building_queries, curation_queries, event_queries, hit_queries, interval_queries, mapping_queries, merging_queries, model_queries, ranking_queries, refinement_queries
 
-_MODULES = (interval_queries, ranking_queries, model_queries, event_queries, building_queries, curation_queries, hit_queries, refinement_queries, assembly_queries, merging_queries)
+_MODULES = (interval_queries, ranking_queries, model_queries, event_queries, building_queries, curation_queries, hit_queries, refinement_queries, assembly_queries, merging_queries, mapping_queries)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}

@@ -122,19 +122,20 @@ def read_agp(spark: SparkSession, path: str) -> DataFrame:
 
 def read_chain(spark: SparkSession, path: str) -> DataFrame:
     """Ungapped blocks of a chain file: chain_id, score, target, target_start, query, query_strand, query_start, length
-    (starts from 0). A chain is read as one record, up to the blank line after it."""
-    records = spark.read.option("lineSep", "\n\n").text(path).filter("value rlike '^\\\\s*chain '")
+    (starts from 0). A chain is read as one record, up to the blank line after it; equal ids in two files are chains each."""
+    text = spark.read.option("lineSep", "\n\n").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    records = text.filter("value rlike '^\\\\s*chain '")
     lines = F.split(F.trim("value"), "\n")
     head = F.split(F.get(lines, F.lit(0)), r"\s+")
     field = lambda i: F.get(head, F.lit(i))
     chains = records.select(
-        field(12).alias("chain_id"), field(1).cast("long").alias("score"), field(2).alias("target"), field(5).cast("long").alias("t0"), field(7).alias("query"), field(9).alias("query_strand"),
+        "file", field(12).alias("chain_id"), field(1).cast("long").alias("score"), field(2).alias("target"), field(5).cast("long").alias("t0"), field(7).alias("query"), field(9).alias("query_strand"),
         field(10).cast("long").alias("q0"), F.transform(F.slice(lines, 2, F.size(lines)), lambda x: F.split(F.trim(x), r"\s+")).alias("steps"),
     )
     rows = chains.select("*", F.posexplode("steps").alias("at", "step")).withColumns(
         {"length": F.get("step", F.lit(0)).cast("long"), "dt": F.coalesce(F.get("step", F.lit(1)).cast("long"), F.lit(0)), "dq": F.coalesce(F.get("step", F.lit(2)).cast("long"), F.lit(0))}
     )
-    before = Window.partitionBy("chain_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("file", "chain_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     shift = lambda gap: F.coalesce(F.sum(F.col("length") + F.col(gap)).over(before), F.lit(0))
     return rows.select("chain_id", "score", "target", (F.col("t0") + shift("dt")).alias("target_start"), "query", "query_strand", (F.col("q0") + shift("dq")).alias("query_start"), "length")
 
@@ -209,3 +210,53 @@ def read_embl(spark: SparkSession, path: str) -> DataFrame:
         F.regexp_extract(text, r"\nID   ([^;\s]+)", 1).alias("id"), F.regexp_extract(text, r"\nAC   ([^;\s]+)", 1).alias("accession"), lines("DE").alias("description"),
         F.zip_with(kinds, places, lambda k, p: F.struct(k.alias("kind"), p.alias("location"))).alias("features"), F.upper(body).alias("seq"),
     )
+
+
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, block (where a file's split begins), line (rising within a block), value."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    return lines.withColumn("line", F.monotonically_increasing_id())
+
+
+def _last_before(rows: DataFrame, depth: str) -> DataFrame:
+    """rows (file, block, line, depth, ...) with parent_block and parent_line: the last line before, in the same file, that
+    is one level up. A scan in two levels: within a block, and over the last line of each level of earlier blocks, so a
+    parent is found over the borders of splits."""
+    place = F.struct("block", "line")
+    roles = F.explode(F.array(F.struct(F.col(depth).alias("level"), F.lit(True).alias("up")), F.struct((F.col(depth) - 1).alias("level"), F.lit(False).alias("up"))))
+    both = rows.select("file", "block", "line", roles.alias("r")).select("file", "block", "line", "r.level", "r.up")
+    within = Window.partitionBy("file", "block", "level").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    own = both.withColumn("_own", F.last(F.when(F.col("up"), place), ignorenulls=True).over(within))
+    ends = both.filter("up").groupBy("file", "block", "level").agg(F.max(place).alias("_end"))
+    blocks = both.select("file", "block", "level").distinct().join(ends, ["file", "block", "level"], "left")
+    along = Window.partitionBy("file", "level").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = blocks.withColumn("_earlier", F.last("_end", ignorenulls=True).over(along)).select("file", "block", "level", "_earlier")
+    found = own.filter("NOT up").join(earlier, ["file", "block", "level"], "left").withColumn("_p", F.coalesce("_own", "_earlier"))
+    return rows.join(found.select("file", "block", "line", F.col("_p.block").alias("parent_block"), F.col("_p.line").alias("parent_line")), ["file", "block", "line"])
+
+
+def read_net(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each line of net files: file, block, line (in order of block and line within a file), parent_block and
+    parent_line (null for a net), depth, kind (net, fill or gap), target (the net's sequence), start and size on it, query,
+    query_strand, query_start, query_size, and attributes (a map of the pairs that follow; a net has none of these).
+
+    Depth is the number of leading spaces; a parent is the last line before that is one level up. Lines may lie in any
+    split. Blank lines and comments are left out."""
+    lines = _numbered_lines(spark, path).filter("value rlike '^ *(net|fill|gap) '")
+    field = lambda i: F.get("_f", F.lit(i))
+    rows = lines.withColumns({"depth": F.length(F.regexp_extract("value", "^( *)", 1)), "_f": F.split(F.trim("value"), r"\s+")}).withColumn("kind", field(0))
+    inner = F.col("kind") != "net"
+    pairs = F.slice("_f", 8, F.greatest(F.size("_f") - 7, F.lit(0)))
+    at = F.sequence(F.lit(0), F.greatest(F.floor(F.size(pairs) / 2).cast("int") - 1, F.lit(0)))
+    entries = F.filter(F.transform(at, lambda i: F.struct(F.get(pairs, 2 * i).alias("key"), F.get(pairs, 2 * i + 1).alias("value"))), lambda e: e["value"].isNotNull())
+    parsed = rows.select(
+        "file", "block", "line", "depth", "kind", F.when(~inner, field(1)).alias("_net"), F.when(inner, field(1).cast("long")).otherwise(0).alias("start"), field(2).cast("long").alias("size"),
+        F.when(inner, field(3)).alias("query"), F.when(inner, field(4)).alias("query_strand"), F.when(inner, field(5).cast("long")).alias("query_start"), F.when(inner, field(6).cast("long")).alias("query_size"),
+        F.when(inner, F.map_from_entries(entries)).alias("attributes"),
+    )
+    # the net of a line: within its block, or the last of an earlier one
+    within = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    nets = parsed.groupBy("file", "block").agg(F.max_by("_net", F.when(F.col("_net").isNotNull(), F.col("line"))).alias("_end"))
+    earlier = nets.withColumn("_earlier", F.last("_end", ignorenulls=True).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))).drop("_end")
+    named = parsed.withColumn("_own", F.last("_net", ignorenulls=True).over(within)).join(earlier, ["file", "block"], "left").withColumn("target", F.coalesce("_own", "_earlier"))
+    return _last_before(named.drop("_net", "_own", "_earlier"), "depth")
