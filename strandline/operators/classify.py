@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .models import introns
+from .assembly import model_introns
+from .intervals import JOIN_BIN, covered_length, merged, overlaps
 
 #: Least coverage and identity of the tiers, best first.
 STANDARD_TIERS = ((95, 90), (90, 80), (90, 60), (90, 40), (80, 20), (60, 20), (0, 0))
@@ -33,21 +35,63 @@ def intron_support(rows: DataFrame, good: str, total: str) -> DataFrame:
     return rows.withColumn("difference", difference).withColumn("support", label.otherwise("none"))
 
 
-def pseudogenes(models: DataFrame, shortest_real: int, most_frameshift: int, most_repeat: float) -> DataFrame:
-    """models (exons, covered: bases under repeats) with call: single exons outside repeats, models whose introns are all
-    or too often shorter than a real one, models under repeats, and the rest."""
-    gaps = introns(F.col("exons"))
-    short = F.size(F.filter(gaps, lambda i: i["end"] - i["start"] + 1 < shortest_real))
-    length = F.aggregate("exons", F.lit(0).cast("bigint"), lambda a, e: a + e["end"] - e["start"] + 1)
-    share = 100 * F.coalesce("covered", F.lit(0)) / length
+def model_evidence(exons: DataFrame, repeats: DataFrame, by: Sequence[str], shortest_real: int, width: int = JOIN_BIN) -> DataFrame:
+    """gene_id, n_exons, introns, real, frameshift, intron_length, covered_exons, covered_introns of models (exons: gene_id,
+    by, start, end): an intron over shortest_real bases is a real one, others are frameshifts; covered is the percent of
+    bases under the union of repeats (0 without introns)."""
+    by = list(by)
+    gaps = model_introns(exons.select("gene_id", *by, "start", "end"))
+    length = F.col("end") - F.col("start") + 1
+    own = exons.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n_exons"), F.sum(length).alias("_exon_length"))
+    between = gaps.groupBy("gene_id").agg(F.count(F.lit(1)).alias("introns"), F.count_if(length > shortest_real).alias("real"), F.sum(length).alias("intron_length"))
+    under = [covered_length(rows, repeats, by, ["gene_id"], width).withColumnRenamed("covered", name) for rows, name in ((exons.select("gene_id", *by, "start", "end"), "_exon_bases"), (gaps, "_intron_bases"))]
+    joined = own.join(between, "gene_id", "left").join(under[0], "gene_id", "left").join(under[1], "gene_id", "left")
+    whole = joined.fillna(0, ["introns", "real", "intron_length", "_exon_bases", "_intron_bases"])
+    percent = lambda a, b: F.when(F.col(b) > 0, F.round(100 * F.col(a) / F.col(b), 4)).otherwise(0.0)
+    return whole.select("gene_id", "n_exons", "introns", "real", (F.col("introns") - F.col("real")).alias("frameshift"), "intron_length", percent("_exon_bases", "_exon_length").alias("covered_exons"), percent("_intron_bases", "intron_length").alias("covered_introns"))
+
+
+def covered_single_introns(exons: DataFrame, features: DataFrame, by: Sequence[str], shortest_real: int, most: float, pieces: int = 2, width: int = JOIN_BIN) -> DataFrame:
+    """gene_id of models of which the first intron over shortest_real bases lies by over most percent under features of each
+    of at least some pieces of evidence of its own (features: gene_id, hit, by, start, end); a piece's overlaps count once."""
+    by = list(by)
+    gaps = model_introns(exons.select("gene_id", *by, "start", "end")).filter(F.col("end") - F.col("start") + 1 > shortest_real)
+    first = gaps.groupBy("gene_id", *by).agg(F.min(F.struct("start", "end")).alias("i")).select("gene_id", *by, "i.start", "i.end")
+    blocks = merged(features.select("gene_id", "hit", *by, "start", "end"), ["gene_id", "hit", *by])
+    pairs = overlaps(first, blocks, ["gene_id", *by], width)
+    shared = pairs.groupBy("gene_id", "r_hit", "start", "end").agg(F.sum(F.least("end", "r_end") - F.greatest("start", "r_start") + 1).alias("_n"))
+    return shared.filter(100 * F.col("_n") > most * (F.col("end") - F.col("start") + 1)).groupBy("gene_id").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") >= pieces).select("gene_id")
+
+
+def pseudogenes(
+    models: DataFrame, evidence: DataFrame, dodgy: DataFrame, blessed: Sequence[str], reads: Sequence[str], most_exon_cover: float, most_intron_cover: float, longest_introns: int,
+    least_frameshift: int, least_real: int, most_frameshift: int, indeterminate: bool = True,
+) -> DataFrame:
+    """models (gene_id, biotype, ...) with call, by the first rule that fits. evidence: as model_evidence gives it; dodgy:
+    gene_id of models whose single real intron evidence covers.
+
+    single_exon: one exon, not under repeats and not of a blessed biotype. real: a biotype that begins with one of reads.
+    pseudo: short introns in sum, frameshifts, real introns and repeats in introns all at their bounds; or all introns are
+    frameshifts; or there are over most_frameshift. repeat: exons under repeats. indeterminate (if asked for): frameshifts
+    or, for other than blessed biotypes, repeats in introns at their bounds. pseudo: one real intron, and it is dodgy."""
+    joined = models.join(evidence, "gene_id").join(dodgy.select("gene_id", F.lit(True).alias("_dodgy")), "gene_id", "left")
+    under = (F.col("covered_exons") > 0) & (F.col("covered_exons") >= most_exon_cover)
+    holy = F.col("biotype").isin(*blessed)
+    from_reads = reduce(lambda a, b: a | b, [F.col("biotype").startswith(r) for r in reads], F.lit(False))
+    filled = F.col("covered_introns") >= most_intron_cover
+    shifted = F.col("frameshift") >= least_frameshift
     call = (
-        F.when((F.size("exons") == 1) & (share < most_repeat), "single_exon")
-        .when((F.size(gaps) > 0) & (short == F.size(gaps)), "pseudo")
-        .when(short > most_frameshift, "pseudo")
-        .when(share >= most_repeat, "repeat")
+        F.when((F.col("n_exons") == 1) & ~under & ~holy, "single_exon")
+        .when(from_reads, "real")
+        .when((F.col("intron_length") < longest_introns) & shifted & (F.col("real") >= least_real) & filled, "pseudo")
+        .when((F.col("introns") > 0) & (F.col("frameshift") == F.col("introns")), "pseudo")
+        .when(F.col("frameshift") > most_frameshift, "pseudo")
+        .when(under, "repeat")
+        .when(F.lit(indeterminate) & (shifted | (filled & ~holy)), "indeterminate")
+        .when((F.col("real") == 1) & F.coalesce("_dodgy", F.lit(False)), "pseudo")
         .otherwise("real")
     )
-    return models.withColumn("call", call)
+    return joined.withColumn("call", call).drop("_dodgy")
 
 
 def gene_vote(transcripts: DataFrame) -> DataFrame:

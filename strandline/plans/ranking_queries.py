@@ -103,14 +103,22 @@ def intron_support(spark, sf):
     return found.groupBy("support").agg(F.count(F.lit(1)).alias("n"), F.sum("difference").alias("difference"))
 
 
-def pseudogene_calls(spark, sf):
-    from ..operators import intervals
+def _repeats(spark, sf):
+    """Features of one flag as repeats, on the scale of the exons."""
+    return t.features(spark, sf).filter("flag = 'R'").select("region", (F.col("start") * 20).alias("start"), (F.col("start") * 20 + F.col("end") - F.col("start")).alias("end"))
+
+
+def model_evidence(spark, sf):
+    return classify.model_evidence(t.exons(spark, sf), _repeats(spark, sf), ["region"], 20, SPARSE)
 
-    genes = t.transcripts(spark, sf)
-    repeats = t.features(spark, sf).filter("flag = 'R'").select("region", "start", "end")
-    covered = intervals.covered_length(t.exons(spark, sf).select("gene_id", "region", "start", "end"), repeats, ["region"], ["gene_id"], SPARSE)
-    called = classify.pseudogenes(genes.join(covered, "gene_id", "left"), shortest_real=20, most_frameshift=2, most_repeat=40.0)
-    return called.groupBy("biotype", "call").agg(F.count(F.lit(1)).alias("n"))
+
+def pseudogene_calls(spark, sf):
+    exons = t.exons(spark, sf)
+    evidence = classify.model_evidence(exons, _repeats(spark, sf), ["region"], 20, SPARSE)
+    features = exons.select("gene_id", "hit", "region", (F.col("start") - F.col("hit") % 50).alias("start"), (F.col("end") + F.col("hit") % 60).alias("end"))
+    dodgy = classify.covered_single_introns(exons, features, ["region"], 20, 30.0, width=SPARSE)
+    models = exons.select("gene_id", "biotype").distinct()
+    return classify.pseudogenes(models, evidence, dodgy, ["1-URGENT"], ["2-"], 30.0, 40.0, 120, 1, 1, 1).select("gene_id", "biotype", "call")
 
 
 _TIERS = "CASE " + " ".join(f"WHEN coverage >= {c} AND identity >= {i} THEN 'tier_{n}'" for n, (c, i) in enumerate(classify.STANDARD_TIERS, 1)) + " END"
@@ -151,12 +159,28 @@ QUERIES = {
     "layer_selection": layer_selection,
     "support_tiers": support_tiers,
     "intron_support": intron_support,
+    "model_evidence": model_evidence,
     "pseudogene_calls": pseudogene_calls,
     "kill_list": kill_list,
     "named_thresholds": named_thresholds,
     "family_cutoffs": family_cutoffs,
 }
 
+_EVIDENCE = f"""WITH {t.EXONS}, {t.FEATURES}, gaps AS (
+  SELECT * FROM (SELECT gene_id, region, "end" + 1 AS s, lead("start") OVER (PARTITION BY gene_id ORDER BY "start", "end") - 1 AS e FROM exons) WHERE e >= s
+), masked AS (SELECT DISTINCT region, unnest(range(20 * "start", 20 * "start" + "end" - "start" + 1)) AS pos FROM features WHERE flag = 'R'
+), inside AS (
+  SELECT gene_id, 'exon' AS kind, region, unnest(range("start", "end" + 1)) AS pos FROM exons UNION ALL SELECT gene_id, 'intron', region, unnest(range(s, e + 1)) FROM gaps
+), shares AS (
+  SELECT gene_id, count(*) FILTER (kind = 'exon' AND m.pos IS NOT NULL) AS ec, count(*) FILTER (kind = 'exon') AS en, count(*) FILTER (kind = 'intron' AND m.pos IS NOT NULL) AS ic, count(*) FILTER (kind = 'intron') AS n
+  FROM inside i LEFT JOIN masked m USING (region, pos) GROUP BY 1
+), counts AS (SELECT gene_id, count(*) AS introns, count(*) FILTER (e - s + 1 > 20) AS "real" FROM gaps GROUP BY 1
+), sizes AS (SELECT gene_id, count(*) AS n_exons FROM exons GROUP BY 1
+), evidence AS (
+  SELECT gene_id, n_exons, coalesce(introns, 0) AS introns, coalesce("real", 0) AS "real", coalesce(introns - "real", 0) AS frameshift, n AS intron_length,
+    round(100.0 * ec / en, 4) AS covered_exons, CASE WHEN n > 0 THEN round(100.0 * ic / n, 4) ELSE 0 END AS covered_introns FROM sizes JOIN shares USING (gene_id) LEFT JOIN counts USING (gene_id)
+)"""
+
 ORACLE_SQL = {
     "best_in_genome": f"""WITH {t.FEATURES}
 SELECT hit, gene_id, region, "start", "end", coverage, identity FROM (SELECT *, max(coverage) OVER (PARTITION BY hit) AS top, score > 20000 AS spliced,
@@ -197,20 +221,14 @@ SELECT gene_id, hit, "start", "end", identity, coverage, score FROM features WHE
     "family_cutoffs": f"""WITH {t.FEATURES}
 SELECT hit, count(*) AS n, max(score) AS best FROM features LEFT JOIN part ON hit = p_partkey AND p_partkey % 2 = 0
 WHERE score > coalesce(20 * p_retailprice, 25000) GROUP BY 1""",
-    "pseudogene_calls": f"""WITH {t.EXONS}, {t.FEATURES.replace('features AS', 'all_features AS')}, features AS (SELECT * FROM all_features WHERE flag = 'R'), marked AS (
-  SELECT *, CASE WHEN "start" > max("end") OVER (PARTITION BY region ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS opens FROM features
-), islands AS (
-  SELECT region, min("start") AS "start", max("end") AS "end" FROM (
-    SELECT *, sum(opens) OVER (PARTITION BY region ORDER BY "start", "end" RANGE UNBOUNDED PRECEDING) AS island FROM marked) GROUP BY region, island
-), covered AS (
-  SELECT gene_id, sum(least(e."end", i."end") - greatest(e."start", i."start") + 1) AS bases
-  FROM exons e JOIN islands i ON e.region = i.region AND e."start" <= i."end" AND e."end" >= i."start" GROUP BY 1
-), gaps AS (
-  SELECT gene_id, biotype, "end" - "start" + 1 AS len, lead("start") OVER (PARTITION BY gene_id ORDER BY "start") - "end" - 1 AS gap FROM exons
-), facts AS (
-  SELECT gene_id, biotype, count(*) AS n, sum(len) AS len, count(*) FILTER (gap < 20) AS short, count(gap) AS introns FROM gaps GROUP BY 1, 2
-)
-SELECT biotype, CASE WHEN n = 1 AND 100 * coalesce(bases, 0) / len < 40 THEN 'single_exon' WHEN introns > 0 AND short = introns THEN 'pseudo'
-  WHEN short > 2 THEN 'pseudo' WHEN 100 * coalesce(bases, 0) / len >= 40 THEN 'repeat' ELSE 'real' END AS call, count(*) AS n
-FROM facts LEFT JOIN covered USING (gene_id) GROUP BY 1, 2""",
+    "model_evidence": f"""{_EVIDENCE} SELECT * FROM evidence""",
+    "pseudogene_calls": f"""{_EVIDENCE}, spans AS (SELECT gene_id, hit, "start" - hit % 50 AS s, "end" + hit % 60 AS e FROM exons
+), first_gap AS (SELECT gene_id, s, e FROM gaps WHERE e - s + 1 > 20 QUALIFY row_number() OVER (PARTITION BY gene_id ORDER BY s, e) = 1
+), under AS (SELECT DISTINCT g.gene_id AS gene_id, hit, any_value(e - s + 1) OVER (PARTITION BY g.gene_id) AS n, pos FROM (
+  SELECT g.gene_id, x.hit, g.s, g.e, unnest(range(greatest(g.s, x.s), least(g.e, x.e) + 1)) AS pos FROM first_gap g JOIN spans x ON x.gene_id = g.gene_id AND x.s <= g.e AND x.e >= g.s) g
+), dodgy AS (SELECT gene_id FROM (SELECT gene_id, hit, any_value(n) AS n, count(*) AS k FROM under GROUP BY 1, 2) WHERE 100 * k > 30 * n GROUP BY 1 HAVING count(*) > 1
+), joined AS (SELECT DISTINCT gene_id, biotype, evidence.* EXCLUDE (gene_id), gene_id IN (SELECT gene_id FROM dodgy) AS odd, covered_exons >= 30 AS under, covered_introns >= 40 AS filled FROM exons JOIN evidence USING (gene_id))
+SELECT gene_id, biotype, CASE WHEN n_exons = 1 AND NOT under AND biotype <> '1-URGENT' THEN 'single_exon' WHEN biotype LIKE '2-%' THEN 'real'
+  WHEN intron_length < 120 AND frameshift >= 1 AND "real" >= 1 AND filled THEN 'pseudo' WHEN introns > 0 AND frameshift = introns THEN 'pseudo' WHEN frameshift > 1 THEN 'pseudo' WHEN under THEN 'repeat'
+  WHEN frameshift >= 1 OR (filled AND biotype <> '1-URGENT') THEN 'indeterminate' WHEN "real" = 1 AND odd THEN 'pseudo' ELSE 'real' END AS call FROM joined""",
 }
