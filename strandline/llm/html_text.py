@@ -9,7 +9,9 @@ section that holds them.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are known by tag, role or
 class and id names and never count or appear. Beside the chosen container stay the clean blocks of the article or main
-element around it, or, without one, the headings and long prose in its parent.
+element around it, or, without one, those of its parent, if that has a name of its own; of a parent that holds the whole
+page (body, or a name of layout only) what stands in it directly stays, and long prose of its other containers. A form that
+holds most of the page's text is its frame, not a form.
 
 Votes are summed before they are shuffled, so a host with a third of all pages costs no more than others. Up to
 BROADCAST_BYTES of them go to all tasks; beyond that, chains and votes are joined by host and path, and each page's
@@ -49,15 +51,23 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe template svg math xmp noembed noframes".split())
 #: Of these, a missing end tag means that there is nothing to skip.
 LENIENT = frozenset("svg math noscript template iframe".split())
-DROPPED = RAW | frozenset("nav header footer aside form head button select menu dialog object canvas audio video".split())
+DROPPED = RAW | frozenset("nav header footer aside head button select menu dialog object canvas audio video".split())
 CONTAINERS = frozenset("html body main article section div center details".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote figure figcaption fieldset pre address hr summary nav header footer aside form head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KEPT = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 STRONG = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsored sponsor comment comments disqus replies nav navbar navigation menu footer cookie cookies consent breadcrumb breadcrumbs".split())
 WEAK = frozenset("header masthead sidebar aside notice alert banner promo promotion popup modal overlay share sharing social related recommended newsletter subscribe signup login search pagination pager skip toolbar reply respond".split())
-#: Words that say nothing of their own: a name of noise words and these is noise, with any other word it is not.
-NEUTRAL = frozenset("area bar block body box btn button buttons container content form group holder icons inner item items left level link links list main module modules outer panel post posts primary region right row secondary section site slot text thread top bottom unit widget widgets wrap wrapper wrappers".split())
+#: Noise words that make what follows theirs, also an article or a text about something (related-articles, cookie-policy).
+LEADING = frozenset("ad ads adv advert adverts advertisement advertising sponsored sponsor cookie cookies social share sharing related recommended promo newsletter comment comments nav menu".split())
+FOLLOWING = frozenset("article articles story stories news media policy policies notice consent feed stream count counter topics tags terms settings message messages".split())
+#: Before a noise word these make a name of layout, not of noise; before these noise words an article's name makes them its own.
+FLAGS = frozenset("has have with no without not is under non".split())
+ARTICLE, OWNED = frozenset("article entry story chapter".split()), frozenset("header notice banner toolbar".split())
+#: Names of containers that hold a page rather than an article.
+WRAPPERS = frozenset("wrap wrapper page site container layout root app outer inner row main grid columns body document canvas shell".split())
+#: Words that say nothing of their own: a name is noise if these alone follow its noise word.
+NEUTRAL = frozenset("above area bar below block body box btn button buttons container content form group holder icons inner item items left level link links list main module modules outer panel post posts primary region right row secondary section site slot text thread top bottom unit widget widgets wrap wrapper wrappers".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 SIBLINGS = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr", ("table",)), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
 
@@ -75,6 +85,7 @@ class Block:
     text: str
     linked: int
     heading: bool
+    form: int = 0
 
 
 @dataclass
@@ -110,8 +121,14 @@ def _is_noise(tag: str, names: str, role: str) -> bool:
     if role in ROLES:
         return True
     for name in names.split():
-        words = set(_WORD.findall(name))
-        if words & (STRONG | WEAK) and words <= STRONG | WEAK | NEUTRAL:
+        words = _WORD.findall(name)
+        at = max((i for i, w in enumerate(words) if w in STRONG or w in WEAK), default=-1)
+        if at < 0 or FLAGS.intersection(words[:at]):
+            continue
+        rest = [w for w in words[at + 1 :] if w not in NEUTRAL]
+        if not rest and not (words[at] in OWNED and ARTICLE.intersection(words[:at])):
+            return True
+        if rest and words[0] in LEADING and all(w in FOLLOWING for w in rest):
             return True
     return False
 
@@ -153,18 +170,23 @@ class _Reader:
         self.parts: list[str] = []
         self.linked = 0
         self.heading = False
+        self.forms = 0  # forms begun so far, which number the outermost one that is open
+        self.form = 0
 
     def close(self) -> None:
         if self.parts:
             text = " ".join(html.unescape("".join(self.parts)).split())
             if text:
-                self.page.blocks.append(Block(self.stack[-1][1] if self.stack else 0, text, self.linked, self.heading))
+                self.page.blocks.append(Block(self.stack[-1][1] if self.stack else 0, text, self.linked, self.heading, self.form))
             self.parts.clear()
         self.linked = 0
 
     def push(self, tag: str, node: int, noise: bool) -> None:
         self.stack.append((tag, node, noise))
         self.open[tag] += 1
+        if tag == "form" and not self.form:
+            self.forms += 1
+            self.form = self.forms
         if tag in BLOCKS or tag in DROPPED:
             self.inline.append(Counter())
         else:
@@ -173,6 +195,8 @@ class _Reader:
     def pop(self) -> None:
         tag = self.stack.pop()[0]
         self.open[tag] -= 1
+        if tag == "form" and not self.open["form"]:
+            self.form = 0
         if tag in BLOCKS or tag in DROPPED:
             self.inline.pop()
         else:
@@ -284,8 +308,21 @@ class _Reader:
                 self.start_tag(tag, classes, names, role)
         self.text(text_from, end)
         self.close()
+        self._without_forms()
         return self.page
 
+    def _without_forms(self) -> None:
+        """A form that holds most of the page, prose among it, is the page's frame; the text of others goes."""
+        held: Counter[int] = Counter()
+        prose: set[int] = set()
+        for block in self.page.blocks:
+            free = len(block.text) - block.linked
+            held[block.form] += free
+            if free >= PROSE:
+                prose.add(block.form)
+        frames = {f for f in held if f == 0 or f in prose and 2 * held[f] > sum(held.values())}
+        self.page.blocks = [b for b in self.page.blocks if b.form in frames]
+
 
 def read(source: str | None) -> Page:
     """Blocks of a page's text in order, with their containers; what is noise by tags or names is left out."""
@@ -326,14 +363,19 @@ def text_below(page: Page, top: int) -> str:
         inside[n] = inside[n] or inside[page.parents[n]]
         around[n] = around[n] or around[page.parents[n]]
 
+    # a parent that is a section of its own is the article's; one that holds the page is not, so of its other containers
+    # only long prose stays
+    name = page.labels[region].split(".")
+    section = name[0] not in ("", "html", "body") and not (len(name) > 1 and WRAPPERS.issuperset(w for n in name[1:] for w in _WORD.findall(n)))
+
     def stays(block: Block) -> bool:
         if inside[block.node]:
             return True
         if not around[block.node]:
             return False
-        if article:
+        if article or section and len(name) > 1:
             return block.heading or 2 * block.linked <= len(block.text)
-        return 5 * block.linked <= len(block.text) and (len(block.text) >= PROSE or block.heading and block.node == region)
+        return 5 * block.linked <= len(block.text) and (len(block.text) >= PROSE or block.node == region)
 
     return "\n\n".join(b.text for b in page.blocks if stays(b))
 

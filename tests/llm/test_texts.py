@@ -315,6 +315,12 @@ def words(n, name):
         ("<article><table><tr><td>{0}<td>{1}</table><blockquote>{0}</blockquote></article>", ["{0}", "{1}", "{0}"]),
         ("<div id=menu>{0}</div><div role=navigation>{0}</div><form>{0}</form><div class=post><p>{1} &lt;b&gt; a < b&nbsp; c<!-- no --> d<br>e</p></div>", ["{1} <b> a < b c d e"]),
         ("<div class=post><p>{1}</p><script>var a='<p>';</script><style>p{{}}</style><svg><p>{0}</div>", ["{1}", "{0}"]),
+        ("<body><div class=content><div class=lead><p>{1}</p></div><p>A short closing paragraph of the article.</p></div></body>", ["{1}", "A short closing paragraph of the article."]),
+        ("<body><form id=aspnetForm><div class=post><p>{1}</p><p>{0}</p></div></form></body>", ["{1}", "{0}"]),
+        ("<body><form id=search><p>{0}</p></form><form id=aspnetForm><article><p>{1}</p></article></form></body>", ["{1}"]),
+        ("<body><div class=wrapper><div class=post><p>{1}</p></div><div class=x>small label</div><p>Direct end.</p></div></body>", ["{1}", "Direct end."]),
+        ("<article><div class=entry-header><h1>Head</h1></div><div class='content with-sidebar'><p>{1}</p></div></article>", ["Head", "{1}"]),
+        ("<article><div class=navigation-safety><p>{0}</p></div><p>{1}</p></article>", ["{0}", "{1}"]),
     ],
 )
 def test_article_text_stays(source, wanted):
@@ -322,6 +328,43 @@ def test_article_text_stays(source, wanted):
     assert text_of(source.format(*given)) == [w.format(*given) for w in wanted]
 
 
+NOISE = "page-footer article-comments user-comments related-articles cookie-policy google-ads page-header social-media global-nav blog-sidebar entry-footer main-menu sidebar-content nav-below site-header post-comments sponsored-story newsletter-signup"
+
+
+@pytest.mark.parametrize("name", NOISE.split())
+def test_named_noise_goes(name):
+    given = words(6, "noise"), words(80, "body")
+    for place in ("class", "id"):
+        source = f"<article><p>{given[1]}</p><div {place}={name}><p>{given[0]}</p></div></article>"
+        assert text_of(source) == [given[1]]
+
+
+def plain_choice(sources):
+    """For pages (host, html): the text below the container of the page's chain that most pages of its host chose."""
+    pages = [(host, html_text.read(s)) for host, s in sources]
+    chains = [html_text.chain(p) for _, p in pages]
+    chosen = [(h, p.path(held[own - 1])) for (h, p), (held, own) in zip(pages, chains) if own]
+    out = []
+    for (host, page), (held, own) in zip(pages, chains):
+        ranked = sorted(((sum(c == (host, page.path(n)) for c in chosen), i) for i, n in enumerate(held)), reverse=True)
+        best = ranked[0][1] if ranked and ranked[0][0] else own - 1
+        out.append(html_text.text_below(page, held[best] if best >= 0 else 0))
+    return out
+
+
+def test_votes_by_brute_force(spark):
+    rng = random.Random(21)
+    rows = []
+    for i in range(120):
+        parts = [f"<div class={rng.choice('abc')}{rng.randint(1, 9)}><p>{words(rng.choice([5, 60, 90]), 'w')}</p></div>" for _ in range(rng.randint(1, 4))]
+        middle = f"<section class={rng.choice(['x', 'y'])}>{''.join(parts)}</section>" if rng.random() < 0.7 else "".join(parts)
+        rows.append((i, f"http://h{rng.randint(0, 4)}.example/{i}", f"<body>{middle}<p>{words(3, 'end')}</p></body>"))
+    wanted = dict(zip([r[0] for r in rows], plain_choice([(r[1].split("/")[2], r[2]) for r in rows])))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    for way in (0, 1 << 20):
+        assert {r["page_id"]: r["text"] for r in html_text.main_text(pages, broadcast_bytes=way).collect()} == wanted
+
+
 def test_broken_and_deep_pages_take_linear_time():
     import time
 
