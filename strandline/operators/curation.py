@@ -5,6 +5,7 @@ Models are rows (gene_id, ...); exons rows (gene_id, start, end, ...). Every ord
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,9 +66,11 @@ def after_deletion(models: DataFrame, exons: DataFrame, deleted: DataFrame, gene
     return bounds.join(left.groupBy(gene).agg(F.count(F.lit(1)).alias("models")), gene)
 
 
-def spliced_elsewhere(models: DataFrame, hits: DataFrame, n_exons: str, place: str) -> DataFrame:
-    """gene_id, evidence: single-exon models with evidence (gene_id, hit) that a multi-exon model at another place has
-    too, and how many such pieces: retrotransposed copies. A piece's multi-exon places are reduced to two before the join."""
+def spliced_elsewhere(models: DataFrame, hits: DataFrame, n_exons: str, place: str, least_identity: float = 0, most_p: float = float("inf")) -> DataFrame:
+    """gene_id, evidence: single-exon models with evidence (gene_id, hit, identity, p_value) that a multi-exon model at
+    another place has too, and how many such pieces: retrotransposed copies. Evidence counts on either side if its identity
+    is at least the least and its p-value under the most. A piece's multi-exon places are reduced to two before the join."""
+    hits = hits.filter((F.col("identity") >= least_identity) & (F.col("p_value") < most_p))
     many = hits.join(models.filter(F.col(n_exons) > 1).select("gene_id", place), "gene_id")
     places = many.groupBy("hit").agg(F.min(place).alias("_low"), F.max(place).alias("_high"))
     single = hits.join(models.filter(F.col(n_exons) == 1).select("gene_id", place), "gene_id").select("gene_id", place, "hit").distinct()
@@ -251,6 +254,42 @@ def built_genes(models: DataFrame, by: Sequence[str], order: Sequence[str], bles
     return again.select("gene_id", F.col("cluster").alias("gene"))
 
 
+def painted(hits: DataFrame, by: Sequence[str], score: str, row_id: str) -> DataFrame:
+    """row_id, by, start, end: the stretches of hits that no hit of a higher score (then smaller id) covers, neighbouring ones
+    of one hit joined. Sequential within an island of overlapping hits; a sweep with a heap, so an island takes time in
+    proportion to its hits."""
+    by = list(by)
+    islands = with_island(hits.select(row_id, *by, "start", "end", score), by)
+    kinds = dict(hits.dtypes)
+
+    def run(group: Group) -> Iterator[tuple]:
+        where = tuple(group[b][0] for b in by)
+        rows = sorted(zip(group["start"], group["end"], group[score], group[row_id], strict=True))
+        borders = sorted({x for s, e, _, _ in rows for x in (s, e + 1)})
+        heap, at, last = [], 0, None  # open hits by score; last: the stretch that is not yet given
+        for low, high in zip(borders, borders[1:], strict=False):
+            while at < len(rows) and rows[at][0] <= low:
+                s, e, value, name = rows[at]
+                heapq.heappush(heap, (-value, name, e))
+                at += 1
+            while heap and heap[0][2] < low:
+                heapq.heappop(heap)
+            if not heap:
+                continue
+            name = heap[0][1]
+            if last and last[0] == name and last[2] == low - 1:
+                last = (name, last[1], high - 1)
+                continue
+            if last:
+                yield last[0], *where, last[1], last[2]
+            last = (name, low, high - 1)
+        if last:
+            yield last[0], *where, last[1], last[2]
+
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in (row_id, *by)) + ", start long, end long"
+    return in_groups(islands, [*by, "island"], ["start"], run, schema)
+
+
 def base_runs(seqs: DataFrame, base: str, least: int) -> DataFrame:
     """seq_id, start, end (from 1) of every run of a base, or of any of several, of at least that length."""
     pattern = f"[{base}]{{{least},}}"

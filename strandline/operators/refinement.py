@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .graph import checkpointed, components
 from .grouped import Group, cells_of, in_groups, whole_runs
@@ -81,14 +82,47 @@ def clipped_tail(seq: str | None, buffer: int, window: int = 3, end_region: int
     return seq
 
 
+#: Complements, so that a head of T is a tail of A of the other strand.
+_TURN = str.maketrans("ACGTacgt", "TGCAtgca")
+
+
+def clipped_ends(seq: str | None, buffer: int, window: int = 3, end_region: int = 20) -> tuple[str | None, str | None]:
+    """seq without its poly-A tail or its poly-T head, and which end was looked at (null: neither).
+
+    The longest run of A in the last end_region bases stands against that of T in the first ones: the longer decides, if it
+    is over four. At equal runs over four both ends are tried, and the one that loses more counts; if they lose the same, the
+    sequence stays. One no longer than end_region stays. The head is the tail of the other strand."""
+    if seq is None or len(seq) <= end_region:
+        return seq, None
+    run = lambda part, letters: max((len(r) for r in "".join(c if c in letters else " " for c in part).split()), default=0)
+    a, t = run(seq[-end_region:], "Aa"), run(seq[:end_region], "Tt")
+
+    def head() -> str | None:
+        found = clipped_tail(seq.translate(_TURN)[::-1], buffer, window, end_region)
+        return None if found is None else found.translate(_TURN)[::-1]
+
+    if max(a, t) <= 4:
+        return seq, None
+    if a != t:
+        return (clipped_tail(seq, buffer, window, end_region), "tail") if a > t else (head(), "head")
+    ends = {"head": head(), "tail": clipped_tail(seq, buffer, window, end_region)}
+    sizes = {name: len(s or "") for name, s in ends.items()}
+    if sizes["head"] == sizes["tail"]:
+        return seq, None
+    name = min(sizes, key=sizes.get)
+    return ends[name], name
+
+
 def without_tails(seqs: DataFrame, buffer: int, window: int = 3, end_region: int = 20) -> DataFrame:
-    """seqs (seq_id, seq) without poly-A tails."""
+    """seqs (seq_id, seq) without poly-A tails and poly-T heads, and the end that was clipped. Null if nothing else is left."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield frame.assign(seq=[clipped_tail(s, buffer, window, end_region) for s in frame["seq"]])
+            ends = [clipped_ends(s, buffer, window, end_region) for s in frame["seq"]]
+            yield frame.assign(seq=[s for s, _ in ends], clipped=[e for _, e in ends])
 
-    return seqs.select("seq_id", "seq").mapInPandas(run, seqs.select("seq_id", "seq").schema)
+    schema = StructType([*seqs.select("seq_id", "seq").schema.fields, *StructType.fromDDL("clipped string").fields])
+    return seqs.select("seq_id", "seq").mapInPandas(run, schema)
 
 
 def model_keys(exons: DataFrame, place: Sequence[str]) -> DataFrame:

@@ -50,7 +50,17 @@ def loci_after_deletion(spark, sf):
 
 
 def retrotransposed(spark, sf):
-    return curation.spliced_elsewhere(_facts(spark, sf), t.exons(spark, sf).select("gene_id", "hit"), "n_exons", "region")
+    hits = t.exons(spark, sf).select("gene_id", "hit", "identity", F.round(100 - F.col("coverage"), 4).alias("p_value"))
+    return curation.spliced_elsewhere(_facts(spark, sf), hits, "n_exons", "region", 92, 7)
+
+
+def painted_domains(spark, sf):
+    """What is seen of each hit of a region when higher scores lie over lower ones."""
+    hits = t.features(spark, sf).select("region", "start", "end", "score", F.xxhash64("gene_id", "start", "end", "score", "hit").alias("row_id"))
+    # equal scores and places are one hit
+    one = hits.groupBy("region", "start", "end", "score").agg(F.min("row_id").alias("row_id"))
+    seen = curation.painted(one, ["region"], "score", "row_id").join(one.select("row_id", "score", F.lit(1).alias("_k")), "row_id")
+    return seen.groupBy("region", "score").agg(F.sum(F.col("end") - F.col("start") + 1).alias("bases"))
 
 
 def split_gene_pairs(spark, sf):
@@ -169,7 +179,7 @@ def gene_set(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        redundant_coding, backup_models, noncoding_loci, translation_shares, loci_after_deletion, retrotransposed, split_gene_pairs, evidence_choice,
+        redundant_coding, backup_models, noncoding_loci, translation_shares, loci_after_deletion, retrotransposed, painted_domains, split_gene_pairs, evidence_choice,
         moved_evidence, evidence_lineage, recovered_models, model_labels, renamed_biotypes, utr_scores, trimmed_utr_exons, sources_of_clusters,
         extents_of_clusters, cut_blocks, slice_features, broken_features, base_runs, extended_coding, translation_choice, pruned_models, gene_set,
     )
@@ -198,8 +208,11 @@ best AS (SELECT locus, max(round(3.0::DOUBLE * residues * 100 / len, 1)) AS rati
 SELECT locus, ratio, CASE WHEN ratio > 30 THEN 'long' ELSE 'short' END AS kind FROM best""",
     "loci_after_deletion": _FACTS + """
 SELECT locus, min("start") AS "start", max("end") AS "end", count(*) AS models FROM facts WHERE hit % 3 <> 0 GROUP BY 1""",
-    "retrotransposed": _FACTS + """, e AS (SELECT DISTINCT gene_id, f.region, f.n_exons, x.hit AS piece FROM facts f JOIN exons x USING (gene_id))
+    "retrotransposed": _FACTS + """, e AS (SELECT DISTINCT gene_id, f.region, f.n_exons, x.hit AS piece FROM facts f JOIN exons x USING (gene_id) WHERE x.identity >= 92 AND round(100 - x.coverage, 4) < 7)
 SELECT a.gene_id AS gene_id, count(DISTINCT a.piece) AS evidence FROM e a JOIN e b ON a.piece = b.piece AND b.n_exons > 1 AND b.region <> a.region WHERE a.n_exons = 1 GROUP BY 1""",
+    "painted_domains": f"""WITH {t.FEATURES}, bases AS (SELECT region, score, unnest(range("start", "end" + 1)) AS pos FROM features),
+tops AS (SELECT region, pos, max(score) AS score FROM bases GROUP BY 1, 2)
+SELECT region, score, count(*)::BIGINT AS bases FROM tops GROUP BY 1, 2""",
     "split_gene_pairs": f"""WITH {t.EXONS}, parts AS (SELECT *, hit % 10 AS family, rank * 10 AS hs, rank * 10 + 9 AS he FROM exons), pairs AS (
   SELECT region, strand, family, gene_id AS a, lead(gene_id) OVER w AS b, lead("start") OVER w > "end" AND lead(hs) OVER w > he AS apart FROM parts
   WINDOW w AS (PARTITION BY region, strand, family ORDER BY "start", "end", gene_id))

@@ -88,9 +88,11 @@ def translations(spark, sf):
 
 
 def best_frames(spark, sf):
-    """The longest open frame of each forward frame of a sequence, from its first M."""
-    seqs = t.sequences(spark, sf).select("seq_id", "seq", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("frame"))
-    peptide = F.when(F.col("frame") == 0, q.translated(F.col("seq"), 0)).when(F.col("frame") == 1, q.translated(F.col("seq"), 1)).otherwise(q.translated(F.col("seq"), 2))
+    """The longest open frame of each frame of a sequence, from its first M: 0 to 2 ahead, 3 to 5 on the other strand."""
+    both = t.sequences(spark, sf).select("seq_id", F.posexplode(F.array("seq", q.reverse_complement(F.col("seq")))).alias("back", "seq"))
+    seqs = both.select("seq_id", "seq", F.explode(F.array(*[(3 * F.col("back") + i) for i in range(3)])).alias("frame"))
+    at = F.col("frame") % 3
+    peptide = F.when(at == 0, q.translated(F.col("seq"), 0)).when(at == 1, q.translated(F.col("seq"), 1)).otherwise(q.translated(F.col("seq"), 2))
     pieces = seqs.select("seq_id", "frame", F.explode(F.split(peptide, r"\*", -1)).alias("piece")).filter(F.contains("piece", F.lit("M")))
     orf = F.length("piece") - F.instr("piece", "M") + 1
     return pieces.groupBy("seq_id", "frame").agg(F.max(orf).cast("long").alias("longest"), F.count(F.lit(1)).alias("frames"))
@@ -231,7 +233,7 @@ SELECT concat_ws(':', region, strand, "start", "end") AS exon_key, count(*) AS u
     "translations": f"""WITH {t.SEQUENCES}, peptides AS ({_peptide(0)})
 SELECT seq_id, coalesce(length(peptide), 0)::BIGINT AS residues, (coalesce(length(peptide), 0) - length(replace(coalesce(peptide, ''), '*', '')))::BIGINT AS stops, md5(coalesce(peptide, '')) AS peptide_md5
 FROM sequences LEFT JOIN peptides USING (seq_id)""",
-    "best_frames": f"""WITH {t.SEQUENCES}, peptides AS ({_peptide(0)} UNION ALL {_peptide(1)} UNION ALL {_peptide(2)}), pieces AS (
+    "best_frames": f"""WITH {t.SEQUENCES}, turned AS (SELECT seq_id, reverse(translate(seq, 'ACGT', 'TGCA')) AS seq FROM sequences), peptides AS ({" UNION ALL ".join([_peptide(i) for i in range(3)] + [_peptide(i).replace("FROM sequences", "FROM turned").replace(f"{i} AS frame", f"{i + 3} AS frame") for i in range(3)])}), pieces AS (
   SELECT seq_id, frame, unnest(string_split(peptide, '*')) AS piece FROM peptides)
 SELECT seq_id, frame, max(length(piece) - instr(piece, 'M') + 1)::BIGINT AS longest, count(*) AS frames FROM pieces WHERE contains(piece, 'M') GROUP BY 1, 2""",
     "composition": f"""WITH {t.SEQUENCES}, counts AS (

@@ -35,7 +35,7 @@ def internal_stops(spark, sf):
 
 def tailless_sequences(spark, sf):
     kept = refinement.without_tails(t.sequences(spark, sf), 20)
-    return kept.select("seq_id", F.length("seq").cast("long").alias("length"))
+    return kept.select("seq_id", F.length("seq").cast("long").alias("length"), "clipped")
 
 
 def model_keys(spark, sf):

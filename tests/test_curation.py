@@ -163,3 +163,33 @@ def test_an_island_of_many_hits_ends(spark):
     kept = ranking.non_overlapping(rows, ["region"], "score", "row_id").count()
     assert 66_000 < kept <= 100_000
     assert refinement.capped_hits(rows, ["region"], "name", 4, 0.1, 1).count() > 0
+
+
+def test_poly_t_heads():
+    body = "CGTCGTCGGCGTCGTCGTCGCCGT"
+    tail, head = body + "A" * 15, "T" * 15 + body
+    assert refinement.clipped_ends(tail, 20)[1] == "tail" and refinement.clipped_ends(head, 20)[1] == "head"
+    turn = str.maketrans("ACGT", "TGCA")
+    for s in (tail, head, body, "T" * 9 + body + "A" * 12, "T" * 12 + body + "A" * 7):
+        # what is clipped does not depend on the strand
+        kept, end = refinement.clipped_ends(s, 20)
+        turned, other = refinement.clipped_ends(s.translate(turn)[::-1], 20)
+        assert kept == turned.translate(turn)[::-1] and {end, other} in ({None}, {"head", "tail"})
+    assert refinement.clipped_ends(None, 20) == (None, None) and refinement.clipped_ends("A" * 18, 20) == ("A" * 18, None)
+    assert refinement.clipped_ends("A" * 40, 20) == (None, "tail") and refinement.clipped_ends(body, 20) == (body, None)
+
+
+def test_painted_hits(spark):
+    rng = random.Random(14)
+    rows = [(i, rng.randint(1, 2), s, s + rng.randint(0, 40), float(rng.randint(1, 9))) for i in range(120) for s in [rng.randint(1, 500)]]
+    found = curation.painted(spark.createDataFrame(rows, "row_id long, region long, start long, end long, score double"), ["region"], "score", "row_id")
+    got = {}
+    for r in found.collect():
+        for p in range(r["start"], r["end"] + 1):
+            assert (r["region"], p) not in got
+            got[r["region"], p] = r["row_id"]
+    wanted = {}
+    for i, region, s, e, score in sorted(rows, key=lambda r: (-r[4], r[0])):
+        for p in range(s, e + 1):
+            wanted.setdefault((region, p), i)
+    assert got == wanted
