@@ -133,6 +133,36 @@ def integrity(spark, sf):
     )
 
 
+def gene_set_sanity(spark, sf):
+    """Customers as genes, orders as transcripts, line items as exons, with some links, places and bounds put wrong."""
+    exons = t.exons(spark, sf)
+    orders = t.table(spark, sf, "orders").select(F.col("o_orderkey").alias("gene_id"), F.col("o_custkey").alias("locus"))
+    own = exons.join(orders, "gene_id")
+    genes = own.filter("locus % 50 <> 0").groupBy(F.col("locus").alias("gene_id")).agg(F.min("region").alias("region"), F.min("start").alias("start"), F.max(F.when(F.col("rank") < 7, F.col("end"))).alias("end"))
+    place = (F.col("region") + F.when(F.col("gene_id") % 97 == 0, 1).otherwise(0)).alias("region")
+    kind = F.when(F.col("biotype") == "1-URGENT", "protein_coding").otherwise(F.col("biotype")).alias("biotype")
+    transcripts = own.groupBy(F.col("gene_id").alias("transcript_id"), F.col("locus").alias("_locus"), place, "strand", kind).agg(F.min("start").alias("start"), F.max("end").alias("end")).withColumnRenamed("_locus", "gene_id")
+    exon_id = F.concat_ws(".", "gene_id", "rank")
+    turned = F.when(F.col("hit") % 61 == 0, -F.col("strand")).otherwise(F.col("strand")).alias("strand")
+    rows = exons.filter("hit % 59 <> 0").select(exon_id.alias("exon_id"), "region", turned, (F.col("start") - F.when(F.col("hit") % 71 == 0, 1).otherwise(0)).alias("start"), "end")
+    links = exons.filter("hit % 53 <> 0").select(F.col("gene_id").alias("transcript_id"), exon_id.alias("exon_id"))
+    ends = exons.filter("source = 'F'").groupBy(F.col("gene_id").alias("transcript_id")).agg(F.min(exon_id).alias("start_exon"), F.max(exon_id).alias("end_exon"))
+    return audit.gene_sanity(genes, transcripts, links, rows, ends)
+
+
+def model_oddities(spark, sf):
+    """Models with phases from their hits, ranks that two lines may share, and a peptide where a sequence has their number."""
+    phase = (F.col("hit") % 4 - 1).cast("int")
+    # ranks in order of transcription: on the reverse strand they run down
+    turned = F.when(F.col("strand") == 1, F.col("rank")).otherwise(F.count(F.lit(1)).over(Window.partitionBy("gene_id")).cast("int") + 1 - F.col("rank"))
+    lines = t.exons(spark, sf).withColumn("rank", turned - F.when(F.col("hit") % 83 == 0, 1).otherwise(0))
+    own = F.when(F.col("hit") % 67 == 0, -F.col("strand")).otherwise(F.col("strand"))
+    exon = F.struct("rank", "start", "end", own.alias("strand"), phase.alias("phase"), ((phase + F.col("end") - F.col("start") + 1) % 3).cast("int").alias("end_phase"))
+    grouped = lines.groupBy("gene_id", "strand").agg(F.collect_list(exon).alias("exons"), F.count_if(F.col("identity") > 95).alias("evidence"))
+    peptides = t.sequences(spark, sf).select(F.col("seq_id").alias("gene_id"), F.regexp_replace(q.translated(F.col("seq")), r"\*$", "").alias("peptide"))
+    return audit.model_checks(grouped.join(peptides, "gene_id", "left"), 6, (4, 48), (12, 55), 200)
+
+
 def chunked_regions(spark, sf):
     tops = t.exons(spark, sf).groupBy("region").agg(F.max("end").alias("length"))
     return factories.windows(tops, 5000, 500)
@@ -179,7 +209,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         intron_facts, intron_chains, split_models, trimmed_models, clipped_models, exon_phases, cdna_positions, exon_pair_support, consensus_scores, shared_exons,
-        exon_density, longest_model_per_region, translations, best_frames, composition, reverse_complements, projected_exons, integrity, chunked_regions,
+        exon_density, longest_model_per_region, translations, best_frames, composition, reverse_complements, projected_exons, integrity, gene_set_sanity, model_oddities, chunked_regions,
         padded_genes, batches_of_genes, neighbour_gaps, junction_depths, biotype_rollup, capped_translations,
     )
 }
@@ -247,6 +277,47 @@ SELECT seq_id, a, c, g, t, CASE WHEN n > 0 THEN round(100 * ((g + c) / n), 4) EN
   SELECT gene_id, greatest("start", b) AS lo, least("end", e) AS hi, b, e, orientation FROM exons x JOIN blocks k ON x.region = k.region AND x."start" <= e AND x."end" >= b
 ), placed AS (SELECT gene_id, hi - lo AS span, CASE WHEN orientation = 1 THEN 1 + lo - b ELSE 1 + e - hi END AS low FROM pieces)
 SELECT gene_id, count(*) AS pieces, sum(span + 1)::BIGINT AS bases, min(low) AS low, max(low + span) AS high FROM placed GROUP BY 1""",
+    "gene_set_sanity": f"""WITH {t.EXONS}, own AS (SELECT exons.*, o_custkey AS locus FROM exons JOIN orders ON o_orderkey = gene_id),
+g AS (SELECT locus AS id, min(region) AS region, min("start") AS s, max(CASE WHEN rank < 7 THEN "end" END) AS e FROM own WHERE locus % 50 <> 0 GROUP BY 1),
+t AS (SELECT gene_id AS id, locus, region + CASE WHEN gene_id % 97 = 0 THEN 1 ELSE 0 END AS region, strand, biotype = '1-URGENT' AS coding, min("start") AS s, max("end") AS e FROM own GROUP BY 1, 2, 3, 4, 5),
+every AS (SELECT gene_id, gene_id || '.' || rank AS id, region, strand * CASE WHEN hit % 61 = 0 THEN -1 ELSE 1 END AS strand, "start" - CASE WHEN hit % 71 = 0 THEN 1 ELSE 0 END AS s, "end" AS e, hit, source FROM exons),
+x AS (SELECT * FROM every WHERE hit % 59 <> 0), l AS (SELECT gene_id AS tid, id AS xid FROM every WHERE hit % 53 <> 0),
+p AS (SELECT gene_id AS tid, min(id) AS a, max(id) AS b FROM every WHERE source = 'F' GROUP BY 1),
+b AS (SELECT g.id AS id, any_value(g.s) AS s, any_value(g.e) AS e, min(t.s) AS low, max(t.e) AS high FROM g JOIN t ON t.locus = g.id GROUP BY 1),
+lx AS (SELECT tid, xid, x.region AS region, x.strand AS strand, x.s AS s, x.e AS e, t.region AS tr, t.strand AS ts, t.s AS tb, t.e AS te FROM l JOIN x ON x.id = xid JOIN t ON t.id = tid)
+SELECT 'childless' AS rule, 'gene' AS table_name, id::VARCHAR AS key, '0' AS found FROM g WHERE id NOT IN (SELECT locus FROM t)
+UNION ALL SELECT 'orphan', 'transcript', locus::VARCHAR, locus::VARCHAR FROM t WHERE locus NOT IN (SELECT id FROM g)
+UNION ALL SELECT 'region', 'gene', g.id || ':' || t.id, t.region::VARCHAR FROM g JOIN t ON t.locus = g.id WHERE g.region <> t.region
+UNION ALL SELECT 'bounds', 'gene', id::VARCHAR, low || ':' || high FROM b WHERE s <> low OR e <> high
+UNION ALL SELECT 'childless', 'transcript', id::VARCHAR, '0' FROM t WHERE id NOT IN (SELECT tid FROM l)
+UNION ALL SELECT 'orphan', 'link', xid, xid FROM l WHERE xid NOT IN (SELECT id FROM x)
+UNION ALL SELECT 'orphan', 'translation', tid::VARCHAR, tid::VARCHAR FROM p WHERE tid NOT IN (SELECT id FROM t)
+UNION ALL SELECT 'childless', 'coding_transcript', id::VARCHAR, '0' FROM t WHERE coding AND id NOT IN (SELECT tid FROM p)
+UNION ALL SELECT 'start_exon', 'translation', tid::VARCHAR, a FROM p WHERE tid || '/' || a NOT IN (SELECT tid || '/' || xid FROM l)
+UNION ALL SELECT 'end_exon', 'translation', tid::VARCHAR, b FROM p WHERE tid || '/' || b NOT IN (SELECT tid || '/' || xid FROM l)
+UNION ALL SELECT 'region', 'exon', tid || ':' || xid, region::VARCHAR FROM lx WHERE region <> tr
+UNION ALL SELECT 'strand', 'exon', tid || ':' || xid, strand::VARCHAR FROM lx WHERE strand <> ts
+UNION ALL SELECT 'outside', 'exon', tid || ':' || xid, s || ':' || e FROM lx WHERE s < tb OR e > te""",
+    "model_oddities": f"""WITH {t.EXONS}, {t.SEQUENCES}, peptides AS ({_peptide(0)}), numbered AS (
+  SELECT gene_id, strand, "start" AS s, "end" AS e, identity, CASE WHEN strand = 1 THEN rank ELSE count(*) OVER (PARTITION BY gene_id) + 1 - rank END - CASE WHEN hit % 83 = 0 THEN 1 ELSE 0 END AS r,
+    CASE WHEN hit % 67 = 0 THEN -strand ELSE strand END AS own, hit % 4 - 1 AS ph, (hit % 4 - 1 + "end" - "start" + 1) % 3 AS ep FROM exons
+), paired AS (
+  SELECT *, lead(s) OVER w AS ns, lead(e) OVER w AS ne, lead(ph) OVER w AS nph, row_number() OVER w AS k FROM numbered WINDOW w AS (PARTITION BY gene_id ORDER BY r, s, e, own, ph, ep)
+), facts AS (
+  SELECT gene_id, count(*) AS n, count(*) FILTER (r <> k) AS ranks, count(*) FILTER (own <> strand) AS mixed, count(*) FILTER (ns IS NOT NULL AND CASE WHEN strand = 1 THEN ns <= s ELSE s <= ns END) AS disorder,
+    count(*) FILTER (s <= ne AND ns <= e) AS overlap, count(*) FILTER (e - s + 1 < 4) AS short, count(*) FILTER (e - s + 1 > 48) AS long,
+    count(*) FILTER (gap >= 1 AND gap < 12) AS si, count(*) FILTER (gap > 55) AS li, count(*) FILTER (nph IS NOT NULL AND ep <> nph) AS phase,
+    count(*) FILTER (ph >= 0 AND ep >= 0 AND (ph + e - s + 1) % 3 <> ep) AS endphase, count(*) FILTER (identity > 95) AS evidence
+  FROM (SELECT *, CASE WHEN strand = 1 THEN ns - e - 1 ELSE s - ne - 1 END AS gap FROM paired) GROUP BY 1
+), joined AS (SELECT facts.*, CASE WHEN seq_id IS NOT NULL THEN regexp_replace(coalesce(peptide, ''), '\\*$', '') END AS pep FROM facts LEFT JOIN sequences ON seq_id = gene_id LEFT JOIN peptides USING (seq_id)),
+rules AS (
+  SELECT gene_id, 'numexons' AS rule, CASE WHEN n > 6 THEN n ELSE 0 END AS found FROM joined UNION ALL SELECT gene_id, 'ranks', CASE WHEN ranks > 0 THEN n ELSE 0 END FROM joined
+  UNION ALL SELECT gene_id, 'mixedstrands', mixed FROM joined UNION ALL SELECT gene_id, 'order', disorder FROM joined UNION ALL SELECT gene_id, 'overlap', overlap FROM joined
+  UNION ALL SELECT gene_id, 'shortexon', short FROM joined UNION ALL SELECT gene_id, 'longexon', long FROM joined UNION ALL SELECT gene_id, 'shortintron', si FROM joined UNION ALL SELECT gene_id, 'longintron', li FROM joined
+  UNION ALL SELECT gene_id, 'phase', phase FROM joined UNION ALL SELECT gene_id, 'endphase', endphase FROM joined UNION ALL SELECT gene_id, 'nosupport', CASE WHEN evidence = 0 THEN 1 ELSE 0 END FROM joined
+  UNION ALL SELECT gene_id, 'zerolen', CASE WHEN pep = '' THEN 1 ELSE 0 END FROM joined UNION ALL SELECT gene_id, 'allx', CASE WHEN regexp_matches(pep, '^X+$') THEN length(pep) ELSE 0 END FROM joined
+  UNION ALL SELECT gene_id, 'stops', length(pep) - length(replace(pep, '*', '')) FROM joined UNION ALL SELECT gene_id, 'shortpeptide', CASE WHEN pep <> '' AND length(pep) < 200 THEN length(pep) ELSE 0 END FROM joined)
+SELECT gene_id, rule, found::BIGINT AS found FROM rules WHERE found > 0""",
     "integrity": """
 SELECT 'orphan' AS rule, 'lineitem' AS table_name, l_orderkey::VARCHAR AS key, l_orderkey::VARCHAR AS found FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
 UNION ALL SELECT 'orphan', 'orders', o_custkey::VARCHAR, o_custkey::VARCHAR FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
