@@ -7,9 +7,10 @@ score that the final one cannot be under. For a cell with pivot p and radius r n
 times the largest norm; so in the second round a query goes only to those other cells whose bound reaches its k-th score
 - and, before that, its group's bound is tested against the group's least k-th score, one test for the whole group.
 Vectors move once, to their cell; only queries are replicated, and only to cells that may matter. Cells over BLOCK
-vectors are split, so a vector that a third of all rows hold makes more blocks, not a larger one.
+vectors are split, so a vector that a third of all rows hold makes more blocks, not a larger one; so are the queries of a
+cell that more than BLOCK of them ask.
 
-Summaries and pivots have a fixed size (PIVOTS rows of the vectors' dimension) and go through the driver. Scores are
+Summaries and pivots have a bound (PIVOTS rows of the vectors' dimension) and go through the driver. Scores are
 integers; bounds are floats with slack, so rounding never drops a cell.
 
 The bounds exclude cells where vectors lie in clusters. Where they spread evenly over a sphere of many dimensions, as the
@@ -35,7 +36,8 @@ from .base import written
 
 SCALE = 1024
 #: Most pivots; fewer vectors take half the root of their number.
-PIVOTS = 256
+PIVOTS = 4096
+#: Vectors, and queries, that one task holds of a cell.
 BLOCK = 4096
 NEAR = 3
 #: Relative slack of the float bounds.
@@ -129,16 +131,23 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
         return np.minimum(wide, length[:, None] * norm[None, :]) + SLACK * (np.abs(direct) + length[:, None] * norm[None, :]) + 1e-6
 
     def solved(asked: DataFrame) -> DataFrame:
-        """Best of each query among the vectors of the cells it asks; asked: query_id, v, cell."""
+        """Best of each query among the vectors of the cells it asks; asked: query_id, v, cell. Where many queries ask a
+        cell they are dealt into groups too, and each group meets every block of the cell."""
+        asked = written(asked)
+        sizes = {r["cell"]: -(-r["n"] // block) for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if not sizes:
+            return spark.createDataFrame([], FOUND)
+        groups = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
         many = F.explode(F.sequence(F.lit(0), counts[F.col("cell")] - 1)).alias("block")
-        asked = asked.select("cell", many, "query_id", F.col("v").alias("q"))
+        asked = asked.select("cell", many, F.pmod(F.xxhash64("query_id"), groups[F.col("cell")]).cast("int").alias("grp"), "query_id", F.col("v").alias("q"))
+        met = dealt.filter(groups[F.col("cell")].isNotNull()).select("cell", "block", F.explode(F.sequence(F.lit(0), groups[F.col("cell")].cast("int") - 1)).alias("grp"), "vec_id", "v")
 
         def solve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty or right.empty:
                 return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
             return _best(right["query_id"].to_numpy(), _matrix(right["q"], width), left["vec_id"].to_numpy(), _matrix(left["v"], width), k)
 
-        return dealt.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block")).applyInPandas(solve, FOUND)
+        return met.groupBy("cell", "block", "grp").cogroup(asked.groupBy("cell", "block", "grp")).applyInPandas(solve, FOUND)
 
     def first_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
