@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.sequence import open_frames, reverse_complement, translated
+
 GTF = "seqname string, source string, feature string, start long, end long, score string, strand string, frame string, attributes string"
 JUNCTION = "region string, start long, end long, strand int, canonical int, annotated int, unique_count int, multi_count int"
 DEPTH = "region string, pos long, depth int"
@@ -45,6 +47,50 @@ def gtf_models(rows: DataFrame) -> DataFrame:
     return found.withColumn("exons", ranked)
 
 
+def _coding(rows: DataFrame, key: str) -> DataFrame:
+    """key, cds_start, cds_end, phase: the span of CDS and stop codon rows, and the phase of the first CDS row in order of
+    transcription (null where it is a dot)."""
+    own = rows.filter(F.col("feature").isin("CDS", "stop_codon"))
+    phase = F.when(F.col("frame").rlike("^[0-2]$"), F.col("frame")).cast("int")
+    first = F.min_by(phase, F.when(F.col("feature") == "CDS", F.col("strand") * F.when(F.col("strand") == 1, F.col("start")).otherwise(F.col("end"))))
+    return own.groupBy(key).agg(F.min("start").alias("cds_start"), F.max("end").alias("cds_end"), first.alias("phase"))
+
+
+def gtf_coding_models(rows: DataFrame, sequences: DataFrame, least: int = 1) -> DataFrame:
+    """gtf_models with cds_start, cds_end, phase and how coding was found: given by CDS rows, or, without any, chosen as the
+    longest open frame from an M of the spliced sequence on the model's strand (of equals the first; at least so many
+    residues). sequences: seqname, seq. Models without either have null. A frame that runs off the end is open; a stop
+    belongs to the coding span."""
+    models = gtf_models(rows).join(_coding(rows, "transcript_id"), "transcript_id", "left")
+    given, bare = models.filter("cds_start IS NOT NULL"), models.filter("cds_start IS NULL")
+    spliced = F.array_join(F.transform(F.array_sort(F.transform("exons", lambda e: F.struct(e["start"], e["end"]))), lambda e: F.substr("seq", e["start"].cast("int"), (e["end"] - e["start"] + 1).cast("int"))), "")
+    read = F.when(F.col("strand") == 1, F.col("_plus")).otherwise(reverse_complement(F.col("_plus")))
+    based = bare.join(sequences, "seqname").withColumn("_plus", spliced).withColumn("_seq", read)
+    frames = based.select("transcript_id", F.posexplode(F.array(*[translated(F.col("_seq"), f) for f in range(3)])).alias("frame", "peptide"))
+    pieces = frames.select("transcript_id", "frame", F.explode(open_frames(F.col("peptide"))).alias("o"), "peptide")
+    ended = F.substr("peptide", F.col("o.start") + F.col("o.length") + 1, F.lit(1)) == "*"
+    at = pieces.filter(F.col("o.length") >= least).select(
+        "transcript_id", F.col("o.length").alias("length"), (3 * F.col("o.start") + F.col("frame") + 1).alias("first"), (3 * (F.col("o.start") + F.col("o.length") + ended.cast("int")) + F.col("frame")).alias("last")
+    )
+    best = at.groupBy("transcript_id").agg(F.max_by(F.struct("first", "last"), F.struct("length", -F.col("first"))).alias("b"))
+    # places in the spliced sequence back to the genome, through the exons in order of transcription
+    rows_of = bare.join(best, "transcript_id").select("transcript_id", "strand", "b", F.explode("exons").alias("e")).select("transcript_id", "strand", "b", "e.*")
+    through = Window.partitionBy("transcript_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows_of.withColumn("_before", F.coalesce(F.sum(F.col("end") - F.col("start") + 1).over(through), F.lit(0)))
+    inside = lambda p: (F.col(p) > F.col("_before")) & (F.col(p) <= F.col("_before") + F.col("end") - F.col("start") + 1)
+    back = lambda p: F.when(F.col("strand") == 1, F.col("start") + F.col(p) - F.col("_before") - 1).otherwise(F.col("end") - F.col(p) + F.col("_before") + 1)
+    ends = placed.groupBy("transcript_id").agg(F.max(F.when(inside("b.first"), back("b.first"))).alias("_a"), F.max(F.when(inside("b.last"), back("b.last"))).alias("_b"))
+    chosen = bare.drop("cds_start", "cds_end", "phase").join(ends, "transcript_id", "left").withColumns({"cds_start": F.least("_a", "_b"), "cds_end": F.greatest("_a", "_b"), "phase": F.when(F.col("_a").isNotNull(), 0)}).drop("_a", "_b")
+    names = given.columns
+    how = F.when(F.col("cds_start").isNotNull(), F.lit("chosen"))
+    return given.withColumn("coding", F.lit("given")).unionByName(chosen.select(*names, how.alias("coding")))
+
+
+def gff3_coding(rows: DataFrame) -> DataFrame:
+    """parent (the transcript), cds_start, cds_end, phase of GFF3 rows; a CDS row of several parents counts for each."""
+    return _coding(rows.withColumn("parent", F.explode(F.split("parent", ","))), "parent")
+
+
 def read_gff3(spark: SparkSession, path: str) -> DataFrame:
     rows = _tsv(spark, path, GTF)
     return rows.withColumns({"id": gff_attribute("ID"), "parent": gff_attribute("Parent"), "name": gff_attribute("Name"), "strand": F.when(F.col("strand") == "-", -1).otherwise(1)})

@@ -111,3 +111,25 @@ def test_repeatmasker_and_embl(spark, tmp_path):
     found = formats.read_embl(spark, write(tmp_path, "e.embl", record + record.replace("X1", "X2"))).orderBy("id").collect()
     assert [(r["id"], r["accession"], r["description"], r["seq"]) for r in found] == [(n, n, "first line second", "ACGTACGT") for n in ("X1", "X2")]
     assert [(f["kind"], f["location"]) for f in found[0]["features"]] == [("source", "1..8"), ("CDS", "join(1..3,5..7)")]
+
+
+def test_coding_of_gtf_models(spark, tmp_path):
+    line = lambda f, a, b, strand, frame, t: f'c\tx\t{f}\t{a}\t{b}\t.\t{strand}\t{frame}\tgene_id "g"; transcript_id "{t}";'
+    rows = [line("exon", 1, 30, "+", ".", "a"), line("CDS", 4, 20, "+", "2", "a"), line("exon", 41, 60, "+", ".", "a"), line("CDS", 41, 50, "+", "1", "a"), line("stop_codon", 51, 53, "+", "0", "a")]
+    rows += [line("exon", 1, 30, "-", ".", "b"), line("CDS", 4, 20, "-", "2", "b"), line("CDS", 25, 29, "-", "1", "b")]
+    # without CDS: ATG GCA | GCA TAA over two exons, forward; the same backward; and none
+    plus = "CC" + "ATGGCA" + "GTAAAG" + "GCATAA" + "CCC"
+    turn = str.maketrans("ACGT", "TGCA")
+    rows += [line("exon", 1, 8, "+", ".", "d").replace("c\t", "s\t", 1), line("exon", 15, 23, "+", ".", "d").replace("c\t", "s\t", 1)]
+    n = len(plus)
+    rows += [line("exon", n - 7, n, "-", ".", "e").replace("c\t", "r\t", 1), line("exon", n - 22, n - 14, "-", ".", "e").replace("c\t", "r\t", 1), line("exon", 9, 14, "+", ".", "f").replace("c\t", "s\t", 1)]
+    table = formats.read_gtf(spark, write(tmp_path, "c.gtf", "\n".join(rows)))
+    seqs = spark.createDataFrame([("c", "N" * 60), ("s", plus), ("r", plus.translate(turn)[::-1])], "seqname string, seq string")
+    got = {r["transcript_id"]: (r["cds_start"], r["cds_end"], r["phase"], r["coding"]) for r in formats.gtf_coding_models(table, seqs).collect()}
+    assert got == {"a": (4, 53, 2, "given"), "b": (4, 29, 1, "given"), "d": (3, 20, 0, "chosen"), "e": (n - 19, n - 2, 0, "chosen"), "f": (None, None, None, None)}
+
+
+def test_coding_of_gff3(spark, tmp_path):
+    rows = ["c\tx\tCDS\t10\t20\t.\t-\t0\tID=c1;Parent=t1,t2", "c\tx\tCDS\t30\t41\t.\t-\t2\tID=c1;Parent=t1"]
+    table = formats.read_gff3(spark, write(tmp_path, "c.gff3", "\n".join(rows)))
+    assert sorted((r["parent"], r["cds_start"], r["cds_end"], r["phase"]) for r in formats.gff3_coding(table).collect()) == [("t1", 10, 41, 2), ("t2", 10, 20, 0)]
