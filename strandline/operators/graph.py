@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,9 +19,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Number and checksums of distinct edges."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
+def _marked(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Distinct edges with their lineage cut, and their number and checksums from the same job."""
+    seen = Observation()
+    out = checkpointed(edges.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.bit_xor(F.xxhash64("b", "a")).alias("y")))
+    return out, (seen.get["n"], seen.get["x"], seen.get["y"])
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -31,16 +33,14 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     which settles in a number of rounds that grows with the logarithm of the longest chain."""
     edges = checkpointed(edges.select("a", "b").distinct())
     nodes = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = _mark(now)
+    now, mark = _marked(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     for _ in range(most_rounds):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(small, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = checkpointed(moved.union(small.select("a", F.col("m").alias("b"))).distinct())
-        new = _mark(after)
+        after, new = _marked(moved.union(small.select("a", F.col("m").alias("b"))))
         settled = new == mark
         now, mark = after, new
         if settled:
