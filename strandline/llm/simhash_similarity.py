@@ -7,8 +7,9 @@ fingerprints of the sets are compared bit-sliced (`simhash.close_pairs`) at a ra
 odds of about 1e-6; what is left passes two bounds that no similar pair exceeds, sizes and bitmaps in which every shingle
 flips one bit, and then the whole sets.
 
-The first round hands on only as many pairs as connect what the bounds let pass, so a group of copies costs its size and
-not its square. The last round takes every pair that is still in different components, so none is left undecided.
+The first rounds hand on only as many pairs as connect what the bounds let pass, so a group of copies costs its size and
+not its square. Each text is paired with the partner that a hash names, in WAYS ways by key and anew in each round, since
+of a family of texts about as similar as the bound many are not similar to any one of it. The last round takes every pair that is still in different components, so none is left undecided.
 
 Defined cases: a text of fewer than five words is one shingle; texts without words are copies of each other; a null text
 is an empty one; a very long text is read whole; repeated rows get equal results; of equal ids the smaller text hash
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import LOWER, NONSPACE, SLICE_BYTES, column, slices, words_of, written
+from .base import LOWER, NONSPACE, SLICE_BYTES, column, mixed, slices, words_of, written
 from .simhash import close_pairs, components, first_of_each, groups_of, majority, merged, sent, tiled
 
 SHINGLE = 5
@@ -36,7 +37,9 @@ RADIUS = 24
 #: Members of one key that one task compares; larger groups are dealt out as pairs of tiles of this size.
 TILE = 2048
 #: Rounds that hand on a spanning forest of each group, before the round that hands on all pairs.
-FOREST_ROUNDS = 1
+FOREST_ROUNDS = 2
+#: Ways in which the keys of one round choose partners: a text that is not similar to one of a group's hubs meets others.
+WAYS = 3
 LEAST_BITS, MOST_BITS = 64, 8192
 
 _PERMUTE = np.random.default_rng(811).integers(0, 2**63, (BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -129,14 +132,15 @@ def described(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFram
     return rows.mapInArrow(run, "doc_id long, tag long, node long, n int, fp long, bits binary, keys array<long>")
 
 
-def group_pairs(node: np.ndarray, n: np.ndarray, fp: np.ndarray, bits: list[bytes], label: np.ndarray, every: bool, ends: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def group_pairs(node: np.ndarray, n: np.ndarray, fp: np.ndarray, bits: list[bytes], label: np.ndarray, every: bool, ends: np.ndarray | None = None, way: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Of the members of groups: the pairs of different labels within radius and bounds, or (not every) so many that
-    connect the same."""
+    connect the same; of the partners that a part can have the first by a hash with the group's way (a number)."""
     maps = [np.frombuffer(b, dtype="<u8") for b in bits]
     n = n.astype(np.int64)
     root = np.unique(label, return_index=True, return_inverse=True)
     root = root[1][root[2]]
     out_a, out_b = [], []
+    place = mixed(node.view(np.uint64) ^ mixed(np.zeros(len(node), dtype=np.uint64) if way is None else way.astype(np.uint64)))
     for i, j in close_pairs(fp.view(np.uint64), RADIUS, ends):
         fit = (root[i] != root[j]) & (5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j]))
         i, j = i[fit], j[fit]
@@ -151,8 +155,10 @@ def group_pairs(node: np.ndarray, n: np.ndarray, fp: np.ndarray, bits: list[byte
                 apart = np.flatnonzero(a != b)
                 if not len(apart):
                     break
-                _, first = np.unique(b[apart], return_index=True)  # each part joins one smaller part
-                chosen = apart[first]
+                partner = np.where(root[i[apart]] == a[apart], i[apart], j[apart])
+                order = np.lexsort((place[partner], b[apart]))
+                _, first = np.unique(b[apart][order], return_index=True)  # each part joins one smaller part
+                chosen = apart[order[first]]
                 kept_i.append(i[chosen])
                 kept_j.append(j[chosen])
                 root = merged(root, i[chosen], j[chosen])
@@ -164,13 +170,13 @@ def group_pairs(node: np.ndarray, n: np.ndarray, fp: np.ndarray, bits: list[byte
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
 
 
-def candidates(shared: DataFrame, every: bool) -> DataFrame:
+def candidates(shared: DataFrame, every: bool, step: int = 0) -> DataFrame:
     """a < b: pairs of nodes to verify. shared: key, node, n, fp, bits, label, n_members (nodes of the key)."""
     dealt = tiled(shared, "node", TILE)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, ends in groups_of(frames, ["key", "tiles"]):
-            a, b = group_pairs(part["node"].to_numpy(), part["n"].to_numpy(), part["fp"].to_numpy(), part["bits"].tolist(), part["label"].to_numpy(), every, ends)
+            a, b = group_pairs(part["node"].to_numpy(), part["n"].to_numpy(), part["fp"].to_numpy(), part["bits"].tolist(), part["label"].to_numpy(), every, ends, WAYS * step + part["key"].to_numpy() % WAYS)
             if len(a):
                 yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
@@ -207,7 +213,7 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle
     edges, labels = None, None
     for step in range(FOREST_ROUNDS + 1):
         now = shared.withColumn("label", F.col("node")) if labels is None else shared.join(labels.toDF("node", "root"), "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-        pairs = written(candidates(now, every=step == FOREST_ROUNDS))
+        pairs = written(candidates(now, step == FOREST_ROUNDS, step))
         if pairs.isEmpty():
             break
         more = verified(pairs, docs, doc_id, text, first, shingle)
