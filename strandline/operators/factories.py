@@ -61,10 +61,10 @@ def low_coverage_cuts(regions: DataFrame, runs: DataFrame, window: int, step: in
     the bases from one before its start to one before its end have a depth over least_depth. The region is cut behind the
     middle of a low window, and the next window begins first bases after the cut; a rest of no more than first bases is the
     last slice. Windows count bases in runs, so nothing is laid out base by base; a task holds one region's runs of depth
-    over the bound, joined where they touch."""
-    deep = runs.filter(F.col("depth") > least_depth).select("region", "start", "end")
+    over the bound, joined where they touch. A missing region is one region, as everywhere in groups."""
+    deep = runs.filter(F.col("depth") > least_depth).select(F.col("region").alias("_region"), "start", "end")
     rows = regions.select("region", "length", F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("end"))
-    rows = rows.unionByName(deep.join(regions, "region").select("region", "length", "start", "end"))
+    rows = rows.unionByName(deep.join(regions, F.col("_region").eqNullSafe(F.col("region"))).select("region", "length", "start", "end"))
     kind = dict(regions.dtypes)["region"]
 
     def run(group: Group) -> Iterator[tuple]:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 #: Rows of one frame that goes back.
 FRAME_ROWS = 10_000
@@ -39,10 +39,12 @@ def _plain(column: pd.Series) -> list:
 def in_groups(rows: DataFrame, by: Sequence[str], order: Sequence[str], run: Callable[[Group], Iterable[tuple]], schema: str | StructType) -> DataFrame:
     """What run gives for each group of rows with equal values of by, as rows of schema.
 
-    run takes the group's columns as lists, in the given order; arrays of numbers come as lists. Rows are dealt by the
-    group and sorted within a partition, so many small groups share one call to Python, and a task holds one group."""
+    run takes the group's columns as lists, in the given order; arrays of numbers come as lists. Missing values of by are
+    equal and come as None. Rows are dealt by the group and sorted within a partition, so many small groups share one call to Python, and a task holds one group."""
     by, names = list(by), rows.columns
     ordered = rows.repartition(*by).sortWithinPartitions(*by, *order)
+    places = [names.index(b) for b in by]
+    is_whole = [isinstance(f.dataType, IntegralType) for f in rows.schema.fields]
     columns = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
 
     def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -50,6 +52,11 @@ def in_groups(rows: DataFrame, by: Sequence[str], order: Sequence[str], run: Cal
         out: list[tuple] = []
         for frame in frames:
             lists = [_plain(frame[name]) for name in names]
+            for i in places:
+                if frame[names[i]].hasnans:
+                    # numbers with missing ones come as floats, among which a missing one equals nothing
+                    whole = is_whole[i]
+                    lists[i] = [None if x is None or x != x else int(x) if whole else x for x in lists[i]]
             keys = list(zip(*(lists[names.index(b)] for b in by), strict=True))
             at = 0
             while at < len(keys):

@@ -8,6 +8,8 @@ are equi-joins on bins with the overlap as a residual; a pair is kept in the fir
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -144,8 +146,10 @@ def overlap_sums(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id
 
 
 def depth(rows: DataFrame, keys: Sequence[str], scan_bin: int = SCAN_BIN) -> DataFrame:
-    """keys, start, end, depth: maximal runs of positions with equal depth over 0 between boundaries of rows."""
+    """keys, start, end, depth: maximal runs of positions with equal depth over 0 between boundaries of rows. Rows without a
+    start or an end cover nothing."""
     keys = list(keys)
+    rows = rows.filter("start IS NOT NULL AND end IS NOT NULL")
     edge = F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("step")), F.struct((F.col("end") + 1).alias("at"), F.lit(-1).alias("step"))))
     edges = rows.select(*keys, edge.alias("e")).groupBy(*keys, F.col("e.at").alias("at")).agg(F.sum("e.step").alias("step"))
     edges = edges.withColumn("_bin", _div(F.col("at"), scan_bin))
@@ -156,7 +160,10 @@ def depth(rows: DataFrame, keys: Sequence[str], scan_bin: int = SCAN_BIN) -> Dat
     )
     within = Window.partitionBy(*keys, "_bin").orderBy("at")
     level = F.col("_before") + F.sum("step").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = edges.join(offsets, [*keys, "_bin"])
+    # a missing key is a key of its own
+    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+    own = [F.col(f"e.{c}") for c in (*keys, "_bin", "at", "step")]
+    joined = edges.alias("e").join(offsets.alias("o"), reduce(and_, same, F.col("e._bin") == F.col("o._bin"))).select(*own, "_before", "_after")
     runs = joined.select(*keys, F.col("at").alias("start"), (F.coalesce(F.lead("at").over(within), F.col("_after")) - 1).alias("end"), level.cast("long").alias("depth"))
     return runs.filter("depth > 0")
 

@@ -105,14 +105,14 @@ SELECT gene_id, CASE WHEN whole = exons THEN 'complete' WHEN coding > 0 AND brok
     "low_coverage_slices": f"""WITH RECURSIVE {t.FEATURES.strip()}, regions AS (SELECT region, max("end") AS length FROM features GROUP BY 1
 ), bases AS (SELECT region, pos, count(*) AS depth FROM (SELECT region, unnest(generate_series("start", "end")) AS pos FROM features) GROUP BY 1, 2
 ), every AS (SELECT region, length, pos FROM regions, LATERAL (SELECT unnest(generate_series(-1, length)) AS pos)
-), deep AS (SELECT e.region AS region, length, pos, sum(CASE WHEN depth > 5 THEN 1 ELSE 0 END) OVER (PARTITION BY e.region ORDER BY pos ROWS UNBOUNDED PRECEDING) AS n FROM every e LEFT JOIN bases USING (region, pos)
-), windows AS (SELECT a.region AS region, a.length AS length, a.pos + 2 AS pos, b.n - a.n < 20 AS low FROM deep a JOIN deep b ON a.region = b.region AND b.pos = a.pos + 60
+), deep AS (SELECT e.region AS region, length, e.pos AS pos, sum(CASE WHEN depth > 5 THEN 1 ELSE 0 END) OVER (PARTITION BY e.region ORDER BY e.pos ROWS UNBOUNDED PRECEDING) AS n FROM every e LEFT JOIN bases d ON d.region IS NOT DISTINCT FROM e.region AND d.pos = e.pos
+), windows AS (SELECT a.region AS region, a.length AS length, a.pos + 2 AS pos, b.n - a.n < 20 AS low FROM deep a JOIN deep b ON a.region IS NOT DISTINCT FROM b.region AND b.pos = a.pos + 60
 ), walk AS (
   SELECT region, length, 1 AS begin, 100 AS pos, NULL::BIGINT AS s, NULL::BIGINT AS e, FALSE AS done FROM regions
   UNION ALL
   SELECT k.region, k.length, CASE WHEN w.low THEN w.pos + 31 ELSE k.begin END, CASE WHEN w.low THEN w.pos + 130 ELSE k.pos + 10 END, CASE WHEN w.low THEN k.begin END, CASE WHEN w.low THEN w.pos + 30 END,
     w.low AND (w.pos + 31 >= k.length OR w.pos + 131 >= k.length)
-  FROM walk k JOIN windows w ON w.region = k.region AND w.pos = k.pos WHERE NOT k.done AND k.pos < k.length - 60
+  FROM walk k JOIN windows w ON w.region IS NOT DISTINCT FROM k.region AND w.pos = k.pos WHERE NOT k.done AND k.pos < k.length - 60
 )
 SELECT region, s AS "start", e AS "end" FROM walk WHERE s IS NOT NULL
 UNION ALL SELECT region, begin, length FROM (SELECT region, max(begin) AS begin, any_value(length) AS length FROM walk GROUP BY 1) WHERE begin < length OR begin = 1""",

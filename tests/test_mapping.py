@@ -212,6 +212,22 @@ def test_low_coverage_cuts(spark):
     assert sorted(map(tuple, found.collect())) == sorted(wanted) and len(wanted) >= 30
 
 
+def test_low_coverage_cuts_with_missing_values(spark):
+    """Reads without an end cover nothing, and reads of a missing region cut that one."""
+    rng = random.Random(2)
+    own = [(s, s + rng.randint(5, 40)) for s in (rng.randint(1, 560) for _ in range(45))]
+    depth = defaultdict(int)
+    for s, e in own:
+        for p in range(s, e + 1):
+            depth[p] += 1
+    reads = [(region, s, e) for region in (None, 4) for s, e in own] + [(4, s, None) for s in range(50)] + [(4, None, 90)] * 30
+    runs = intervals.depth(spark.createDataFrame(reads, "region long, start long, end long"), ["region"], 64)
+    found = factories.low_coverage_cuts(spark.createDataFrame([(None, 600), (4, 600)], "region long, length long"), runs, 50, 7, 40, 15, 2)
+    wanted = looped_cuts(depth, 600, 50, 7, 40, 15, 2)
+    assert sorted(map(tuple, found.filter("region = 4").collect())) == sorted((4, *x) for x in wanted) and len(wanted) > 1
+    assert sorted(map(tuple, found.filter("region IS NULL").select("start", "end").collect())) == sorted(wanted)
+
+
 @pytest.mark.parametrize("size", [1, 7, 64])
 def test_fetched_parts(spark, size):
     rng = random.Random(size)
