@@ -66,11 +66,14 @@ def after_deletion(models: DataFrame, exons: DataFrame, deleted: DataFrame, gene
     return bounds.join(left.groupBy(gene).agg(F.count(F.lit(1)).alias("models")), gene)
 
 
-def spliced_elsewhere(models: DataFrame, hits: DataFrame, n_exons: str, place: str, least_identity: float = 0, most_p: float = float("inf")) -> DataFrame:
-    """gene_id, evidence: single-exon models with evidence (gene_id, hit, identity, p_value) that a multi-exon model at
-    another place has too, and how many such pieces: retrotransposed copies. Evidence counts on either side if its identity
-    is at least the least and its p-value under the most. A piece's multi-exon places are reduced to two before the join."""
-    hits = hits.filter((F.col("identity") >= least_identity) & (F.col("p_value") < most_p))
+def spliced_elsewhere(models: DataFrame, hits: DataFrame, n_exons: str, place: str, least_identity: float | None = None, most_p: float | None = None) -> DataFrame:
+    """gene_id, evidence: single-exon models with evidence (gene_id, hit) that a multi-exon model at another place has
+    too, and how many such pieces: retrotransposed copies. All evidence counts; with bounds, on either side what has an
+    identity of at least the least and a p-value under the most. A piece's multi-exon places are reduced to two before the join."""
+    if least_identity is not None:
+        hits = hits.filter(F.col("identity") >= least_identity)
+    if most_p is not None:
+        hits = hits.filter(F.col("p_value") < most_p)
     many = hits.join(models.filter(F.col(n_exons) > 1).select("gene_id", place), "gene_id")
     places = many.groupBy("hit").agg(F.min(place).alias("_low"), F.max(place).alias("_high"))
     single = hits.join(models.filter(F.col(n_exons) == 1).select("gene_id", place), "gene_id").select("gene_id", place, "hit").distinct()

@@ -193,3 +193,16 @@ def test_painted_hits(spark):
         for p in range(s, e + 1):
             wanted.setdefault((region, p), i)
     assert got == wanted
+
+
+def test_retrotransposed_by_all_evidence(spark, tmp_path):
+    """The registered query takes weak evidence as well."""
+    from strandline.plans.curation_queries import retrotransposed
+
+    day = __import__("datetime").datetime(1996, 1, 1)
+    lines = [(1, 7, 0, 1, 5.0, 1.0, 0.1, 0.08, "A", "F", day), (2, 7, 0, 1, 5.0, 1.0, 0.1, 0.08, "A", "F", day), (2, 8, 0, 2, 5.0, 1.0, 0.0, 0.0, "A", "F", day)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(lines, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    orders = [(1, 1, "F", 1.0, day, "1-URGENT"), (2, 100, "F", 1.0, day, "1-URGENT")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    assert [tuple(r) for r in retrotransposed(spark, str(tmp_path)).collect()] == [(1, 1)]
