@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .graph import checkpointed
 from .grouped import Group, in_groups
@@ -155,6 +156,52 @@ def paths(edges: DataFrame, sources: DataFrame, sinks: DataFrame, by: Sequence[s
     return found.select(*by, "path", "length")
 
 
+def path_facts(edges: DataFrame, sources: DataFrame, sinks: DataFrame, by: Sequence[str], longest: int) -> DataFrame:
+    """by, paths, longest, first_path: how many paths there are from a source to a sink with at most longest edges, the most
+    edges of one, and the one whose nodes, joined by dots, sort first. The same as from paths(), but no path is laid out: from
+    the sinks backwards each node keeps for each number of edges only how many ways there are and the first of them, so a
+    graph costs its edges times longest. A task holds one graph."""
+    by = list(by)
+    text = lambda c: F.col(c).cast("string")
+    rows = edges.select(*by, text("a").alias("a"), text("b").alias("b")).dropna(subset=["a", "b"])
+    rows = rows.unionByName(sources.select(*by, F.lit(None).cast("string").alias("a"), text("node").alias("b")).filter("b IS NOT NULL"))
+    rows = rows.unionByName(sinks.select(*by, text("node").alias("a"), F.lit(None).cast("string").alias("b")).filter("a IS NOT NULL"))
+    rows = rows.dropna(subset=by)
+
+    def run(group: Group) -> Iterator[tuple]:
+        into: dict[str, list[str]] = {}
+        starts: list[str] = []
+        now: dict[str, tuple[int, str]] = {}
+        for a, b in zip(group["a"], group["b"], strict=True):
+            if a is None:
+                starts.append(b)
+            elif b is None:
+                now[a] = 1, a
+            else:
+                into.setdefault(b, []).append(a)
+        n, most, first, level = 0, 0, None, 0
+        while now:
+            found = [now[s] for s in starts if s in now]
+            if found:
+                n, most = n + sum(c for c, _ in found), level
+                best = min(p for _, p in found)
+                first = best if first is None else min(first, best)
+            if level == longest:
+                break
+            level, before = level + 1, {}
+            for b, (c, rest) in now.items():
+                for a in into.get(b, ()):
+                    way = f"{a}.{rest}"
+                    known = before.get(a)
+                    before[a] = (c, way) if known is None else (known[0] + c, min(known[1], way))
+            now = before
+        if n:
+            yield *(group[b][0] for b in by), n, most, first
+
+    schema = StructType([*edges.select(*by).schema.fields, *StructType.fromDDL("paths long, longest int, first_path string").fields])
+    return in_groups(rows, by, [], run, schema)
+
+
 def descendants(parents: DataFrame, deepest: int) -> DataFrame:
     """ancestor, node, depth: all nodes below each node of a table (node, parent), by one join a level."""
     level = checkpointed(parents.filter("parent IS NOT NULL").select(F.col("parent").alias("ancestor"), "node", F.lit(1).alias("depth")))

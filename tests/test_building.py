@@ -1,5 +1,7 @@
 """Composite gene-building rules on small hand-made rows."""
 
+import random
+
 from strandline.operators import audit, building, classify, factories, filters, models
 from pyspark.sql import functions as F
 
@@ -61,3 +63,20 @@ def test_audit_reports_missing_groups(spark):
     rows = spark.createDataFrame([("a",), ("a",)], "kind string")
     found = audit.below_minimum(rows, "kind", {"a": 2, "b": 1}, "t").collect()
     assert [(r["key"], r["found"]) for r in found] == [("b", "0")]
+
+
+def test_path_facts_equal_all_paths(spark):
+    """Counts, longest and first paths as of paths laid out one by one: parallel edges, cycles, names that sort around dots;
+    and a graph of 2 ** 40 paths."""
+    rng = random.Random(4)
+    names = ["1", "1-1", "1!", "10", "2", "a"]
+    edges = [(g, rng.choice(names), rng.choice(names)) for g in range(25) for _ in range(rng.randint(1, 9))] + [(0, None, "1"), (0, "1", None), (None, "1", "2")]
+    starts, ends = ([(g, rng.choice(names)) for g in range(25) for _ in range(2)] + [(1, None), (None, "1")] for _ in range(2))
+    edges, starts, ends = (spark.createDataFrame(x, s).cache() for x, s in ((edges, "g long, a string, b string"), (starts, "g long, node string"), (ends, "g long, node string")))
+    wanted = building.paths(edges, starts, ends, ["g"], 4).groupBy("g").agg(F.count(F.lit(1)), F.max("length"), F.min("path"))
+    found = building.path_facts(edges, starts, ends, ["g"], 4)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect())) != []
+    # forty stages of two nodes, every one joined to both of the next
+    stages = [(1, f"{i}{x}", f"{i + 1}{y}") for i in range(40) for x in "ab" for y in "ab"]
+    one = building.path_facts(spark.createDataFrame(stages, "g long, a string, b string"), *[spark.createDataFrame([(1, n)], "g long, node string") for n in ("0a", "40a")], ["g"], 40).collect()
+    assert [tuple(r)[:3] for r in one] == [(1, 2**39, 40)] and one[0]["first_path"] == ".".join(f"{i}a" for i in range(41))
