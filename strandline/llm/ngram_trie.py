@@ -6,9 +6,10 @@ and one unknown word have probabilities that add up to one. A text is its words
 
 Shards. All that the context u v needs lies under v: its successors, the contexts u before it, and their successors. Words
 are dealt to shards of about SHARD_TOKENS places by hash. A word that has more places than that is split: its contexts are
-dealt to parts by a hash of u, and the part is the class that they back off to (still a distribution). So shards grow in
-number, not in size, with the corpus. A pair u v that has a thousandth of all places has a shard of its own, whose
-places are dealt out once more; that shard is built in each of those tasks from counts that were added up before.
+dealt to parts by a hash of u, so that shards grow in number, not in size, with the corpus. What such a word backs off to
+is the same as if it were whole: its pairs are added up over all parts in a pass of their own, and each part is handed the
+sums of the pairs that it meets (`handed_pairs`). A pair u v that has a thousandth of all places has a shard of its own,
+whose places are dealt out once more; that shard is built in each of those tasks from counts that were added up before.
 
 A shard's trie has three levels: words v; their successors and, beside them, contexts u; successors of contexts. A level
 is one Elias-Fano sequence, ranges of it bounded by a second one of pointers. Ranges are made monotone by adding what the
@@ -16,8 +17,8 @@ one before ended with. Successors of a context are stored as places among the su
 values as codes of a table of VALUES. The trie is one block of bytes, written to an unlinked temporary file and mapped; a
 search goes to the bucket of the upper bits and compares lower bits there.
 
-Flow. One pass counts words. One pass packs all places by shard (codes of the CODES most frequent words take two bytes,
-others a hash of eight), one shuffle brings them together, and each task builds a shard from the places of training texts,
+Flow. One pass counts words, and one the pairs of split words. One pass packs all places by shard (codes of the CODES most
+frequent words are stored by planes of bytes, others are a hash of eight bytes), one shuffle brings them together, and each task builds a shard from the places of training texts,
 maps it and answers all places, so that the model never passes through the driver. Places of words that have no code get
 p(w) and their count by a join with the counts. Sums are added up by text.
 
@@ -34,7 +35,7 @@ import json
 import mmap
 import tempfile
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +45,9 @@ from pyspark.sql import functions as F
 from .base import LOWER, NONSPACE, column, mixed, slices, words_of, written
 
 DISCOUNT = 0.75
-#: Most frequent words with codes of two bytes: what is shared with all tasks has this size.
-CODES = 65_534
-START, OTHER = 65_534, 65_535
+#: Most frequent words with codes: what is shared with all tasks has this size.
+CODES = 524_286
+START, OTHER = 524_286, 524_287
 #: Training tokens of one shard.
 SHARD_TOKENS = 1_000_000
 #: Pairs with this share of all places have a shard of their own.
@@ -156,8 +157,8 @@ def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def numbered(keys: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """The distinct keys in order, and the number of each key among them. Keys of coded words are small and not sorted."""
-    seen = np.zeros(1 << 16, dtype=bool)
-    small = [k < 1 << 16 for k in keys]
+    seen = np.zeros(OTHER + 1, dtype=bool)
+    small = [k <= OTHER for k in keys]
     for k, own in zip(keys, small, strict=True):
         seen[k[own].astype(np.int64)] = True
     codes = np.flatnonzero(seen)
@@ -182,14 +183,31 @@ def counted_runs(v: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray, n:
     return order, first, (v[first], u[first], w[first], total)
 
 
-def built(v: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray, discount: float = DISCOUNT) -> bytes:
+@dataclass
+class Handed:
+    """What a part is handed of its word: the word's key, its places and successors in all parts, and counts of its pairs
+    with words, where they are more than the part's own."""
+
+    v: int
+    total: int
+    kinds: int
+    words: np.ndarray
+    counts: np.ndarray
+
+
+def built(v: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray, discount: float = DISCOUNT, handed: Handed | None = None) -> bytes:
     """The trie of counted trigrams of word keys; equal ones are added up."""
-    keys, (v, u, w) = numbered([v, u, w])
-    return packed_trie(keys, *counted_runs(v, u, w, c, len(keys))[2], discount)
+    if handed is None:
+        keys, (v, u, w) = numbered([v, u, w])
+        return packed_trie(keys, *counted_runs(v, u, w, c, len(keys))[2], discount)
+    keys, (v, u, w, root, words) = numbered([v, u, w, np.array([handed.v], dtype=U64), handed.words])
+    own = replace(handed, v=int(root[0]), words=words)
+    return packed_trie(keys, *counted_runs(v, u, w, c, len(keys))[2], discount, own)
 
 
-def packed_trie(keys: np.ndarray, v: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray, discount: float) -> bytes:
-    """The trie of distinct trigrams of numbers of keys, in order, and their counts."""
+def packed_trie(keys: np.ndarray, v: np.ndarray, u: np.ndarray, w: np.ndarray, c: np.ndarray, discount: float, handed: Handed | None = None) -> bytes:
+    """The trie of distinct trigrams of numbers of keys, in order, and their counts. With handed, whose words are numbers
+    too, all trigrams are of its word."""
     roots = v[_runs(v)]
     # successors of v
     by_word = np.argsort((v.astype(np.int64) << 32) | w, kind="stable")
@@ -197,9 +215,16 @@ def packed_trie(keys: np.ndarray, v: np.ndarray, u: np.ndarray, w: np.ndarray, c
     pair = _runs(bv, bw)
     count2 = np.add.reduceat(c[by_word], pair) if len(pair) else c
     bv, bw = bv[pair], bw[pair]
-    first2 = _runs(bv)
-    total2 = np.add.reduceat(count2, first2) if len(first2) else count2
-    kinds2 = np.diff([*first2, len(bv)])
+    if handed is not None and handed.kinds:
+        roots = np.array([handed.v])
+        bw, first = np.unique(np.concatenate((handed.words, bw)), return_index=True)
+        bv, count2 = np.full(len(bw), handed.v), np.concatenate((handed.counts, count2))[first]
+        first2, total2, kinds2 = np.zeros(1, dtype=np.int64), np.array([handed.total]), np.array([handed.kinds])
+        held2 = np.array([len(bw)])
+    else:
+        first2 = _runs(bv)
+        total2 = np.add.reduceat(count2, first2) if len(first2) else count2
+        held2 = kinds2 = np.diff([*first2, len(bv)])
     # contexts of v and their successors
     first3 = _runs(v, u)
     cv, cu = v[first3], u[first3]
@@ -207,18 +232,21 @@ def packed_trie(keys: np.ndarray, v: np.ndarray, u: np.ndarray, w: np.ndarray, c
     kinds3 = np.diff([*first3, len(v)])
     root = np.searchsorted(roots, v)
     place = np.searchsorted((bv.astype(np.int64) << 32) | bw, (v.astype(np.int64) << 32) | w) - first2[root] if len(v) else v
-    first_context = _runs(cv)
+    first_context, context_pointers = _runs(cv), np.append(np.searchsorted(cv, roots), len(cv))
+    successor_pointers = np.append(first2, len(bw))
+    if not len(bw):
+        first2 = first2[:0]
     sequences = {
         "roots": roots,
         "successors": _monotone(bw, first2),
-        "successor_pointers": np.append(first2, len(bw)),
+        "successor_pointers": successor_pointers,
         "contexts": _monotone(cu, first_context),
-        "context_pointers": np.append(first_context, len(cu)),
+        "context_pointers": context_pointers,
         "places": _monotone(place, first3),
         "place_pointers": np.append(first3, len(v)),
     }
     values = {
-        "a2": (count2 - discount) / np.repeat(total2, kinds2),
+        "a2": (count2 - discount) / np.repeat(total2, held2),
         "b2": discount * kinds2 / total2,
         "a3": (c - discount) / np.repeat(total3, kinds3),
         "b3": discount * kinds3 / total3,
@@ -325,7 +353,7 @@ def tokens_of(texts: pa.Array) -> Tokens:
     hashes = np.concatenate([np.zeros(0, dtype=U64), *[p.hashes for p in parts]])
     counts = np.concatenate([np.zeros(0, dtype=np.int64), *[p.counts() for p in parts]])
     del parts
-    hashes = np.where(hashes < 1 << 16, hashes + U64(1 << 16), hashes)
+    hashes = np.where(hashes <= OTHER, hashes + U64(OTHER + 1), hashes)
     first = np.concatenate(([0], np.cumsum(counts + 1)))
     every = np.full(int(first[-1]), END, dtype=U64)
     every[np.arange(len(hashes)) + np.repeat(np.arange(len(counts)), counts)] = hashes
@@ -400,9 +428,30 @@ class Plan:
             return np.full(len(counts), 1.0 / (self.distinct + 1))
         return np.maximum(counts - discount, 0) / self.total + discount * self.distinct / self.total / (self.distinct + 1)
 
+    def places(self, v: int) -> int:
+        """Training places whose last word before is v: a start has as many as there are ends."""
+        return int(self.counts[v] if v != START else self.counts[self.hashes == END].sum())
+
+    def salts_of(self, shard: np.ndarray) -> np.ndarray:
+        at = shard - self.shards - int(self.parts[self.parts > 1].sum())
+        salts = np.ones(len(shard), dtype=np.int64)
+        salts[at >= 0] = self.salts[at[at >= 0]]
+        return salts
+
+    def splits(self) -> Iterator[tuple[int, int]]:
+        """Shards that are split off, and the word of each. No word comes after an end."""
+        for v in np.flatnonzero(self.parts > 1).tolist():
+            for i in range(int(self.parts[v])):
+                if not (self.hashes[v : v + 1] == END).any():
+                    yield self.shards + int(self.offset[v]) + i, v
+        for i, pair in enumerate(self.hot.tolist()):
+            yield self.shards + int(self.parts[self.parts > 1].sum()) + i, pair >> 32
+
     def shard_of(self, v: np.ndarray, u: np.ndarray, v_key: np.ndarray, u_key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shard of contexts, whether it is split off, and its number of salts."""
-        shard = (mixed(v_key) % U64(self.shards)).astype(np.int64)
+        """Shard of words that contexts back off to, the shard where they are dealt (another one if split off), and its
+        number of salts."""
+        home = (mixed(v_key) % U64(self.shards)).astype(np.int64)
+        shard = home.copy()
         coded = np.flatnonzero(v <= START)
         split = np.zeros(len(v), dtype=bool)
         split[coded] = self.parts[v[coded]] > 1
@@ -410,30 +459,35 @@ class Plan:
         shard[own] = self.shards + self.offset[v[own]] + (mixed(u_key[own]) % self.parts[v[own]].astype(U64)).astype(np.int64)
         salts = np.ones(len(v), dtype=np.int64)
         if len(self.hot):
-            pair = (v.astype(np.int64) << 16) | u
+            pair = (v.astype(np.int64) << 32) | u
             at = np.minimum(np.searchsorted(self.hot, pair), len(self.hot) - 1)
             is_hot = self.hot[at] == pair
             shard[is_hot] = self.shards + int(self.parts[self.parts > 1].sum()) + at[is_hot]
             salts[is_hot] = self.salts[at[is_hot]]
-        return shard, split, salts
+        return home, shard, salts
 
 
 def planned(counts: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Plan:
-    """The plan from written counts. CODES words and 2 * HOT_SHARE pairs at most reach the driver."""
+    """The plan from written counts. CODES words, 2 * HOT_SHARE pairs and one row for each number of places that words have
+    reach the driver at most."""
     words = counts.filter("other IS NULL")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = words.orderBy(F.desc("n"), "word").limit(CODES).select("word", "n").toPandas()
+    sizes = words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).toPandas().astype(np.int64).sort_values("n", ascending=False)
+    total, distinct = int((sizes["n"] * sizes["words"]).sum()), int(sizes["words"].sum())
+    # words with as many places are coded together or not at all
+    coded = sizes["words"].cumsum() <= CODES
+    least_coded, most_other = int(sizes["n"][coded].min()) if coded.any() else total + 1, int(sizes["n"][~coded].max()) if (~coded).any() else 0
+    top = words.filter(F.col("n") >= least_coded).select("word", "n").toPandas()
     hashes, n = top["word"].to_numpy(dtype=np.int64).view(U64), top["n"].to_numpy(dtype=np.int64)
     order = np.argsort(hashes)
     hashes, n = hashes[order], n[order]
-    # a word that is dealt whole has no more places than a shard; where all words with codes have more, shards grow
-    size = max(shard_tokens, int(n.min()) if len(n) == CODES else 0)
+    # a word that is dealt whole has no more places than a shard; where words without codes have more, shards grow
+    size = max(shard_tokens, most_other)
     places = np.zeros(START + 1, dtype=np.int64)
     places[: len(n)] = n
     places[START] = n[hashes == END].sum()
     parts = np.where(places > size, -(-places // size), 1)
     several = np.where(parts > 1, parts, 0)
-    least = max(size, int(total) // HOT_SHARE)
+    least = max(size, total // HOT_SHARE)
     pairs = counts.filter(F.col("other").isNotNull() & (F.col("n") >= least / 2)).toPandas()
     v, u = (pairs[c].to_numpy(dtype=np.int64).view(U64) for c in ("word", "other"))
     v, u, often = _places(hashes, v, OTHER), np.where(u == FIRST, START, _places(hashes, u, OTHER)), pairs["n"].to_numpy(dtype=np.int64)
@@ -442,23 +496,27 @@ def planned(counts: DataFrame, shard_tokens: int = SHARD_TOKENS) -> Plan:
     own = (v != OTHER) & (u != OTHER)
     v, u, often = v[own], u[own], often[own]
     own = (parts[v] > 1) & (often >= least / 2)
-    hot, salts = ((v << 16) | u)[own], -(-often[own] // least)
+    hot, salts = ((v << 32) | u)[own], -(-often[own] // least)
     order = np.argsort(hot)
-    return Plan(int(total), int(distinct), hashes, n, max(1, -(-int(total) // size)), parts, np.cumsum(several) - several, hot[order], salts[order])
+    return Plan(total, distinct, hashes, n, max(1, -(-total // size)), parts.astype(np.int32), (np.cumsum(several) - several).astype(np.int32), hot[order], salts[order])
 
 
 def _piece(codes: list[np.ndarray], keys: list[np.ndarray], last: np.ndarray) -> bytes:
-    """Codes of v, u, w, then counts or texts, then keys of words without a code; compressed, its size before it."""
-    raw = b"".join([c.astype("<u2").tobytes() for c in codes] + [last.tobytes()] + [k[c == OTHER].astype("<u8").tobytes() for c, k in zip(codes, keys, strict=True)])
+    """Codes of words by planes of their bytes, then counts or texts, then keys of words without a code; compressed, its
+    size before it."""
+    planes = np.concatenate(codes).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T
+    raw = b"".join([planes.tobytes(), last.tobytes()] + [k[c == OTHER].astype("<u8").tobytes() for c, k in zip(codes, keys, strict=True)])
     return np.int64(len(raw)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _opened(data: bytes, n: int, kind: str) -> tuple[list[np.ndarray], np.ndarray]:
-    """Keys of v, u, w, and counts or texts."""
+def _opened(data: bytes, n: int, kind: str, words: int = 3) -> tuple[list[np.ndarray], np.ndarray]:
+    """Keys of so many words (v, u, w), and counts or texts."""
     raw = pa.decompress(memoryview(data)[8:], int(np.frombuffer(data, dtype="<i8", count=1)[0]), codec="zstd")
-    codes = np.frombuffer(raw, dtype="<u2", count=3 * n).reshape(3, n)
-    last = np.frombuffer(raw, dtype=kind, count=n, offset=6 * n)
-    rest = np.frombuffer(raw, dtype="<u8", offset=6 * n + last.nbytes)
+    planes = np.zeros((words * n, 4), dtype=np.uint8)
+    planes[:, :3] = np.frombuffer(raw, dtype=np.uint8, count=3 * words * n).reshape(3, -1).T
+    codes = planes.view("<u4").reshape(words, n)
+    last = np.frombuffer(raw, dtype=kind, count=n, offset=3 * words * n)
+    rest = np.frombuffer(raw, dtype="<u8", offset=3 * words * n + last.nbytes)
     keys, at = [], 0
     for own in codes:
         key, other = own.astype(U64), np.flatnonzero(own == OTHER)
@@ -470,10 +528,132 @@ def _opened(data: bytes, n: int, kind: str) -> tuple[list[np.ndarray], np.ndarra
 
 #: How texts of a block (a bit tells whether they are learned from) and counts are stored.
 TEXT_KIND, COUNT_KIND = "<u2", "<u4"
+#: How counts of pairs are stored: with the shard that asks above COUNT_BITS, or as sums.
+PAIR_KIND, SUM_KIND, COUNT_BITS = "<u8", "<i8", 32
+#: Kinds of packed rows: a split word as a whole, sums of its pairs, counts of a shard that is split off, places.
+WHOLE, PAIRS, COUNTS, PLACES = -2, -1, 0, 1
+PACKED = pa.schema([("shard", pa.int64()), ("salt", pa.int64()), ("kind", pa.int64()), ("base", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
+PACKED_DDL = "shard long, salt long, kind long, base long, n long, data binary"
+#: Pairs that a task holds before it adds them up, and before it hands them on.
+HELD_PAIRS = 2_000_000
+
+
+def _packed_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[5]) + 64
+        if size > 4_000_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), PACKED, strict=True)], schema=PACKED)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), PACKED, strict=True)], schema=PACKED)
+
+
+def _code_of(keys: np.ndarray) -> np.ndarray:
+    return np.where(keys < OTHER, keys, U64(OTHER)).astype(np.int64)
+
+
+def _summed_pairs(pieces: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """v, w, shard, n of pieces, in order, equal ones added up."""
+    v, w, shard, n = (np.concatenate([p[i] for p in pieces]) for i in range(4))
+    order = np.lexsort((shard, w, v))
+    v, w, shard, n = v[order], w[order], shard[order], n[order]
+    first = _runs(v, w, shard)
+    return v[first], w[first], shard[first], np.add.reduceat(n, first)
+
+
+def handed_pairs(texts: DataFrame, plan: Plan) -> DataFrame:
+    """Packed rows for the shards of split words. A block hands on which pairs of a split word and its successor each of the
+    word's shards meets, and how often in training texts. They are added up by pair, and each shard gets the sums that are
+    more than its own counts; how many successors a word has comes beside them (shard -1, base: the word)."""
+    shared = texts.sparkSession.sparkContext.broadcast(plan)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = shared.value
+        splits = np.flatnonzero(plan.parts > 1)
+        is_split = np.zeros(OTHER + 1, dtype=bool)
+        is_split[splits] = True
+        for block in blocks(batches):
+            tokens = tokens_of(column(block, "_text"))
+            codes = plan.codes(tokens)
+            keys = np.where(codes == OTHER, np.append(tokens.known, U64(0)), codes.astype(U64))
+            before = tokens.before(1)
+            at = np.flatnonzero(is_split[codes[before]])
+            if not len(at):
+                continue
+            learn = column(block, "_learn").to_numpy(zero_copy_only=False).astype(np.int64)[tokens.text_of()[at]]
+            u, v, w = tokens.before(2)[at], before[at], tokens.which[at]
+            _, shard, _ = plan.shard_of(codes[v], codes[u], keys[v], keys[u])
+            v, w, shard, n = _summed_pairs([(codes[v], w, shard, learn)])
+            key = keys[w]
+            bucket = (mixed(key ^ mixed(v.astype(U64))) % U64(plan.shards)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = _runs(bucket[order])
+
+            def rows() -> Iterator[tuple]:
+                for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):  # noqa: B023
+                    for at in range(a, b, PIECE):
+                        own = order[at : min(b, at + PIECE)]  # noqa: B023
+                        last = ((shard[own] << COUNT_BITS) | n[own]).astype(PAIR_KIND)  # noqa: B023
+                        yield int(bucket[own[0]]), 0, PAIRS, 0, len(own), _piece([v[own], codes[w[own]]], [v[own], key[own]], last)  # noqa: B023
+
+            yield from _packed_batches(rows())
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan, kinds = shared.value, {}
+
+        def added(pieces: list[tuple]) -> tuple[np.ndarray, ...]:
+            v, w, shard, n = _summed_pairs(pieces)
+            first = _runs(v, w)
+            length, total = np.diff([*first, len(v)]), np.add.reduceat(n, first)
+            known, often = np.unique(v[first][total > 0], return_counts=True)
+            for word, more in zip(known.tolist(), often.tolist(), strict=True):
+                kinds[word] = kinds.get(word, 0) + more
+            total = np.repeat(total, length)
+            more = total > n
+            return v[more], w[more], shard[more], total[more]
+
+        def rows(out: list[tuple]) -> Iterator[tuple]:
+            v, w, shard, total = (np.concatenate([p[i] for p in out]) for i in range(4))
+            order = np.argsort(shard, kind="stable")
+            cuts = _runs(shard[order])
+            salts = plan.salts_of(shard[order[cuts]])
+            for a, b, several in zip(cuts, [*cuts[1:], len(order)], salts.tolist(), strict=True):
+                for at in range(a, b, PIECE):
+                    own = order[at : min(b, at + PIECE)]
+                    data = _piece([v[own].astype(np.int64), _code_of(w[own])], [v[own], w[own]], total[own].astype(SUM_KIND))
+                    for salt in range(several):
+                        yield int(shard[own[0]]), salt, PAIRS, 0, len(own), data
+
+        now, held, size, out = None, [], 0, []
+        for (bucket, _), (_, _, n, data) in _groups(batches):
+            if bucket != now or size > HELD_PAIRS:
+                if held and bucket != now:
+                    out.append(added(held))
+                    held, size = [], 0
+                    if sum(len(o[0]) for o in out) > HELD_PAIRS:
+                        yield from _packed_batches(rows(out))
+                        out = []
+                elif held:
+                    held, size = [_summed_pairs(held)], 0
+                now = bucket
+            (v, w), last = _opened(data, n, PAIR_KIND, 2)
+            held.append((v, w, (last >> U64(COUNT_BITS)).astype(np.int64), (last & U64((1 << COUNT_BITS) - 1)).astype(np.int64)))
+            size += n
+        if held:
+            out.append(added(held))
+        if out:
+            yield from _packed_batches(rows(out))
+        yield from _packed_batches((-1, 0, WHOLE, word, n, b"") for word, n in kinds.items())
+
+    dealt = texts.mapInArrow(met, PACKED_DDL).repartition("shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(summed, PACKED_DDL)
 
 
 def packed_places(texts: DataFrame, plan: Plan) -> DataFrame:
-    """shard, salt, kind (0: counts of a shard that is split off, 1: places), base (row of the block's first text), n, data."""
+    """shard, salt, kind, base (row of the block's first text), n, data: all places, and before them in each shard that is
+    split off what it is handed of its word and its counts."""
     shared = texts.sparkSession.sparkContext.broadcast(plan)
 
     def rows(block: pa.RecordBatch) -> Iterator[tuple]:
@@ -488,7 +668,8 @@ def packed_places(texts: DataFrame, plan: Plan) -> DataFrame:
         u, v, w, text = u[order], v[order], w[order], text[order]
         context = _runs(v, u)
         length = np.diff([*context, len(v)])
-        shard, split, salts = plan.shard_of(codes[v[context]], codes[u[context]], keys[v[context]], keys[u[context]])
+        home, shard, salts = plan.shard_of(codes[v[context]], codes[u[context]], keys[v[context]], keys[u[context]])
+        split = shard != home
         by_shard = np.argsort(np.repeat(shard, length), kind="stable")
         shard, split, salts = (np.repeat(x, length)[by_shard] for x in (shard, split, salts))
         u, v, w, text = u[by_shard], v[by_shard], w[by_shard], text[by_shard]
@@ -499,7 +680,7 @@ def packed_places(texts: DataFrame, plan: Plan) -> DataFrame:
                 own = slice(at, min(b, at + PIECE))
                 ids = [v[own], u[own], w[own]]
                 last = (text[own] << 1 | learn[text[own]]).astype(TEXT_KIND)
-                yield int(shard[a]), salt, 1, int(row[0]), len(last), _piece([codes[i] for i in ids], [keys[i] for i in ids], last)
+                yield int(shard[a]), salt, PLACES, int(row[0]), len(last), _piece([codes[i] for i in ids], [keys[i] for i in ids], last)
             if split[a]:
                 taught = np.flatnonzero(learn[text[a:b]] == 1) + a
                 first = _runs(v[taught], u[taught], w[taught])
@@ -509,29 +690,34 @@ def packed_places(texts: DataFrame, plan: Plan) -> DataFrame:
                     ids = [v[own], u[own], w[own]]
                     data = _piece([codes[i] for i in ids], [keys[i] for i in ids], n[at : at + PIECE].astype(COUNT_KIND))
                     for each in range(int(salts[a])):
-                        yield int(shard[a]), each, 0, 0, len(own), data
+                        yield int(shard[a]), each, COUNTS, 0, len(own), data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            held, size = [], 0
-            for r in rows(block):
-                held.append(r)
-                size += len(r[5])
-                if size > 4_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], schema=schema)
-                    held, size = [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], schema=schema)
+            yield from _packed_batches(rows(block))
+
+    places = texts.mapInArrow(run, PACKED_DDL)
+    if not (plan.parts > 1).any():
+        return places
+    pairs = written(handed_pairs(texts, plan))
+    found = pairs.filter(F.col("kind") == WHOLE).groupBy("base").agg(F.sum("n").alias("n")).collect()
+    kinds = {r["base"]: r["n"] for r in found}
+    words = [(shard, salt, WHOLE, plan.places(v), kinds.get(v, 0), v.to_bytes(8, "little")) for shard, v in plan.splits() for salt in range(int(plan.salts_of(np.array([shard]))[0]))]
+    return places.unionByName(pairs.filter(F.col("kind") == PAIRS)).unionByName(texts.sparkSession.createDataFrame(words, PACKED_DDL))
 
-    schema = pa.schema([("shard", pa.int64()), ("salt", pa.int64()), ("kind", pa.int64()), ("base", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
-    return texts.mapInArrow(run, "shard long, salt long, kind long, base long, n long, data binary")
 
+def _trie_of(pieces: list[tuple[list[np.ndarray], np.ndarray]], discount: float, handed: Handed | None = None) -> bytes:
+    pieces = pieces or [([np.zeros(0, dtype=U64)] * 3, np.zeros(0, dtype=np.int64))]
+    return built(*[np.concatenate([p[0][i] for p in pieces]) for i in range(3)], np.concatenate([p[1] for p in pieces]), discount, handed)
 
-def _trie_of(pieces: list[tuple[list[np.ndarray], np.ndarray]], discount: float) -> bytes:
-    if not pieces:
-        empty = np.zeros(0, dtype=U64)
-        return built(empty, empty, empty, np.zeros(0, dtype=np.int64), discount)
-    return built(*[np.concatenate([p[0][i] for p in pieces]) for i in range(3)], np.concatenate([p[1] for p in pieces]), discount)
+
+def _handed(rows: list[tuple[int, int, int, bytes]]) -> Handed | None:
+    """What a shard has been handed in packed rows (kind, base, n, data), if it is split off."""
+    if not rows:
+        return None
+    pairs = [([np.zeros(0, dtype=U64)] * 2, np.zeros(0, dtype=np.int64))] + [_opened(data, n, SUM_KIND, 2) for kind, _, n, data in rows if kind == PAIRS]
+    v, total, kinds = next((int.from_bytes(data, "little"), base, n) for kind, base, n, data in rows if kind == WHOLE)
+    return Handed(v, total, kinds, np.concatenate([p[0][1] for p in pairs]), np.concatenate([p[1] for p in pairs]))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], tuple]]:
@@ -547,19 +733,21 @@ def tries(places: DataFrame, discount: float = DISCOUNT) -> DataFrame:
     """shard, trie of packed places: the model as a table, for use outside of scored()."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, counts, learned = None, [], []
+        now, counts, learned, handed = None, [], [], []
 
         def done() -> Iterator[pa.RecordBatch]:
             if now is not None and now[1] == 0:
-                yield pa.RecordBatch.from_arrays([pa.array([now[0]]), pa.array([_trie_of(counts or learned, discount)], pa.binary())], names=["shard", "trie"])
+                yield pa.RecordBatch.from_arrays([pa.array([now[0]]), pa.array([_trie_of(counts or learned, discount, _handed(handed))], pa.binary())], names=["shard", "trie"])
 
-        for own, (kind, _, n, data) in _groups(batches):
+        for own, (kind, base, n, data) in _groups(batches):
             if own != now:
                 yield from done()
-                now, counts, learned = own, [], []
-            if kind == 0:
+                now, counts, learned, handed = own, [], [], []
+            if kind < COUNTS:
+                handed.append((kind, base, n, data))
+            elif kind == COUNTS:
                 counts.append(_opened(data, n, COUNT_KIND))
-            elif not counts:
+            elif not handed:
                 learned.append(_taught(_opened(data, n, TEXT_KIND)))
         yield from done()
 
@@ -587,7 +775,7 @@ class Sums:
 
     def add(self, base: int, text: np.ndarray, coded: np.ndarray, logs: np.ndarray, alone: np.ndarray) -> None:
         n, own = int(text.max()) + 1, text[coded]
-        found = np.stack([np.bincount(own, logs, n), np.bincount(text, minlength=n), np.bincount(own, minlength=n), np.bincount(own, alone, n)])
+        found = np.stack([np.bincount(own, logs, n), np.bincount(text, minlength=n), np.bincount(own, minlength=n), np.bincount(own, alone, n)]).astype(float)
         before = self.rows.get(base)
         if before is not None:
             longer, shorter = (found, before) if n >= before.shape[1] else (before, found)
@@ -650,7 +838,7 @@ def answered(places: DataFrame, plan: Plan, discount: float = DISCOUNT) -> DataF
     shared = places.sparkSession.sparkContext.broadcast(plan)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, trie, counts, held, sums = None, None, [], [], Sums()
+        now, trie, counts, held, sums, handed = None, None, [], [], Sums(), []
 
         def finish() -> Iterator[pa.RecordBatch]:
             if held:
@@ -659,16 +847,19 @@ def answered(places: DataFrame, plan: Plan, discount: float = DISCOUNT) -> DataF
         for own, (kind, base, n, data) in _groups(batches):
             if own != now:
                 yield from finish()
-                now, trie, counts, held = own, None, [], []
+                now, trie, counts, held, handed = own, None, [], [], []
             if sums.size() > MOST_SUMS:
                 yield from sums.emptied()
-            if kind == 0:
+            if kind < COUNTS:
+                handed.append((kind, base, n, data))
+                continue
+            if kind == COUNTS:
                 counts.append(_opened(data, n, COUNT_KIND))
                 if len(counts) == 256:
                     counts = [_merged(counts)]
                 continue
-            if counts:
-                trie, counts = Trie(_trie_of(counts, discount)), []
+            if handed:
+                trie, counts, handed = Trie(_trie_of(counts, discount, _handed(handed))), [], []
             held.append((base, n, data))
             if trie is not None and len(held) == 32:
                 yield from finish()

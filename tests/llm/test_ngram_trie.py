@@ -147,6 +147,17 @@ def test_scores(spark, rows, shard_tokens, codes, monkeypatch):
     close(got, brute_scores(rows, lambda i: i is None or zlib.crc32(str(i).encode()) % 7 != 2, plan if shard_tokens == 60 else None))
 
 
+@pytest.mark.parametrize("shard_tokens", [25, 60, 90])
+def test_scores_do_not_depend_on_the_size_of_shards(spark, rows, shard_tokens):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    texts = frame.select("text", (~ngram_trie.held_out("doc_id")).alias("_learn"), F.col("text").alias("_text"))
+    plan = ngram_trie.planned(ngram_trie.counted(texts.select("_text", "_learn")), shard_tokens)
+    assert (plan.parts > 1).sum() > 1 and len(plan.hot)
+    found = ngram_trie.scored(frame, ~ngram_trie.held_out("doc_id"), shard_tokens=shard_tokens)
+    got = [tuple(r) for r in found.select("doc.doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()]
+    close(got, brute_scores(rows, lambda i: i is None or zlib.crc32(str(i).encode()) % 7 != 2))
+
+
 def test_scores_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_trie.scored(empty, F.lit(True)).count() == 0
