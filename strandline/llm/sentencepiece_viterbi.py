@@ -10,7 +10,7 @@ leaves the two apart; of all pieces that end a prefix just one can follow the st
 pieces is the merged form exactly if each neighbouring pair is. So the same pass gives the library's ids.
 
 The vocabulary is read on the driver and broadcast: its size is the model's. Words already encoded are kept by each
-Python worker, up to KEPT_BYTES of memory. Nothing is shuffled.
+Python worker, up to KEPT_BYTES of memory in two halves, of which the older one is dropped. Nothing is shuffled.
 
 Defined cases: a null text has null ids and decodes to null; an empty one has none; a very long text is read whole, and so
 is a word of any length; an empty table gives no rows; columns of the result's names are replaced, others stay; a character outside the vocabulary
@@ -24,6 +24,7 @@ import re
 from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,11 @@ from pyspark.sql import DataFrame
 from .base import column, extended, slices
 
 MARK = "▁"
-#: Memory, in bytes (about), of the marked words of one worker whose ids are kept, and words beside them.
-KEPT_BYTES = 32_000_000
+#: Memory, in bytes (about), of the words of one worker whose ids are kept, and words beside them.
+KEPT_BYTES = 64_000_000
 KEPT_WORDS = 100_000
+#: What a kept word takes beside its letters and ids: its tuple and its place in a dictionary.
+WORD_BYTES = 160
 SLICE = 1_000_000
 
 
@@ -70,6 +73,7 @@ class Vocabulary:
     prefix: bool
     stable: dict[int, dict[int, bool]] = field(default_factory=dict)
     kept: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    older: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.worst = min((s for _, s in self.pieces.values()), default=0.0) - 10.0
@@ -95,6 +99,27 @@ class Vocabulary:
                 self.names.append(character)
         return known
 
+    def recalled(self, words: Collection[str]) -> dict[str, tuple[int, ...]]:
+        """Kept ids of words. What is used again stays when the older half is dropped."""
+        kept, older, found = self.kept, self.older, {}
+        for word in words:
+            own = kept.get(word)
+            if own is None:
+                own = older.get(word)
+                if own is None:
+                    continue
+                self.keep(word, own)
+                kept = self.kept
+            found[word] = own
+        return found
+
+    def keep(self, word: str, ids: tuple[int, ...]) -> None:
+        """ids of a word, kept in the newer half; a full one becomes the older half."""
+        self.kept[word] = ids
+        self.kept_bytes += getsizeof(word) + 8 * len(ids) + WORD_BYTES
+        if self.kept_bytes > KEPT_BYTES // 2:
+            self.older, self.kept, self.kept_bytes = self.kept, {}, 0
+
     def merged(self, text: str) -> list[str]:
         """Characters merged by rank: the best scored joinable pair first, the leftmost of equals."""
         parts = list(text)
@@ -263,23 +288,14 @@ def _encoded(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[np.ndarra
         marked = (MARK * vocabulary.prefix + text.replace(" ", MARK)) if text else ""
         split.append(vocabulary.word.findall(marked))
     distinct = set(chain.from_iterable(split))
-    kept = vocabulary.kept
-    new = sorted(w for w in distinct if w not in kept)
-    cost = lambda own: sum(map(len, own)) * 40 + 150 * len(own)
-    if vocabulary.kept_bytes + cost(new) > KEPT_BYTES:
-        kept.clear()
-        vocabulary.kept_bytes = 0
-        new = sorted(distinct)
-    found = dict(encoded_words(vocabulary, new))
-    number, ids, sizes = {}, [], []
-    for word in distinct:
-        number[word] = len(sizes)
-        own = found.get(word) or kept[word]
-        ids.append(own)
-        sizes.append(len(own))
-    if vocabulary.kept_bytes + cost(new) <= KEPT_BYTES:
-        kept.update(found)
-        vocabulary.kept_bytes += cost(new)
+    found = vocabulary.recalled(distinct)
+    new = sorted(w for w in distinct if w not in found)
+    for word, own in encoded_words(vocabulary, new):
+        found[word] = own
+        vocabulary.keep(word, own)
+    number = dict(zip(found, range(len(found)), strict=True))
+    ids = list(found.values())
+    sizes = list(map(len, ids))
     flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32)
     sizes = np.array(sizes, dtype=np.int64)
     heads = np.cumsum(sizes) - sizes

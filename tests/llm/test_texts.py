@@ -272,6 +272,26 @@ def test_unigram_pieces_have_the_largest_sum():
         assert sum(next(s for i, s in pieces.values() if i == x) for x in ids) == pytest.approx(best(word))
 
 
+def test_frequent_words_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(sentencepiece_viterbi, "KEPT_BYTES", 60_000)
+    encoded_words, encoded = sentencepiece_viterbi.encoded_words, []
+    monkeypatch.setattr(sentencepiece_viterbi, "encoded_words", lambda vocabulary, words: encoded_words(vocabulary, encoded.extend(words) or words))
+    pieces = {"▁": (0, -3.0), "a": (1, -2.0), "b": (2, -2.5), "ab": (3, -3.0)}
+
+    def vocabulary():
+        return sentencepiece_viterbi.Vocabulary(pieces, [b" ", b"a", b"b", b"ab"], 9, [], False, True)
+
+    rng, one = random.Random(2), vocabulary()
+    for _ in range(60):
+        texts = ["abba abab ab " + " ".join("".join(rng.choices("ab", k=14)) for _ in range(40)), None]
+        ids, first = sentencepiece_viterbi._encoded(one, texts)
+        alone, own = sentencepiece_viterbi._encoded(vocabulary(), texts)
+        assert ids.tolist() == alone.tolist() and first.tolist() == own.tolist()
+        assert one.kept_bytes <= 30_000
+    # 60 times by the vocabularies without memory, and once by the one with it
+    assert encoded.count("▁abba") == 61
+
+
 PAGE = """<html><body class="has-sidebar"><header>Site</header><div class="wrap"><div id="sidebar1"><p>Side text that is fairly long, to be left out.</p></div>
 <div class="content post-12"><h1>Title &amp; more</h1><p>First  paragraph with <a href="x">a link</a> and text that is long enough.<p>Second &lt;b&gt; &#233;&nbsp;x<br>next line, also long enough.
 <ul><li>one item<li>two item</ul><div class="ad">Buy!</div><script>if (a<b) "</p>"</script></div><div class="comments"><p>I disagree with all of that, very much so indeed.</p></div></div><footer>f</footer>"""
