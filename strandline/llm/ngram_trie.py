@@ -56,6 +56,8 @@ HOT_SHARE = 1024
 MOST_SUMS = 500_000
 #: Values that a level's quantised weights can take.
 VALUES = 4096
+#: Triples that are looked up in a trie at once.
+LOOKUPS = 1 << 16
 BLOCK_BYTES = 6_000_000
 #: Texts of a block, and places of one packed row.
 BLOCK_TEXTS, PIECE = 32_767, 8_192
@@ -148,7 +150,8 @@ def _monotone(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """VALUES values at most, and for each value the one nearest to it by ratio."""
-    logs, known = np.log10(values), np.unique(np.log10(values))
+    logs = np.log10(values)
+    known = np.unique(logs)
     if len(known) > VALUES:
         known = np.unique(np.quantile(known, np.linspace(0, 1, VALUES)))
     middle = (known[1:] + known[:-1]) / 2
@@ -166,7 +169,7 @@ def numbered(keys: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     large, which = np.unique(np.concatenate(rest), return_inverse=True)
     place, out, at = np.cumsum(seen) - 1, [], 0
     for k, own, r in zip(keys, small, rest, strict=True):
-        ids = np.empty(len(k), dtype=np.int64)
+        ids = np.empty(len(k), dtype=np.int32)
         ids[own] = place[k[own].astype(np.int64)]
         ids[~own] = which[at : at + len(r)] + len(codes)
         out.append(ids)
@@ -230,34 +233,39 @@ def packed_trie(keys: np.ndarray, v: np.ndarray, u: np.ndarray, w: np.ndarray, c
     cv, cu = v[first3], u[first3]
     total3 = np.add.reduceat(c, first3) if len(first3) else c
     kinds3 = np.diff([*first3, len(v)])
-    root = np.searchsorted(roots, v)
-    place = np.searchsorted((bv.astype(np.int64) << 32) | bw, (v.astype(np.int64) << 32) | w) - first2[root] if len(v) else v
+    pairs, mine = (bv.astype(np.int64) << 32) | bw, (v.astype(np.int64) << 32) | w
+    del by_word, bv, w
+    place = np.searchsorted(pairs, mine) if len(v) else v
+    del pairs, mine
+    if len(v):
+        place = place - first2[np.searchsorted(roots, v)]
     first_context, context_pointers = _runs(cv), np.append(np.searchsorted(cv, roots), len(cv))
     successor_pointers = np.append(first2, len(bw))
     if not len(bw):
         first2 = first2[:0]
+    # made one after another, so that a task holds one of them beside what is packed
     sequences = {
-        "roots": roots,
-        "successors": _monotone(bw, first2),
-        "successor_pointers": successor_pointers,
-        "contexts": _monotone(cu, first_context),
-        "context_pointers": context_pointers,
-        "places": _monotone(place, first3),
-        "place_pointers": np.append(first3, len(v)),
+        "roots": lambda: roots,
+        "successors": lambda: _monotone(bw, first2),
+        "successor_pointers": lambda: successor_pointers,
+        "contexts": lambda: _monotone(cu, first_context),
+        "context_pointers": lambda: context_pointers,
+        "places": lambda: _monotone(place, first3),
+        "place_pointers": lambda: np.append(first3, len(v)),
     }
     values = {
-        "a2": (count2 - discount) / np.repeat(total2, held2),
-        "b2": discount * kinds2 / total2,
-        "a3": (c - discount) / np.repeat(total3, kinds3),
-        "b3": discount * kinds3 / total3,
+        "a2": lambda: (count2 - discount) / np.repeat(total2, held2),
+        "b2": lambda: discount * kinds2 / total2,
+        "a3": lambda: (c - discount) / np.repeat(total3, kinds3),
+        "b3": lambda: discount * kinds3 / total3,
     }
     arrays, facts = {"keys": keys.astype("<u8")}, {}
     for name, sequence in sequences.items():
-        packed = elias_fano(sequence)
+        packed = elias_fano(sequence())
         facts[name] = [packed["n"], packed["l"]]
         arrays |= {f"{name}.upper": packed["upper"], f"{name}.lower": packed["lower"]}
     for name, own in values.items():
-        arrays[f"{name}.table"], arrays[f"{name}.codes"] = _coded(own)
+        arrays[f"{name}.table"], arrays[f"{name}.codes"] = _coded(own())
     where, at = {}, 0
     for name, array in arrays.items():
         where[name] = [array.dtype.str, at, len(array)]
@@ -309,8 +317,16 @@ class Trie:
         return self.weights_of(*map(self._ids, (v, u, w)))
 
     def weights_of(self, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The same for numbers of keys, -1 for a word that the trie does not have. Neighbours that are equal in v, or in v
-        and u, are looked up once."""
+        """The same for numbers of keys, -1 for a word that the trie does not have. A look-up takes many times the memory of
+        what is asked, so it is made for LOOKUPS triples at once."""
+        a, b = np.empty(len(v)), np.empty(len(v))
+        for at in range(0, len(v), LOOKUPS):
+            own = slice(at, at + LOOKUPS)
+            a[own], b[own] = self._looked_up(v[own], u[own], w[own])
+        return a, b
+
+    def _looked_up(self, v: np.ndarray, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Neighbours that are equal in v, or in v and u, are looked up once."""
         roots, first, context_first = self.sequence["roots"], _runs(v), _runs(v, u)
         own = v[first]
         root = np.where(own >= 0, roots.find(np.maximum(own, 0), np.zeros(len(own), dtype=np.int64), np.full(len(own), roots.n)), -1)
@@ -802,14 +818,19 @@ def _answer_batch(row: np.ndarray, word: np.ndarray | None, a: np.ndarray, b: np
 
 def answer(plan: Plan, pieces: list[tuple[int, list[np.ndarray], np.ndarray]], sums: Sums, discount: float, trie: Trie | None = None) -> Iterator[pa.RecordBatch]:
     """Answers for pieces (base, keys, texts) of one shard, by its trie; without one, it is built from the places of
-    training texts among them, which are then all that the shard has."""
+    training texts among them, which are then all that the shard has. The list of pieces is emptied."""
     keys = [np.concatenate([p[1][i] for p in pieces]) for i in range(3)]
-    last = np.concatenate([p[2] for p in pieces])
+    # what is not needed any more goes before the trie is built, which is when a task holds most
+    bases = [(base, texts) for base, _, texts in pieces]
+    pieces.clear()
+    last = np.concatenate([texts for _, texts in bases])
     known, (v, u, w) = numbered(keys)
+    del keys
     order, first, (v, u, w, n) = counted_runs(v, u, w, last & 1, len(known))
     if trie is None:
         taught = n > 0
         trie = Trie(packed_trie(known, v[taught], u[taught], w[taught], n[taught], discount))
+        del taught
         a, b = trie.weights_of(v, u, w)
     else:
         a, b = trie.weights(known[v], known[u], known[w])
@@ -818,10 +839,10 @@ def answer(plan: Plan, pieces: list[tuple[int, list[np.ndarray], np.ndarray]], s
     counts = plan.counts[word[coded].astype(np.int64)] if len(plan.counts) else np.zeros(0)
     logs, alone = np.zeros(len(word)), np.zeros(len(word))
     logs[coded], alone[coded] = np.log10(a[coded] + b[coded] * plan.alone(counts, discount)), np.log10(counts + 1.0)
-    which = np.empty(len(order), dtype=np.int64)
-    which[order] = np.repeat(np.arange(len(first)), np.diff([*first, len(order)]))
+    which = np.empty(len(order), dtype=np.int32)
+    which[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
     at = 0
-    for base, _, own in pieces:
+    for base, own in bases:
         mine, text = which[at : at + len(own)], (own >> 1).astype(np.int64)
         is_coded = coded[mine]
         sums.add(base, text, is_coded, logs[mine[is_coded]], alone[mine[is_coded]])
@@ -842,7 +863,9 @@ def answered(places: DataFrame, plan: Plan, discount: float = DISCOUNT) -> DataF
 
         def finish() -> Iterator[pa.RecordBatch]:
             if held:
-                yield from answer(shared.value, [(base, *_opened(data, n, TEXT_KIND)) for base, n, data in held], sums, discount, trie)
+                opened = [(base, *_opened(data, n, TEXT_KIND)) for base, n, data in held]
+                held.clear()
+                yield from answer(shared.value, opened, sums, discount, trie)
 
         for own, (kind, base, n, data) in _groups(batches):
             if own != now:

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -188,3 +189,18 @@ def test_op13(spark):
     # held-out texts are scored far better than by words alone
     mean = {h: sum(r["score"] - r["base_score"] for r in found if r["held_out"] == h) for h in (True, False)}
     assert mean[True] > 0 and mean[False] > 0
+
+
+def test_a_shard_takes_little_memory():
+    """What building and answering a shard takes for each place, beside the places themselves."""
+    rng, n = np.random.default_rng(1), 200_000
+    keys = [rng.integers(0, 3_000, n).astype(np.uint64) for _ in range(3)]
+    pieces = [(0, [k[a : a + 8192].copy() for k in keys], (np.arange(len(keys[0][a : a + 8192])) << 1 | 1).astype("<u2")) for a in range(0, n, 8192)]
+    plan = ngram_trie.Plan(n, 3_000, np.arange(3_000, dtype=np.uint64), np.full(3_000, 67), 1, np.ones(ngram_trie.START + 1, dtype=np.int32), np.zeros(1, dtype=np.int32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+    del keys
+    tracemalloc.start()
+    try:
+        list(ngram_trie.answer(plan, pieces, ngram_trie.Sums(), 0.75))
+        assert tracemalloc.get_traced_memory()[1] / n < 300
+    finally:
+        tracemalloc.stop()
