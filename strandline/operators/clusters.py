@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import forests, settled
 from .intervals import SCAN_BIN, with_island
 
+#: Bins of a scan in a zone.
+ZONE_BINS = 64
+
 
 def span_clusters(genes: DataFrame, keys: Sequence[str], gap: int = 0, scan_bin: int = SCAN_BIN) -> DataFrame:
     """genes with island, the cluster of overlapping spans along keys (leave strand out of keys to ignore it)."""
@@ -17,14 +22,21 @@ def span_clusters(genes: DataFrame, keys: Sequence[str], gap: int = 0, scan_bin:
 
 
 def exon_clusters(exons: DataFrame, keys: Sequence[str], gene_id: str = "gene_id", scan_bin: int = SCAN_BIN) -> DataFrame:
-    """gene_id, cluster (its smallest gene): genes are linked if any of their exons overlap. Exons become islands, so a
-    stack of exons makes one edge for each gene, not one for each pair."""
-    islands = with_island(exons.select(*keys, "start", "end", gene_id), keys, scan_bin=scan_bin)
-    member = islands.select(F.col(gene_id).alias("gene"), F.struct(*keys, "island").alias("place"))
-    # each gene is linked to the first gene of every island it is in, summed before it is shuffled
-    hubs = member.groupBy("place").agg(F.min("gene").alias("hub"))
-    edges = member.join(hubs, "place").select(F.col("gene").alias("a"), F.col("hub").alias("b"))
-    return components(edges).select(F.col("node").alias(gene_id), F.col("root").alias("cluster"))
+    """gene_id, cluster (its smallest gene): genes are linked if any of their exons overlap. Exons lie in every zone that
+    they reach, where a stack of them makes one edge for each, not one for each pair. Most clusters lie in one zone, and a
+    task settles what it holds; only what zones share is settled in rounds over all."""
+    keys = list(keys)
+    zone = lambda at: F.floor(at / (ZONE_BINS * scan_bin))
+    zones = F.explode(F.sequence(zone(F.least("start", "end")), zone(F.greatest("start", "end")))).alias("_zone")
+    known = reduce(and_, [F.col(c).isNotNull() for c in (*keys, "start", "end", gene_id)])
+    rows = exons.filter(known).select(*keys, "start", "end", F.col(gene_id).alias("a"), zones)
+    within = Window.partitionBy(*keys, "_zone").orderBy("start", "end")
+    reached = F.max("end").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") > reached, F.lit(True))
+    # each exon is linked to the gene that opened the stack it stands in
+    hub = F.last(F.when(F.col("_opens"), F.col("a")), ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    edges = rows.withColumn("_opens", opens).select("a", hub.alias("b"))
+    return settled(forests(edges)).select(F.col("node").alias(gene_id), F.col("root").alias("cluster"))
 
 
 def labelled(clusters: DataFrame, sets: DataFrame, set_name: str, gene_id: str = "gene_id") -> DataFrame:

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: Nodes that a task holds at most when it settles the edges it meets.
+FOREST_NODES = 500_000
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut, in the shared folder that the session names; a local one is set only if it names none."""
@@ -46,3 +51,48 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if settled:
             return nodes.join(now.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     raise RuntimeError("components did not settle")
+
+
+def forests(edges: DataFrame, most: int = FOREST_NODES) -> DataFrame:
+    """node, root: edges (a, b; neither missing) as stars around the smallest node, as far as a task sees them. A task goes
+    through its edges in the order in which they come and lets go of what it holds at most nodes, so a node may come with
+    several roots; settled() joins those."""
+
+    def stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        root: dict = {}
+
+        def find(x):
+            while (up := root[x]) != x:
+                root[x] = x = root[up]
+            return x
+
+        for frame in frames:
+            for a, b in zip(frame["a"].tolist(), frame["b"].tolist(), strict=True):
+                if a not in root:
+                    root[a] = a
+                if a != b:
+                    if b not in root:
+                        root[b] = b
+                    x, y = find(a), find(b)
+                    if x < y:
+                        root[y] = x
+                    elif y < x:
+                        root[x] = y
+            if len(root) >= most:
+                yield pd.DataFrame({"node": list(root), "root": [find(x) for x in root]})
+                root = {}
+        if root:
+            yield pd.DataFrame({"node": list(root), "root": [find(x) for x in root]})
+
+    kind = dict(edges.dtypes)["a"]
+    return edges.mapInPandas(stars, f"node {kind}, root {kind}")
+
+
+def settled(stars: DataFrame) -> DataFrame:
+    """node, root (the component's smallest node) of stars (node, root, its star's smallest node): stars that share a node
+    are one. Only roots that nodes have in common go through the rounds of components()."""
+    stars = checkpointed(stars)
+    nodes = checkpointed(stars.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")))
+    links = stars.join(nodes.filter("low <> high").select("node", "low"), "node").filter("root <> low").select(F.col("root").alias("a"), F.col("low").alias("b"))
+    joined = components(links).select(F.col("node").alias("low"), "root")
+    return nodes.join(joined, "low", "left").select("node", F.coalesce("root", "low").alias("root"))

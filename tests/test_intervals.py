@@ -126,3 +126,47 @@ def test_layers_block_but_do_not_show(spark):
     found = ranking.layered(genes, exons, layers, ["region"], 16)
     assert sorted((r["gene_id"], r["layer"]) for r in found.collect()) == [(1, "one"), (4, "three")]
     assert found.filter(F.col("layer") == "two").count() == 0
+
+
+def test_exon_clusters_across_zones_and_what_tasks_let_go_of(spark, monkeypatch):
+    rng = random.Random(5)
+    exons = []
+    for gene in range(300):
+        at, region = rng.randint(-3000, 3000), rng.choice([1, 1, 1, 2])
+        for _ in range(rng.randint(1, 3)):
+            exons.append((gene, region, at, at + rng.choice([3, 5, 9, 700 if gene % 50 == 0 else 4])))
+            at += rng.randint(10, 60)
+    root = {g: g for g, *_ in exons}
+    for _ in range(len(root)):
+        after = dict(root)
+        for a in exons:
+            for b in exons:
+                if a[1] == b[1] and a[2] <= b[3] and a[3] >= b[2]:
+                    after[a[0]] = min(after[a[0]], after[b[0]])
+        if after == root:
+            break
+        root = after
+    loose = [(900, None, 1, 5), (901, 1, 1, None), (None, 1, 1, 5)]
+    frame = spark.createDataFrame(exons + loose, "gene_id long, region long, start long, end long")
+    monkeypatch.setattr(clusters, "ZONE_BINS", 1)
+    for width in (16, 400, 100_000):
+        found = clusters.exon_clusters(frame, ["region"], scan_bin=width).collect()
+        assert len(found) == len(root) and {r["gene_id"]: r["cluster"] for r in found} == root
+    # a task that lets go of its nodes all the time leaves the rest to the rounds
+    chain = spark.createDataFrame([(i, i + 1) for i in range(5000)] + [(9000, 9000)], "a long, b long").coalesce(1)
+    stars = graph.forests(chain, most=7)
+    rows = graph.settled(stars).collect()
+    assert len(rows) == 5002 and all(r["root"] == (0 if r["node"] <= 5000 else 9000) for r in rows)
+
+
+def test_exon_clusters_read_their_exons_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    exons = spark.range(1000).selectExpr("id AS gene_id", "id % 3 AS region", "id AS start", "id + 1 AS end")
+    found = clusters.exon_clusters(exons.mapInPandas(count, exons.schema), ["region"])
+    assert found.count() == 1000 and seen.value == 1000
