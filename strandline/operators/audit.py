@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .graph import checkpointed
+
 
 def _violation(rows: DataFrame, rule: str, table: str, key: Column, found: Column) -> DataFrame:
     return rows.select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), key.cast("string").alias("key"), found.cast("string").alias("found"))
@@ -57,12 +59,21 @@ def gene_sanity(genes: DataFrame, transcripts: DataFrame, links: DataFrame, exon
     Rules: a gene has a transcript, on its region and with its bounds in all; a transcript has exons and a link has both of
     its sides; a translation has its transcript, a coding transcript its translation, and both of its exons are linked to
     that transcript; exons lie on their transcript's region, strand and within its bounds."""
+    genes, transcripts = checkpointed(genes), checkpointed(transcripts)
     place = transcripts.select("transcript_id", F.col("gene_id"), F.col("region").alias("t_region"), F.col("strand").alias("t_strand"), F.col("start").alias("t_start"), F.col("end").alias("t_end"))
     of_gene = genes.join(place, "gene_id")
     bounds = of_gene.groupBy("gene_id", "start", "end").agg(F.min("t_start").alias("low"), F.max("t_end").alias("high"))
     linked = links.join(exons, "exon_id").join(place, "transcript_id")
     key = lambda *names: F.concat_ws(":", *names)
     ends = translations.select("transcript_id", F.explode(F.array(F.struct(F.lit("start_exon").alias("rule"), F.col("start_exon").alias("exon_id")), F.struct(F.lit("end_exon").alias("rule"), F.col("end_exon").alias("exon_id")))).alias("e")).select("transcript_id", "e.*")
+    # one pass over the linked exons for all that may be wrong with their place
+    wrong = {
+        "region": (F.col("region") != F.col("t_region"), F.col("region").cast("string")),
+        "strand": (F.col("strand") != F.col("t_strand"), F.col("strand").cast("string")),
+        "outside": ((F.col("start") < F.col("t_start")) | (F.col("end") > F.col("t_end")), key("start", "end")),
+    }
+    marks = F.array(*[F.when(where, F.struct(F.lit(rule).alias("rule"), found.alias("found"))) for rule, (where, found) in wrong.items()])
+    misplaced = linked.select("transcript_id", "exon_id", F.explode(F.array_compact(marks)).alias("v"))
     unlinked = ends.join(links, ["transcript_id", "exon_id"], "left_anti")
     out = [
         childless(genes, "gene_id", transcripts, "gene_id", "gene"),
@@ -75,9 +86,7 @@ def gene_sanity(genes: DataFrame, transcripts: DataFrame, links: DataFrame, exon
         orphans(translations, "transcript_id", transcripts, "transcript_id", "translation"),
         childless(transcripts.filter(F.col("biotype") == coding), "transcript_id", translations, "transcript_id", "coding_transcript"),
         unlinked.select("rule", F.lit("translation").alias("table_name"), F.col("transcript_id").cast("string").alias("key"), F.col("exon_id").cast("string").alias("found")),
-        _violation(linked.filter("region <> t_region"), "region", "exon", key("transcript_id", "exon_id"), F.col("region")),
-        _violation(linked.filter("strand <> t_strand"), "strand", "exon", key("transcript_id", "exon_id"), F.col("strand")),
-        _violation(linked.filter("start < t_start OR end > t_end"), "outside", "exon", key("transcript_id", "exon_id"), key("start", "end")),
+        misplaced.select("v.rule", F.lit("exon").alias("table_name"), key("transcript_id", "exon_id").alias("key"), "v.found"),
     ]
     return all_of(out)
 

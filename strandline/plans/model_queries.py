@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as q
 from ..operators import audit, factories, models, projection
+from ..operators.graph import checkpointed
 from ..sources import driver_tables as t
 
 STRANDED = ["region", "strand"]
@@ -135,7 +136,7 @@ def integrity(spark, sf):
 
 def gene_set_sanity(spark, sf):
     """Customers as genes, orders as transcripts, line items as exons, with some links, places and bounds put wrong."""
-    exons = t.exons(spark, sf)
+    exons = checkpointed(t.exons(spark, sf).drop("score", "identity", "coverage"))
     orders = t.table(spark, sf, "orders").select(F.col("o_orderkey").alias("gene_id"), F.col("o_custkey").alias("locus"))
     own = exons.join(orders, "gene_id")
     genes = own.filter("locus % 50 <> 0").groupBy(F.col("locus").alias("gene_id")).agg(F.min("region").alias("region"), F.min("start").alias("start"), F.max(F.when(F.col("rank") < 7, F.col("end"))).alias("end"))
