@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .assembly import model_introns
-from .intervals import JOIN_BIN, covered_length, merged, overlaps
+from .graph import checkpointed
+from .intervals import JOIN_BIN, covered_length, overlaps
 
 #: Least coverage and identity of the tiers, best first.
 STANDARD_TIERS = ((95, 90), (90, 80), (90, 60), (90, 40), (80, 20), (60, 20), (0, 0))
@@ -44,8 +45,12 @@ def model_evidence(exons: DataFrame, repeats: DataFrame, by: Sequence[str], shor
     length = F.col("end") - F.col("start") + 1
     own = exons.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n_exons"), F.sum(length).alias("_exon_length"))
     between = gaps.groupBy("gene_id").agg(F.count(F.lit(1)).alias("introns"), F.count_if(length > shortest_real).alias("real"), F.sum(length).alias("intron_length"))
-    under = [covered_length(rows, repeats, by, ["gene_id"], width).withColumnRenamed("covered", name) for rows, name in ((exons.select("gene_id", *by, "start", "end"), "_exon_bases"), (gaps, "_intron_bases"))]
-    joined = own.join(between, "gene_id", "left").join(under[0], "gene_id", "left").join(under[1], "gene_id", "left")
+    # exons and introns meet the repeats, which are merged once, in one join
+    both = exons.select("gene_id", *by, "start", "end", F.lit(True).alias("_exon")).unionByName(gaps.withColumn("_exon", F.lit(False)))
+    covered = covered_length(both, checkpointed(repeats.select(*by, "start", "end")), by, ["gene_id", "_exon"], width)
+    of = lambda kind, name: F.sum(F.when(kind, F.col("covered"))).alias(name)
+    under = covered.groupBy("gene_id").agg(of(F.col("_exon"), "_exon_bases"), of(~F.col("_exon"), "_intron_bases"))
+    joined = own.join(between, "gene_id", "left").join(under, "gene_id", "left")
     whole = joined.fillna(0, ["introns", "real", "intron_length", "_exon_bases", "_intron_bases"])
     percent = lambda a, b: F.when(F.col(b) > 0, F.round(100 * F.col(a) / F.col(b), 4)).otherwise(0.0)
     return whole.select("gene_id", "n_exons", "introns", "real", (F.col("introns") - F.col("real")).alias("frameshift"), "intron_length", percent("_exon_bases", "_exon_length").alias("covered_exons"), percent("_intron_bases", "intron_length").alias("covered_introns"))
@@ -57,9 +62,12 @@ def covered_single_introns(exons: DataFrame, features: DataFrame, by: Sequence[s
     by = list(by)
     gaps = model_introns(exons.select("gene_id", *by, "start", "end")).filter(F.col("end") - F.col("start") + 1 > shortest_real)
     first = gaps.groupBy("gene_id", *by).agg(F.min(F.struct("start", "end")).alias("i")).select("gene_id", *by, "i.start", "i.end")
-    blocks = merged(features.select("gene_id", "hit", *by, "start", "end"), ["gene_id", "hit", *by])
-    pairs = overlaps(first, blocks, ["gene_id", *by], width)
-    shared = pairs.groupBy("gene_id", "r_hit", "start", "end").agg(F.sum(F.least("end", "r_end") - F.greatest("start", "r_start") + 1).alias("_n"))
+    # only what lies in the intron is merged: each stretch counts what no earlier one of its piece has reached
+    pairs = overlaps(first, features.select("gene_id", "hit", *by, "start", "end").filter("hit IS NOT NULL"), ["gene_id", *by], width)
+    inner = pairs.withColumns({"_low": F.greatest("start", "r_start"), "_high": F.least("end", "r_end")})
+    earlier = Window.partitionBy("gene_id", *by, "r_hit").orderBy("_low", "_high").rowsBetween(Window.unboundedPreceding, -1)
+    added = F.greatest(F.col("_high") - F.greatest(F.col("_low") - 1, F.max("_high").over(earlier)), F.lit(0))
+    shared = inner.withColumn("_added", added).groupBy("gene_id", "r_hit", "start", "end").agg(F.sum("_added").alias("_n"))
     return shared.filter(100 * F.col("_n") > most * (F.col("end") - F.col("start") + 1)).groupBy("gene_id").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") >= pieces).select("gene_id")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import classify, ranking
+from ..operators.graph import checkpointed
 from ..sources import driver_tables as t
 
 STRANDED = ["region", "strand"]
@@ -113,7 +114,7 @@ def model_evidence(spark, sf):
 
 
 def pseudogene_calls(spark, sf):
-    exons = t.exons(spark, sf)
+    exons = checkpointed(t.exons(spark, sf).select("gene_id", "region", "start", "end", "biotype", "hit"))
     evidence = classify.model_evidence(exons, _repeats(spark, sf), ["region"], 20, SPARSE)
     features = exons.select("gene_id", "hit", "region", (F.col("start") - F.col("hit") % 50).alias("start"), (F.col("end") + F.col("hit") % 60).alias("end"))
     dodgy = classify.covered_single_introns(exons, features, ["region"], 20, 30.0, width=SPARSE)

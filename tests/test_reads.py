@@ -1,6 +1,6 @@
 """Inputs that several steps use are computed once."""
 
-from strandline.operators import audit
+from strandline.operators import audit, classify
 
 
 def counted(spark, rows):
@@ -24,3 +24,18 @@ def test_gene_sanity(spark):
     found = sorted(tuple(r) for r in audit.gene_sanity(genes, transcripts, links, exons, ends).collect())
     assert found == [("bounds", "gene", "7", "10:20"), ("outside", "exon", "3:3", "9:20"), ("region", "exon", "1:1", "2"), ("strand", "exon", "1:1", "-1"), ("strand", "exon", "2:2", "-1")]
     assert (g.value, t.value) == (50, 50)
+
+
+def test_model_evidence(spark):
+    exons = spark.createDataFrame([(1, 1, 1, 10), (1, 1, 41, 50), (2, 1, 101, 110)], "gene_id long, region long, start long, end long")
+    repeats, r = counted(spark, spark.createDataFrame([(1, 6, 25), (1, 20, 30)], "region long, start long, end long"))
+    found = {row["gene_id"]: (row["covered_exons"], row["covered_introns"]) for row in classify.model_evidence(exons, repeats, ["region"], 20).collect()}
+    assert found == {1: (25.0, 66.6667), 2: (0.0, 0.0)}
+    assert r.value == 2
+
+
+def test_covered_single_introns_count_overlapping_pieces_once(spark):
+    exons = spark.createDataFrame([(g, 1, s, s + 9) for g in (1, 2) for s in (1, 111)], "gene_id long, region long, start long, end long")
+    hits = [(1, 7, 11, 25), (1, 7, 20, 30), (1, 7, 100, 300), (1, 8, 5, 45), (2, 7, 11, 30), (2, 7, 11, 30), (2, 8, 11, 110), (2, None, 11, 110)]
+    features = spark.createDataFrame([(g, h, 1, s, e) for g, h, s, e in hits], "gene_id long, hit long, region long, start long, end long")
+    assert [r["gene_id"] for r in classify.covered_single_introns(exons, features, ["region"], 20, 30.0).collect()] == [1]
