@@ -245,6 +245,7 @@ def built_genes(models: DataFrame, by: Sequence[str], order: Sequence[str], bles
     from .clusters import exon_clusters
     from .graph import checkpointed
 
+    models = checkpointed(models)
     now = checkpointed(models.join(pruned_by_exon_pairs(models, by, order, blessed, short), "gene_id", "left_semi"))
     now = now.join(readthroughs(now, by, "gene_id"), "gene_id", "left_anti")
     now = without_redundant_coding(now, by, "coding", "has_utr", blessed)

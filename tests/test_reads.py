@@ -1,6 +1,6 @@
 """Inputs that several steps use are computed once."""
 
-from strandline.operators import audit, classify
+from strandline.operators import audit, classify, curation
 
 
 def counted(spark, rows):
@@ -39,3 +39,16 @@ def test_covered_single_introns_count_overlapping_pieces_once(spark):
     hits = [(1, 7, 11, 25), (1, 7, 20, 30), (1, 7, 100, 300), (1, 8, 5, 45), (2, 7, 11, 30), (2, 7, 11, 30), (2, 8, 11, 110), (2, None, 11, 110)]
     features = spark.createDataFrame([(g, h, 1, s, e) for g, h, s, e in hits], "gene_id long, hit long, region long, start long, end long")
     assert [r["gene_id"] for r in classify.covered_single_introns(exons, features, ["region"], 20, 30.0).collect()] == [1]
+
+
+def test_built_genes(spark):
+    models, m = counted(
+        spark,
+        spark.range(40).selectExpr(
+            "id AS gene_id", "1L AS region", "100 * id AS start", "100 * id + 60 AS end", "'x' AS biotype", "array(named_struct('start', 100 * id, 'end', 100 * id + 20), named_struct('start', 100 * id + 41, 'end', 100 * id + 60)) AS exons",
+            "string(id) AS coding", "false AS has_utr", "id AS place",
+        ),
+    )
+    found = {r["gene_id"]: r["gene"] for r in curation.built_genes(models, ["region"], ["place"], [], (5, 15), 3).collect()}
+    assert found == {i: i for i in range(40)}
+    assert m.value == 40
