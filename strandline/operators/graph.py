@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,17 +14,30 @@ from pyspark.sql import functions as F
 FOREST_NODES = 500_000
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, in the shared folder that the session names; a local one is set only if it names none."""
-    context = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder that the session names; a local one is set only if it names none."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df with its lineage cut, in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder, of which each later step reads only the columns that it needs."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _marked(edges: DataFrame) -> tuple[DataFrame, tuple]:
     """Distinct edges with their lineage cut, and their number and checksums from the same job."""
     seen = Observation()

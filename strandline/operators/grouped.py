@@ -32,7 +32,28 @@ def whole_runs(values: list) -> Iterator[tuple[int, int]]:
             at = i
 
 
+def open_cells(n: int, coverage: int) -> tuple[Callable[[int, int], bool], Callable[[int, int], None]]:
+    """For n cells that nothing covers yet: whether a cell from x up to y is covered fewer than coverage times, and a step
+    that covers those cells once more."""
+    if 0 <= coverage < 256:
+        # a byte a cell, which stays at coverage when it gets there: spans of a few cells are too short for numpy
+        held, more = bytearray(n), bytes(min(i + 1, coverage) for i in range(256))
+
+        def cover(x: int, y: int) -> None:
+            held[x:y] = held[x:y].translate(more)
+
+        return lambda x, y: held.count(coverage, x, y) < y - x, cover
+    covered = np.zeros(n, dtype=np.int64)
+
+    def add(x: int, y: int) -> None:
+        covered[x:y] += 1
+
+    return lambda x, y: bool((covered[x:y] < coverage).any()), add
+
+
 def _plain(column: pd.Series) -> list:
+    if column.dtype != object:
+        return column.tolist()
     return [x.tolist() if isinstance(x, np.ndarray) else x for x in column.tolist()]
 
 

@@ -4,6 +4,8 @@ supported models, and selection under a depth cap."""
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -11,10 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .graph import checkpointed, components
-from .grouped import Group, cells_of, in_groups, whole_runs
+from .graph import components, written
+from .grouped import Group, cells_of, in_groups, open_cells, whole_runs
 from .intervals import JOIN_BIN, SCAN_BIN, depth, overlapping, with_island
 
+#: Hits of a strand of a place that a task judges at most as they are.
+PLACE_HITS = 100_000
+
 
 def flagged(models: DataFrame, introns: DataFrame, blessed: Sequence[str], shortest: int = 10) -> DataFrame:
     """gene_id, frameshift, only_frameshift, non_canonical, incomplete, flag of models whose biotype is not blessed.
@@ -173,43 +178,64 @@ def processed_clusters(models: DataFrame, pairs: DataFrame, clusters: DataFrame,
     return rows.filter("_good").select("gene_id", F.lit("supported").alias("way")).unionByName(backups)
 
 
-def capped_hits(hits: DataFrame, by: Sequence[str], name: str, least_score: float, most_p: float, coverage: int, scan_bin: int = SCAN_BIN) -> DataFrame:
+def capped_hits(
+    hits: DataFrame, by: Sequence[str], name: str, least_score: float, most_p: float, coverage: int, scan_bin: int = SCAN_BIN, most: int = PLACE_HITS
+) -> DataFrame:
     """hits (score, p_value, strand) of the names that stay. A hit passes if its score is over least_score and its p-value
     under most_p or missing; names without one go, and so do hits that score more than the best passing one of their name.
     Names are taken by that best score, then by the sum of scores over least_score, then by name, on either strand: one is
     accepted if a passing hit that has a p-value holds a base covered by fewer than coverage hits of accepted names; then
     all its hits on the strand add depth. A name accepted on one strand keeps its hits on both.
 
-    Where hits of all names together do not reach the cap, each base stays open. Only islands of overlapping hits that go
-    over it are judged in order, and only those that names link are held by one task."""
+    A strand of a place with up to `most` hits is judged whole by one task. Of larger ones only islands of overlapping hits
+    that go over the cap are judged in order, and only those that names link are held by one task."""
     by, place = list(by), [*by, "strand"]
     over = F.col("score") > least_score
     fit = over & (F.col("p_value").isNull() | (F.col("p_value") < most_p))
-    names = hits.groupBy(*by, name).agg(F.max(F.when(fit, F.col("score"))).alias("_best"), F.round(F.sum(F.when(over, F.col("score"))), 4).alias("_total")).filter("_best > 0")
-    rows = hits.join(names, [*by, name]).filter("score <= _best").withColumn("_fits", over & F.coalesce(F.col("p_value") < most_p, F.lit(False)))
-    islands = checkpointed(with_island(rows.select(*place, name, "start", "end", "_best", "_total", "_fits"), place, scan_bin=scan_bin))
+    own = Window.partitionBy(*by, name)
+    facts = {"_best": F.max(F.when(fit, F.col("score"))).over(own), "_total": F.round(F.sum(F.when(over, F.col("score"))).over(own), 4)}
+    known = reduce(and_, [F.col(c).isNotNull() for c in (*by, name)])
+    rows = written(hits.filter(known).withColumns(facts).filter("_best > 0 AND score <= _best").withColumn("_fits", over & F.coalesce(F.col("p_value") < most_p, F.lit(False))))
+    judged = rows.filter("strand IS NOT NULL AND start <= end").select(*place, name, "start", "end", "_best", "_total", "_fits")
+    # one row for every `most` hits at the most
+    crowded = judged.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select(*place)
+
+    def run(group: Group) -> Iterator[tuple]:
+        where, spans, n = tuple(group[b][0] for b in by), *cells_of(group["start"], group["end"])
+        (is_open, cover), fits, free = open_cells(n, coverage), group["_fits"], group.get("_free")
+        for a, b in whole_runs(group[name]):
+            if free and free[a] or any(fits[i] and is_open(*spans[i]) for i in range(a, b)):
+                yield *where, group[name][a]
+                for i in range(a, b):
+                    cover(*spans[i])
+
+    schema, order = rows.select(*by, name).schema, [F.desc("_best"), F.desc("_total"), name]
+    if crowded.isEmpty():
+        accepted = in_groups(judged, place, order, run, schema)
+    else:
+        crowded = F.broadcast(crowded)
+        free, linked = linked_islands(judged.join(crowded, place, "left_semi"), place, name, coverage, scan_bin)
+        accepted = in_groups(judged.join(crowded, place, "left_anti"), place, order, run, schema)
+        accepted = accepted.unionByName(in_groups(linked, [*place, "_piece"], order, run, schema)).unionByName(free.select(*by, name))
+    return rows.drop("_best", "_total", "_fits").join(accepted, [*by, name], "left_semi")
+
+
+def linked_islands(hits: DataFrame, place: Sequence[str], name: str, coverage: int, scan_bin: int = SCAN_BIN) -> tuple[DataFrame, DataFrame]:
+    """Names (place, name) with a hit that fits in an island of overlapping hits that does not go over the cap, where each
+    base stays open; and the hits of islands that do, with _free (its name is one of those) and _piece, the islands that
+    names link."""
+    place = list(place)
+    islands = written(with_island(hits, place, scan_bin=scan_bin))
     full = depth(islands, [*place, "island"], scan_bin).groupBy(*place, "island").agg(F.max("depth").alias("_most")).filter(F.col("_most") > coverage).select(*place, "island", F.lit(True).alias("_full"))
-    marked = checkpointed(islands.join(full, [*place, "island"], "left"))
+    marked = written(islands.join(full, [*place, "island"], "left"))
     free = marked.filter("_full IS NULL AND _fits").select(*place, name).distinct().withColumn("_free", F.lit(True))
     judged = marked.filter("_full").join(free, [*place, name], "left")
     node = F.struct(*place, "island")
     hubs = judged.groupBy(*place, name).agg(F.min(node).alias("hub"))
     linked = judged.select(*place, name, node.alias("node")).distinct().join(hubs, [*place, name])
     pieces = components(linked.select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    ready = judged.withColumn("node", node).join(pieces, "node").select(*place, name, "start", "end", "_best", "_total", "_fits", F.coalesce("_free", F.lit(False)).alias("_free"), F.col("root.island").alias("_piece"))
-
-    def run(group: Group) -> Iterator[tuple]:
-        where, spans, n = tuple(group[b][0] for b in by), *cells_of(group["start"], group["end"])
-        covered = np.zeros(n, dtype=np.int64)
-        for a, b in whole_runs(group[name]):
-            if group["_free"][a] or any(opens and (covered[x:y] < coverage).any() for opens, (x, y) in zip(group["_fits"][a:b], spans[a:b], strict=True)):
-                yield *where, group[name][a]
-                for x, y in spans[a:b]:
-                    covered[x:y] += 1
-
-    schema = rows.select(*by, name).schema
-    accepted = in_groups(ready, [*place, "_piece"], [F.desc("_best"), F.desc("_total"), name], run, schema).unionByName(free.select(*by, name)).distinct()
-    return hits.join(names.select(*by, name, "_best"), [*by, name]).filter("score <= _best").drop("_best").join(accepted, [*by, name], "left_semi")
+    ready = judged.withColumn("node", node).join(pieces, "node")
+    return free, ready.select(*place, name, "start", "end", "_best", "_total", "_fits", F.coalesce("_free", F.lit(False)).alias("_free"), F.col("root.island").alias("_piece"))
 
 
 def pruned_depth(hits: DataFrame, by: Sequence[str], row_id: str, coverage: int, scan_bin: int = SCAN_BIN) -> DataFrame:

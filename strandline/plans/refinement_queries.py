@@ -65,7 +65,7 @@ def processed_clusters(spark, sf):
 
 
 def capped_hits(spark, sf):
-    hits = t.features(spark, sf).withColumn("p_value", F.round(100 - F.col("identity"), 4))
+    hits = t.features(spark, sf).select(*STRANDED, "start", "end", "hit", "score", F.round(100 - F.col("identity"), 4).alias("p_value"))
     kept = refinement.capped_hits(hits, ["region"], "hit", 20000, 6.0, 2, DENSE)
     return kept.groupBy("region").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("hit").alias("names"), F.round(F.sum("score"), 2).alias("score"))
 

@@ -82,6 +82,20 @@ def test_a_hit_that_fails_makes_no_room(spark):
     assert sorted(r["row_id"] for r in found.collect()) == [1, 5]
 
 
+def test_crowded_places_are_judged_by_islands_as_others_are_whole(spark):
+    rng = random.Random(5)
+    sizes = {1: 20, 2: 90, 3: 200}
+    rows = [(i, region, s, s + rng.randint(0, 60), f"h{rng.randint(0, 30)}", float(rng.randint(1, 9)), rng.choice([0.001, 0.001, 0.5, None]), rng.choice([1, -1])) for region, n in sizes.items() for i in range(1000 * region, 1000 * region + n) for s in [rng.randint(1, 900)]]
+    # hits without a strand or a base of their own go with their name; those without a place or a name go
+    rows += [(1, 1, 5, 9, "h1", 5.0, 0.001, None), (2, 1, 9, 5, "alone", 9.0, 0.001, 1), (3, 1, None, 9, "h1", 5.0, 0.001, 1), (4, None, 5, 9, "h1", 5.0, 0.001, 1), (5, 1, 5, 9, None, 5.0, 0.001, 1)]
+    for coverage, most in ((1, 0), (2, 60), (2, 1000), (300, 60)):
+        wanted = set().union(*(plain_capped([(r[0], *r[2:]) for r in rows if r[1] == region and r[0] >= 1000], 4, 0.1, coverage) for region in sizes))
+        names = {r[4] for r in rows if r[1] == 1 and r[0] in wanted}
+        kept = refinement.capped_hits(spark.createDataFrame(rows, HIT + ", strand int").repartition(4), ["region"], "name", 4, 0.1, coverage, 64, most)
+        found = {r["row_id"] for r in kept.collect()}
+        assert found - {1, 3} == wanted and found & {1, 3} == ({1, 3} if "h1" in names else set())
+
+
 def test_capped_hits_query(spark):
     rows = {}
     for i, r in enumerate(t.features(spark, SF).collect()):

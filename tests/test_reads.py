@@ -1,6 +1,6 @@
 """Inputs that several steps use are computed once."""
 
-from strandline.operators import audit, classify, curation
+from strandline.operators import audit, classify, curation, refinement
 
 
 def counted(spark, rows):
@@ -52,3 +52,12 @@ def test_built_genes(spark):
     found = {r["gene_id"]: r["gene"] for r in curation.built_genes(models, ["region"], ["place"], [], (5, 15), 3).collect()}
     assert found == {i: i for i in range(40)}
     assert m.value == 40
+
+
+def test_capped_hits(spark):
+    hits, h = counted(spark, spark.range(60).selectExpr("id % 2 AS region", "1 AS strand", "id AS start", "id + 9 AS end", "id % 20 AS name", "double(id) AS score", "0.001D AS p_value"))
+    kept = [refinement.capped_hits(hits, ["region"], "name", 4, 0.1, 2, 64, most) for most in (30, 29)]
+    assert h.value == 120
+    found = [sorted(tuple(r) for r in x.collect()) for x in kept]
+    assert found[0] == found[1] and 0 < len(found[0]) < 60
+    assert h.value == 120
