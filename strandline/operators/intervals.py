@@ -123,26 +123,45 @@ def subtracted(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: S
     return joined.select(*own, F.explode(F.when(F.col("cuts").isNull(), whole).otherwise(pieces)).alias("p")).select(*own, "p.start", "p.end")
 
 
+def overlap_parts(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: Sequence[str], values: Sequence[str], scan_bin: int = SCAN_BIN) -> DataFrame:
+    """left_id, start, end, part, values: for each interval of left terms that add up to the sums of right's values over the
+    intervals that overlap it; equal left rows have equal terms. No pair is made: what starts up to the interval's end, less
+    what ends before its start, by scans in two levels. An interval whose ends lie in one bin has one term (part 0), any
+    other has one for its end (1) and one for its start (2). Intervals without a start or an end have none."""
+    keys, values = list(keys), list(values)
+    own = [c for c in left_id if c not in (*keys, "start", "end")]
+
+    def binned(rows: DataFrame, asks: bool, up: Column, down: Column) -> DataFrame:
+        columns = [F.col(v).cast("double").alias(f"_{v}") for v in values] if not asks else [F.lit(0.0).alias(f"_{v}") for v in values]
+        names = [F.col(c) if asks else F.lit(None).cast(dict(left.dtypes)[c]).alias(c) for c in own]
+        of_up, of_down = _div(up, scan_bin), _div(down, scan_bin)
+        bins = F.explode(F.when(of_up == of_down, F.array(of_up)).otherwise(F.array(of_up, of_down))).alias("_bin")
+        return rows.filter("start IS NOT NULL AND end IS NOT NULL").select(*keys, F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.lit(asks).alias("_asks"), *columns, *names, bins)
+
+    every = binned(left, True, F.col("end"), F.col("start")).unionByName(binned(right, False, F.col("start"), F.col("end") + 1))
+    # places in the scan of starts and in that of ends, as far as they lie in the bin
+    up, down = F.when(F.col("_asks"), F.col("end")).otherwise(F.col("start")), F.when(F.col("_asks"), F.col("start")).otherwise(F.col("end") + 1)
+    sides = {"_up": F.when(_div(up, scan_bin) == F.col("_bin"), up), "_down": F.when(_div(down, scan_bin) == F.col("_bin"), down)}
+    counted = lambda side, v: F.when(F.col(side).isNotNull(), F.col(f"_{v}")).otherwise(0.0)
+    bins = every.withColumns(sides).groupBy(*keys, "_bin").agg(*[F.sum(counted(side, v)).alias(f"{side}_{v}") for side in sides for v in values])
+    along = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = bins.select(*keys, "_bin", *[F.coalesce(F.sum(f"{side}_{v}").over(along), F.lit(0.0)).alias(f"_before{side}_{v}") for side in sides for v in values])
+    rows = every.repartition(*keys, "_bin").withColumns(sides)
+    for side in sides:
+        within = Window.partitionBy(*keys, "_bin").orderBy(side).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.withColumns({f"_sum{side}_{v}": F.sum(counted(side, v)).over(within) for v in values})
+    found = rows.filter("_asks").join(before, [*keys, "_bin"])
+    term = lambda side, v: F.when(F.col(side).isNotNull(), F.col(f"_before{side}_{v}") + F.col(f"_sum{side}_{v}")).otherwise(0.0)
+    part = F.when(F.col("_up").isNull(), 2).when(F.col("_down").isNull(), 1).otherwise(0)
+    return found.select(*dict.fromkeys([*left_id, "start", "end"]), part.alias("part"), *[(term("_up", v) - term("_down", v)).alias(v) for v in values])
+
+
 def overlap_sums(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: Sequence[str], values: Sequence[str], scan_bin: int = SCAN_BIN) -> DataFrame:
-    """left_id, values: for each interval of left the sums of right's values over the intervals that overlap it. No pair is
-    made: what starts up to the interval's end, less what ends before its start, by scans in two levels."""
-    keys, left_id, values = list(keys), list(left_id), list(values)
-    sums = [F.col(v).cast("double").alias(f"_{v}") for v in values]
-    marks = {"_starts": F.col("start"), "_ends": F.col("end") + 1}
-    steps = [right.select(*keys, at.alias("_at"), F.lit(name).alias("_kind"), *sums) for name, at in marks.items()]
-    steps = steps[0].unionByName(steps[1]).groupBy(*keys, "_kind", "_at").agg(*[F.sum(f"_{v}").alias(f"_{v}") for v in values])
-    own = left.select(F.struct(*left_id).alias("_id"), *keys, "start", "end").distinct()
-    asked = own.select(*keys, F.explode(F.array(F.struct(F.lit("_starts").alias("kind"), F.col("end").alias("at")), F.struct(F.lit("_ends").alias("kind"), F.col("start").alias("at")))).alias("q"), "_id")
-    asked = asked.select(*keys, F.col("q.kind").alias("_kind"), F.col("q.at").alias("_at"), *[F.lit(None).cast("double").alias(f"_{v}") for v in values], "_id")
-    every = steps.withColumn("_id", F.lit(None).cast(asked.schema["_id"].dataType)).unionByName(asked).withColumn("_bin", _div(F.col("_at"), scan_bin))
-    bins = every.groupBy(*keys, "_kind", "_bin").agg(*[F.sum(f"_{v}").alias(f"_all_{v}") for v in values])
-    along = Window.partitionBy(*keys, "_kind").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    before = bins.select(*keys, "_kind", "_bin", *[F.coalesce(F.sum(f"_all_{v}").over(along), F.lit(0.0)).alias(f"_before_{v}") for v in values])
-    within = Window.partitionBy(*keys, "_kind", "_bin").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    through = every.join(before, [*keys, "_kind", "_bin"]).withColumns({f"_sum_{v}": F.col(f"_before_{v}") + F.coalesce(F.sum(f"_{v}").over(within), F.lit(0.0)) for v in values})
-    signed = F.when(F.col("_kind") == "_starts", 1.0).otherwise(-1.0)
-    found = through.filter("_id IS NOT NULL").groupBy("_id").agg(*[F.sum(signed * F.col(f"_sum_{v}")).alias(v) for v in values])
-    return found.select(*[F.col(f"_id.`{c}`").alias(c) for c in left_id], *values)
+    """left_id, values: for each interval of left the sums of right's values over the intervals that overlap it, by the terms
+    of overlap_parts()."""
+    left = left.select(*dict.fromkeys([*keys, "start", "end", *left_id])).distinct()
+    found = overlap_parts(left, right, keys, left_id, values, scan_bin)
+    return found.groupBy(*left_id).agg(*[F.sum(v).alias(v) for v in values])
 
 
 def depth(rows: DataFrame, keys: Sequence[str], scan_bin: int = SCAN_BIN) -> DataFrame:

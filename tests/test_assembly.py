@@ -365,3 +365,34 @@ def test_refined_models_need_one_pass(spark):
     # 1-400 is cut at 20-60, then the rest at 100-300
     rows = sorted((r["place"], r["strand"], list(r["starts"]), list(r["ends"])) for r in found.collect())
     assert rows[0][1:] == (1, [3, 60, 300, 505], [20, 100, 395, 598])
+
+
+def shuffled(spark, job):
+    """What job gives, and the bytes that its stages wrote for shuffles."""
+    context = spark.sparkContext
+
+    def total():
+        context._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = context._jsc.sc().statusStore().stageList(None, False, False, context._gateway.new_array(context._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = total()
+    return job(), total() - before
+
+
+def test_consensus_models_are_moved_as_wholes(spark):
+    place = "abs(hash(id div 4)) % 9000 + id % 4 * 100"
+    exons = spark.range(40_000).selectExpr("id div 4 AS gene_id", "id div 400 AS region", "1 AS strand", f"{place} AS start", f"{place} + 20 + id % 17 AS end", "id div 4 % 3 = 0 AS is_est")
+    found, moved = shuffled(spark, lambda: sorted(tuple(r) for r in assembly.consensus_models(exons, ["region", "strand"], short_exon=30).collect()))
+    assert len(found) > 400 and moved < 110 * 40_000
+    # clusters that are too large for one task are scored before they are searched
+    large = sorted(tuple(r) for r in assembly.consensus_models(exons, ["region", "strand"], short_exon=30, most=2).collect())
+    assert [(r[0], *r[2:]) for r in large] == [(r[0], *r[2:]) for r in found] and [r[1] for r in large] == pytest.approx([r[1] for r in found], abs=2e-6)
+
+
+def test_exons_without_a_place_make_no_consensus(spark):
+    rows = [(1, 1, 1, 1, 50, False), (1, 1, 1, 101, 150, False), (1, 1, 1, None, 170, False), (1, 1, 1, 180, None, False), (2, None, 1, 1, 50, False), (2, None, 1, 101, 150, False), (None, 1, 1, 1, 50, False), (3, 1, -1, 1, 50, None), (3, 1, -1, 101, 150, None)]
+    exons = spark.createDataFrame(rows, "gene_id long, region long, strand int, start long, end long, is_est boolean")
+    for most in (0, 10):
+        found = assembly.consensus_models(exons, ["region", "strand"], most=most).collect()
+        assert sorted((r["cluster"], r["starts"], r["ends"]) for r in found) == [(1, [1, 101], [50, 150]), (3, [1, 101], [50, 150])]
