@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -78,18 +79,17 @@ def in_groups(rows: DataFrame, by: Sequence[str], order: Sequence[str], run: Cal
                     # numbers with missing ones come as floats, among which a missing one equals nothing
                     whole = is_whole[i]
                     lists[i] = [None if x is None or x != x else int(x) if whole else x for x in lists[i]]
-            keys = list(zip(*(lists[names.index(b)] for b in by), strict=True))
-            at = 0
-            while at < len(keys):
-                to, key = at + 1, keys[at]
-                while to < len(keys) and keys[to] == key:
-                    to += 1
-                if held[by[0]] and tuple(held[b][0] for b in by) != key:
+            changes = np.zeros(max(len(frame) - 1, 0), dtype=bool)
+            for i in places:
+                values = frame[names[i]].to_numpy()
+                plain = values.dtype != object and not frame[names[i]].hasnans
+                changes |= values[1:] != values[:-1] if plain else np.array([a != b for a, b in pairwise(lists[i])], dtype=bool)
+            for at, to in pairwise([0, *(np.flatnonzero(changes) + 1).tolist(), len(frame)] if len(frame) else []):
+                if held[by[0]] and any(held[names[i]][0] != lists[i][at] for i in places):
                     out.extend(run(held))
                     held = {name: [] for name in names}
                 for name, values in zip(names, lists, strict=True):
                     held[name].extend(values[at:to])
-                at = to
                 if len(out) >= FRAME_ROWS:
                     yield pd.DataFrame(out, columns=columns)
                     out = []
